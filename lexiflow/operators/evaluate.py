@@ -160,7 +160,7 @@ def mark(pred: Column, gold: Column, step: str = "^") -> Column:
 
 def error_report(gold: DataFrame, pred: DataFrame, keys: Sequence[str], morph: str = "morph") -> DataFrame:
     """The wrong rows grouped by morph string, one row per distinct
-    (morph, lemma, gold word, predicted word) with its count and the morph's
+    (morph, source, gold, prediction) with its count and the morph's
     error total. The lemmas of both sides must agree (``assert_true``).
 
     Rows are counted, never collected into one list per morph string, so a
@@ -170,7 +170,26 @@ def error_report(gold: DataFrame, pred: DataFrame, keys: Sequence[str], morph: s
     j = g.join(p, list(keys), "inner")
     j = j.withColumn("_chk", F.assert_true(F.col("_gl").eqNullSafe(F.col("_pl")), F.lit("lemma mismatch")))
     wrong = j.filter(F.col("_chk").isNull() & ~F.col("gold").eqNullSafe(F.col("prediction")))
-    rows = wrong.groupBy(morph, F.col("_gl").alias("lemma"), "gold", "prediction").agg(
+    rows = wrong.groupBy(morph, F.col("_gl").alias("source"), "gold", "prediction").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"))
     totals = rows.groupBy(morph).agg(F.sum("n").cast("bigint").alias("morph_errors"))
     return rows.join(totals, morph, "inner")
+
+
+def compare_errors(a: DataFrame, b: DataFrame, cols: Sequence[str], buckets: Sequence[str],
+                   morph: str = "morph") -> DataFrame:
+    """Compare two error lists (one row per error, duplicates allowed).
+
+    ``both`` = distinct errors in both; ``only_first`` / ``only_second`` keep
+    duplicates (anti join against the other side's distinct rows). Each row is
+    counted under ``ALL`` and under every bucket whose text occurs in its morph
+    string (a row may fall in several). Output (kind, bucket, n)."""
+    a, b = a.select(*cols), b.select(*cols)
+    both = a.distinct().intersect(b.distinct()).withColumn("kind", F.lit("both"))
+    only_a = a.join(b.distinct(), list(cols), "left_anti").withColumn("kind", F.lit("only_first"))
+    only_b = b.join(a.distinct(), list(cols), "left_anti").withColumn("kind", F.lit("only_second"))
+    allrows = both.unionByName(only_a).unionByName(only_b)
+    bk = F.array(*[F.lit(x) for x in buckets])
+    tagged = allrows.select("kind", F.explode(F.concat(
+        F.array(F.lit("ALL")), F.filter(bk, lambda x: F.instr(F.col(morph), x) > 0))).alias("bucket"))
+    return tagged.groupBy("kind", "bucket").agg(F.count(F.lit(1)).cast("bigint").alias("n"))

@@ -91,3 +91,364 @@ FROM j_"""
 def a7_eval_by_pos(spark, sf):
     w = V.wtok(spark, sf)
     return ev.eval_by_pos(w.filter(F.col("split") == "test"), w.filter(F.col("split") == "train"))
+
+
+@register("j2_merge_gold", O.with_tok(O.PRED_CTE.strip()) + """
+SELECT p.doc_id, p.sent_id, p.tok_id, p.split, p.form, p.plemma, p.ppos, CAST(NULL AS VARCHAR) AS pfeats,
+       t.lemma, t.xpostag AS pos, CAST(NULL AS VARCHAR) AS feats, CAST(NULL AS VARCHAR) AS misc
+FROM pred p JOIN tok t USING (doc_id, sent_id, tok_id) WHERE t.xpostag <> 'PUNCT'""")
+def j2_merge_gold(spark, sf):
+    return jn.merge_gold(V.tok(spark, sf), V.predictions(spark, sf), ["doc_id", "sent_id", "tok_id"])
+
+
+@register("j2_merge_audit", O.with_tok(O.PRED_CTE.strip()) + """
+SELECT CAST(sum(CASE WHEN g.doc_id IS NOT NULL AND p.doc_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS paired,
+       CAST(sum(CASE WHEN p.doc_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS gold_only,
+       CAST(sum(CASE WHEN g.doc_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS pred_only
+FROM (SELECT doc_id, sent_id, tok_id FROM w) g
+FULL OUTER JOIN (SELECT doc_id, sent_id, tok_id FROM pred) p USING (doc_id, sent_id, tok_id)""")
+def j2_merge_audit(spark, sf):
+    return jn.merge_audit(V.tok(spark, sf), V.predictions(spark, sf), ["doc_id", "sent_id", "tok_id"])
+
+
+@register("a6_eval_pred", O.with_tok(O.PRED_CTE.strip(), """
+m_ AS (SELECT t.split, t.lemma, p.plemma FROM pred p JOIN tok t USING (doc_id, sent_id, tok_id)
+       WHERE t.xpostag <> 'PUNCT')""", O.score_sql("m_", ["split"], "lemma", "plemma").strip())
+          + O.score_select(["split"]))
+def a6_eval_pred(spark, sf):
+    merged = jn.merge_gold(V.tok(spark, sf), V.predictions(spark, sf).drop("split"),
+                           ["doc_id", "sent_id", "tok_id"])
+    t = V.tok(spark, sf).select("doc_id", "sent_id", "tok_id", "split")
+    return ev.eval_pred(merged.join(t, ["doc_id", "sent_id", "tok_id"]), by=("split",))
+
+
+@register("j3_mark_seen", O.with_tok() + """
+SELECT t.doc_id, t.sent_id, t.tok_id, t.lform, t.lform IN (SELECT lform FROM w WHERE split = 'train') AS seen
+FROM w t WHERE t.split <> 'train'""")
+def j3_mark_seen(spark, sf):
+    w = V.wtok(spark, sf)
+    test = w.filter(F.col("split") != "train").select("doc_id", "sent_id", "tok_id", "lform")
+    return jn.mark_seen(test, w.filter(F.col("split") == "train"))
+
+
+@register("a8_rouge", O.with_tok(O.MFL_CTE.strip(), """
+p_ AS (SELECT w.lemma AS g, coalesce(m.mfl_lemma, w.lform) AS h, count(*) AS n
+       FROM w LEFT JOIN model m ON m.lform = w.lform WHERE w.split = 'test' GROUP BY ALL),
+c_ AS (SELECT n, list_distinct(list_transform(range(1, length(g) + 1), lambda i: substr(g, i, 1))) AS g1,
+              list_distinct(list_transform(range(1, length(h) + 1), lambda i: substr(h, i, 1))) AS h1,
+              CASE WHEN length(g) >= 2 THEN list_distinct(list_transform(range(1, length(g)), lambda i: substr(g, i, 2))) ELSE [] END AS g2,
+              CASE WHEN length(h) >= 2 THEN list_distinct(list_transform(range(1, length(h)), lambda i: substr(h, i, 2))) ELSE [] END AS h2,
+              length(g) AS lg, length(h) AS lh, """ + O.lcs_sql("h", "g") + """ AS lcs FROM p_),
+o_ AS (SELECT n, len(list_intersect(g1, h1)) AS o1, len(g1) AS r1n, len(h1) AS p1n,
+              len(list_intersect(g2, h2)) AS o2, len(g2) AS r2n, len(h2) AS p2n, lcs, lg, lh FROM c_),
+f_ AS (SELECT n,
+  CASE WHEN r1n > 0 THEN o1 / r1n ELSE 0.0 END AS rouge1_r, CASE WHEN p1n > 0 THEN o1 / p1n ELSE 0.0 END AS rouge1_p,
+  CASE WHEN r2n > 0 THEN o2 / r2n ELSE 0.0 END AS rouge2_r, CASE WHEN p2n > 0 THEN o2 / p2n ELSE 0.0 END AS rouge2_p,
+  CASE WHEN lg > 0 THEN lcs / lg ELSE 0.0 END AS rougel_r, CASE WHEN lh > 0 THEN lcs / lh ELSE 0.0 END AS rougel_p FROM o_),
+ff_ AS (SELECT *,
+  CASE WHEN rouge1_r + rouge1_p > 0 THEN 2 * rouge1_r * rouge1_p / (rouge1_r + rouge1_p) ELSE 0.0 END AS rouge1_f,
+  CASE WHEN rouge2_r + rouge2_p > 0 THEN 2 * rouge2_r * rouge2_p / (rouge2_r + rouge2_p) ELSE 0.0 END AS rouge2_f,
+  CASE WHEN rougel_r + rougel_p > 0 THEN 2 * rougel_r * rougel_p / (rougel_r + rougel_p) ELSE 0.0 END AS rougel_f FROM f_)""")
+          + "SELECT CAST(sum(n) AS BIGINT) AS n_rows, "
+          + ", ".join(f"round(sum({m} * n) / sum(n), 6) AS {m}" for m in
+                      [f"rouge{k}_{x}" for k in ("1", "2", "l") for x in "rpf"]) + " FROM ff_")
+def a8_rouge(spark, sf):
+    w = V.wtok(spark, sf)
+    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
+    pred = jn.predict_mfl(model, w.filter(F.col("split") == "test").select("lform", "lemma"))
+    return ev.rouge(pred, "lemma", "plemma")
+
+
+@register("a13_micro_macro", O.with_tok(O.MFL_CTE.strip(), """
+s_ AS (SELECT w.xpostag, (coalesce(m.mfl_lemma, w.lform) = w.lemma) AS ok
+       FROM w LEFT JOIN model m ON m.lform = w.lform WHERE w.split = 'test'),
+c_ AS (SELECT xpostag, count(*) AS n, sum(CAST(ok AS INT)) / count(*) AS acc FROM s_ GROUP BY xpostag)""") + """
+SELECT CAST(count(*) AS BIGINT) AS n_clusters, CAST(sum(n) AS BIGINT) AS n_rows,
+       round(avg(acc), 6) AS macro_accuracy, round(sum(n * acc) / sum(n), 6) AS micro_accuracy FROM c_""")
+def a13_micro_macro(spark, sf):
+    w = V.wtok(spark, sf)
+    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
+    pred = jn.predict_mfl(model, w.filter(F.col("split") == "test").select("xpostag", "lform", "lemma"))
+    return ev.micro_macro(pred.withColumn("ok", F.col("plemma") == F.col("lemma")), "xpostag")
+
+
+@register("a14_score", O.with_tok(O.PRED_CTE.strip()) + """
+SELECT t.split, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(sum(CASE WHEN replace(p.plemma, '^', '') = t.lemma THEN 1 ELSE 0 END) AS BIGINT) AS n_v,
+       CAST(sum(CASE WHEN replace(p.plemma, '^', '') = t.lemma THEN 0 ELSE 1 END) AS BIGINT) AS n_x,
+       round(avg(CASE WHEN replace(p.plemma, '^', '') = t.lemma THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM w t JOIN pred p USING (doc_id, sent_id, tok_id) GROUP BY t.split""")
+def a14_score(spark, sf):
+    w = V.wtok(spark, sf).select("doc_id", "sent_id", "tok_id", "split", "lemma")
+    p = V.predictions(spark, sf).select("doc_id", "sent_id", "tok_id", "plemma")
+    m = w.join(p, ["doc_id", "sent_id", "tok_id"]).withColumn("mark", ev.mark(F.col("plemma"), F.col("lemma")))
+    return m.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.when(F.col("mark") == "V", 1).otherwise(0)).cast("bigint").alias("n_v"),
+        F.sum(F.when(F.col("mark") == "X", 1).otherwise(0)).cast("bigint").alias("n_x"),
+        F.round(F.avg(F.when(F.col("mark") == "V", 1.0).otherwise(0.0)), 6).alias("accuracy"))
+
+
+ERROR_BUCKETS = ("pos=N", "pos=NP", "pos=P")
+
+
+def _mfl_errors(spark, sf):
+    """Per test token: morph (feature bundle), source word, gold lemma, MFL prediction."""
+    ex = V.examples(spark, sf)
+    w = V.wtok(spark, sf)
+    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
+    test = ex.filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", F.col("feats").alias("morph"),
+                                                      F.col("word").alias("lform"), "lemma")
+    return jn.predict_mfl(model, test)
+
+
+_ERR_SQL = O.MFL_CTE.strip() + """,
+e1_ AS (SELECT ex.doc_id, ex.sent_id, ex.tok_id, ex.feats AS morph, ex.word AS source, ex.lemma AS gold,
+               coalesce(m.mfl_lemma, ex.word) AS prediction
+        FROM ex LEFT JOIN model m ON m.lform = ex.word WHERE ex.split = 'test'),
+e2_ AS (SELECT ex.doc_id, ex.sent_id, ex.tok_id, ex.feats AS morph, ex.word AS source, ex.lemma AS gold,
+               regexp_replace(ex.word, """ + O.q(__import__("lexiflow.sources.corpus", fromlist=["x"]).SUFFIX_PATTERN) + """, '\\1') AS prediction
+        FROM ex WHERE ex.split = 'test')"""
+
+
+@register("a15_error_report", O.with_tok(_ERR_SQL, """
+r_ AS (SELECT morph, source, gold, prediction, CAST(count(*) AS BIGINT) AS n FROM e1_
+       WHERE gold <> prediction GROUP BY ALL)""") + """
+SELECT r_.*, CAST(sum(n) OVER (PARTITION BY morph) AS BIGINT) AS morph_errors FROM r_""")
+def a15_error_report(spark, sf):
+    p = _mfl_errors(spark, sf)
+    keys = ["doc_id", "sent_id", "tok_id"]
+    gold = p.select(*keys, "morph", F.col("lform").alias("lemma"), F.col("lemma").alias("word"))
+    pred = p.select(*keys, F.col("lform").alias("lemma"), F.col("plemma").alias("word"))
+    return ev.error_report(gold, pred, keys)
+
+
+@register("u3_compare_errors", O.with_tok(_ERR_SQL, """
+a_ AS (SELECT morph, source, gold, prediction FROM e1_ WHERE gold <> prediction),
+b_ AS (SELECT morph, source, gold, prediction FROM e2_ WHERE gold <> prediction),
+all_ AS (SELECT 'both' AS kind, morph FROM (SELECT DISTINCT * FROM a_ INTERSECT SELECT DISTINCT * FROM b_)
+         UNION ALL SELECT 'only_first', morph FROM a_ WHERE (morph, source, gold, prediction) NOT IN (SELECT (morph, source, gold, prediction) FROM b_)
+         UNION ALL SELECT 'only_second', morph FROM b_ WHERE (morph, source, gold, prediction) NOT IN (SELECT (morph, source, gold, prediction) FROM a_)),
+t_ AS (SELECT kind, unnest(list_concat(['ALL'], list_filter(""" + "[" + ", ".join(O.q(b) for b in ERROR_BUCKETS) + "]" + """, lambda x: instr(morph, x) > 0))) AS bucket FROM all_)""") + """
+SELECT kind, bucket, CAST(count(*) AS BIGINT) AS n FROM t_ GROUP BY ALL""")
+def u3_compare_errors(spark, sf):
+    from ..sources.corpus import strip_suffix
+    p = _mfl_errors(spark, sf)
+    cols = ["morph", "source", "gold", "prediction"]
+    a = p.filter(F.col("lemma") != F.col("plemma")).select(
+        "morph", F.col("lform").alias("source"), F.col("lemma").alias("gold"), F.col("plemma").alias("prediction"))
+    ex = V.examples(spark, sf).filter(F.col("split") == "test")
+    b = ex.select(F.col("feats").alias("morph"), F.col("word").alias("source"), F.col("lemma").alias("gold"),
+                  strip_suffix(F.col("word")).alias("prediction")).filter(F.col("gold") != F.col("prediction"))
+    return ev.compare_errors(a, b, cols, ERROR_BUCKETS)
+
+
+# ------------------------------------------------------------ extraction family
+
+from ..operators import filters as P  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+from ..operators import windows as WN  # noqa: E402
+from ..sources import tei as TEI  # noqa: E402
+from ..sources.corpus import tei_documents  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+LANGS = ["de", "en", "es", "fr"]
+
+
+def _pages_pars(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("xml"))
+    return TEI.tei_paragraphs(pages, LANGS, key="page_id")
+
+
+def _tei_tokens(spark, sf):
+    docs = V.documents(spark, sf).select("doc_id", "lang", "text")
+    return TEI.tei_tokens(TEI.tei_paragraphs(tei_documents(docs), None))
+
+
+_LQ = ", ".join(O.q(x) for x in LANGS)
+PAGES_PARS_SQL = f"""
+pp0_ AS (SELECT page_id, nullif(regexp_extract(html, {O.q(TEI.ROOT_LANG_RE)}, 1), '') AS root,
+               regexp_extract_all(html, {O.q(TEI.PARAGRAPH_RE)}, 1) AS attrs,
+               regexp_extract_all(html, {O.q(TEI.PARAGRAPH_RE)}, 2) AS bodies FROM pages),
+pp1_ AS (SELECT page_id, root, unnest(generate_series(1, len(attrs))) AS i, unnest(attrs) AS a, unnest(bodies) AS body
+         FROM pp0_),
+pp2_ AS (SELECT page_id, i, coalesce(nullif(regexp_extract(a, '(?:^|\\s)xml:lang="([^"]*)"', 1), ''), root) AS lang,
+                nullif(regexp_extract(a, '(?:^|\\s)n="([^"]*)"', 1), '') AS n, body FROM pp1_),
+pars AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) AS BIGINT) AS par_id, lang, n, body
+         FROM pp2_ WHERE lang IN ({_LQ}))"""
+
+
+def _unescape_sql(x: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {O.q(ent)}, {O.q(ch)})"
+    return x
+
+
+RAW_LINES_SQL = PAGES_PARS_SQL + f""",
+raw AS (SELECT page_id, par_id, {_unescape_sql("regexp_replace(body, '<[^>]*>', '', 'g')")} AS line FROM pars)"""
+
+
+@register("s2_tei_paragraphs", "WITH " + PAGES_PARS_SQL.strip() + "\nSELECT * FROM pars")
+def s2_tei_paragraphs(spark, sf):
+    return _pages_pars(spark, sf)
+
+
+@register("s5_raw_lines", "WITH " + RAW_LINES_SQL.strip() + "\nSELECT * FROM raw")
+def s5_raw_lines(spark, sf):
+    return TEI.raw_lines(_pages_pars(spark, sf), key="page_id")
+
+
+@register("a2_line_stats", "WITH " + RAW_LINES_SQL.strip() + f""",
+lw_ AS (SELECT unnest(string_split(lower(translate(line, {O.q(ST.LINE_PUNCT)}, '')), ' ')) AS word FROM raw),
+lwf_ AS (SELECT word FROM lw_ WHERE word NOT IN ({", ".join(O.q(x) for x in ST.NOT_WORDS)}))
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM raw) AS lines, CAST(count(*) AS BIGINT) AS word_tokens,
+       CAST(count(DISTINCT word) AS BIGINT) AS word_types FROM lwf_""")
+def a2_line_stats(spark, sf):
+    return ST.line_stats(TEI.raw_lines(_pages_pars(spark, sf), key="page_id"))
+
+
+_WORD_LANG_SQL = "CASE WHEN xpostag = 'PUNCT' THEN NULL WHEN xpostag = 'NUM' THEN 'zxx' ELSE lang END"
+
+
+@register("s3_tei_tokens", O.with_tok() + f"""
+SELECT doc_id, sent_id AS par_id, tok_id, form, lemma, xpostag, {_WORD_LANG_SQL} AS word_lang FROM tok""")
+def s3_tei_tokens(spark, sf):
+    return _tei_tokens(spark, sf).select("doc_id", "par_id", "tok_id", "form", "lemma", "xpostag", "word_lang")
+
+
+_STRIPPED = "(xpostag = 'N' AND length(lemma) < length(form))"
+_SUF = "substr(form, length(lemma) + 1)"
+_MORPH_ROWS_SQL = f"""
+mr_ AS (
+  SELECT doc_id, sent_id AS par_id, tok_id, 1 AS m_id,
+         CASE WHEN {_STRIPPED} THEN substr(form, 1, length(lemma)) ELSE form END AS text,
+         CASE WHEN xpostag = 'NUM' THEN NULL ELSE lemma END AS base_form,
+         CASE WHEN xpostag = 'NUM' THEN NULL ELSE 'root' END AS type, lemma, xpostag
+  FROM w
+  UNION ALL
+  SELECT doc_id, sent_id, tok_id, 2, {_SUF}, lower({_SUF}), {O.suffix_type_sql('lower(form)', 'lemma')}, lemma, xpostag
+  FROM w WHERE {_STRIPPED})"""
+
+
+@register("s4_tei_morphemes", O.with_tok(_MORPH_ROWS_SQL.strip()) + """
+SELECT doc_id, par_id, tok_id, CAST(m_id AS BIGINT) AS m_id, text, base_form, type FROM mr_""")
+def s4_tei_morphemes(spark, sf):
+    return TEI.tei_morphemes(_tei_tokens(spark, sf)).select(
+        "doc_id", "par_id", "tok_id", "m_id", "text", "base_form", "type")
+
+
+_MISC_SQL = f"""
+cf_ AS (SELECT doc_id, sent_id AS par_id, tok_id, form, lemma, xpostag,
+   CASE WHEN xpostag = 'PUNCT' THEN '_' WHEN {_STRIPPED} THEN coalesce({O.suffix_type_sql('lower(form)', 'lemma')}, '_') ELSE '_' END AS feats,
+   CASE WHEN xpostag = 'PUNCT' THEN '_'
+        ELSE 'origText=' || form || ',baseForms=' ||
+             CASE WHEN xpostag = 'NUM' THEN 'None' WHEN {_STRIPPED} THEN lemma || '|' || lower({_SUF}) ELSE lemma END ||
+             CASE WHEN xpostag = 'NUM' THEN ',wordLang=zxx' ELSE '' END END AS misc
+   FROM tok)"""
+
+
+def _conllu_rows(spark, sf):
+    return TEI.conllu_fields(_tei_tokens(spark, sf))
+
+
+@register("s4_conllu_fields", O.with_tok(_MISC_SQL.strip()) + "SELECT doc_id, par_id, tok_id, feats, misc FROM cf_")
+def s4_conllu_fields(spark, sf):
+    return _conllu_rows(spark, sf).select("doc_id", "par_id", "tok_id", "feats", "misc")
+
+
+@register("a1_word_stats", O.with_tok(_MORPH_ROWS_SQL.strip(), """
+ws_ AS (SELECT lang, CAST(count(*) AS BIGINT) AS tokens, CAST(count(DISTINCT lower(form)) AS BIGINT) AS wt,
+               CAST(count(DISTINCT lemma) AS BIGINT) AS lemmas,
+               CAST(sum(CASE WHEN xpostag = 'N' AND length(lemma) < length(form) THEN 2 ELSE 1 END) AS BIGINT) AS mtok
+        FROM w GROUP BY lang),
+mt_ AS (SELECT w.lang, CAST(count(DISTINCT lower(mr_.text)) AS BIGINT) AS mtypes
+        FROM mr_ JOIN w USING (doc_id, tok_id) WHERE mr_.par_id = w.sent_id GROUP BY w.lang)""") + """
+SELECT ws_.lang, tokens, tokens AS reconstructed_word_tokens, wt AS reconstructed_word_types, lemmas,
+       mtok AS morpheme_tokens, mtypes AS morpheme_types, round(mtok / tokens, 6) AS morpheme_word_ratio
+FROM ws_ JOIN mt_ USING (lang)""")
+def a1_word_stats(spark, sf):
+    return ST.word_stats(_tei_tokens(spark, sf), by=("lang",))
+
+
+@register("p5_parse_misc", O.with_tok(_MISC_SQL.strip()) + """
+SELECT doc_id, par_id, tok_id, form AS orig_text,
+       CASE WHEN xpostag = 'NUM' THEN 'None' WHEN length(lemma) < length(form) AND xpostag = 'N' THEN lemma || '|' || lower(substr(form, length(lemma) + 1)) ELSE lemma END AS base_forms,
+       CAST(CASE WHEN xpostag = 'N' AND length(lemma) < length(form) THEN 2 ELSE 1 END AS BIGINT) AS n_base_forms,
+       CASE WHEN xpostag = 'NUM' THEN 'zxx' END AS word_lang
+FROM cf_ WHERE misc <> '_'""")
+def p5_parse_misc(spark, sf):
+    c = _conllu_rows(spark, sf).filter(F.col("misc") != "_")
+    pm = P.parse_misc(F.col("misc"), F.col("form"))
+    return c.select("doc_id", "par_id", "tok_id", pm["orig_text"].alias("orig_text"),
+                    F.array_join(pm["base_forms"], "|").alias("base_forms"),
+                    F.size(pm["base_forms"]).cast("bigint").alias("n_base_forms"),
+                    pm["word_lang"].alias("word_lang"))
+
+
+_SEG_SQL = """
+sl_ AS (SELECT doc_id, par_id, tok_id, lower(form) AS form_l, 'pos=' || xpostag AS pos, lower(lemma) AS lemma_l,
+               lower(CASE WHEN xpostag = 'NUM' THEN 'None' WHEN xpostag = 'N' AND length(lemma) < length(form)
+                          THEN lemma || '|' || lower(substr(form, length(lemma) + 1)) ELSE lemma END) AS bf
+        FROM cf_ WHERE xpostag NOT IN ('PUNCT', '_') AND form IS NOT NULL AND length(form) > 0)"""
+
+
+@register("p6_seg", O.with_tok(_MISC_SQL.strip(), _SEG_SQL.strip())
+          + "SELECT doc_id, par_id, tok_id, form_l AS source, pos, bf AS target FROM sl_")
+def p6_seg(spark, sf):
+    return P.seg_lem(_conllu_rows(spark, sf), keys=("doc_id", "par_id", "tok_id"))[0]
+
+
+@register("p6_lem", O.with_tok(_MISC_SQL.strip(), _SEG_SQL.strip())
+          + "SELECT doc_id, par_id, tok_id, bf AS source, pos, lemma_l AS target FROM sl_")
+def p6_lem(spark, sf):
+    return P.seg_lem(_conllu_rows(spark, sf), keys=("doc_id", "par_id", "tok_id"))[1]
+
+
+@register("j4_noisy_merge", O.with_tok(_MISC_SQL.strip(), _SEG_SQL.strip()) + f"""
+SELECT doc_id, par_id, tok_id,
+       substr(CASE WHEN length(regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1')) < length(form_l)
+                   THEN regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1') || '|' || substr(form_l, length(regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1')) + 1)
+                   ELSE form_l END, 1, 45) AS base_forms,
+       pos, lemma_l AS target FROM sl_""")
+def j4_noisy_merge(spark, sf):
+    from ..sources.corpus import strip_suffix
+    keys = ["doc_id", "par_id", "tok_id"]
+    seg, lem = P.seg_lem(_conllu_rows(spark, sf), keys=keys)
+    stem = strip_suffix(F.col("source"))
+    pseg = F.when(F.length(stem) < F.length("source"),
+                  F.concat(stem, F.lit("|"), F.substring(F.col("source"), F.length(stem) + 1, 1 << 30))
+                  ).otherwise(F.col("source"))
+    pred = seg.select(*keys, pseg.alias("pseg"))
+    lem = lem.select(*keys, F.col("source").alias("base_forms"), "pos", "target")
+    return jn.noisy_merge(pred, lem, keys)
+
+
+@register("w1_number_tokens", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY sent_id, tok_id) AS BIGINT) AS running_id
+FROM tok""")
+def w1_number_tokens(spark, sf):
+    return WN.number_tokens(V.tok(spark, sf).select("doc_id", "sent_id", "tok_id"))
+
+
+@register("w2_split_sentences", O.with_tok("""
+is_ AS (SELECT doc_id, sent_id, tok_id, form, CAST(coalesce(sum(CASE WHEN form = '.' AND xpostag = 'PUNCT' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id, sent_id ORDER BY tok_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS BIGINT) AS sent_in_par
+        FROM tok)""") + """
+SELECT doc_id, sent_id, tok_id, form, sent_in_par,
+       CAST(row_number() OVER (PARTITION BY doc_id, sent_id, sent_in_par ORDER BY tok_id) AS BIGINT) AS tok_in_sent FROM is_""")
+def w2_split_sentences(spark, sf):
+    return WN.split_sentences(V.tok(spark, sf).select("doc_id", "sent_id", "tok_id", "form", "xpostag")).drop("xpostag")
+
+
+@register("s6_read_cell_xml", O.with_tok(_MISC_SQL.strip()) + """,
+c_ AS (SELECT doc_id, par_id, tok_id, form, lemma, xpostag, feats, misc,
+              CAST(row_number() OVER (PARTITION BY doc_id ORDER BY par_id, tok_id) AS BIGINT) AS line_id
+       FROM cf_ WHERE xpostag <> 'PUNCT')
+SELECT doc_id AS text_name, line_id, form, lemma, xpostag, feats,
+       regexp_extract(misc, 'baseForms=([^,]*)', 1) AS base_forms
+FROM c_ WHERE xpostag <> 'NUM'""")
+def s6_read_cell_xml(spark, sf):
+    t = _tei_tokens(spark, sf).filter(F.col("item").isNotNull())
+    cells = t.select(F.col("doc_id").alias("text_name"), "par_id", "tok_id", "lang", F.col("item").alias("xml"))
+    out = TEI.read_cell_xml(cells, F.col("lang"), order=("par_id", "tok_id"), chunk=F.col("par_id"))
+    return out.select("text_name", "line_id", "form", "lemma", "xpostag", "feats", "base_forms")

@@ -117,3 +117,8 @@ mflr_ AS (SELECT c.lform, c.lemma, c.n,
                  sum(c.n) OVER (PARTITION BY c.lform) AS nf
           FROM mflc_ c JOIN mflf_ f ON f.lform = c.lform AND f.lemma = c.lemma AND f.rn = 1),
 model AS (SELECT lform, lemma AS mfl_lemma, CAST(nf AS BIGINT) AS n_form FROM mflr_ WHERE r = 1)"""
+
+PRED_CTE = f"""
+pred AS (SELECT doc_id, sent_id, tok_id, split, form,
+                CASE WHEN xpostag = 'PUNCT' THEN form ELSE regexp_replace(lower(form), {q(SUFFIX_PATTERN)}, '\\1') END AS plemma,
+                xpostag AS ppos FROM tok)"""

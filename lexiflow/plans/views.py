@@ -41,3 +41,15 @@ def examples(spark: SparkSession, sf: str) -> DataFrame:
                         F.concat(F.lit("sfx="), suffix_type(F.col("lform"), F.col("lemma"))))
     return w.select("doc_id", "sent_id", "tok_id", "split", "lemma", feats.alias("feats"),
                     F.col("lform").alias("word"), "xpostag")
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """A prediction table in the 8-column layout (keys kept): the suffix-strip
+    predictor, i.e. the noun rule applied to every word (punctuation copied)."""
+    from ..sources.corpus import strip_suffix
+    t = tok(spark, sf)
+    plemma = F.when(F.col("xpostag") == "PUNCT", F.col("form")).otherwise(strip_suffix(F.lower("form")))
+    return t.select("doc_id", "sent_id", "tok_id", "split", "form",
+                    F.lit(None).cast("string").alias("lemma"), plemma.alias("plemma"),
+                    F.lit(None).cast("string").alias("pos"), F.col("xpostag").alias("ppos"),
+                    F.lit(None).cast("string").alias("feats"), F.lit(None).cast("string").alias("pfeats"))
