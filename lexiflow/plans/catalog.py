@@ -452,3 +452,97 @@ def s6_read_cell_xml(spark, sf):
     cells = t.select(F.col("doc_id").alias("text_name"), "par_id", "tok_id", "lang", F.col("item").alias("xml"))
     out = TEI.read_cell_xml(cells, F.col("lang"), order=("par_id", "tok_id"), chunk=F.col("par_id"))
     return out.select("text_name", "line_id", "form", "lemma", "xpostag", "feats", "base_forms")
+
+
+# ------------------------------------------------------- spelling and formats
+
+from ..functions import rules as R  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+
+
+def orthography_of_source(source):
+    """Driver documents carry no text ids; each source is given one of the six
+    rule sets by its number."""
+    num = F.coalesce(F.regexp_extract(source, r"([0-9]+)", 1).try_cast("int"), F.lit(0))
+    return F.element_at(F.array(*[F.lit(o) for o in R.ORTHOGRAPHIES]), F.pmod(num, F.lit(6)) + 1)
+
+
+_ORTH_SQL = ("list_extract([" + ", ".join(O.q(o) for o in R.ORTHOGRAPHIES) + "], "
+             "(coalesce(TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER), 0) % 6) + 1)")
+
+
+def _map_sql(m: dict) -> str:
+    return "MAP {" + ", ".join(f"{O.q(k)}: {O.q(m[k])}" for k in sorted(m)) + "}"
+
+
+def _normalise_sql() -> str:
+    parts = []
+    for o in R.ORTHOGRAPHIES:
+        first, full = R.rewrite_maps(o)
+        m1, m2 = _map_sql(first), _map_sql(full)
+        p1, p2 = O.q(R.alternation(first.keys())), O.q(R.alternation(full.keys()))
+        parts.append(f"""
+SELECT orthography, form, CASE WHEN len(list_filter(pc1, lambda x: NOT map_contains({m1}, x))) = 0
+                                AND len(list_filter(pc2, lambda x: NOT map_contains({m2}, x))) = 0
+                               THEN array_to_string(list_transform(pc2, lambda x: {m2}[x]), '') ELSE form END AS normalised
+FROM (SELECT *, regexp_extract_all(o1, {p2}) AS pc2 FROM
+       (SELECT *, array_to_string(list_transform(pc1, lambda x: coalesce({m1}[x], '')), '') AS o1 FROM
+         (SELECT orthography, form, regexp_extract_all(form, {p1}) AS pc1 FROM d_ WHERE orthography = {O.q(o)})))""")
+    return O.with_tok(f"d_ AS (SELECT DISTINCT {_ORTH_SQL} AS orthography, form FROM w)") + "\nUNION ALL\n".join(parts)
+
+
+@register("t1_normalise", _normalise_sql())
+def t1_normalise(spark, sf):
+    w = V.wtok(spark, sf)
+    d = w.select(orthography_of_source(F.col("source")).alias("orthography"), "form").distinct()
+    return d.select("orthography", "form", TX.normalise(F.col("form"), F.col("orthography")).alias("normalised"))
+
+
+@register("t2_preclean", O.with_tok() + f"""
+SELECT form, translate(lower(translate({"".join("replace(" for _ in TX.PRECLEAN_MULTI)}form{"".join(f", {O.q(a)}, {O.q(b)})" for a, b in TX.PRECLEAN_MULTI)},
+       {O.q(TX.PRECLEAN_FROM)}, {O.q(TX.PRECLEAN_TO)})), {O.q(TX.PRECLEAN_FROM)}, {O.q(TX.PRECLEAN_TO)}) AS cleaned
+FROM (SELECT DISTINCT form FROM w)""")
+def t2_preclean(spark, sf):
+    d = V.wtok(spark, sf).select("form").distinct()
+    return d.select("form", TX.preclean(F.col("form")).alias("cleaned"))
+
+
+def _chars_sql(x: str) -> str:
+    return f"array_to_string({O.chars_sql(x)}, ' ')"
+
+
+@register("t3_to_chars", O.with_tok() + f"""
+SELECT doc_id, sent_id, tok_id, '<w> ' || {_chars_sql("replace(lform, ' ', '_')")} || ' <\\w>' AS char_line FROM w""")
+def t3_to_chars(spark, sf):
+    w = V.wtok(spark, sf)
+    return w.select("doc_id", "sent_id", "tok_id",
+                    TX.to_chars(F.replace(F.col("lform"), F.lit(" "), F.lit(TX.SPACE_MARK))).alias("char_line"))
+
+
+@register("t4_from_chars", O.with_tok("""
+ch_ AS (SELECT doc_id, sent_id, tok_id, lform, lemma, xpostag,
+               '<w> ' || """ + _chars_sql("lform") + """ || ' <\\w>' AS cf,
+               '<w> ' || """ + _chars_sql("lemma") + """ || ' <\\w>' AS cl FROM w)""") + """
+SELECT doc_id, sent_id, tok_id, xpostag AS pos,
+       replace(array_to_string(list_slice(string_split(cf, ' '), 2, len(string_split(cf, ' ')) - 1), ''), '_', ' ') AS form,
+       replace(array_to_string(list_slice(string_split(cl, ' '), 2, len(string_split(cl, ' ')) - 1), ''), '_', ' ') AS lemma,
+       lform = replace(array_to_string(list_slice(string_split(cf, ' '), 2, len(string_split(cf, ' ')) - 1), ''), '_', ' ') AS round_trip
+FROM ch_""")
+def t4_from_chars(spark, sf):
+    w = V.wtok(spark, sf)
+    c = w.select("doc_id", "sent_id", "tok_id", "lform", "xpostag",
+                 TX.to_chars(F.col("lform")).alias("cf"), TX.to_chars(F.col("lemma")).alias("cl"))
+    return c.select("doc_id", "sent_id", "tok_id", F.col("xpostag").alias("pos"),
+                    TX.from_chars(F.col("cf")).alias("form"), TX.from_chars(F.col("cl")).alias("lemma"),
+                    (F.col("lform") == TX.from_chars(F.col("cf"))).alias("round_trip"))
+
+
+@register("s14_to_parallel", O.with_tok() + """
+SELECT doc_id, sent_id,
+       coalesce(string_agg(replace(lower(form), ' ', '_'), ' ' ORDER BY tok_id) FILTER (WHERE xpostag <> 'PUNCT'), '') AS src,
+       coalesce(string_agg(lower(lemma), ' ' ORDER BY tok_id) FILTER (WHERE xpostag <> 'PUNCT'), '') AS tgt,
+       coalesce(string_agg(xpostag, ' ' ORDER BY tok_id) FILTER (WHERE xpostag <> 'PUNCT'), '') AS pos
+FROM tok GROUP BY doc_id, sent_id""")
+def s14_to_parallel(spark, sf):
+    from ..sources.formats import to_parallel
+    return to_parallel(V.tok(spark, sf))
