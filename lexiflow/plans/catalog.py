@@ -546,3 +546,163 @@ FROM tok GROUP BY doc_id, sent_id""")
 def s14_to_parallel(spark, sf):
     from ..sources.formats import to_parallel
     return to_parallel(V.tok(spark, sf))
+
+
+# ------------------------------------------------------------ feature bundles
+
+from ..operators import features as FT  # noqa: E402
+from ..operators import sampling as SM  # noqa: E402
+from ..operators import setops as SO  # noqa: E402
+
+
+def _fval_sql(feats: str, k: str) -> str:
+    return f"nullif(regexp_extract(',' || {feats} || ',', ',' || {k} || '=([^,]*),', 1), '')"
+
+
+KEYS_CTE = """
+keys_ AS (SELECT list_sort(list(DISTINCT k)) AS keys
+          FROM (SELECT unnest(list_transform(string_split(feats, ','), lambda kv: split_part(kv, '=', 1))) AS k FROM ex))"""
+
+
+def _morph_sql(feats: str) -> str:
+    return (f"array_to_string(list_transform(keys, lambda k: k || '=' || coalesce({_fval_sql(feats, 'k')}, '%')), ':')")
+
+
+@register("t6_parse_feats", O.with_tok() + f"""
+SELECT feats, CAST(len(string_split(feats, ',')) AS BIGINT) AS n_keys, {_fval_sql('feats', "'pos'")} AS pos,
+       {_fval_sql('feats', "'lang'")} AS lang, {_fval_sql('feats', "'sfx'")} AS sfx
+FROM (SELECT DISTINCT feats FROM ex)""")
+def t6_parse_feats(spark, sf):
+    d = V.examples(spark, sf).select("feats").distinct()
+    m = TX.parse_feats(F.col("feats"))
+    return d.select("feats", F.size(m).cast("bigint").alias("n_keys"),
+                    *[F.try_element_at(m, F.lit(k)).alias(k) for k in ("pos", "lang", "sfx")])
+
+
+@register("t7_morph_string", O.with_tok(KEYS_CTE.strip()) + f"""
+SELECT feats, {_morph_sql('feats')} AS morph FROM (SELECT DISTINCT feats FROM ex), keys_""")
+def t7_morph_string(spark, sf):
+    ex = V.examples(spark, sf)
+    return FT.with_morph(ex.select("feats").distinct(), FT.feature_types(ex))
+
+
+@register("t8_sort_feats", O.with_tok() + """
+SELECT feats, array_to_string(list_sort(string_split(feats, ',')), ',') AS sorted_feats FROM (SELECT DISTINCT feats FROM ex)""")
+def t8_sort_feats(spark, sf):
+    d = V.examples(spark, sf).select("feats").distinct()
+    return d.select("feats", TX.sort_feats(F.col("feats")).alias("sorted_feats"))
+
+
+_SP = lambda x: f"array_to_string({O.chars_sql(x)}, ' ')"
+
+
+@register("t9_morphtrans", O.with_tok(KEYS_CTE.strip(), f"""
+mt_ AS (SELECT lemma, feats, word, '<s> ' || {_SP('lemma')} || ' </s>|<s> ' || {_SP('word')} || ' </s>|' || {_morph_sql('feats')} AS line
+        FROM (SELECT DISTINCT lemma, feats, word FROM ex), keys_)""") + """
+SELECT lemma, feats, word, line,
+       trim(replace(replace(replace(string_split(line, '|')[1], '<s>', ''), '</s>', ''), ' ', '')) AS back_lemma,
+       trim(replace(replace(replace(string_split(line, '|')[2], '<s>', ''), '</s>', ''), ' ', '')) AS back_word,
+       array_to_string(list_sort(list_filter(string_split(replace(trim(string_split(line, '|')[3]), ':', ','), ','),
+                                             lambda f: NOT contains(f, '%'))), ',') AS back_feats
+FROM mt_""")
+def t9_morphtrans(spark, sf):
+    ex = V.examples(spark, sf)
+    d = FT.with_morph(ex.select("lemma", "feats", "word").distinct(), FT.feature_types(ex))
+    line = TX.to_morphtrans(F.col("lemma"), F.col("word"), F.col("morph"))
+    b = TX.from_morphtrans(line)
+    return d.select("lemma", "feats", "word", line.alias("line"), b["lemma"].alias("back_lemma"),
+                    b["prediction"].alias("back_word"), b["feats"].alias("back_feats"))
+
+
+@register("t10_med", O.with_tok() + f"""
+SELECT lemma, feats, word,
+       array_to_string(list_concat(list_sort(string_split(feats, ',')), {O.chars_sql('lemma')}), ' ') AS source,
+       {_SP('word')} AS target, word AS back
+FROM (SELECT DISTINCT lemma, feats, word FROM ex)""")
+def t10_med(spark, sf):
+    d = V.examples(spark, sf).select("lemma", "feats", "word").distinct()
+    m = TX.to_med(F.col("lemma"), TX.parse_feats(F.col("feats")), F.col("word"))
+    return d.select("lemma", "feats", "word", m["source"].alias("source"), m["target"].alias("target"),
+                    TX.from_med(F.concat(m["target"], F.lit(" " + TX.MED_END))).alias("back"))
+
+
+VOCAB_CTE = """
+sy_ AS (SELECT unnest(""" + O.chars_sql("lemma") + """) AS symbol FROM ex
+        UNION SELECT unnest(""" + O.chars_sql("word") + """) FROM ex
+        UNION SELECT unnest(string_split(feats, ',')) FROM ex
+        UNION SELECT split_part(unnest(string_split(feats, ',')), '=', 1) || '=NULL' FROM ex),
+vocab AS (SELECT symbol, CAST(row_number() OVER (ORDER BY symbol) AS BIGINT) AS idx FROM (SELECT DISTINCT symbol FROM sy_))"""
+
+
+@register("a16_vocab", O.with_tok(VOCAB_CTE.strip()) + "SELECT symbol, idx FROM vocab")
+def a16_vocab(spark, sf):
+    return FT.build_vocab(V.examples(spark, sf))
+
+
+@register("t11_encode", O.with_tok(VOCAB_CTE.strip(), KEYS_CTE.strip(), """
+d_ AS (SELECT DISTINCT word, feats FROM ex),
+vm_ AS (SELECT map_from_entries(list({'key': symbol, 'value': idx})) AS vm FROM vocab)""") + f"""
+SELECT word, feats,
+  array_to_string(list_transform({O.chars_sql('word')}, lambda c: vm[c]), ' ') AS word_idx,
+  array_to_string(list_transform(keys, lambda k: vm[k || '=' || coalesce({_fval_sql('feats', 'k')}, 'NULL')]), ' ') AS feat_idx
+FROM d_, keys_, vm_""")
+def t11_encode(spark, sf):
+    ex = V.examples(spark, sf)
+    vocab = FT.build_vocab(ex)
+    e = FT.encode(ex.select("word", "feats").distinct(), vocab, "word", keys=FT.feature_types(ex))
+    return e.select("word", "feats", F.array_join("word_idx", " ").alias("word_idx"),
+                    F.array_join("feat_idx", " ").alias("feat_idx"))
+
+
+@register("a9_count_values", O.with_tok() + "SELECT feats AS value, CAST(count(*) AS BIGINT) AS n FROM ex GROUP BY feats")
+def a9_count_values(spark, sf):
+    return ST.count_values(V.examples(spark, sf), "feats")
+
+
+@register("a10_cluster_sizes", O.with_tok() + f"""
+SELECT CASE WHEN grouping(c) = 1 THEN 'ALL' ELSE c END AS cluster, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT 'pos=' || coalesce({_fval_sql('feats', "'pos'")}, '%') AS c FROM ex) GROUP BY ROLLUP (c)""")
+def a10_cluster_sizes(spark, sf):
+    return FT.cluster_sizes(V.examples(spark, sf))
+
+
+@register("a11_morph_type_stats", O.with_tok(KEYS_CTE.strip(), f"""
+m_ AS (SELECT {_morph_sql('feats')} AS morph FROM ex, keys_),
+p_ AS (SELECT morph, count(*) AS n FROM m_ GROUP BY morph)""") + """
+SELECT CAST(count(*) AS BIGINT) AS morph_types, CAST(sum(n) AS BIGINT) AS examples, round(avg(n), 6) AS examples_per_type,
+       (SELECT CAST(len(keys) AS BIGINT) FROM keys_) AS feature_types FROM p_""")
+def a11_morph_type_stats(spark, sf):
+    return FT.morph_type_stats(V.examples(spark, sf))
+
+
+@register("a12_change_profile", O.with_tok(f"""
+d_ AS (SELECT 'pos=' || xpostag AS cluster, word AS xi, lemma AS xo, count(*) AS n FROM ex GROUP BY ALL),
+f_ AS (SELECT cluster, n, xi = xo AS same,
+              xi <> xo AND contains(xo, xi) AS inside,
+              replace(xo, xi, '') AS r,
+              CASE WHEN xi = xo THEN 0 ELSE len(list_filter({O.chars_sql('xi')}, lambda c: NOT contains(xo, c))) END AS dels,
+              CASE WHEN xi = xo THEN 0 ELSE {O.lev_sql('xi', 'xo')} END AS dist, xi, xo FROM d_),
+g_ AS (SELECT cluster, n, same, inside AND r || xi = xo AS pre, inside AND xi || r = xo AS suf,
+              inside AND r || xi <> xo AND xi || r <> xo AS circ, NOT same AND NOT inside AS oth, dels, dist FROM f_)""") + """
+SELECT CASE WHEN grouping(cluster) = 1 THEN 'AGG' ELSE cluster END AS cluster, CAST(sum(n) AS BIGINT) AS n,
+       CAST(sum(CASE WHEN pre THEN n ELSE 0 END) AS BIGINT) AS prefix, CAST(sum(CASE WHEN suf THEN n ELSE 0 END) AS BIGINT) AS suffix,
+       CAST(sum(CASE WHEN same THEN n ELSE 0 END) AS BIGINT) AS same, CAST(sum(CASE WHEN circ THEN n ELSE 0 END) AS BIGINT) AS circumfix,
+       CAST(sum(CASE WHEN oth THEN n ELSE 0 END) AS BIGINT) AS other,
+       round(sum(dist * n) / sum(n), 6) AS mean_distance, round(sum(dels * n) / sum(n), 6) AS mean_deleted
+FROM g_ GROUP BY ROLLUP (cluster)""")
+def a12_change_profile(spark, sf):
+    ex = V.examples(spark, sf).withColumn("cluster", F.concat(F.lit("pos="), F.col("xpostag")))
+    return FT.change_profile(ex, "word", "lemma", "cluster")
+
+
+PROFILE_TAGS = ("pos=N", "pos=NP")
+
+
+@register("a18_profile", O.with_tok(KEYS_CTE.strip(), f"""
+m_ AS (SELECT {_morph_sql('feats')} AS morph FROM ex, keys_)""") + """
+SELECT CAST(count(*) AS BIGINT) AS examples, CAST(count(DISTINCT morph) AS BIGINT) AS morph_types,
+       CAST(count(DISTINCT CASE WHEN contains(morph, 'pos=N') THEN morph END) AS BIGINT) AS types_pos_n,
+       CAST(count(DISTINCT CASE WHEN contains(morph, 'pos=NP') THEN morph END) AS BIGINT) AS types_pos_np
+FROM m_""")
+def a18_profile(spark, sf):
+    return FT.profile(V.examples(spark, sf), PROFILE_TAGS)
