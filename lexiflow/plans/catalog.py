@@ -706,3 +706,139 @@ SELECT CAST(count(*) AS BIGINT) AS examples, CAST(count(DISTINCT morph) AS BIGIN
 FROM m_""")
 def a18_profile(spark, sf):
     return FT.profile(V.examples(spark, sf), PROFILE_TAGS)
+
+
+# --------------------------------------------------- sets, samples, lookups
+
+@register("u1_merge_splits", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, split, lemma, feats, word FROM ex WHERE split IN ('train', 'valid')""")
+def u1_merge_splits(spark, sf):
+    ex = V.examples(spark, sf).select("doc_id", "sent_id", "tok_id", "split", "lemma", "feats", "word")
+    return SO.merge_splits(ex.filter(F.col("split") == "train"), ex.filter(F.col("split") == "valid"))
+
+
+@register("u2_mirror", O.with_tok("""
+t2_ AS (SELECT DISTINCT 'form=lemma' AS source_feats, lemma AS source, feats AS target_feats, word AS target FROM ex)""") + """
+SELECT source_feats, source, target_feats, target, false AS mirrored FROM t2_
+UNION ALL SELECT target_feats, target, source_feats, source, true FROM t2_""")
+def u2_mirror(spark, sf):
+    ex = V.examples(spark, sf)
+    t2 = ex.select(F.lit("form=lemma").alias("source_feats"), F.col("lemma").alias("source"),
+                   F.col("feats").alias("target_feats"), F.col("word").alias("target")).distinct()
+    return SO.mirror(t2, [("source", "target"), ("source_feats", "target_feats")])
+
+
+SPLIT_SEED = 5
+
+
+@register("w3_split_exact", O.with_tok("""
+k_ AS (SELECT DISTINCT doc_id, sent_id FROM tok),
+r_ AS (SELECT doc_id, sent_id, CAST(row_number() OVER (ORDER BY md5('""" + str(SPLIT_SEED) + """:' || doc_id || '_' || sent_id),
+                                       CAST(doc_id AS VARCHAR) || '_' || CAST(sent_id AS VARCHAR)) AS BIGINT) AS rank,
+              count(*) OVER () AS n FROM k_)""") + """
+SELECT doc_id, sent_id, rank,
+       CASE WHEN rank <= round_even(n * 0.1, 0) THEN 'test'
+            WHEN rank <= round_even(n * 0.1, 0) + round_even(n * 0.1, 0) THEN 'valid' ELSE 'train' END AS split
+FROM r_""")
+def w3_split_exact(spark, sf):
+    return SM.split_exact(V.tok(spark, sf), ["doc_id", "sent_id"], 0.1, 0.1, SPLIT_SEED)
+
+
+SAMPLE_SIZES = (500, 1000, 2000, 5000, 12000)
+
+
+@register("w4_nested_samples", O.with_tok("""
+r_ AS (SELECT doc_id, sent_id, tok_id, row_number() OVER (ORDER BY md5('""" + str(SPLIT_SEED) + """:' || doc_id || '_' || sent_id || '_' || tok_id),
+                                       doc_id || '_' || sent_id || '_' || tok_id) AS rank FROM ex)""") + """
+SELECT doc_id, sent_id, tok_id, CAST(rank AS BIGINT) AS rank, CAST(s AS INTEGER) AS sample_size
+FROM r_, (SELECT unnest([""" + ", ".join(map(str, SAMPLE_SIZES)) + """]) AS s) sz WHERE rank <= s""")
+def w4_nested_samples(spark, sf):
+    ex = V.examples(spark, sf).select("doc_id", "sent_id", "tok_id")
+    key = F.concat_ws("_", "doc_id", "sent_id", "tok_id")
+    return SM.nested_samples(ex, key, SAMPLE_SIZES, SPLIT_SEED)
+
+
+QUOTAS = {"N": (2500, 500, 500), "P": (2500, 500, 500), "NP": (750, 150, 150), "NUM": (100, 20, 20)}
+
+
+@register("w5_split_stratified", O.with_tok("""
+q_ AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', {a}, {b}, {c})" for k, (a, b, c) in QUOTAS.items()) + """) AS t(xpostag, qa, qb, qc)),
+r_ AS (SELECT doc_id, sent_id, tok_id, xpostag,
+              row_number() OVER (PARTITION BY xpostag ORDER BY md5('""" + str(SPLIT_SEED) + """:' || doc_id || '_' || sent_id || '_' || tok_id),
+                                 doc_id || '_' || sent_id || '_' || tok_id) AS rank FROM ex)""") + """
+SELECT doc_id, sent_id, tok_id, xpostag, CAST(rank AS INTEGER) AS rank,
+       CASE WHEN rank <= qa THEN 'train' WHEN rank <= qa + qb THEN 'dev' ELSE 'test' END AS role
+FROM r_ JOIN q_ USING (xpostag) WHERE rank <= qa + qb + qc""")
+def w5_split_stratified(spark, sf):
+    ex = V.examples(spark, sf).select("doc_id", "sent_id", "tok_id", "xpostag")
+    key = F.concat_ws("_", "doc_id", "sent_id", "tok_id")
+    return SM.split_stratified(ex, "xpostag", key, QUOTAS, SPLIT_SEED)
+
+
+@register("w6_head_per_group", """
+SELECT label, vec_id, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings) WHERE rn <= 20""")
+def w6_head_per_group(spark, sf):
+    e = table(spark, sf, "embeddings").select("label", "vec_id")
+    return SM.head_per_group(e, "label", ["vec_id"], 20)
+
+
+@register("w7_top_k", O.with_tok() + """
+SELECT lform, lemma, n, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT lform, lemma, n, row_number() OVER (PARTITION BY lform ORDER BY n DESC, lemma) AS rank
+  FROM (SELECT lform, lemma, CAST(count(*) AS BIGINT) AS n FROM w WHERE split = 'train' GROUP BY ALL)) WHERE rank <= 3""")
+def w7_top_k(spark, sf):
+    c = V.wtok(spark, sf).filter(F.col("split") == "train").groupBy("lform", "lemma").agg(
+        F.count(F.lit(1)).alias("n"))
+    return SM.top_k(c, ["lform"], "n", 3, tie=[F.col("lemma")])
+
+
+@register("w8_char_context", O.with_tok("""
+d_ AS (SELECT DISTINCT word FROM ex),
+c_ AS (SELECT word, """ + O.chars_sql("word") + """ AS cs FROM d_),
+e_ AS (SELECT word, cs, unnest(generate_series(1, len(cs))) AS i FROM c_)""") + """
+SELECT coalesce(cs[i - 1], '_') AS prev, cs[i] AS char, CASE WHEN i < len(cs) THEN cs[i + 1] ELSE '_' END AS next,
+       CAST(count(*) AS BIGINT) AS n
+FROM e_ GROUP BY ALL""")
+def w8_char_context(spark, sf):
+    d = V.examples(spark, sf).select("word").distinct()
+    c = WN.char_context(d, "word")
+    return c.groupBy("prev", "char", "next").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("j5_match_inflections", O.with_tok("""
+b_ AS (SELECT DISTINCT lemma AS base FROM ex WHERE split = 'test'),
+i_ AS (SELECT DISTINCT lemma AS base, feats, word AS inflected FROM ex WHERE split = 'train')""") + """
+SELECT base, feats, inflected FROM b_ JOIN i_ USING (base)""")
+def j5_match_inflections(spark, sf):
+    ex = V.examples(spark, sf)
+    base = ex.filter(F.col("split") == "test").select(F.col("lemma").alias("base")).distinct()
+    infl = ex.filter(F.col("split") == "train").select(F.col("lemma").alias("base"), "feats",
+                                                       F.col("word").alias("inflected")).distinct()
+    return jn.match_inflections(base, infl)[0].select("base", "feats", "inflected")
+
+
+@register("j5_missing_bases", O.with_tok("""
+b_ AS (SELECT DISTINCT lemma AS base FROM ex WHERE split = 'test')""") + """
+SELECT base FROM b_ WHERE base NOT IN (SELECT lemma FROM ex WHERE split = 'train')""")
+def j5_missing_bases(spark, sf):
+    ex = V.examples(spark, sf)
+    base = ex.filter(F.col("split") == "test").select(F.col("lemma").alias("base")).distinct()
+    infl = ex.filter(F.col("split") == "train").select(F.col("lemma").alias("base"), "feats",
+                                                       F.col("word").alias("inflected"))
+    return jn.match_inflections(base, infl)[1]
+
+
+@register("j6_attach_predictions", O.with_tok("""
+p_ AS (SELECT lemma, feats AS morph, word AS prediction FROM (
+         SELECT lemma, feats, word, row_number() OVER (PARTITION BY lemma, feats ORDER BY doc_id DESC, sent_id DESC, tok_id DESC) AS r
+         FROM ex WHERE split = 'train') WHERE r = 1)""") + """
+SELECT t.doc_id, t.sent_id, t.tok_id, t.lemma, t.feats AS morph, coalesce(p_.prediction, 'ERROR') AS prediction
+FROM ex t LEFT JOIN p_ ON p_.lemma = t.lemma AND p_.morph = t.feats WHERE t.split = 'test'""")
+def j6_attach_predictions(spark, sf):
+    ex = V.examples(spark, sf)
+    test = ex.filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", "lemma", F.col("feats").alias("morph"))
+    pred = ex.filter(F.col("split") == "train").select(
+        "lemma", F.col("feats").alias("morph"), F.col("word").alias("prediction"),
+        F.struct("doc_id", "sent_id", "tok_id").alias("pred_pos"))
+    return jn.attach_predictions(test, pred)
