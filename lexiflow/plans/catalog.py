@@ -842,3 +842,175 @@ def j6_attach_predictions(spark, sf):
         "lemma", F.col("feats").alias("morph"), F.col("word").alias("prediction"),
         F.struct("doc_id", "sent_id", "tok_id").alias("pred_pos"))
     return jn.attach_predictions(test, pred)
+
+
+# ------------------------------------------------------- alignment jobs (M)
+
+from ..operators import align as AL  # noqa: E402
+from ..operators import lemmatiser as LM  # noqa: E402
+from ..operators.projection import svd2  # noqa: E402
+
+
+def _pairs(spark, sf):
+    """Lemmatisation pairs: source = lower-cased form, target = lemma."""
+    return V.examples(spark, sf).select(F.col("word").alias("source"), F.col("lemma").alias("target"),
+                                        "split", "xpostag", "doc_id", "sent_id", "tok_id")
+
+
+@register("m1_align_pad", O.with_tok() + """
+SELECT source, target, rpad(source, CAST(greatest(length(source), length(target)) AS INTEGER), '~') AS aligned_source,
+       rpad(target, CAST(greatest(length(source), length(target)) AS INTEGER), '~') AS aligned_target
+FROM (SELECT DISTINCT word AS source, lemma AS target FROM ex)""")
+def m1_align_pad(spark, sf):
+    d = _pairs(spark, sf).select("source", "target").distinct()
+    a, b = AL.align_pad(F.col("source"), F.col("target"))
+    return d.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"))
+
+
+@register("m2_align_med")
+def m2_align_med(spark, sf):
+    return AL.align_med(_pairs(spark, sf))
+
+
+def _align_invariants(al):
+    z = F.arrays_zip(TX.chars(F.col("aligned_source")).alias("x"), TX.chars(F.col("aligned_target")).alias("y"))
+    mism = F.size(F.filter(z, lambda p: p["x"] != p["y"]))
+    return al.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
+        F.sum((F.replace(F.col("aligned_source"), F.lit("~"), F.lit("")) == F.col("source")).cast("int")).cast("bigint").alias("n_source_ok"),
+        F.sum((F.replace(F.col("aligned_target"), F.lit("~"), F.lit("")) == F.col("target")).cast("int")).cast("bigint").alias("n_target_ok"),
+        F.sum(F.col("cost")).cast("bigint").alias("total_cost"),
+        F.sum((mism == F.col("cost")).cast("int")).cast("bigint").alias("n_cost_is_mismatches"))
+
+
+@register("m2_align_invariants", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + f"""
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_source_ok, CAST(count(*) AS BIGINT) AS n_target_ok,
+       CAST(sum({O.lev_sql('source', 'target')}) AS BIGINT) AS total_cost, CAST(count(*) AS BIGINT) AS n_cost_is_mismatches
+FROM d_""")
+def m2_align_invariants(spark, sf):
+    return _align_invariants(AL.align_med(_pairs(spark, sf)))
+
+
+@register("m3_align_corpus")
+def m3_align_corpus(spark, sf):
+    return AL.align_corpus(_pairs(spark, sf), iters=2)
+
+
+@register("m3_align_invariants", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_source_ok, CAST(count(*) AS BIGINT) AS n_target_ok
+FROM d_""")
+def m3_align_invariants(spark, sf):
+    al = AL.align_corpus(_pairs(spark, sf), iters=2)
+    return _align_invariants(al.withColumn("cost", F.lit(0.0))).drop("total_cost", "n_cost_is_mismatches")
+
+
+@register("m4_template_invariant", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_instantiate_ok FROM d_""")
+def m4_template_invariant(spark, sf):
+    t = LM.pair_templates(_pairs(spark, sf), "source", "target")
+    return t.agg(F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
+                 F.sum((TX.instantiate(F.col("template"), F.col("source")) == F.col("target")).cast("int"))
+                 .cast("bigint").alias("n_instantiate_ok"))
+
+
+@register("m4_template_counts")
+def m4_template_counts(spark, sf):
+    p = _pairs(spark, sf)
+    t = LM.pair_templates(p, "source", "target")
+    rows = p.select("source", "target").join(t, ["source", "target"])
+    return ST.count_values(rows, F.array_join("template", " "), "template")
+
+
+@register("t12_instantiate", O.with_tok("""
+d_ AS (SELECT DISTINCT word, lemma FROM ex),
+t_ AS (SELECT word, lemma, list_concat(list_transform(range(0, length(lemma)), lambda i: CAST(i AS VARCHAR)), ['99', '#']) AS tpl FROM d_)""") + """
+SELECT word, lemma, array_to_string(tpl, ' ') AS template,
+       array_to_string(list_transform(tpl, lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$')
+            THEN (CASE WHEN CAST(x AS INTEGER) < length(word) THEN substr(word, CAST(x AS INTEGER) + 1, 1) ELSE '' END)
+            ELSE x END), '') AS instantiated
+FROM t_""")
+def t12_instantiate(spark, sf):
+    d = V.examples(spark, sf).select("word", "lemma").distinct()
+    tpl = F.concat(F.transform(F.sequence(F.lit(0), F.length("lemma") - 1), lambda i: i.cast("string")),
+                   F.array(F.lit("99"), F.lit("#")))
+    tpl = F.when(F.length("lemma") > 0, tpl).otherwise(F.array(F.lit("99"), F.lit("#")))
+    return d.select("word", "lemma", F.array_join(tpl, " ").alias("template"),
+                    TX.instantiate(tpl, F.col("word")).alias("instantiated"))
+
+
+def _replay(actions_col, source_col):
+    """Replay an action sequence over the marked source; returns the written word."""
+    marked = F.concat(F.lit("<"), source_col, F.lit(">"))
+    init = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+
+    def step(st, a):
+        pos, out = st["pos"], st["out"]
+        is_num = a.rlike("^[0-9]+$")
+        return F.struct(
+            F.when(a == "^", pos + 1).otherwise(pos).alias("pos"),
+            F.when((a == "^") | (a == ">"), out)
+             .when(is_num, F.concat(out, F.substring(marked, F.when(is_num, a).cast("int") + 1, 1)))
+             .otherwise(F.concat(out, a)).alias("out"))
+    return F.aggregate(actions_col, init, step)["out"]
+
+
+@register("m5_action_invariant", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_replay_ok FROM d_""")
+def m5_action_invariant(spark, sf):
+    acts = AL.actions_frame(AL.align_med(_pairs(spark, sf)))
+    return acts.agg(F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
+                    F.sum((_replay(F.col("actions"), F.col("source")) == F.col("target")).cast("int"))
+                    .cast("bigint").alias("n_replay_ok"))
+
+
+@register("m5_actions")
+def m5_actions(spark, sf):
+    return AL.actions_frame(AL.align_med(_pairs(spark, sf))).select(
+        "source", "target", F.array_join("actions", " ").alias("actions"))
+
+
+@register("m6_vote", O.with_tok(O.MFL_CTE.strip(), """
+c_ AS (SELECT w.doc_id, w.sent_id, w.tok_id, w.lform AS p FROM w WHERE w.split = 'test'
+       UNION ALL SELECT w.doc_id, w.sent_id, w.tok_id, coalesce(m.mfl_lemma, w.lform) FROM w LEFT JOIN model m ON m.lform = w.lform WHERE w.split = 'test'
+       UNION ALL SELECT doc_id, sent_id, tok_id, regexp_replace(lform, """ + O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN) + """, '\\1') FROM w WHERE split = 'test'),
+v_ AS (SELECT doc_id, sent_id, tok_id, p AS prediction, CAST(count(*) AS BIGINT) AS votes FROM c_ GROUP BY ALL)""") + """
+SELECT doc_id, sent_id, tok_id, prediction, votes FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id, tok_id
+                               ORDER BY votes DESC, CASE WHEN votes = 1 THEN length(prediction) ELSE 0 END, prediction) AS r
+  FROM v_) WHERE r = 1""")
+def m6_vote(spark, sf):
+    from ..sources.corpus import strip_suffix
+    w = V.wtok(spark, sf)
+    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
+    test = w.filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", "lform")
+    keys = ["doc_id", "sent_id", "tok_id"]
+    copy = test.select(*keys, F.col("lform").alias("prediction"))
+    mfl = jn.predict_mfl(model, test).select(*keys, F.col("plemma").alias("prediction"))
+    strip = test.select(*keys, strip_suffix(F.col("lform")).alias("prediction"))
+    return LM.vote(copy.unionByName(mfl).unionByName(strip), keys)
+
+
+@register("m7_template_lemmatiser")
+def m7_template_lemmatiser(spark, sf):
+    p = _pairs(spark, sf)
+    by_suffix, by_pos = LM.fit_templates(p.filter(F.col("split") == "train"), "source", "target", "xpostag")
+    test = p.filter(F.col("split") == "test")
+    pred = LM.apply_templates(test, "source", "xpostag", by_suffix, by_pos)
+    return ev.micro_macro(pred.withColumn("ok", F.col("prediction") == F.col("target")), "xpostag")
+
+
+@register("j7_template_coverage")
+def j7_template_coverage(spark, sf):
+    p = _pairs(spark, sf)
+    return LM.template_coverage(p.filter(F.col("split") == "train"), p.filter(F.col("split") == "test"),
+                                "source", "target")
+
+
+@register("m8_svd2")
+def m8_svd2(spark, sf):
+    return svd2(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"))
+
+
+@register("m10_alignment_report")
+def m10_alignment_report(spark, sf):
+    return AL.alignment_report(AL.align_corpus(_pairs(spark, sf), iters=2))
