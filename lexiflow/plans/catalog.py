@@ -1014,3 +1014,100 @@ def m8_svd2(spark, sf):
 @register("m10_alignment_report")
 def m10_alignment_report(spark, sf):
     return AL.alignment_report(AL.align_corpus(_pairs(spark, sf), iters=2))
+
+
+# ------------------------------------------------------------------ lexicon
+
+from ..operators import lexicon as LX  # noqa: E402
+
+
+def analysis_code(lang, xpostag, sfx, tok_id):
+    """Analysis codes given to the corpus words (a rule of ours): nouns
+    ``NN-LANG-num`` (a sentence-initial bare noun gets a possessor group),
+    suffixed verbs ``VB-LANG-S-3-SFX-QAL``, names ``DEF:NNP-LANG-S``,
+    short words ``JJ-LANG-S``, numbers ``CD``."""
+    L = F.upper(lang)
+    return (F.when(xpostag == "NUM", F.lit("CD"))
+             .when(xpostag == "NP", F.concat(F.lit("DEF:NNP-"), L, F.lit("-S")))
+             .when(xpostag == "P", F.concat(F.lit("JJ-"), L, F.lit("-S")))
+             .when(sfx.isin("ger", "ptcp", "agt"), F.concat(F.lit("VB-"), L, F.lit("-S-3-"), F.upper(sfx), F.lit("-QAL")))
+             .when(sfx.isNotNull(), F.concat(F.lit("NN-"), L, F.when(sfx == "pl", F.lit("-P")).otherwise(F.lit("-S"))))
+             .when(tok_id == 1, F.concat(F.lit("NN-"), L, F.lit("-S:S-"), L, F.lit("-P-3")))
+             .otherwise(F.concat(F.lit("NN-"), L, F.lit("-S"))))
+
+
+_ACODE_SQL = """CASE WHEN xpostag = 'NUM' THEN 'CD'
+     WHEN xpostag = 'NP' THEN 'DEF:NNP-' || upper(lang) || '-S'
+     WHEN xpostag = 'P' THEN 'JJ-' || upper(lang) || '-S'
+     WHEN sfx IN ('ger', 'ptcp', 'agt') THEN 'VB-' || upper(lang) || '-S-3-' || upper(sfx) || '-QAL'
+     WHEN sfx IS NOT NULL THEN 'NN-' || upper(lang) || CASE WHEN sfx = 'pl' THEN '-P' ELSE '-S' END
+     WHEN tok_id = 1 THEN 'NN-' || upper(lang) || '-S:S-' || upper(lang) || '-P-3'
+     ELSE 'NN-' || upper(lang) || '-S' END"""
+
+LEX_CTE = f"""
+la_ AS (SELECT DISTINCT lform AS word, {_ACODE_SQL} AS analysis, lemma
+        FROM (SELECT *, {O.suffix_type_sql('lform', 'lemma')} AS sfx FROM w))"""
+
+
+def _lexicon_lines(spark, sf):
+    w = V.wtok(spark, sf)
+    sfx = V.suffix_type(F.col("lform"), F.col("lemma"))
+    a = w.select(F.col("lform").alias("word"), analysis_code(F.col("lang"), F.col("xpostag"), sfx, F.col("tok_id"))
+                 .alias("analysis"), "lemma").distinct()
+    g = a.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("analysis", "lemma"))).alias("ps"))
+    return g.select(F.concat_ws(" ", F.col("word"), F.array_join(
+        F.transform("ps", lambda p: F.concat(p["analysis"], F.lit(" "), p["lemma"])), " ")).alias("line"))
+
+
+@register("s11_read_lexicon", O.with_tok(LEX_CTE.strip()) + """
+SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY analysis, lemma) AS BIGINT) AS pair, analysis, lemma FROM la_""")
+def s11_read_lexicon(spark, sf):
+    return LX.read_lexicon(_lexicon_lines(spark, sf))
+
+
+def _t13_sql(code: str) -> str:
+    groups = f"list_filter(string_split({code}, ':'), lambda s: s <> '')"
+    return f"""
+SELECT analysis, g, string_split(g[1], '-') AS e0, CASE WHEN len(g) >= 2 THEN string_split(g[2], '-') ELSE [] END AS e1 FROM
+  (SELECT analysis, {groups} AS g FROM (SELECT DISTINCT analysis FROM la_))"""
+
+
+T13_SQL = O.with_tok(LEX_CTE.strip(), "a0_ AS (" + _t13_sql("analysis").strip() + ")", """
+a1_ AS (SELECT analysis, len(g) AS ng, e0, e1, len(e0) AS n0, len(e1) AS n1, e0[1] AS t,
+               len(g) = 1 AND len(e0) = 6 AND starts_with(e0[1], 'VB') AS vb,
+               len(g) = 1 AND (starts_with(e0[1], 'JJ') OR starts_with(e0[1], 'NN')) AND len(e0) >= 3 AS an,
+               len(g) = 2 AND starts_with(e0[1], 'DEF') AS de,
+               len(g) = 2 AND starts_with(e0[1], 'NN') AS nn2 FROM a0_),
+a2_ AS (SELECT analysis, e0[1] AS atype, list_filter([
+   'binyan=' || CASE WHEN vb THEN e0[6] WHEN nn2 AND n0 >= 5 THEN e0[5] WHEN de AND n1 >= 5 THEN e1[5] END,
+   'def=' || CASE WHEN de THEN 'DEF' END,
+   'gen=' || CASE WHEN vb OR an THEN e0[2] WHEN nn2 AND n0 >= 3 THEN e0[2] WHEN de AND n1 >= 3 THEN e1[2] END,
+   'num=' || CASE WHEN vb OR an THEN e0[3] WHEN nn2 AND n0 >= 3 THEN e0[3] WHEN de AND n1 = 2 THEN e1[2] WHEN de AND n1 >= 3 THEN e1[3] END,
+   'per=' || CASE WHEN vb THEN e0[4] WHEN nn2 AND n0 >= 4 THEN e0[4] WHEN de AND n1 >= 4 THEN e1[4] END,
+   'pos=' || CASE WHEN vb OR an THEN e0[1] WHEN nn2 AND n0 >= 3 THEN e0[1] WHEN de THEN e1[1] END,
+   'poss_binyan=' || CASE WHEN nn2 AND n1 >= 5 THEN e1[5] END,
+   'poss_gen=' || CASE WHEN nn2 AND n1 >= 3 THEN e1[2] END,
+   'poss_num=' || CASE WHEN nn2 AND n1 >= 3 THEN e1[3] END,
+   'poss_per=' || CASE WHEN nn2 AND n1 >= 4 THEN e1[4] END,
+   'tense=' || CASE WHEN vb THEN e0[5] END], lambda x: x IS NOT NULL) AS fl FROM a1_)""")
+
+
+@register("t13_parse_analysis", T13_SQL + """
+SELECT analysis, array_to_string(fl, ',') AS features, CAST(len(fl) AS BIGINT) AS n_features FROM a2_""")
+def t13_parse_analysis(spark, sf):
+    codes = LX.read_lexicon(_lexicon_lines(spark, sf)).select("analysis").distinct()
+    m = LX.parse_analysis(F.col("analysis"))
+    return codes.select("analysis", LX.feature_string(m).alias("features"), F.size(m).cast("bigint").alias("n_features"))
+
+
+@register("a17_lexicon_coverage", T13_SQL + """,
+e_ AS (SELECT la_.word, la_.analysis, a2_.atype, a2_.fl,
+              list_filter(a2_.fl, lambda x: starts_with(x, 'pos='))[1] AS posf FROM la_ JOIN a2_ USING (analysis))
+SELECT 'type' AS kind, atype AS key, CAST(count(*) AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS percent FROM e_ GROUP BY atype
+UNION ALL
+SELECT 'pos', substr(posf, 5), CAST(count(*) AS BIGINT), CAST(NULL AS DOUBLE) FROM e_ WHERE len(fl) > 1 GROUP BY posf
+UNION ALL
+SELECT 'total', 'parsed', CAST(sum(CASE WHEN len(fl) > 1 THEN 1 ELSE 0 END) AS BIGINT),
+       round(sum(CASE WHEN len(fl) > 1 THEN 1 ELSE 0 END) * 100.0 / count(*), 6) FROM e_""")
+def a17_lexicon_coverage(spark, sf):
+    return LX.lexicon_coverage(LX.read_lexicon(_lexicon_lines(spark, sf)))
