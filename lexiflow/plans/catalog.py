@@ -1111,3 +1111,185 @@ SELECT 'total', 'parsed', CAST(sum(CASE WHEN len(fl) > 1 THEN 1 ELSE 0 END) AS B
        round(sum(CASE WHEN len(fl) > 1 THEN 1 ELSE 0 END) * 100.0 / count(*), 6) FROM e_""")
 def a17_lexicon_coverage(spark, sf):
     return LX.lexicon_coverage(LX.read_lexicon(_lexicon_lines(spark, sf)))
+
+
+# ------------------------------------------------------ files and sinks
+
+from ..session import shared_dir  # noqa: E402
+from ..sources import conllu as CU  # noqa: E402
+from ..sources import inflection as INF  # noqa: E402
+
+
+@register("s12_s1_conllu_roundtrip", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, form, lemma, CASE WHEN xpostag = 'PUNCT' THEN 'PUNCT' END AS upostag, xpostag FROM tok""")
+def s12_s1_conllu_roundtrip(spark, sf):
+    t = V.tok(spark, sf)
+    rows = t.select("doc_id", "sent_id", "tok_id",
+                    F.concat_ws("_", "doc_id", "sent_id", "tok_id").alias("id"), "form", "lemma",
+                    F.when(F.col("xpostag") == "PUNCT", F.lit("PUNCT")).alias("upostag"), "xpostag",
+                    *[F.lit(None).cast("string").alias(c) for c in ("feats", "head", "deprel", "deps", "misc")])
+    path = shared_dir(spark, "conllu")
+    CU.write_conllu(rows, path)
+    back = CU.read_conllu(spark, path)
+    return back.select(F.col("text_id").cast("bigint").alias("doc_id"), F.col("line_id").alias("sent_id"),
+                       "tok_id", "form", "lemma", "upostag", "xpostag")
+
+
+@register("s7_predictions_roundtrip", O.with_tok(O.PRED_CTE.strip()) + """
+SELECT doc_id, CAST(dense_rank() OVER (PARTITION BY doc_id ORDER BY sent_id) AS BIGINT) AS sent_ord, tok_id AS id,
+       form, plemma, ppos FROM pred""")
+def s7_predictions_roundtrip(spark, sf):
+    p = V.predictions(spark, sf).withColumnRenamed("tok_id", "id")
+    path = shared_dir(spark, "pred")
+    CU.write_predictions_table(p, path)
+    back = CU.read_predictions(spark, path)
+    return back.select(F.regexp_extract("file_path", r"doc_id=([0-9]+)", 1).cast("bigint").alias("doc_id"),
+                       F.col("sent_ord"), "id", "form", "plemma", "ppos")
+
+
+def _task_lines(ex):
+    """Shared-task lines from the examples: test rows covered (no target);
+    nouns at token 2 carry an extra field before the features (to be repaired)."""
+    extra = (F.col("xpostag") == "N") & (F.col("tok_id") == 2)
+    return ex.select("doc_id", "sent_id", "tok_id", "split",
+                     F.when(F.col("split") == "test", F.concat_ws("\t", "lemma", "feats"))
+                      .when(extra, F.concat_ws("\t", "lemma", F.lit("extra"), "feats", "word"))
+                      .otherwise(F.concat_ws("\t", "lemma", "feats", "word")).alias("line"))
+
+
+@register("s8_read_inflections", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, lemma AS source, feats, CASE WHEN split = 'test' THEN 'COVERED' ELSE word END AS target,
+       split <> 'test' AND xpostag = 'N' AND tok_id = 2 AS repaired FROM ex""")
+def s8_read_inflections(spark, sf):
+    lines = _task_lines(V.examples(spark, sf))
+    tr, _ = INF.parse_inflections(lines.filter(F.col("split") != "test"), task=1)
+    te, _ = INF.parse_inflections(lines.filter(F.col("split") == "test"), task=1, covered=True)
+    te = te.withColumn("repaired", F.lit(False))
+    cols = ["doc_id", "sent_id", "tok_id", "source", "feats", "target", "repaired"]
+    return tr.select(*cols).unionByName(te.select(*cols))
+
+
+@register("s9_read_wiktionary", O.with_tok() + "SELECT DISTINCT lemma AS base, feats AS features, word AS inflected FROM ex")
+def s9_read_wiktionary(spark, sf):
+    ex = V.examples(spark, sf).select("lemma", "feats", "word").distinct()
+    csv_rows = ex.select(F.col("word").alias("inflected"), F.col("lemma").alias("base"),
+                         F.replace(F.replace("feats", F.lit("="), F.lit(" = ")), F.lit(","), F.lit(":")).alias("features"))
+    return INF.wiktionary_rows(csv_rows)
+
+
+@register("s10_read_folds", O.with_tok() + """
+SELECT word AS lemma, 'pos=' || xpostag AS feats, lemma AS word, CAST(sent_id % 3 AS VARCHAR) AS fold,
+       CASE split WHEN 'valid' THEN 'dev' ELSE split END AS role FROM ex""")
+def s10_read_folds(spark, sf):
+    ex = V.examples(spark, sf)
+    rows = ex.select(F.col("xpostag").alias("type"), F.lit("0500").alias("size"),
+                     F.pmod(F.col("sent_id"), F.lit(3)).cast("string").alias("fold"),
+                     F.when(F.col("split") == "valid", F.lit("dev")).otherwise(F.col("split")).alias("role"),
+                     F.concat_ws(" ", "word", "lemma").alias("value"))
+    path = shared_dir(spark, "folds")
+    rows.write.partitionBy("type", "size", "fold", "role").text(path)
+    return INF.read_folds(spark, path)
+
+
+@register("s13_text_from_words", O.with_tok() + """
+SELECT doc_id, sent_id AS par_id, tok_id,
+       form || ',' || xpostag || ',' || CASE WHEN xpostag = 'N' AND length(lemma) < length(form) THEN '2' ELSE '1' END || ',' ||
+       CASE WHEN xpostag = 'NUM' THEN 'MISSING_TYPE ' WHEN xpostag = 'N' AND length(lemma) < length(form)
+            THEN 'root ' || """ + O.suffix_type_sql("lower(form)", "lemma") + """ || ' ' ELSE 'root ' END AS line
+FROM w""")
+def s13_text_from_words(spark, sf):
+    from ..sources.sinks import words_dump
+    return words_dump(_tei_tokens(spark, sf))
+
+
+@register("s15_prediction_lines", O.with_tok("""
+p_ AS (SELECT lemma, feats AS morph, word AS prediction FROM (
+         SELECT lemma, feats, word, row_number() OVER (PARTITION BY lemma, feats ORDER BY doc_id DESC, sent_id DESC, tok_id DESC) AS r
+         FROM ex WHERE split = 'train') WHERE r = 1)""") + """
+SELECT t.doc_id, t.sent_id, t.tok_id, t.lemma || chr(9) || t.feats || chr(9) || coalesce(p_.prediction, 'ERROR') AS line
+FROM ex t LEFT JOIN p_ ON p_.lemma = t.lemma AND p_.morph = t.feats WHERE t.split = 'test'""")
+def s15_prediction_lines(spark, sf):
+    a = j6_attach_predictions(spark, sf)
+    return a.select("doc_id", "sent_id", "tok_id",
+                    INF.prediction_line(F.col("lemma"), F.col("morph"), F.col("prediction")).alias("line"))
+
+
+# ------------------------------------------------- n-best and solution checks
+
+def _test_positions(spark, sf):
+    w = V.wtok(spark, sf).filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", "lform", "lemma")
+    return WN.running_number(w, [], ["doc_id", "sent_id", "tok_id"], "p", chunk=F.col("doc_id")) \
+             .withColumn("p", F.col("p") - 1)
+
+
+def _nbest_greedy(spark, sf, k=3):
+    w = V.wtok(spark, sf)
+    test = _test_positions(spark, sf)
+    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
+    greedy = jn.predict_mfl(model, test).select(F.col("p").alias("pos"), F.col("plemma").alias("line"))
+    counts = w.filter(F.col("split") == "train").groupBy("lform", "lemma").agg(F.count(F.lit(1)).alias("n"))
+    top = SM.top_k(counts, ["lform"], "n", k, tie=[F.col("lemma")])
+    slots = test.select("p", "lform", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
+    nb = slots.join(top.select("lform", "rank", F.col("lemma").alias("cand")), ["lform", "rank"], "left") \
+              .select((F.col("p") * k + F.col("rank") - 1).alias("pos"),
+                      F.coalesce(F.col("cand"), F.when(F.col("rank") == 1, F.col("lform")).otherwise(F.lit("")))
+                      .alias("line"))
+    return nb, greedy, test
+
+
+_NBEST_SQL = O.MFL_CTE.strip() + """,
+tp_ AS (SELECT *, row_number() OVER (ORDER BY doc_id, sent_id, tok_id) - 1 AS p FROM w WHERE split = 'test'),
+gr_ AS (SELECT tp_.p AS pos, coalesce(m.mfl_lemma, tp_.lform) AS line FROM tp_ LEFT JOIN model m ON m.lform = tp_.lform),
+tk_ AS (SELECT lform, lemma, row_number() OVER (PARTITION BY lform ORDER BY n DESC, lemma) AS rank
+        FROM (SELECT lform, lemma, count(*) AS n FROM w WHERE split = 'train' GROUP BY ALL)),
+sl_ AS (SELECT p, lform, unnest([1, 2, 3]) AS rank FROM tp_),
+nb_ AS (SELECT sl_.p * 3 + sl_.rank - 1 AS pos,
+               coalesce(tk_.lemma, CASE WHEN sl_.rank = 1 THEN sl_.lform ELSE '' END) AS line
+        FROM sl_ LEFT JOIN tk_ ON tk_.lform = sl_.lform AND tk_.rank = sl_.rank),
+mm_ AS (SELECT * FROM (SELECT CAST(floor(pos / 3) AS BIGINT) AS grp, line AS nbest_line FROM nb_ WHERE pos % 3 = 0) a
+        FULL OUTER JOIN (SELECT CAST(pos AS BIGINT) AS grp, line AS greedy_line FROM gr_) b USING (grp)
+        WHERE nbest_line IS DISTINCT FROM greedy_line)"""
+
+
+@register("j8_check_nbest", O.with_tok(_NBEST_SQL) + "SELECT grp, nbest_line, greedy_line FROM mm_")
+def j8_check_nbest(spark, sf):
+    nb, greedy, _ = _nbest_greedy(spark, sf)
+    return jn.check_nbest(nb, greedy, 3)
+
+
+@register("m9_check_solution", O.with_tok(_NBEST_SQL) + """
+SELECT CAST((SELECT count(*) FROM tp_) AS BIGINT) AS n_input, CAST((SELECT count(*) FROM gr_) AS BIGINT) AS n_solution,
+       CAST((SELECT count(*) FROM gr_) AS BIGINT) AS n_fields_ok, CAST((SELECT count(*) FROM nb_) AS BIGINT) AS n_nbest,
+       CAST((SELECT count(*) FROM nb_ WHERE pos % 3 = 0 AND length(line) > 0) AS BIGINT) AS n_first_nonempty,
+       CAST((SELECT count(*) FROM mm_) AS BIGINT) AS n_mismatch,
+       CAST(4 + CASE WHEN (SELECT count(*) FROM mm_) = 0 THEN 1 ELSE 0 END AS BIGINT) AS passed""")
+def m9_check_solution(spark, sf):
+    nb, greedy, test = _nbest_greedy(spark, sf)
+    sol = jn.predict_mfl(ev.fit_mfl(V.wtok(spark, sf).filter(F.col("split") == "train")), test) \
+        .select(F.concat_ws("\t", "lform", F.lit("pos"), "plemma").alias("line"))
+    return LM.check_solution(sol, test, nb, jn.check_nbest(nb, greedy, 3), 3)
+
+
+# ------------------------------------------------------ predicates
+
+@register("p1_drop_punct", O.with_tok() + "SELECT doc_id, sent_id, tok_id, xpostag FROM tok WHERE xpostag <> 'PUNCT'")
+def p1_drop_punct(spark, sf):
+    return P.drop_punct(V.tok(spark, sf).select("doc_id", "sent_id", "tok_id", "xpostag"), also_empty=True)
+
+
+@register("p2_keep_pos", O.with_tok() + "SELECT doc_id, sent_id, tok_id, form FROM tok WHERE xpostag = 'NP'")
+def p2_keep_pos(spark, sf):
+    return P.keep_pos(V.tok(spark, sf), "NP").select("doc_id", "sent_id", "tok_id", "form")
+
+
+@register("p3_mark_foreign", O.with_tok() + f"""
+SELECT doc_id, sent_id AS par_id, tok_id, form, CASE WHEN xpostag = 'NUM' THEN 'zxx' END AS foreign_lang FROM tok WHERE xpostag <> 'PUNCT'""")
+def p3_mark_foreign(spark, sf):
+    t = _tei_tokens(spark, sf).filter(F.col("inner").isNotNull())
+    return P.mark_foreign(t, F.col("lang")).select("doc_id", "par_id", "tok_id", "form", "foreign_lang")
+
+
+@register("p4_casefold", O.with_tok() + "SELECT DISTINCT form, lower(form) AS lform FROM tok")
+def p4_casefold(spark, sf):
+    t = V.tok(spark, sf).select("form", F.col("form").alias("lform")).distinct()
+    return P.casefold(t, ["lform"])
