@@ -18,7 +18,7 @@ def svd2(emb: DataFrame, col: str = "embedding", k: int = 2) -> DataFrame:
     from pyspark.mllib.linalg.distributed import RowMatrix
     rows = emb.select(col).rdd.map(lambda r: Vectors.dense([float(x) for x in r[0]]))
     svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
+    v = np.array(svd.V.toArray(), dtype=float, copy=True)
     for j in range(v.shape[1]):
         if v[np.argmax(np.abs(v[:, j])), j] < 0:
             v[:, j] = -v[:, j]
