@@ -1,0 +1,4 @@
+"""No streaming operators: every entry point of the reference reads whole
+files (no watermark, window, state or late-data handling), so nothing is
+built here. Batch operators apply unchanged to a ``foreachBatch`` micro-batch
+if a caller streams token files."""
