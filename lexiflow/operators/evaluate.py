@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .joins import predict_mfl
 from .scoring import DIGITS, collapse, ratio, score, score_collapsed
 
@@ -30,6 +31,37 @@ def fit_mfl(train: DataFrame) -> DataFrame:
                                   F.sum("n").cast("bigint").alias("n_form"))
 
 
+def token_counts(words: DataFrame, splits: Sequence[str], by: Sequence[str] = (), train: str = "train",
+                 materialised: bool = True) -> DataFrame:
+    """One aggregate over the words: per (by, lform, lemma) the count in each
+    split (``n_<split>``) and the first training position.
+
+    Every consumer (the model, the held-out pairs, the tag universe) reads
+    this one table: the corpus is scanned and tokenised once."""
+    aggs = [F.sum(F.when(F.col("split") == s, 1).otherwise(0)).alias(f"n_{s}") for s in splits]
+    aggs.append(F.min(F.when(F.col("split") == train, F.struct("doc_id", "sent_id", "tok_id"))).alias("first_train"))
+    counts = words.groupBy(*by, "lform", "lemma").agg(*aggs)
+    # Consumers prune different columns, so their plans would not share this
+    # aggregate's shuffle; the table is small (distinct forms x lemmas), so it
+    # is written once to the checkpoint folder and every branch reads it.
+    return materialise(counts) if materialised else counts
+
+
+def fit_mfl_counts(counts: DataFrame, n_col: str = "n_train", first_col: str = "first_train") -> DataFrame:
+    """A4 from ``token_counts``: same result as ``fit_mfl`` on the training rows."""
+    c = counts.filter(F.col(n_col) > 0).groupBy("lform", "lemma").agg(
+        F.sum(n_col).alias("n"), F.min(first_col).alias("first"))
+    key = F.struct((-F.col("n")).alias("negn"), F.col("first").alias("first"))
+    return c.groupBy("lform").agg(F.min_by("lemma", key).alias("mfl_lemma"),
+                                  F.sum("n").cast("bigint").alias("n_form"))
+
+
+def held_out_pairs(counts: DataFrame, split: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, lform, lemma, n) of one split from ``token_counts``."""
+    c = F.col(f"n_{split}")
+    return counts.filter(c > 0).select(*by, "lform", "lemma", c.cast("bigint").alias("n"))
+
+
 def eval_mfl(model: DataFrame, test: DataFrame, by: Sequence[str] = ("split",)) -> DataFrame:
     """A5: J1 on a held-out table, then the A3 scorer.
 
@@ -44,16 +76,17 @@ def eval_pred(merged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return score(merged, by, "lemma", "plemma")
 
 
-def eval_by_pos(test: DataFrame, train: DataFrame, model: DataFrame | None = None,
-                pos: str = "xpostag") -> DataFrame:
+def eval_by_pos(words: DataFrame, train: str = "train", test: str = "test", pos: str = "xpostag") -> DataFrame:
     """Accuracy and wrong-only distance by POS x seen/unseen, with a ``TOTAL``
     row (``rollup``) and the overall accuracy/distance; empty cells are null (N/A).
 
-    Predictions come from the most-frequent-lemma model fitted on ``train``;
-    since the model has one row per training form, the same join marks a test
-    form as seen (J3)."""
-    model = model if model is not None else fit_mfl(train)
-    pairs = collapse(test, (pos,), "lform", "lemma")
+    ``words`` holds both splits (column ``split``). Predictions come from the
+    most-frequent-lemma model fitted on ``train``; since the model has one row
+    per training form, the same join marks a test form as seen (J3). Model,
+    test pairs and the tag universe all come from one ``token_counts`` pass."""
+    counts = token_counts(words, (train, test), by=(pos,), train=train)
+    model = fit_mfl_counts(counts, f"n_{train}")
+    pairs = held_out_pairs(counts, test, by=(pos,))
     pred = predict_mfl(model, pairs)
     ok = F.col("lemma") == F.col("plemma")
     dist = F.levenshtein(F.col("plemma"), F.col("lemma"))
@@ -70,8 +103,8 @@ def eval_by_pos(test: DataFrame, train: DataFrame, model: DataFrame | None = Non
     agg = pred.rollup(pos).agg(*cell(True), *cell(False), F.grouping(pos).alias("_g"))
     agg = agg.withColumn(pos, F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col(pos)))
     # POS tags that occur only in training still get a row (all N/A).
-    universe = (train.select(pos).union(test.select(pos)).distinct()
-                .union(test.sparkSession.range(1).select(F.lit("TOTAL").alias(pos))))
+    universe = (counts.filter((F.col(f"n_{train}") + F.col(f"n_{test}")) > 0).select(pos).distinct()
+                .union(words.sparkSession.range(1).select(F.lit("TOTAL").alias(pos))))
     j = universe.join(agg, pos, "left").na.fill(0, subset=[c for c in agg.columns if c not in (pos, "_g")])
     c = F.col
     return j.select(
@@ -122,11 +155,12 @@ def _rpf(overlap: Column, n_ref: Column, n_hyp: Column, tag: str) -> list[Column
     return [r.alias(f"{tag}_r"), p.alias(f"{tag}_p"), f.alias(f"{tag}_f")]
 
 
-def rouge(pairs: DataFrame, gold: str = "lemma", pred: str = "plemma", by: Sequence[str] = ()) -> DataFrame:
+def rouge(pairs: DataFrame, gold: str = "lemma", pred: str = "plemma", by: Sequence[str] = (),
+          weight: str | None = None) -> DataFrame:
     """ROUGE-1/2 on distinct character n-gram sets and ROUGE-L on the character
     LCS (recall, precision, F1), averaged over rows. Computed once per distinct
     (gold, pred) pair and weighted by its count."""
-    c = collapse(pairs, by, gold, pred)
+    c = collapse(pairs, by, gold, pred, weight)
     g, h = F.col(gold), F.col(pred)
     cols = []
     for k in (1, 2):
@@ -142,10 +176,12 @@ def rouge(pairs: DataFrame, gold: str = "lemma", pred: str = "plemma", by: Seque
 
 # ------------------------------------------------- clusters, marks, error lists
 
-def micro_macro(scored: DataFrame, key: str, ok: str = "ok") -> DataFrame:
-    """Accuracy per cluster, then the macro mean and the example-weighted micro mean."""
-    per = scored.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
-                                  F.sum(F.col(ok).cast("int")).alias("right"))
+def micro_macro(scored: DataFrame, key: str, ok: str = "ok", weight: str | None = None) -> DataFrame:
+    """Accuracy per cluster, then the macro mean and the example-weighted micro mean.
+    ``weight`` names a row-multiplicity column of pre-collapsed input."""
+    w = F.col(weight) if weight else F.lit(1)
+    per = scored.groupBy(key).agg(F.sum(w).alias("n"),
+                                  F.sum(F.col(ok).cast("int") * w).alias("right"))
     per = per.withColumn("acc", F.col("right") / F.col("n"))
     return per.agg(F.count(F.lit(1)).cast("bigint").alias("n_clusters"),
                    F.sum("n").cast("bigint").alias("n_rows"),

@@ -46,9 +46,12 @@ pred_ AS (SELECT w.split, w.lemma, coalesce(m.mfl_lemma, w.lform) AS plemma
           FROM w LEFT JOIN model m ON m.lform = w.lform WHERE w.split IN ('valid', 'test'))""",
           O.score_sql("pred_", ["split"], "lemma", "plemma").strip()) + O.score_select(["split"]))
 def a5_mfl_eval(spark, sf):
-    w = V.wtok(spark, sf)
-    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
-    return ev.eval_mfl(model, w.filter(F.col("split").isin("valid", "test")), by=("split",))
+    counts = ev.token_counts(V.wtok(spark, sf), ("train", "valid", "test"))
+    model = ev.fit_mfl_counts(counts)
+    pairs = ev.held_out_pairs(counts, "valid").withColumn("split", F.lit("valid")).unionByName(
+        ev.held_out_pairs(counts, "test").withColumn("split", F.lit("test")))
+    pred = jn.predict_mfl(model, pairs)
+    return ev.score_collapsed(pred.select("split", "lemma", "plemma", "n"), ("split",), "lemma", "plemma")
 
 
 @register("j1_predict_mfl", O.with_tok(O.MFL_CTE.strip()) + """
@@ -89,8 +92,7 @@ FROM j_"""
 
 @register("a7_eval_by_pos", _by_pos_sql())
 def a7_eval_by_pos(spark, sf):
-    w = V.wtok(spark, sf)
-    return ev.eval_by_pos(w.filter(F.col("split") == "test"), w.filter(F.col("split") == "train"))
+    return ev.eval_by_pos(V.wtok(spark, sf), "train", "test")
 
 
 @register("j2_merge_gold", O.with_tok(O.PRED_CTE.strip()) + """
@@ -153,10 +155,9 @@ ff_ AS (SELECT *,
           + ", ".join(f"round(sum({m} * n) / sum(n), 6) AS {m}" for m in
                       [f"rouge{k}_{x}" for k in ("1", "2", "l") for x in "rpf"]) + " FROM ff_")
 def a8_rouge(spark, sf):
-    w = V.wtok(spark, sf)
-    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
-    pred = jn.predict_mfl(model, w.filter(F.col("split") == "test").select("lform", "lemma"))
-    return ev.rouge(pred, "lemma", "plemma")
+    counts = ev.token_counts(V.wtok(spark, sf), ("train", "test"))
+    pred = jn.predict_mfl(ev.fit_mfl_counts(counts), ev.held_out_pairs(counts, "test"))
+    return ev.rouge(pred, "lemma", "plemma", weight="n")
 
 
 @register("a13_micro_macro", O.with_tok(O.MFL_CTE.strip(), """
@@ -166,10 +167,9 @@ c_ AS (SELECT xpostag, count(*) AS n, sum(CAST(ok AS INT)) / count(*) AS acc FRO
 SELECT CAST(count(*) AS BIGINT) AS n_clusters, CAST(sum(n) AS BIGINT) AS n_rows,
        round(avg(acc), 6) AS macro_accuracy, round(sum(n * acc) / sum(n), 6) AS micro_accuracy FROM c_""")
 def a13_micro_macro(spark, sf):
-    w = V.wtok(spark, sf)
-    model = ev.fit_mfl(w.filter(F.col("split") == "train"))
-    pred = jn.predict_mfl(model, w.filter(F.col("split") == "test").select("xpostag", "lform", "lemma"))
-    return ev.micro_macro(pred.withColumn("ok", F.col("plemma") == F.col("lemma")), "xpostag")
+    counts = ev.token_counts(V.wtok(spark, sf), ("train", "test"), by=("xpostag",))
+    pred = jn.predict_mfl(ev.fit_mfl_counts(counts), ev.held_out_pairs(counts, "test", by=("xpostag",)))
+    return ev.micro_macro(pred.withColumn("ok", F.col("plemma") == F.col("lemma")), "xpostag", weight="n")
 
 
 @register("a14_score", O.with_tok(O.PRED_CTE.strip()) + """

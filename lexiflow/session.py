@@ -34,6 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("LEXIFLOW_DRIVER_MEMORY", "16g"))
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
@@ -45,6 +46,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return configure(spark)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), also
+    registered with the SparkContext; a local temp folder only when unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def materialise(df):
+    """Cut the lineage of a small shared intermediate: write it once to the
+    shared checkpoint folder and read it back, so every consumer reads the same
+    rows and a lost executor does not recompute the upstream scan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 

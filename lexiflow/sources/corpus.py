@@ -41,8 +41,19 @@ def xpostag(form: Column, tok_id: Column) -> Column:
              .otherwise(F.lit("N")))
 
 
+SUFFIXES_LONGEST_FIRST = sorted(SUFFIX_TYPES, key=lambda x: (-len(x), x))
+
+
 def strip_suffix(lower_form: Column) -> Column:
-    return F.regexp_replace(lower_form, SUFFIX_PATTERN, "$1")
+    """Remove the longest listed suffix that leaves at least 3 characters (the
+    same result as ``regexp_replace(SUFFIX_PATTERN, '$1')``, written with
+    ``endswith`` so it stays in generated code without a backtracking regex)."""
+    n = F.length(lower_form)
+    out = lower_form
+    for suf in reversed(SUFFIXES_LONGEST_FIRST):
+        out = F.when(lower_form.endswith(suf) & (n >= len(suf) + 3),
+                     F.substring(lower_form, 1, n - len(suf))).otherwise(out)
+    return out
 
 
 def lemma_of(form: Column, pos: Column) -> Column:

@@ -29,9 +29,9 @@ def test_mfl_ties_go_to_first_seen(spark):
 
 
 def test_eval_by_pos_has_total_and_na(spark):
-    train = _words(spark)
-    test = train.filter(F.col("xpostag") == "V")
-    rows = {r.xpostag: r for r in EV.eval_by_pos(test, train).collect()}
+    train = _words(spark).withColumn("split", F.lit("train"))
+    test = train.filter(F.col("xpostag") == "V").withColumn("split", F.lit("test"))
+    rows = {r.xpostag: r for r in EV.eval_by_pos(train.unionByName(test)).collect()}
     assert "TOTAL" in rows and "AJ" in rows
     assert rows["AJ"].seen_n == 0 and rows["AJ"].seen_accuracy is None     # N/A
     assert rows["TOTAL"].accuracy == 1.0                                     # seen forms, most frequent lemma
