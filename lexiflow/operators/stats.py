@@ -19,31 +19,31 @@ def word_stats(toks: DataFrame, pos: str | None = None, by: Sequence[str] = ())
     """A1 over TEI word tokens (``inner`` markup kept): tokens, word tokens/types
     rebuilt by joining the lower-cased morphemes, lemma types, morpheme
     tokens/types, morphemes per word. ``pos`` keeps one tag (then untagged words
-    drop out). The rebuilt word is a row-local fold over the word's own
-    morphemes: no regrouping shuffle."""
+    drop out).
+
+    One pass: each word is exploded into its morphemes (``posexplode_outer``
+    keeps words without any); word-level columns count only on the first
+    morpheme row, so a single aggregate with distinct counts gives everything."""
     w = toks.filter(F.col("inner").isNotNull())
     if pos is not None:
         w = w.filter(F.col("xpostag") == pos)
     ms = _morph_structs(F.col("inner"))
-    w = w.select(*by, "lemma", F.lower(F.array_join(F.transform(ms, lambda m: m["text"]), "")).alias("rebuilt"),
-                 F.transform(ms, lambda m: F.lower(m["text"])).alias("mtexts"))
-    per_word = w.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("tokens"),
+    w = w.select(*by, "lemma", F.transform(ms, lambda m: F.lower(m["text"])).alias("mtexts"))
+    e = w.select(*by, "lemma", F.lower(F.array_join("mtexts", "")).alias("rebuilt"),
+                 F.posexplode_outer("mtexts").alias("mpos", "m"))
+    first = F.col("mpos").isNull() | (F.col("mpos") == 0)
+    g = e.groupBy(*by).agg(
+        F.sum(first.cast("int")).alias("tokens"),
         F.count_distinct("rebuilt").alias("word_types"),
-        (F.count_distinct("lemma") + F.max(F.col("lemma").isNull().cast("int"))).alias("lemmas"),
-        F.sum(F.size("mtexts")).alias("morpheme_tokens"))
-    m_types = w.select(*by, F.explode("mtexts").alias("m")).groupBy(*by).agg(
+        (F.count_distinct("lemma") + F.max((first & F.col("lemma").isNull()).cast("int"))).alias("lemmas"),
+        F.count("m").alias("morpheme_tokens"),
         F.count_distinct("m").alias("morpheme_types"))
-    if by:
-        j = per_word.join(m_types, list(by), "left")
-    else:
-        j = per_word.withColumn("_one", F.lit(1)).join(m_types.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
-    return j.select(*by, F.col("tokens").cast("bigint").alias("tokens"),
+    return g.select(*by, F.col("tokens").cast("bigint").alias("tokens"),
                     F.col("tokens").cast("bigint").alias("reconstructed_word_tokens"),
                     F.col("word_types").cast("bigint").alias("reconstructed_word_types"),
                     F.col("lemmas").cast("bigint").alias("lemmas"),
                     F.col("morpheme_tokens").cast("bigint").alias("morpheme_tokens"),
-                    F.coalesce(F.col("morpheme_types"), F.lit(0)).cast("bigint").alias("morpheme_types"),
+                    F.col("morpheme_types").cast("bigint").alias("morpheme_types"),
                     F.round(F.col("morpheme_tokens") / F.col("tokens"), DIGITS).alias("morpheme_word_ratio"))
 
 

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 PARAGRAPH_RE = r"(?s)<p((?:\s[^>]*)?)>(.*?)</p>"
 ROOT_LANG_RE = r'<(?:text|html|TEI)\s(?:[^>]*\s)?(?:xml:)?lang="([^"]*)"'
 ITEM_RE = r"(?s)<w(?:\s[^>]*)?>.*?</w>|<w(?:\s[^>]*)?/>|<[^>]*>|&(?:amp|lt|gt|quot|apos);|[^\s<]"
+# Tags other than the word and morpheme tags: removed before the walk.
+OTHER_TAG_RE = r"<(?!/?[wm][\s>/])[^>]*>"
+WORD_OR_CHAR_RE = r"(?s)<w(?:\s[^>]*)?>.*?</w>|<w(?:\s[^>]*)?/>|&(?:amp|lt|gt|quot|apos);|[^\s<]"
 WORD_ITEM_RE = r"^<w[\s>/]"
 WORD_ATTRS_RE = r"^<w((?:\s[^>]*?)?)/?>"
 WORD_INNER_RE = r"(?s)^<w(?:\s[^>]*)?>(.*)</w>$"
@@ -26,19 +29,25 @@ TAG_RE = r"<[^>]*>"
 
 
 def attr(attrs: Column, name: str, ignore_case: bool = False) -> Column:
-    """Value of attribute ``name`` in an attribute string; null when absent or empty."""
+    """Value of attribute ``name`` in an attribute string; null when absent or
+    empty. The common spelling `` name="`` is cut out with string functions;
+    other whitespace or letter case falls back to a regular expression."""
     n = f"(?i:{name})" if ignore_case else name
-    return F.nullif(F.regexp_extract(attrs, rf'(?:^|\s){n}="([^"]*)"', 1), F.lit(""))
+    slow = F.regexp_extract(attrs, rf'(?:^|\s){n}="([^"]*)"', 1)
+    key = f' {name}="'
+    fast = F.substring_index(F.substring_index(attrs, key, -1), '"', 1)
+    return F.nullif(F.when(F.instr(attrs, key) > 0, fast).otherwise(slow), F.lit(""))
 
 
 def unescape(c: Column) -> Column:
+    out = c
     for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return F.when(F.instr(c, "&") > 0, out).otherwise(c)
 
 
 def strip_tags(c: Column) -> Column:
-    return F.regexp_replace(c, TAG_RE, "")
+    return F.when(F.instr(c, "<") > 0, F.regexp_replace(c, TAG_RE, "")).otherwise(c)
 
 
 def tei_paragraphs(docs: DataFrame, lang: str | Sequence[str] | None, key: str = "doc_id",
@@ -71,13 +80,17 @@ def tei_tokens(pars: DataFrame, key: str = "doc_id") -> DataFrame:
     Tokens are numbered from 1 within the paragraph.
 
     Output (key, par_id, n, lang, tok_id, form, lemma, xpostag, word_lang, inner, item)."""
-    items = F.regexp_extract_all(F.col("body"), F.lit(ITEM_RE), 0)
-    kept = F.filter(items, lambda s: s.rlike(WORD_ITEM_RE) | ~s.startswith("<"))
-    t = pars.select(key, "par_id", "n", "lang", F.posexplode(kept).alias("pos", "item"))
+    body = F.regexp_replace(F.col("body"), OTHER_TAG_RE, "")
+    items = F.regexp_extract_all(body, F.lit(WORD_OR_CHAR_RE), 0)
+    t = pars.select(key, "par_id", "n", "lang", F.posexplode(items).alias("pos", "item"))
     item = F.col("item")
-    is_word = item.rlike(WORD_ITEM_RE)
-    attrs = F.regexp_extract(item, WORD_ATTRS_RE, 1)
-    inner = F.regexp_extract(item, WORD_INNER_RE, 1)
+    # after the clean-up an item starting with '<' can only be a word element
+    is_word = item.startswith("<")
+    open_tag = F.substring_index(item, ">", 1)
+    attrs = F.substring(open_tag, 3, 1 << 30)
+    self_closing = open_tag.endswith("/")
+    inner = F.when(self_closing, F.lit("")).otherwise(
+        F.substring(item, F.length(open_tag) + 2, F.length(item) - F.length(open_tag) - 5))
     form = F.when(is_word, unescape(strip_tags(inner))).otherwise(unescape(item))
     return t.select(
         key, "par_id", "n", "lang", (F.col("pos") + 1).cast("bigint").alias("tok_id"),
