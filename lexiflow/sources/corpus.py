@@ -79,13 +79,16 @@ def corpus_tokens(documents: DataFrame) -> DataFrame:
         "doc_id", "lang", "source",
         (F.col("lpos") + 1).cast("bigint").alias("sent_id"),
         F.posexplode(F.regexp_extract_all(F.col("line"), F.lit(TOKEN_PATTERN), 0)).alias("tpos", "form"))
-    toks = toks.withColumn("tok_id", (F.col("tpos") + 1).cast("bigint"))
-    pos = xpostag(F.col("form"), F.col("tok_id"))
+    # staged: the tag is computed once, then the lemma reads it by name
+    toks = toks.select("doc_id", "lang", "source", "sent_id", "form",
+                       (F.col("tpos") + 1).cast("bigint").alias("tok_id"))
+    toks = toks.select("doc_id", "lang", "source", "sent_id", "tok_id", "form",
+                       xpostag(F.col("form"), F.col("tok_id")).alias("xpostag"))
     return toks.select(
         "doc_id", "lang", "source", split_of(F.col("doc_id")).alias("split"),
         "sent_id", "tok_id", "form",
-        lemma_of(F.col("form"), pos).alias("lemma"),
-        pos.alias("xpostag"))
+        lemma_of(F.col("form"), F.col("xpostag")).alias("lemma"),
+        "xpostag")
 
 
 def words(tok: DataFrame) -> DataFrame:
@@ -102,9 +105,7 @@ def xml_escape(c: Column) -> Column:
     return F.replace(c, F.lit('"'), F.lit("&quot;"))
 
 
-def _token_xml(t: Column, j: Column, lang: Column) -> Column:
-    pos = xpostag(t, j + 1)
-    lem = lemma_of(t, pos)
+def _token_xml(t: Column, pos: Column, lem: Column, lang: Column) -> Column:
     n = F.length(lem)
     stem, suf = F.substring(t, 1, n), F.substring(t, n + 1, 1 << 30)
     suf_type = F.lit(None).cast("string")
@@ -127,16 +128,24 @@ def tei_documents(documents: DataFrame) -> DataFrame:
     """Render each document as a TEI file: one ``<p xml:lang n>`` per line, one
     ``<w lemma pos>`` with ``<m baseForm type>`` children per word, punctuation as
     bare text between words. Built row-locally with higher-order functions (no
-    shuffle); output (doc_id, lang, xml)."""
+    shuffle), in stages so that tags and lemmas are computed once per token;
+    output (doc_id, lang, xml)."""
     lang = F.col("lang")
-
-    def par(line: Column, i: Column) -> Column:
-        toks = F.regexp_extract_all(line, F.lit(TOKEN_PATTERN), 0)
-        body = F.array_join(F.transform(toks, lambda t, j: _token_xml(t, j, lang)), " ")
+    d = documents.select("doc_id", "lang", F.transform(
+        F.split(F.col("text"), "\n", -1),
+        lambda line: F.regexp_extract_all(line, F.lit(TOKEN_PATTERN), 0)).alias("_toks"))
+    d = d.select("doc_id", "lang", "_toks", F.transform("_toks", lambda ts: F.transform(
+        ts, lambda t, j: xpostag(t, j + 1))).alias("_pos"))
+    d = d.select("doc_id", "lang", "_toks", "_pos", F.zip_with("_toks", "_pos", lambda ts, ps: F.zip_with(
+        ts, ps, lambda t, p: lemma_of(t, p))).alias("_lem"))
+
+    def par(ts, i):
+        ps, ls = F.get(F.col("_pos"), i), F.get(F.col("_lem"), i)
+        body = F.array_join(F.transform(ts, lambda t, j: _token_xml(t, F.get(ps, j), F.get(ls, j), lang)), " ")
         return F.concat(F.lit('<p xml:lang="'), lang, F.lit('" n="'), (i + 1).cast("string"),
                         F.lit('">'), body, F.lit("</p>"))
 
-    pars = F.array_join(F.transform(F.split(F.col("text"), "\n", -1), par), "\n")
+    pars = F.array_join(F.transform(F.col("_toks"), par), "\n")
     xml = F.concat(F.lit('<TEI><text xml:lang="'), lang, F.lit('"><body>\n'), pars,
                    F.lit("\n</body></text></TEI>"))
-    return documents.select("doc_id", "lang", xml.alias("xml"))
+    return d.select("doc_id", "lang", xml.alias("xml"))

@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 PARAGRAPH_RE = r"(?s)<p((?:\s[^>]*)?)>(.*?)</p>"
 ROOT_LANG_RE = r'<(?:text|html|TEI)\s(?:[^>]*\s)?(?:xml:)?lang="([^"]*)"'
 ITEM_RE = r"(?s)<w(?:\s[^>]*)?>.*?</w>|<w(?:\s[^>]*)?/>|<[^>]*>|&(?:amp|lt|gt|quot|apos);|[^\s<]"
-# Tags other than the word and morpheme tags: removed before the walk.
-OTHER_TAG_RE = r"<(?!/?[wm][\s>/])[^>]*>"
-WORD_OR_CHAR_RE = r"(?s)<w(?:\s[^>]*)?>.*?</w>|<w(?:\s[^>]*)?/>|&(?:amp|lt|gt|quot|apos);|[^\s<]"
 WORD_ITEM_RE = r"^<w[\s>/]"
 WORD_ATTRS_RE = r"^<w((?:\s[^>]*?)?)/?>"
 WORD_INNER_RE = r"(?s)^<w(?:\s[^>]*)?>(.*)</w>$"
@@ -80,26 +77,37 @@ def tei_tokens(pars: DataFrame, key: str = "doc_id") -> DataFrame:
     Tokens are numbered from 1 within the paragraph.
 
     Output (key, par_id, n, lang, tok_id, form, lemma, xpostag, word_lang, inner, item)."""
-    body = F.regexp_replace(F.col("body"), OTHER_TAG_RE, "")
-    items = F.regexp_extract_all(body, F.lit(WORD_OR_CHAR_RE), 0)
-    t = pars.select(key, "par_id", "n", "lang", F.posexplode(items).alias("pos", "item"))
+    items = F.regexp_extract_all(F.col("body"), F.lit(ITEM_RE), 0)
+
+    def word_tag(x):
+        return x.startswith("<w ") | x.startswith("<w>") | x.startswith("<w/") | x.startswith("<w\t") \
+            | x.startswith("<w\n")
+    kept = F.filter(items, lambda x: ~x.startswith("<") | word_tag(x))
+    t = pars.select(key, "par_id", "n", "lang", F.posexplode(kept).alias("pos", "item"))
     item = F.col("item")
-    # after the clean-up an item starting with '<' can only be a word element
-    is_word = item.startswith("<")
+    # Staged projections: each intermediate is computed once and referenced by
+    # name (an expensive expression used twice is not collapsed into one select).
+    # Any other tag was dropped above, so an item starting with '<' is a word element.
     open_tag = F.substring_index(item, ">", 1)
-    attrs = F.substring(open_tag, 3, 1 << 30)
-    self_closing = open_tag.endswith("/")
-    inner = F.when(self_closing, F.lit("")).otherwise(
-        F.substring(item, F.length(open_tag) + 2, F.length(item) - F.length(open_tag) - 5))
-    form = F.when(is_word, unescape(strip_tags(inner))).otherwise(unescape(item))
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", item.startswith("<").alias("is_word"),
+                 open_tag.alias("open_tag"))
+    inner = F.when(F.col("open_tag").endswith("/"), F.lit("")).otherwise(
+        F.substring(item, F.length("open_tag") + 2, F.length(item) - F.length("open_tag") - 5))
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word",
+                 F.substring("open_tag", 3, 1 << 30).alias("attrs"),
+                 F.when(F.col("is_word"), inner).alias("inner"))
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "attrs", "inner",
+                 F.when(F.col("is_word"), strip_tags(F.col("inner"))).otherwise(item).alias("_text"),
+                 F.when(F.col("is_word"), attr(F.col("attrs"), "lemma")).alias("_lemma"))
+    is_word = F.col("is_word")
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "attrs", "inner", "_lemma",
+                 unescape(F.col("_text")).alias("form"))
     return t.select(
-        key, "par_id", "n", "lang", (F.col("pos") + 1).cast("bigint").alias("tok_id"),
-        form.alias("form"),
-        F.when(is_word, unescape(attr(attrs, "lemma"))).otherwise(form).alias("lemma"),
-        F.when(is_word, attr(attrs, "pos")).otherwise(F.lit("PUNCT")).alias("xpostag"),
-        F.when(is_word, F.coalesce(attr(attrs, "xml:lang"), F.col("lang"))).alias("word_lang"),
-        F.when(is_word, inner).alias("inner"),
-        F.when(is_word, item).alias("item"))
+        key, "par_id", "n", "lang", (F.col("pos") + 1).cast("bigint").alias("tok_id"), "form",
+        F.when(is_word, unescape(F.col("_lemma"))).otherwise(F.col("form")).alias("lemma"),
+        F.when(is_word, attr(F.col("attrs"), "pos")).otherwise(F.lit("PUNCT")).alias("xpostag"),
+        F.when(is_word, F.coalesce(attr(F.col("attrs"), "xml:lang"), F.col("lang"))).alias("word_lang"),
+        "inner", F.when(is_word, item).alias("item"))
 
 
 def _morph_structs(inner: Column) -> Column:
@@ -128,7 +136,8 @@ def conllu_fields(toks: DataFrame, target_lang: str | Column | None = None, key:
     (``_`` when none); MISC = ``origText=..,baseForms=a|b`` with ``None`` for a
     missing base form, plus ``,wordLang=..`` for a word of another language.
     Punctuation gets ``_`` for both."""
-    ms = _morph_structs(F.coalesce(F.col("inner"), F.lit("")))
+    toks = toks.withColumn("_ms", _morph_structs(F.coalesce(F.col("inner"), F.lit(""))))
+    ms = F.col("_ms")
     types = F.filter(F.transform(ms, lambda m: m["type"]), lambda t: t.isNotNull() & (t != "root"))
     feats = F.when(F.size(types) > 0, F.array_join(types, "|")).otherwise(F.lit("_"))
     bases = F.array_join(F.transform(ms, lambda m: F.coalesce(m["base_form"], F.lit("None"))), "|")
