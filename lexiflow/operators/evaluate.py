@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from ..session import materialise
 from .joins import predict_mfl
@@ -134,18 +136,30 @@ def ngrams(s: Column, k: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Longest common subsequence of characters by a DP fold, one row at a time."""
-    m = F.length(b)
+def _lcs(a: str, b: str) -> int:
+    """Longest common subsequence of two strings (one DP row kept)."""
+    if not a or not b:
+        return 0
+    row = [0] * (len(b) + 1)
+    for ca in a:
+        diag = 0
+        for j, cb in enumerate(b, 1):
+            up = row[j]
+            row[j] = diag + 1 if ca == cb else max(up, row[j - 1])
+            diag = up
+    return row[-1]
+
 
-    def step(prev, ca):
-        return F.aggregate(
-            F.sequence(F.lit(1), m), F.array(F.lit(0)),
-            lambda row, j: F.concat(row, F.array(F.when(ca == F.substring(b, j, 1), F.get(prev, j - 1) + 1)
-                                                 .otherwise(F.greatest(F.get(prev, j), F.get(row, j - 1))))))
+@F.pandas_udf(IntegerType())
+def _lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([_lcs(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
 
-    final = F.aggregate(chars(a), F.array_repeat(F.lit(0), m + 1), step)
-    return F.when(m > 0, F.get(final, m)).otherwise(F.lit(0))
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Character LCS length: a DP per row, run as an Arrow-batched pandas UDF
+    (the same fold in higher-order functions is interpreted and copies arrays).
+    Callers apply it to distinct pairs only."""
+    return _lcs_udf(a, b)
 
 
 def _rpf(overlap: Column, n_ref: Column, n_hyp: Column, tag: str) -> list[Column]:

@@ -99,8 +99,8 @@ def profile(ex: DataFrame, tags: Sequence[str] = ("pos=V", "pos=N"), feats: str
 def build_vocab(ex: DataFrame, word_cols: Sequence[str] = ("lemma", "word"), feats: str = "feats") -> DataFrame:
     """symbols = distinct letters of the words, ``k=v`` features and
     ``k=NULL`` for each feature name; 1-based index in symbol order. The index
-    is a chunked running number (chunk = first code point), so no single task
-    sorts the whole symbol set."""
+    is a chunked running number (chunk = 4-character prefix, monotone in symbol
+    order), so no single task sorts the whole symbol set."""
     letters = None
     for c in word_cols:
         x = ex.select(F.explode(chars(F.col(c))).alias("symbol"))
@@ -109,7 +109,7 @@ def build_vocab(ex: DataFrame, word_cols: Sequence[str] = ("lemma", "word"), fea
     kv = fm.select(F.concat("k", F.lit("="), "v").alias("symbol"))
     kn = fm.select(F.concat("k", F.lit("=" + NULL_VALUE)).alias("symbol"))
     syms = letters.union(kv).union(kn).distinct()
-    return running_number(syms, [], ["symbol"], "idx", chunk=F.ascii("symbol").cast("bigint"))
+    return running_number(syms, [], ["symbol"], "idx", chunk=F.substring("symbol", 1, 4))
 
 
 def encode(ex: DataFrame, vocab: DataFrame, word: str, feats: str = "feats",
