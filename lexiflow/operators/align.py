@@ -47,32 +47,42 @@ def _unit(x: str, y: str) -> float:
 def best_alignment(src: str, tgt: str, cost=_unit) -> tuple[str, str, float]:
     """Cheapest alignment of two strings. ``cost(x, y)`` prices aligning x to y,
     with the gap symbol for an insertion or deletion. Ties prefer deleting a
-    source character, then substituting, then inserting."""
+    source character, then substituting, then inserting.
+
+    Costs are looked up once per pair into plain lists before the DP, so the
+    inner loop only indexes lists."""
     n, m = len(src), len(tgt)
-    inf = float("inf")
-    dp = [[inf] * (n + 1) for _ in range(m + 1)]   # rows: target prefix, cols: source prefix
-    bp = [[-1] * (n + 1) for _ in range(m + 1)]
-    dp[0][0] = 0.0
+    dele = [cost(c, GAP) for c in src]
+    ins = [cost(GAP, c) for c in tgt]
+    if cost is _unit:
+        sub = [[0.0 if a == b else 1.0 for a in src] for b in tgt]
+    else:
+        sub = [[cost(a, b) for a in src] for b in tgt]
+    prev = [0.0] * (n + 1)
     for y in range(1, n + 1):
-        dp[0][y] = dp[0][y - 1] + cost(src[y - 1], GAP)
-        bp[0][y] = _DEL
+        prev[y] = prev[y - 1] + dele[y - 1]
+    bps = [[_DEL] * (n + 1)]
     for x in range(1, m + 1):
-        dp[x][0] = dp[x - 1][0] + cost(GAP, tgt[x - 1])
-        bp[x][0] = _INS
+        cur = [prev[0] + ins[x - 1]] + [0.0] * n
+        bp = [_INS] + [_DEL] * n
+        sx, ix = sub[x - 1], ins[x - 1]
         for y in range(1, n + 1):
-            ins = dp[x - 1][y] + cost(GAP, tgt[x - 1])
-            sub = dp[x - 1][y - 1] + cost(src[y - 1], tgt[x - 1])
-            dele = dp[x][y - 1] + cost(src[y - 1], GAP)
-            best, choice = dele, _DEL
-            if sub < best:
-                best, choice = sub, _SUB
-            if ins < best:
-                best, choice = ins, _INS
-            dp[x][y], bp[x][y] = best, choice
+            best = cur[y - 1] + dele[y - 1]          # delete
+            choice = _DEL
+            v = prev[y - 1] + sx[y - 1]              # substitute / copy
+            if v < best:
+                best, choice = v, _SUB
+            v = prev[y] + ix                         # insert
+            if v < best:
+                best, choice = v, _INS
+            cur[y] = best
+            bp[y] = choice
+        bps.append(bp)
+        prev = cur
     a_out, b_out = [], []
     x, y = m, n
     while x > 0 or y > 0:
-        c = bp[x][y]
+        c = bps[x][y] if x > 0 else _DEL
         if c == _SUB:
             x, y = x - 1, y - 1
             a_out.append(src[y]); b_out.append(tgt[x])
@@ -82,7 +92,7 @@ def best_alignment(src: str, tgt: str, cost=_unit) -> tuple[str, str, float]:
         else:
             y -= 1
             a_out.append(src[y]); b_out.append(GAP)
-    return "".join(reversed(a_out)), "".join(reversed(b_out)), dp[m][n]
+    return "".join(reversed(a_out)), "".join(reversed(b_out)), prev[n]
 
 
 def actions(aligned_src: str, aligned_tgt: str, src: str) -> list[str]:
@@ -108,6 +118,7 @@ def actions(aligned_src: str, aligned_tgt: str, src: str) -> list[str]:
 
 
 ALIGN_SCHEMA = "source string, target string, aligned_source string, aligned_target string, cost double"
+WEIGHTED_SCHEMA = ALIGN_SCHEMA + ", n long"
 
 
 def _kernel(cost_table: dict | None, default: float | None):
@@ -119,9 +130,12 @@ def _kernel(cost_table: dict | None, default: float | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [best_alignment(s, t, cost_of) for s, t in zip(pdf["source"], pdf["target"])]
-            yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
+            out = pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
                                 "aligned_source": [r[0] for r in rows], "aligned_target": [r[1] for r in rows],
                                 "cost": [float(r[2]) for r in rows]})
+            if "n" in pdf.columns:
+                out["n"] = pdf["n"].values
+            yield out
     return run
 
 
@@ -135,7 +149,7 @@ def _row_cost_kernel(default: float):
                 out.append(best_alignment(s, t, lambda x, y: table.get((x, y), default)))
             yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
                                 "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
-                                "cost": [float(r[2]) for r in out]})
+                                "cost": [float(r[2]) for r in out], "n": pdf["n"].values})
     return run
 
 
@@ -165,20 +179,26 @@ def costs_from_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return c.select("x", "y", (-F.log((F.col("cnt") + PRIOR) / denom)).alias("c")), tot
 
 
-def _realign(weighted: DataFrame, cost: DataFrame, default: float, n_cost: int) -> DataFrame:
-    pairs = weighted.select("source", "target")
+def _realign(weighted: DataFrame, counts: DataFrame) -> DataFrame:
+    """Re-align every distinct pair at the prices given by ``counts``."""
+    n_cost = counts.count()  # the table's size, checked before anything is collected
     if n_cost <= MAX_BROADCAST_PAIRS:
-        table = {(r["x"], r["y"]): r["c"] for r in cost.collect()}  # checked: n_cost rows
-        return pairs.mapInPandas(_kernel(table, default), ALIGN_SCHEMA)
+        rows = counts.collect()
+        total = float(sum(r["cnt"] for r in rows))
+        denom = total + n_cost * PRIOR
+        table = {(r["x"], r["y"]): -math.log((r["cnt"] + PRIOR) / denom) for r in rows}
+        return weighted.mapInPandas(_kernel(table, -math.log(PRIOR / denom)), WEIGHTED_SCHEMA)
     # Large alphabet: ship each pair only the cost entries it can use.
+    cost, tot = costs_from_counts(counts)
+    default = float(tot.first()["default"])
     sx = F.array_union(chars(F.col("source")), F.array(F.lit(GAP)))
     ty = F.array_union(chars(F.col("target")), F.array(F.lit(GAP)))
-    need = pairs.select("source", "target", F.explode(sx).alias("x"), ty.alias("_ty")) \
-                .select("source", "target", "x", F.explode("_ty").alias("y"))
+    need = weighted.select("source", "target", F.explode(sx).alias("x"), ty.alias("_ty")) \
+                   .select("source", "target", "x", F.explode("_ty").alias("y"))
     got = need.join(cost, ["x", "y"], "inner").groupBy("source", "target").agg(
         F.collect_list(F.struct("x", "y", "c")).alias("costs"))
-    rows = pairs.join(got, ["source", "target"], "left")
-    return rows.mapInPandas(_row_cost_kernel(default), ALIGN_SCHEMA)
+    rows = weighted.join(got, ["source", "target"], "left")
+    return rows.mapInPandas(_row_cost_kernel(default), WEIGHTED_SCHEMA)
 
 
 def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = 3,
@@ -187,22 +207,19 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
     (M1), then ``iters`` rounds of: count aligned symbol pairs over the corpus
     (each distinct pair weighted by its frequency), price every symbol pair by
     its count (prior 0.1), re-align every distinct pair at those prices.
-    Output: source, target, aligned_source, aligned_target, cost, n."""
-    spark = pairs.sparkSession
-    weighted = pairs.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(
-        F.count(F.lit(1)).alias("n"))
+    The weighted pair table and each round's alignment are checkpointed to the
+    shared folder, so a round never re-reads the corpus and a lost executor
+    resumes from the last round. Output: source, target, aligned_source,
+    aligned_target, cost, n."""
+    from ..session import materialise
+    keep = materialise if checkpoint else (lambda d: d)
+    weighted = keep(pairs.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(
+        F.count(F.lit(1)).alias("n")))
     a, b = align_pad(F.col("source"), F.col("target"))
-    cur = weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
-                          F.lit(None).cast("double").alias("cost"), "n")
+    cur = keep(weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
+                               F.lit(None).cast("double").alias("cost"), "n"))
     for _ in range(iters):
-        cost, tot = costs_from_counts(pair_counts(cur))
-        t = tot.first()  # one row: totals and the default cost
-        new = _realign(weighted, cost, float(t["default"]), int(t["distinct"]))
-        cur = new.join(weighted, ["source", "target"])
-        if checkpoint:
-            from ..session import shared_dir
-            shared_dir(spark, "align")  # makes sure the checkpoint folder is the shared one
-            cur = cur.checkpoint(eager=True)
+        cur = keep(_realign(weighted, pair_counts(cur)))
     return cur
 
 

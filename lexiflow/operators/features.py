@@ -101,14 +101,12 @@ def build_vocab(ex: DataFrame, word_cols: Sequence[str] = ("lemma", "word"), fea
     ``k=NULL`` for each feature name; 1-based index in symbol order. The index
     is a chunked running number (chunk = 4-character prefix, monotone in symbol
     order), so no single task sorts the whole symbol set."""
-    letters = None
-    for c in word_cols:
-        x = ex.select(F.explode(chars(F.col(c))).alias("symbol"))
-        letters = x if letters is None else letters.union(x)
-    fm = ex.select(F.explode(parse_feats(F.col(feats))).alias("k", "v"))
-    kv = fm.select(F.concat("k", F.lit("="), "v").alias("symbol"))
-    kn = fm.select(F.concat("k", F.lit("=" + NULL_VALUE)).alias("symbol"))
-    syms = letters.union(kv).union(kn).distinct()
+    # one explode of one combined array per row: the example table is read once
+    fm = parse_feats(F.col(feats))
+    kv = F.transform(F.map_entries(fm), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    kn = F.transform(F.map_keys(fm), lambda k: F.concat(k, F.lit("=" + NULL_VALUE)))
+    arr = F.concat(*[chars(F.col(c)) for c in word_cols], kv, kn)
+    syms = ex.select(F.explode(arr).alias("symbol")).distinct()
     return running_number(syms, [], ["symbol"], "idx", chunk=F.substring("symbol", 1, 4))
 
 

@@ -984,10 +984,10 @@ def m6_vote(spark, sf):
     model = ev.fit_mfl(w.filter(F.col("split") == "train"))
     test = w.filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", "lform")
     keys = ["doc_id", "sent_id", "tok_id"]
-    copy = test.select(*keys, F.col("lform").alias("prediction"))
-    mfl = jn.predict_mfl(model, test).select(*keys, F.col("plemma").alias("prediction"))
-    strip = test.select(*keys, strip_suffix(F.col("lform")).alias("prediction"))
-    return LM.vote(copy.unionByName(mfl).unionByName(strip), keys)
+    # the three predictors of a token side by side, then one row per vote
+    p = jn.predict_mfl(model, test).select(*keys, F.explode(F.array(
+        F.col("lform"), F.col("plemma"), strip_suffix(F.col("lform")))).alias("prediction"))
+    return LM.vote(p, keys)
 
 
 @register("m7_template_lemmatiser")
