@@ -1293,3 +1293,11 @@ def p3_mark_foreign(spark, sf):
 def p4_casefold(spark, sf):
     t = V.tok(spark, sf).select("form", F.col("form").alias("lform")).distinct()
     return P.casefold(t, ["lform"])
+
+
+@register("s13_text_from_lines", "WITH " + RAW_LINES_SQL.strip() + f""",
+lw_ AS (SELECT unnest(string_split(lower(translate(line, {O.q(ST.LINE_PUNCT)}, '')), ' ')) AS word FROM raw)
+SELECT word FROM lw_ WHERE word NOT IN ({", ".join(O.q(x) for x in ST.NOT_WORDS)})""")
+def s13_text_from_lines(spark, sf):
+    from ..sources.sinks import lines_dump
+    return lines_dump(TEI.raw_lines(_pages_pars(spark, sf), key="page_id"))

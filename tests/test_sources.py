@@ -81,3 +81,14 @@ def test_parse_misc_legacy_and_clean(spark):
     assert clean[1].m.base_forms == ["x"]                       # empty -> the form
     legacy = df.select(P.parse_misc(F.col("misc"), F.col("form"), legacy=True).alias("m")).collect()
     assert legacy[0].m.base_forms == ["amu", "ki,wordLang=spa"]
+
+
+def test_write_predictions_nbest_and_sidecar(spark, tmp_path):
+    from lexiflow.sources import inflection as INF
+    df = spark.createDataFrame([("walk", "pos=V", ["walked", "walkt"]), ("go", "pos=V", [None])],
+                               "lemma string, morph string, cands array<string>")
+    out = str(tmp_path / "pred")
+    INF.write_predictions(df, out, nbest="cands", params={"k": 2})
+    lines = sorted(r.value for r in spark.read.text(out).collect())
+    assert lines == ["go\tpos=V\tERROR", "walk\tpos=V\twalked", "walk\tpos=V\twalkt"]
+    assert spark.read.text(out + "_params").first().value == '{"k": 2}'
