@@ -118,10 +118,9 @@ m_ AS (SELECT t.split, t.lemma, p.plemma FROM pred p JOIN tok t USING (doc_id, s
        WHERE t.xpostag <> 'PUNCT')""", O.score_sql("m_", ["split"], "lemma", "plemma").strip())
           + O.score_select(["split"]))
 def a6_eval_pred(spark, sf):
-    merged = jn.merge_gold(V.tok(spark, sf), V.predictions(spark, sf).drop("split"),
-                           ["doc_id", "sent_id", "tok_id"])
-    t = V.tok(spark, sf).select("doc_id", "sent_id", "tok_id", "split")
-    return ev.eval_pred(merged.join(t, ["doc_id", "sent_id", "tok_id"]), by=("split",))
+    # the prediction rows carry their split, so the merged rows are scored directly
+    merged = jn.merge_gold(V.tok(spark, sf), V.predictions(spark, sf), ["doc_id", "sent_id", "tok_id"])
+    return ev.eval_pred(merged, by=("split",))
 
 
 @register("j3_mark_seen", O.with_tok() + """
