@@ -173,10 +173,9 @@ def costs_from_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """cost(x, y) = -log((count + prior) / (total + distinct * prior)); also the
     one-row (total, distinct, default cost for unseen pairs)."""
     tot = counts.agg(F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("distinct"))
-    denom = F.col("total") + F.col("distinct") * PRIOR
-    tot = tot.withColumn("default", -F.log(F.lit(PRIOR) / denom))
-    c = counts.withColumn("_one", F.lit(1)).join(F.broadcast(tot.withColumn("_one", F.lit(1))), "_one")
-    return c.select("x", "y", (-F.log((F.col("cnt") + PRIOR) / denom)).alias("c")), tot
+    tot = tot.withColumn("default", -F.log(F.lit(PRIOR) / (F.col("total") + F.col("distinct") * PRIOR)))
+    denom = tot.select(F.col("total") + F.col("distinct") * PRIOR).scalar()
+    return counts.select("x", "y", (-F.log((F.col("cnt") + PRIOR) / denom)).alias("c")), tot
 
 
 def _realign(weighted: DataFrame, counts: DataFrame) -> DataFrame:

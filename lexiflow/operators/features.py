@@ -17,16 +17,17 @@ NULL_VALUE = "NULL"
 
 def feature_types(ex: DataFrame, feats: str = "feats") -> DataFrame:
     """Known feature names as one row ``keys: array<string>`` (sorted). The
-    result has one row whatever the data size; it is joined back with a
-    broadcast of that single row."""
+    result has one row whatever the data size; consumers attach it as a
+    scalar subquery (``DataFrame.scalar``), not with a join."""
     k = ex.select(F.explode(F.map_keys(parse_feats(F.col(feats)))).alias("k")).distinct()
     return k.agg(F.array_sort(F.collect_list("k")).alias("keys"))
 
 
 def with_morph(ex: DataFrame, keys: DataFrame, feats: str = "feats", out: str = "morph") -> DataFrame:
     """T7 applied to every row, with the feature names inferred from ``keys``."""
-    j = ex.withColumn("_one", F.lit(1)).join(F.broadcast(keys.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    return j.withColumn(out, morph_string(parse_feats(F.col(feats)), F.col("keys"))).drop("keys")
+    # bind the scalar subquery to a column first: lambdas may not hold subqueries
+    j = ex.withColumn("_keys", keys.select("keys").scalar())
+    return j.withColumn(out, morph_string(parse_feats(F.col(feats)), F.col("_keys"))).drop("_keys")
 
 
 def cluster_sizes(ex: DataFrame, key: str = "pos", feats: str = "feats", single: bool = False) -> DataFrame:
@@ -50,8 +51,7 @@ def morph_type_stats(ex: DataFrame, feats: str = "feats") -> DataFrame:
     stats = per.agg(F.count(F.lit(1)).cast("bigint").alias("morph_types"),
                     F.sum("n").cast("bigint").alias("examples"),
                     F.round(F.avg("n"), DIGITS).alias("examples_per_type"))
-    nk = keys.select(F.size("keys").cast("bigint").alias("feature_types"))
-    return stats.withColumn("_one", F.lit(1)).join(nk.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return stats.withColumn("feature_types", keys.select(F.size("keys").cast("bigint")).scalar())
 
 
 def change_profile(pairs: DataFrame, inner: str, outer: str, cluster: str) -> DataFrame:
@@ -116,18 +116,18 @@ def encode(ex: DataFrame, vocab: DataFrame, word: str, feats: str = "feats",
     known feature names in sorted order, ``k=NULL`` where a name is missing.
     An unknown symbol fails the job (``raise_error``).
 
-    The vocabulary is folded into one map row (its size is the alphabet plus
-    the feature values, not the data) and attached with a broadcast join."""
+    The vocabulary is folded into one map value (its size is the alphabet plus
+    the feature values, not the data) and attached as a scalar subquery."""
     keys = keys if keys is not None else feature_types(ex, feats)
-    vm = vocab.agg(F.map_from_entries(F.collect_list(F.struct("symbol", "idx"))).alias("_vm"))
-    side = vm.withColumn("_one", F.lit(1)).join(keys.withColumn("_one", F.lit(1)), "_one")
-    j = ex.withColumn("_one", F.lit(1)).join(F.broadcast(side), "_one").drop("_one")
+    ex = ex.withColumn("_vm", vocab.agg(F.map_from_entries(F.collect_list(F.struct("symbol", "idx")))).scalar()) \
+           .withColumn("_keys", keys.select("keys").scalar())
+    vm, kc = F.col("_vm"), F.col("_keys")
 
     def look(s: Column) -> Column:
-        v = F.try_element_at(F.col("_vm"), s)
+        v = F.try_element_at(vm, s)
         return F.coalesce(v, F.raise_error(F.concat(F.lit("unknown symbol: "), s)).cast("bigint"))
     fmap = parse_feats(F.col(feats))
-    fsyms = F.transform(F.col("keys"), lambda k: F.concat(
+    fsyms = F.transform(kc, lambda k: F.concat(
         k, F.lit("="), F.coalesce(F.try_element_at(fmap, k), F.lit(NULL_VALUE))))
-    return j.withColumn("word_idx", F.transform(chars(F.col(word)), look)) \
-            .withColumn("feat_idx", F.transform(fsyms, look)).drop("_vm", "keys")
+    return ex.withColumn("word_idx", F.transform(chars(F.col(word)), look)) \
+             .withColumn("feat_idx", F.transform(fsyms, look)).drop("_vm", "_keys")

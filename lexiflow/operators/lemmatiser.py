@@ -85,13 +85,14 @@ def check_solution(solution: DataFrame, inputs: DataFrame, nbest: DataFrame, mis
     and the number of checks passed."""
     s = solution.agg(F.count(F.lit(1)).alias("n_solution"),
                      F.sum((F.size(F.split("line", "\t")) == fields).cast("int")).alias("n_fields_ok"))
-    i = inputs.agg(F.count(F.lit(1)).alias("n_input"))
     nb = nbest.agg(F.count(F.lit(1)).alias("n_nbest"),
                    F.sum(((F.col("pos") % k == 0) & (F.length("line") > 0)).cast("int")).alias("n_first_nonempty"))
-    m = mismatches.agg(F.count(F.lit(1)).alias("n_mismatch"))
-    one = F.lit(1)
-    j = s.withColumn("_o", one).join(i.withColumn("_o", one), "_o").join(nb.withColumn("_o", one), "_o") \
-         .join(m.withColumn("_o", one), "_o").drop("_o")
+    # every check is one number: the other totals ride along as scalar subqueries
+    j = s.select("n_solution", "n_fields_ok",
+                 inputs.agg(F.count(F.lit(1))).scalar().alias("n_input"),
+                 nb.select("n_nbest").scalar().alias("n_nbest"),
+                 nb.select("n_first_nonempty").scalar().alias("n_first_nonempty"),
+                 mismatches.agg(F.count(F.lit(1))).scalar().alias("n_mismatch"))
     checks = [F.col("n_fields_ok") == F.col("n_solution"), F.col("n_solution") == F.col("n_input"),
               F.col("n_nbest") == F.col("n_input") * k, F.col("n_first_nonempty") == F.col("n_input"),
               F.col("n_mismatch") == 0]

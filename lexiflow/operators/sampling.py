@@ -38,11 +38,11 @@ def split_exact(df: DataFrame, key: Sequence[str], p: float, q: float, seed: int
     keys = df.select(*key).distinct()
     kstr = F.concat_ws("_", *[F.col(k).cast("string") for k in key])
     ranked = seeded_rank(keys, kstr, seed)
-    n = keys.agg(F.count(F.lit(1)).alias("_n")).withColumn("_one", F.lit(1))
-    # the total is a one-row table: attach it with a broadcast equi-join on a constant
-    j = ranked.withColumn("_one", F.lit(1)).join(F.broadcast(n), "_one").drop("_one")
-    n_test = F.bround(F.col("_n") * p, 0)
-    n_valid = F.bround(F.col("_n") * q, 0)
+    # the total is a scalar subquery: one number, no join
+    n = keys.agg(F.count(F.lit(1))).scalar()
+    j = ranked
+    n_test = F.bround(n * p, 0)
+    n_valid = F.bround(n * q, 0)
     s = (F.when(F.col("rank") <= n_test, F.lit("test"))
           .when(F.col("rank") <= n_test + n_valid, F.lit("valid")).otherwise(F.lit("train")))
     return j.select(*key, "rank", s.alias("split"))

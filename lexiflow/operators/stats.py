@@ -63,7 +63,9 @@ def line_stats(lines: DataFrame, col: str = "line", by: Sequence[str] = ()) -> D
     if by:
         j = n_lines.join(ws, list(by), "left")
     else:
-        j = n_lines.withColumn("_one", F.lit(1)).join(ws.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+        # both sides are single rows: attach the word counts as scalar subqueries
+        j = n_lines.select("lines", F.coalesce(ws.select("word_tokens").scalar(), F.lit(0)).alias("word_tokens"),
+                           F.coalesce(ws.select("word_types").scalar(), F.lit(0)).alias("word_types"))
     return j.na.fill(0, subset=["word_tokens", "word_types"])
 
 
