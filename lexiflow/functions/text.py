@@ -49,11 +49,23 @@ def _map_literal(m: dict[str, str]) -> Column:
 
 def _rewrite_once(s: Column, m: dict[str, str]) -> tuple[Column, Column]:
     """One simultaneous leftmost-longest pass: split s into the longest known
-    pieces (any other character alone), map each piece. ok = every piece known."""
+    pieces (any other character alone), map each piece. ok = every piece known.
+
+    A one-character piece is looked up by its position in a string of all
+    one-character keys (one native ``instr``) and indexes a literal array of
+    replacements; only multi-character pieces use a (small) literal map."""
     pieces = F.regexp_extract_all(s, F.lit(alternation(m.keys())), 0)
-    mp = _map_literal(m)
-    ok = F.forall(pieces, lambda x: F.map_contains_key(mp, x))
-    out = F.array_join(F.transform(pieces, lambda x: F.try_element_at(mp, x)), "")
+    singles = sorted(k for k in m if len(k) == 1)
+    keys1 = "".join(singles)
+    vals1 = F.array(*[F.lit(m[k]) for k in singles])
+    multi = _map_literal({k: v for k, v in m.items() if len(k) > 1})
+
+    def look(x):
+        return F.when(F.length(x) == 1, F.get(vals1, F.instr(F.lit(keys1), x) - 1)) \
+                .otherwise(F.try_element_at(multi, x))
+    mapped = F.transform(pieces, look)
+    ok = F.forall(mapped, lambda v: v.isNotNull())
+    out = F.array_join(mapped, "")
     return out, ok
 
 
