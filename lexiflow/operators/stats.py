@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tei import _morph_structs
+from ..sources.tei import morph_texts
 from .scoring import DIGITS
 
 # Characters deleted before line statistics, and words not counted.
@@ -27,8 +27,8 @@ def word_stats(toks: DataFrame, pos: str | None = None, by: Sequence[str] = ())
     w = toks.filter(F.col("inner").isNotNull())
     if pos is not None:
         w = w.filter(F.col("xpostag") == pos)
-    ms = _morph_structs(F.col("inner"))
-    w = w.select(*by, "lemma", F.transform(ms, lambda m: F.lower(m["text"])).alias("mtexts"))
+    # only the morpheme texts are needed: no attribute parsing
+    w = w.select(*by, "lemma", F.transform(morph_texts(F.col("inner")), lambda t: F.lower(t)).alias("mtexts"))
     e = w.select(*by, "lemma", F.lower(F.array_join("mtexts", "")).alias("rebuilt"),
                  F.posexplode_outer("mtexts").alias("mpos", "m"))
     first = F.col("mpos").isNull() | (F.col("mpos") == 0)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import joins as jn
+from ..sources.corpus import SUFFIX_PATTERN
 from . import oracle as O
 from . import views as V
 
@@ -206,7 +207,7 @@ e1_ AS (SELECT ex.doc_id, ex.sent_id, ex.tok_id, ex.feats AS morph, ex.word AS s
                coalesce(m.mfl_lemma, ex.word) AS prediction
         FROM ex LEFT JOIN model m ON m.lform = ex.word WHERE ex.split = 'test'),
 e2_ AS (SELECT ex.doc_id, ex.sent_id, ex.tok_id, ex.feats AS morph, ex.word AS source, ex.lemma AS gold,
-               regexp_replace(ex.word, """ + O.q(__import__("lexiflow.sources.corpus", fromlist=["x"]).SUFFIX_PATTERN) + """, '\\1') AS prediction
+               regexp_replace(ex.word, """ + O.q(SUFFIX_PATTERN) + """, '\\1') AS prediction
         FROM ex WHERE ex.split = 'test')"""
 
 
@@ -405,8 +406,8 @@ def p6_lem(spark, sf):
 
 @register("j4_noisy_merge", O.with_tok(_MISC_SQL.strip(), _SEG_SQL.strip()) + f"""
 SELECT doc_id, par_id, tok_id,
-       substr(CASE WHEN length(regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1')) < length(form_l)
-                   THEN regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1') || '|' || substr(form_l, length(regexp_replace(form_l, {O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN)}, '\\1')) + 1)
+       substr(CASE WHEN length(regexp_replace(form_l, {O.q(SUFFIX_PATTERN)}, '\\1')) < length(form_l)
+                   THEN regexp_replace(form_l, {O.q(SUFFIX_PATTERN)}, '\\1') || '|' || substr(form_l, length(regexp_replace(form_l, {O.q(SUFFIX_PATTERN)}, '\\1')) + 1)
                    ELSE form_l END, 1, 45) AS base_forms,
        pos, lemma_l AS target FROM sl_""")
 def j4_noisy_merge(spark, sf):
@@ -971,7 +972,7 @@ def m5_actions(spark, sf):
 @register("m6_vote", O.with_tok(O.MFL_CTE.strip(), """
 c_ AS (SELECT w.doc_id, w.sent_id, w.tok_id, w.lform AS p FROM w WHERE w.split = 'test'
        UNION ALL SELECT w.doc_id, w.sent_id, w.tok_id, coalesce(m.mfl_lemma, w.lform) FROM w LEFT JOIN model m ON m.lform = w.lform WHERE w.split = 'test'
-       UNION ALL SELECT doc_id, sent_id, tok_id, regexp_replace(lform, """ + O.q(__import__('lexiflow.sources.corpus', fromlist=['x']).SUFFIX_PATTERN) + """, '\\1') FROM w WHERE split = 'test'),
+       UNION ALL SELECT doc_id, sent_id, tok_id, regexp_replace(lform, """ + O.q(SUFFIX_PATTERN) + """, '\\1') FROM w WHERE split = 'test'),
 v_ AS (SELECT doc_id, sent_id, tok_id, p AS prediction, CAST(count(*) AS BIGINT) AS votes FROM c_ GROUP BY ALL)""") + """
 SELECT doc_id, sent_id, tok_id, prediction, votes FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id, sent_id, tok_id

@@ -119,6 +119,12 @@ def _morph_structs(inner: Column) -> Column:
         attr(a, "type").alias("type")))
 
 
+def morph_texts(inner: Column) -> Column:
+    """Just the text of each ``<m>`` of a word (tags removed, entities decoded),
+    without parsing the attributes."""
+    return F.transform(F.regexp_extract_all(inner, F.lit(MORPH_RE), 2), lambda t: unescape(strip_tags(t)))
+
+
 def tei_morphemes(toks: DataFrame, key: str = "doc_id") -> DataFrame:
     """S4 (rows): the ``<m>`` children of each word with text, base form and type.
     Output (key, par_id, tok_id, m_id, text, base_form, type)."""
