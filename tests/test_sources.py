@@ -92,3 +92,37 @@ def test_write_predictions_nbest_and_sidecar(spark, tmp_path):
     lines = sorted(r.value for r in spark.read.text(out).collect())
     assert lines == ["go\tpos=V\tERROR", "walk\tpos=V\twalked", "walk\tpos=V\twalkt"]
     assert spark.read.text(out + "_params").first().value == '{"k": 2}'
+
+
+def test_read_folds_reference_layout(spark, tmp_path):
+    from lexiflow.sources import inflection as INF
+    for typ, fold, name, body in [("N", "0", "lemma-train.txt", "haus häuser\nkind kinder\n"),
+                                  ("N", "0", "lemma-test.txt", "maus mäuse\n"),
+                                  ("V", "1", "lemma-dev.txt", "gehen ging\n")]:
+        d = tmp_path / typ / "0500" / fold
+        d.mkdir(parents=True, exist_ok=True)
+        (d / name).write_text(body, encoding="utf8")
+    rows = sorted(tuple(r) for r in INF.read_folds(spark, str(tmp_path)).collect())
+    assert rows == [("gehen", "pos=V", "ging", "1", "dev"), ("haus", "pos=N", "häuser", "0", "train"),
+                    ("kind", "pos=N", "kinder", "0", "train"), ("maus", "pos=N", "mäuse", "0", "test")]
+
+
+def test_read_wiktionary_csv(spark, tmp_path):
+    from lexiflow.sources import inflection as INF
+    p = tmp_path / "w.csv"
+    p.write_text("walked,walk,type = participle:tense = past\n", encoding="utf8")
+    r = INF.read_wiktionary(spark, str(p)).first()
+    assert (r.base, r.features, r.inflected) == ("walk", "type=participle,tense=past", "walked")
+
+
+def test_read_cell_csv_first_word_and_gaps(spark, tmp_path):
+    from lexiflow.sources import inflection as INF  # noqa: F401
+    p = tmp_path / "cells.csv"
+    p.write_text('Word,Text name,XML\n'
+                 'inche,T1,"<w xml:lang=""arn"" lemma=""iñche"" pos=""PN""><m baseForm=""iñche"" type=""1s"">inche</m></w>"\n'
+                 'DIOS,T1,"<w xml:lang=""spa"">DIOS</w>"\n'
+                 'pin,T1,"<w xml:lang=""arn"" lemma=""pin"" pos=""V""><m baseForm=""pi"" type=""root"">pi</m></w><w>x</w>"\n',
+                 encoding="utf8")
+    cells = TEI.read_cell_csv(spark, str(p))
+    out = TEI.read_cell_xml(cells, "arn").orderBy("line_id").collect()
+    assert [(r.line_id, r.form, r.lemma, r.feats) for r in out] == [(1, "inche", "iñche", "1s"), (3, "pi", "pin", "_")]
