@@ -23,13 +23,42 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings (idempotent)."""
+    """Apply the runtime settings and ship the package to the executors (idempotent)."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lexiflow`` importable in the Python workers.
+
+    The alignment kernel and the pandas UDFs are pickled by module reference,
+    so every executor must be able to import the package. It is zipped once
+    per SparkContext and handed to ``addPyFile``, which distributes it to all
+    executors (the same as ``--py-files``)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="lexiflow-pkg-"), "lexiflow.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "lexiflow") -> SparkSession:
     """Session for tests and the bench; a cluster passes its own master and conf."""
