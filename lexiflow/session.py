@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,14 +80,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``), also
-    registered with the SparkContext; a local temp folder only when unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the
+    one the SparkContext was given. Where neither is set, a local session (tests)
+    gets a temporary folder; on a cluster that folder would not be shared, so
+    that is an error."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base
 
 
@@ -99,19 +104,6 @@ def materialise(df):
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint directory.
-
-    The cluster names that directory in ``spark.checkpoint.dir``; we only pick
-    our own (a local temp folder) when the session leaves it unset, as in tests.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    import uuid
+    """A new folder's path under the shared folder (see ``ensure_checkpoint_dir``)."""
+    base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
