@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, packing, shards
-from .common import read
+from . import bpe, packing, quality, shards, toxicity
+from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
 
@@ -29,6 +29,15 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(crc_mod("doc_id", 5) != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op3_token_shards(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
@@ -51,3 +60,11 @@ def op4_bpe(spark, sf_dir):
 def op7_packing(spark, sf_dir):
     out = packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=0)
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op9_quality(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.judge(docs, model).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
