@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, text_of
-from .tokens import MEMO_ENTRIES, byte_chunks
+from .tokens import byte_chunks
 
+#: Distinct chunks kept from batch to batch; beyond, the next batch starts afresh.
+KEPT_CHUNKS = 600_000
 # The splitting rule of the byte-level files (fixed value of the format).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -138,13 +140,11 @@ class PairIndexBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each whole text."""
-        segments = [self.cut.split(t) if self.cut else [t] for t in texts]
-        cut = [[s if i % 2 else byte_chunks(s) for i, s in enumerate(parts)] for parts in segments]
-        seen: set[str] = set()
-        for parts in cut:
-            for chunks in parts[::2]:
-                seen.update(chunks)
-        memo = self.memo
+        memo, seen = self.memo, set()
+        # cut twice rather than hold every chunk of the batch
+        for t in texts:
+            for p in self._segments(t)[::2]:
+                seen.update(byte_chunks(p))
         fresh = [c for c in seen if c not in memo]
         if fresh:
             split = [self.split.findall(c) for c in fresh]
@@ -152,12 +152,16 @@ class PairIndexBpe:
             ids = dict(zip(words, (x.tobytes() for x in self.merge([w.encode() for w in words]))))
             memo.update((c, b"".join(map(ids.__getitem__, ws))) for c, ws in zip(fresh, split))
         special = {s: np.array([i], dtype="<u4").tobytes() for s, i in self.special.items()}
-        out = [b"".join(special[p] if i % 2 else b"".join(map(memo.__getitem__, p)) for i, p in enumerate(parts))
-               for parts in cut]
-        if len(memo) > MEMO_ENTRIES:
-            self.memo = {c: memo[c] for c in seen}
+        out = [b"".join([special[p] if i % 2 else b"".join(map(memo.__getitem__, byte_chunks(p)))
+                         for i, p in enumerate(self._segments(t))]) for t in texts]
+        if len(memo) > KEPT_CHUNKS:
+            self.memo = {}
         return out
 
+    def _segments(self, text: str) -> list[str]:
+        """The text around special strings (even places) and those strings (odd ones)."""
+        return self.cut.split(text) if self.cut else [text]
+
     def decode(self, ids: np.ndarray) -> str:
         """Text of the ids, special strings included; bytes that are not UTF-8
         become replacement characters."""

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, packing, quality, shards, toxicity
+from . import bpe, packing, quality, shards, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -24,8 +24,12 @@ QUERIES = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(fn):
+def query(fn=None, *, sql: str | None = None):
+    if fn is None:
+        return lambda f: query(f, sql=sql)
     QUERIES[fn.__name__] = fn
+    if sql is not None:
+        ORACLE[fn.__name__] = sql
     return fn
 
 
@@ -38,6 +42,13 @@ def op1_toxicity(spark, sf_dir):
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    return spans.dedup(read(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"),
+        F.col("_cuts").alias("cuts"))
+
+
 @query
 def op3_token_shards(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
@@ -68,3 +79,65 @@ def op9_quality(spark, sf_dir):
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.judge(docs, model).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query(sql="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+SELECT a.vec_id AS query_id,
+       CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id) AS INTEGER) AS rank,
+       b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+WHERE a.vec_id % 50 = 0
+QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id) <= 5""")
+def op5_topk(spark, sf_dir):
+    return topk.top_k(read(spark, sf_dir, "embeddings"), k=5)
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query(sql="""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+r AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM p),
+g AS (SELECT doc_id AS page_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+h AS (SELECT host, count(good) AS n, coalesce(sum(good), 0) AS k FROM r LEFT JOIN g USING (page_id) GROUP BY host),
+parts AS (SELECT *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS l FROM h),
+two AS (SELECT *, array_to_string(l[-2:], '.') AS d2,
+               array_to_string(l[-2:], '.') IN ('co.uk', 'org.uk', 'ac.uk', 'com.au', 'co.jp', 'com.br') AS long FROM parts),
+hs AS (SELECT host, n, k, CASE WHEN long THEN d2 ELSE l[-1] END AS suffix,
+              CASE WHEN long THEN array_to_string(l[-3:], '.') ELSE d2 END AS domain FROM two),
+ds AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM hs GROUP BY suffix, domain),
+ss AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM ds GROUP BY suffix),
+g0 AS (SELECT (sum(k) + 1) / (sum(n) + 2) AS m FROM ss),
+s1 AS (SELECT suffix, n, k, m AS c FROM ss, g0),
+w1 AS (SELECT coalesce(least(0.999, greatest(0.001, CASE WHEN sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) > 0 THEN
+         (sum(CASE WHEN n > 0 THEN n * (k / n - c) ** 2 END) - sum(CASE WHEN n > 0 THEN c * (1 - c) END)) / sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) END)), 0.001) AS rho FROM s1),
+p1 AS (SELECT suffix, (k + (1 - rho) / rho * c) / (n + (1 - rho) / rho) AS c FROM s1, w1),
+s2 AS (SELECT suffix, domain, n, k, c FROM ds JOIN p1 USING (suffix)),
+w2 AS (SELECT coalesce(least(0.999, greatest(0.001, CASE WHEN sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) > 0 THEN
+         (sum(CASE WHEN n > 0 THEN n * (k / n - c) ** 2 END) - sum(CASE WHEN n > 0 THEN c * (1 - c) END)) / sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) END)), 0.001) AS rho FROM s2),
+p2 AS (SELECT suffix, domain, (k + (1 - rho) / rho * c) / (n + (1 - rho) / rho) AS c FROM s2, w2),
+s3 AS (SELECT host, n, k, c FROM hs JOIN p2 USING (suffix, domain)),
+w3 AS (SELECT coalesce(least(0.999, greatest(0.001, CASE WHEN sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) > 0 THEN
+         (sum(CASE WHEN n > 0 THEN n * (k / n - c) ** 2 END) - sum(CASE WHEN n > 0 THEN c * (1 - c) END)) / sum(CASE WHEN n > 0 THEN (n - 1) * c * (1 - c) END) END)), 0.001) AS rho FROM s3),
+p3 AS (SELECT host, n, (1 - rho) / rho AS w, (k + (1 - rho) / rho * c) / (n + (1 - rho) / rho) AS mean FROM s3, w3),
+b AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + w + 1)) AS bound FROM p3),
+v AS (SELECT r.*, bound,
+        CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+             WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+             WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+             WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+      FROM r JOIN b USING (host))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bound >= 0.5 THEN 'allow' ELSE 'block' END AS verdict
+FROM v""")
+def op6_url_reputation(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"), URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
