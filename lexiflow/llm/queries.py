@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, packing, quality, shards, spans, topk, toxicity, urls
+from . import bpe, neardup, packing, quality, shards, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -141,3 +141,9 @@ FROM v""")
 def op6_url_reputation(spark, sf_dir):
     return urls.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op8_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", F.hex("class_md5").alias("class_md5"))
