@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, neardup, packing, quality, shards, spans, topk, toxicity, urls
+from . import bpe, lm, neardup, packing, quality, shards, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -147,3 +147,9 @@ def op6_url_reputation(spark, sf_dir):
 def op8_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", F.hex("class_md5").alias("class_md5"))
+
+
+@query
+def op10_lm_score(spark, sf_dir):
+    out = lm.score(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
