@@ -46,3 +46,18 @@ def crc_mod(col: str, n: int) -> Column:
 
 def text_of(df: DataFrame, name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def keep_rows(docs: DataFrame, text: str, keep) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text passes. ``keep()`` is called
+    once in each task and gives the test of a text (null: the empty one)."""
+    place = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        test = keep()
+        for batch in batches:
+            yield batch.filter(pa.array([test(t or "") for t in batch.column(place).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -265,6 +265,8 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **op
     chosen = found.groupBy("class_md5").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_md5")).alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.text_md5").alias("_cls"))
-    keyed = docs.withColumn("_md5", F.unhex(F.md5(text_of(docs, text).cast("binary"))))
-    kept = keyed.join(chosen, (F.col("_md5") == F.col("_cls")) & F.col(key).cast("long").eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["_cls"]).select(*docs.columns)
+    # the whole row in one column, so that no name of its own can clash
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"),
+                        F.unhex(F.md5(text_of(docs, text).cast("binary"))).alias("_md5"))
+    kept = keyed.join(chosen, (F.col("_md5") == F.col("_cls")) & F.col("_key").eqNullSafe(F.col("_id")))
+    return kept.dropDuplicates(["_cls"]).select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))

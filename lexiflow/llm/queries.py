@@ -45,8 +45,8 @@ def op1_toxicity(spark, sf_dir):
 @query
 def op2_substring_dedup(spark, sf_dir):
     return spans.dedup(read(spark, sf_dir, "documents")).select(
-        "doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"),
-        F.col("_cuts").alias("cuts"))
+        "doc_id", "text", F.col("dedup_info.sentences").alias("n_sentences"), F.col("dedup_info.removed").alias("n_removed"),
+        F.col("dedup_info.cuts").alias("cuts"))
 
 
 @query

@@ -50,8 +50,10 @@ def sentence_spans(words: list[list[bytes]], min_words: int) -> list[tuple[int,
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The whole row in one column, so that no name of its own can clash, then
+    the key, a hash of the text and the text."""
     t = text_of(docs, text)
-    return docs.withColumn("_key", F.col(key).cast("long")).withColumn("_hash", F.xxhash64(t)).withColumn("_text", t)
+    return docs.select(F.struct("*").alias("_row"), F.col(key).cast("long").alias("_key"), F.xxhash64(t).alias("_hash"), t.alias("_text"))
 
 
 def span_table(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,19 +97,23 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs``, its text without the sentences of non-first spans,
-    and ``_sentences``, ``_removed`` (how many), ``_cuts`` (the character ranges
-    that were removed).
+    and ``dedup_info``: a struct of ``sentences``, ``removed`` (how many) and
+    ``cuts`` (the character ranges that were removed). Where ``docs`` has such a
+    column, the new one gets underscores before its name.
 
     Null texts stay null, empty ones empty. Rows with equal key and text are one
     document and get the same result; so do null keys with equal text. Documents
     are ordered by key (null first), then by a hash of the text. An empty table
-    gives no rows."""
+    gives no rows; other columns are kept as they are."""
     prepare(docs.sparkSession)
+    info = "dedup_info"
+    while info in docs.columns:
+        info = "_" + info
     keyed = _keyed(docs, key, text)
     runs = repeated_spans(docs, min_words, key, text).select(
         F.col("_key").alias("_k"), F.col("_hash").alias("_h"), "runs")
     rows = keyed.join(runs, keyed["_key"].eqNullSafe(F.col("_k")) & (keyed["_hash"] == F.col("_h")), "left").select(
-        *docs.columns, "_text", F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("_runs"))
+        "_row", "_text", F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("_runs"))
 
     @F.pandas_udf("struct<text:string,sentences:int,removed:int,cuts:array<struct<start:int,end:int>>>")
     def cut(texts, runs):
@@ -131,8 +137,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text
                         len(bounds), int(gone.sum()), cuts))
         return pd.DataFrame(out, columns=["text", "sentences", "removed", "cuts"])
 
-    rows = rows.withColumn("_new", cut("_text", "_runs"))
-    return rows.select(*(F.when(F.col(c).isNull(), F.col(c)).otherwise(F.col("_new.text")).alias(c) if c == text else F.col(c)
+    rows = rows.select("_row", cut("_text", "_runs").alias("_new"))
+    old = F.col("_row").getField(text)
+    return rows.select(*(F.when(old.isNotNull(), F.col("_new.text")).alias(c) if c == text else F.col("_row").getField(c).alias(c)
                          for c in docs.columns),
-                       F.col("_new.sentences").alias("_sentences"), F.col("_new.removed").alias("_removed"),
-                       F.col("_new.cuts").alias("_cuts"))
+                       F.struct("_new.sentences", "_new.removed", "_new.cuts").alias(info))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, text_of
+from .common import keep_rows, prepare, text_of
 
 #: Labelled rows of each class that the model is fitted on, at most.
 SAMPLE_PER_CLASS = 8_000
@@ -254,3 +254,19 @@ def score(docs: DataFrame, model: ToxicModel, key: str = "doc_id", text: str = "
     return docs.select(F.col(key).cast("long").alias("doc_id"), text_of(docs, text).alias("text")).mapInArrow(
         run, "doc_id long, score double, n_words long, "
              "segments array<struct<first:bigint,last:bigint,score:double,p:double>>")
+
+
+def clean(docs: DataFrame, model: ToxicModel, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``, with all their columns."""
+    prepare(docs.sparkSession)
+
+    def passes():
+        memo = _Scores(model)
+
+        def test(t: str) -> bool:
+            (n, segments), = _segments(model, [t], memo)
+            return model.probability(model.features(n, segments)) < least
+
+        return test
+
+    return keep_rows(docs, text, passes)
