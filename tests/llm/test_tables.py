@@ -32,7 +32,7 @@ def test_topk_brute_force(spark, shard_rows, block_rows, fan_in):
     r = random.Random(1)
     rows = [(i, [float(np.float32(r.gauss(0, 1))) for _ in range(6)]) for i in range(400)]
     rows += [(i, rows[7][1]) for i in range(400, 450)]  # ties
-    rows += [(450, None), (500, [1.0, None, 1, 1, 1, 1]), (550, [float("nan")] * 6), (600, []), (None, rows[3][1]),
+    rows += [(450, None), (500, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (550, [float("nan")] * 6), (600, []), (None, rows[3][1]),
              (650, [1.0, 2.0]), (651, [2.0, 1.0]), (701, rows[0][1]), (701, rows[0][1])]
     df = spark.createDataFrame([(i, v, "z", "z") for i, v in rows], "vec_id long, embedding array<float>, v string, slot string")
     got = topk.top_k(df.repartition(5), shard_rows=shard_rows, block_rows=block_rows, fan_in=fan_in).collect()
