@@ -8,17 +8,15 @@ needed. The kernel keeps no state between rows.
 
 Corpus alignment (M3) re-aims the reference's sequential sampler as batch
 hard EM: count aligned symbol pairs with ``groupBy``, turn counts into costs,
-re-align every pair with those costs, repeat. The cost table is bounded by the
-alphabet, not the data; it is broadcast when its size is checked to be small,
-and otherwise shipped to each pair by a join on the symbol pairs that pair can
-use. Each round's alignment is written to the shared checkpoint folder to cut
+re-align every pair with those costs, repeat. Each pair gets the costs it can
+use by a join on its symbol pairs; no cost table is collected. Each round's alignment is written to the shared checkpoint folder to cut
 the lineage.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,10 +26,8 @@ from ..functions.text import chars
 
 GAP = "~"
 PRIOR = 0.1
-MAX_BROADCAST_PAIRS = 1_000_000
-
-# Back-pointer choices; on equal cost the order is delete, substitute, insert.
-_DEL, _SUB, _INS = 0, 1, 2
+#: Rounds of corpus alignment (the original aligner's value).
+ROUNDS = 10
 
 
 def align_pad(a: Column, b: Column) -> tuple[Column, Column]:
@@ -46,111 +42,84 @@ def _unit(x: str, y: str) -> float:
 
 def best_alignment(src: str, tgt: str, cost=_unit) -> tuple[str, str, float]:
     """Cheapest alignment of two strings. ``cost(x, y)`` prices aligning x to y,
-    with the gap symbol for an insertion or deletion. Ties prefer deleting a
-    source character, then substituting, then inserting.
-
-    Costs are looked up once per pair into plain lists before the DP, so the
-    inner loop only indexes lists."""
-    n, m = len(src), len(tgt)
-    dele = [cost(c, GAP) for c in src]
-    ins = [cost(GAP, c) for c in tgt]
-    if cost is _unit:
-        sub = [[0.0 if a == b else 1.0 for a in src] for b in tgt]
-    else:
-        sub = [[cost(a, b) for a in src] for b in tgt]
-    prev = [0.0] * (n + 1)
-    for y in range(1, n + 1):
-        prev[y] = prev[y - 1] + dele[y - 1]
-    bps = [[_DEL] * (n + 1)]
-    for x in range(1, m + 1):
-        cur = [prev[0] + ins[x - 1]] + [0.0] * n
-        bp = [_INS] + [_DEL] * n
-        sx, ix = sub[x - 1], ins[x - 1]
-        for y in range(1, n + 1):
-            best = cur[y - 1] + dele[y - 1]          # delete
-            choice = _DEL
-            v = prev[y - 1] + sx[y - 1]              # substitute / copy
-            if v < best:
-                best, choice = v, _SUB
-            v = prev[y] + ix                         # insert
-            if v < best:
-                best, choice = v, _INS
-            cur[y] = best
-            bp[y] = choice
-        bps.append(bp)
-        prev = cur
-    a_out, b_out = [], []
-    x, y = m, n
-    while x > 0 or y > 0:
-        c = bps[x][y] if x > 0 else _DEL
-        if c == _SUB:
-            x, y = x - 1, y - 1
-            a_out.append(src[y]); b_out.append(tgt[x])
-        elif c == _INS:
-            x -= 1
-            a_out.append(GAP); b_out.append(tgt[x])
+    with the gap symbol for an insertion or deletion.
+
+    ``least[i][j]`` is the price of the first i source and j target characters.
+    The alignment is read from the end: of the moves that explain a price,
+    deleting a source character comes first, then substituting, then inserting."""
+    drop = [cost(c, GAP) for c in src]
+    add = [cost(GAP, c) for c in tgt]
+    swap = {(c, t): cost(c, t) for c in set(src) for t in set(tgt)}
+    least = [list(accumulate(add, initial=0.0))]
+    for c, d in zip(src, drop):
+        above = least[-1]
+        row = [above[0] + d]
+        for j, t in enumerate(tgt):
+            row.append(min(above[j + 1] + d, above[j] + swap[c, t], row[j] + add[j]))
+        least.append(row)
+    i, j, columns = len(src), len(tgt), []
+    while i or j:
+        price = least[i][j]
+        if i and (not j or least[i - 1][j] + drop[i - 1] == price):
+            i -= 1
+            columns.append((src[i], GAP))
+        elif i and least[i - 1][j - 1] + swap[src[i - 1], tgt[j - 1]] == price:
+            i, j = i - 1, j - 1
+            columns.append((src[i], tgt[j]))
         else:
-            y -= 1
-            a_out.append(src[y]); b_out.append(GAP)
-    return "".join(reversed(a_out)), "".join(reversed(b_out)), prev[n]
-
-
-def actions(aligned_src: str, aligned_tgt: str, src: str) -> list[str]:
-    """M5: the transducer's action sequence for one aligned pair: ``^`` steps to
-    the next source character, a number copies the source character at that
-    index (of the marked source ``<src>``), any other symbol is written, ``>`` ends."""
-    marked = "<" + src + ">"
-    al, aw = aligned_src + ">", aligned_tgt + ">"
-    pos, out = 0, []
-    for k, w in enumerate(aw):
-        if w == ">":
-            out.append(">")
-            break
-        if marked[pos] == "<" and al[k] != GAP:
-            out.append("^")
-            pos += 1
-        if w != GAP:
-            out.append(str(pos) if marked[pos] == w else w)
-        if pos < len(marked) - 1 and al[k + 1] != GAP:
-            out.append("^")
-            pos += 1
-    return out
+            j -= 1
+            columns.append((GAP, tgt[j]))
+    columns.reverse()
+    return "".join(a for a, _ in columns), "".join(b for _, b in columns), least[-1][-1]
+
+
+def actions(aligned_source: Column, aligned_target: Column) -> Column:
+    """M5: the transducer's actions for an alignment. A column with a source
+    character steps to it (``^``); a column with a target character writes it, as
+    the position of the source character the transducer stands on when they are
+    equal, else as itself. At the end it steps to the end mark and stops (``>``);
+    an alignment without columns only stops."""
+    columns = F.arrays_zip(chars(aligned_source).alias("s"), chars(aligned_target).alias("t"))
+    none = F.array().cast("array<string>")
+    start = F.struct(F.lit(0).alias("at"), F.lit("<").alias("on"), none.alias("out"))
+
+    def column(state, c):
+        steps = c["s"] != GAP
+        at = state["at"] + steps.cast("int")
+        on = F.when(steps, c["s"]).otherwise(state["on"])
+        written = F.when(c["t"] == GAP, none).otherwise(
+            F.array(F.when(c["t"] == on, at.cast("string")).otherwise(c["t"])))
+        return F.struct(at.alias("at"), on.alias("on"),
+                        F.concat(state["out"], F.when(steps, F.array(F.lit("^"))).otherwise(none), written).alias("out"))
+
+    def end(state):
+        return F.concat(state["out"], F.when(F.size(columns) > 0, F.array(F.lit("^"))).otherwise(none), F.array(F.lit(">")))
+
+    return F.aggregate(columns, start, column, end)
 
 
 ALIGN_SCHEMA = "source string, target string, aligned_source string, aligned_target string, cost double"
 WEIGHTED_SCHEMA = ALIGN_SCHEMA + ", n long"
 
 
-def _kernel(cost_table: dict | None, default: float | None):
-    def cost_of(x, y):
-        if cost_table is None:
-            return _unit(x, y)
-        return cost_table.get((x, y), default)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [best_alignment(s, t, cost_of) for s, t in zip(pdf["source"], pdf["target"])]
-            out = pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
-                                "aligned_source": [r[0] for r in rows], "aligned_target": [r[1] for r in rows],
-                                "cost": [float(r[2]) for r in rows]})
-            if "n" in pdf.columns:
-                out["n"] = pdf["n"].values
-            yield out
-    return run
-
-
-def _row_cost_kernel(default: float):
-    """Kernel for the join path: each row carries its own cost entries."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for s, t, entries in zip(pdf["source"], pdf["target"], pdf["costs"]):
-                table = {(e["x"], e["y"]): e["c"] for e in entries} if entries is not None else {}
-                out.append(best_alignment(s, t, lambda x, y: table.get((x, y), default)))
-            yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
-                                "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
-                                "cost": [float(r[2]) for r in out], "n": pdf["n"].values})
-    return run
+def _unit_kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = [best_alignment(s, t) for s, t in zip(pdf["source"], pdf["target"])]
+        yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
+                            "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
+                            "cost": [float(r[2]) for r in out]})
+
+
+def _cost_kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each row carries the costs it can use and the cost of any other pair."""
+    for pdf in batches:
+        out = []
+        for s, t, entries, default in zip(pdf["source"], pdf["target"], pdf["costs"], pdf["unseen"]):
+            table = {(e["x"], e["y"]): e["c"] for e in entries} if entries is not None else {}
+            out.append(best_alignment(s, t, lambda x, y: table.get((x, y), default)))
+        yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
+                            "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
+                            "cost": [float(r[2]) for r in out], "n": pdf["n"].values})
 
 
 def distinct_pairs(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -159,7 +128,7 @@ def distinct_pairs(df: DataFrame, source: str, target: str) -> DataFrame:
 
 def align_med(pairs: DataFrame, source: str = "source", target: str = "target") -> DataFrame:
     """M2: minimum-edit alignment of every distinct pair (unit costs)."""
-    return distinct_pairs(pairs, source, target).mapInPandas(_kernel(None, None), ALIGN_SCHEMA)
+    return distinct_pairs(pairs, source, target).mapInPandas(_unit_kernel, ALIGN_SCHEMA)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -179,28 +148,20 @@ def costs_from_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _realign(weighted: DataFrame, counts: DataFrame) -> DataFrame:
-    """Re-align every distinct pair at the prices given by ``counts``."""
-    n_cost = counts.count()  # the table's size, checked before anything is collected
-    if n_cost <= MAX_BROADCAST_PAIRS:
-        rows = counts.collect()
-        total = float(sum(r["cnt"] for r in rows))
-        denom = total + n_cost * PRIOR
-        table = {(r["x"], r["y"]): -math.log((r["cnt"] + PRIOR) / denom) for r in rows}
-        return weighted.mapInPandas(_kernel(table, -math.log(PRIOR / denom)), WEIGHTED_SCHEMA)
-    # Large alphabet: ship each pair only the cost entries it can use.
+    """Re-align every distinct pair at the prices given by ``counts``: a join gives
+    each pair the cost entries its characters can use."""
     cost, tot = costs_from_counts(counts)
-    default = float(tot.first()["default"])
     sx = F.array_union(chars(F.col("source")), F.array(F.lit(GAP)))
     ty = F.array_union(chars(F.col("target")), F.array(F.lit(GAP)))
-    need = weighted.select("source", "target", F.explode(sx).alias("x"), ty.alias("_ty")) \
-                   .select("source", "target", "x", F.explode("_ty").alias("y"))
-    got = need.join(cost, ["x", "y"], "inner").groupBy("source", "target").agg(
-        F.collect_list(F.struct("x", "y", "c")).alias("costs"))
-    rows = weighted.join(got, ["source", "target"], "left")
-    return rows.mapInPandas(_row_cost_kernel(default), WEIGHTED_SCHEMA)
+    need = weighted.select("source", "target", "n", F.explode(sx).alias("x"), ty.alias("_ty")) \
+                   .select("source", "target", "n", "x", F.explode("_ty").alias("y"))
+    rows = need.join(cost, ["x", "y"], "left").groupBy("source", "target").agg(
+        F.first("n").alias("n"),
+        F.collect_list(F.when(F.col("c").isNotNull(), F.struct("x", "y", "c"))).alias("costs"))
+    return rows.withColumn("unseen", tot.select("default").scalar()).mapInPandas(_cost_kernel, WEIGHTED_SCHEMA)
 
 
-def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = 3,
+def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
                  checkpoint: bool = True) -> DataFrame:
     """M3: corpus alignment by batch hard EM. Start from the padded alignment
     (M1), then ``iters`` rounds of: count aligned symbol pairs over the corpus
@@ -215,8 +176,8 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
     weighted = keep(pairs.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(
         F.count(F.lit(1)).alias("n")))
     a, b = align_pad(F.col("source"), F.col("target"))
-    cur = keep(weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
-                               F.lit(None).cast("double").alias("cost"), "n"))
+    cur = weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
+                          F.lit(None).cast("double").alias("cost"), "n")
     for _ in range(iters):
         cur = keep(_realign(weighted, pair_counts(cur)))
     return cur
@@ -238,15 +199,8 @@ def template(aligned_source: Column, aligned_target: Column) -> Column:
 
 def actions_frame(aligned: DataFrame) -> DataFrame:
     """M5 over an alignment table: adds ``actions`` (array of strings)."""
-    schema = ALIGN_SCHEMA + ", actions array<string>"
-
-    def run(batches):
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf["actions"] = [actions(a, b, s) for a, b, s in
-                              zip(pdf["aligned_source"], pdf["aligned_target"], pdf["source"])]
-            yield pdf
-    return aligned.select("source", "target", "aligned_source", "aligned_target", "cost").mapInPandas(run, schema)
+    return aligned.select("source", "target", "aligned_source", "aligned_target", "cost",
+                          actions(F.col("aligned_source"), F.col("aligned_target")).alias("actions"))
 
 
 def alignment_report(aligned: DataFrame, order: list[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from ..session import materialise
-from .joins import predict_mfl
+from .joins import mark_seen, predict_mfl
 from .scoring import DIGITS, collapse, ratio, score, score_collapsed
 
 
@@ -23,8 +23,9 @@ def fit_mfl(train: DataFrame) -> DataFrame:
     """A4: per lower-cased form the lemma seen most often; ties go to the lemma
     seen first (smallest (doc_id, sent_id, tok_id)).
 
-    Both aggregations are hash aggregates with a map-side partial step, so a
-    hot form never gathers its rows in one task; no window sort is needed."""
+    Both aggregations have a map-side partial step (sort-based, as their buffers
+    hold structs), so a hot form never gathers its rows in one task; no window
+    is needed."""
     c = train.groupBy("lform", "lemma").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct("doc_id", "sent_id", "tok_id")).alias("first"))
@@ -90,6 +91,28 @@ def eval_by_pos(words: DataFrame, train: str = "train", test: str = "test", pos:
     model = fit_mfl_counts(counts, f"n_{train}")
     pairs = held_out_pairs(counts, test, by=(pos,))
     pred = predict_mfl(model, pairs)
+    # POS tags that occur only in training still get a row (all N/A).
+    tags = counts.filter((F.col(f"n_{train}") + F.col(f"n_{test}")) > 0).select(pos).distinct()
+    return _pos_table(pred, tags, pos)
+
+
+def eval_predictions_by_pos(test: DataFrame, pred: DataFrame, train: DataFrame, keys: Sequence[str],
+                            pos: str = "xpostag", form: str = "lform") -> DataFrame:
+    """A7 over a prediction table: ``test`` (gold words: keys, ``form``, ``lemma``,
+    ``pos``), ``pred`` (keys, ``plemma``) and the training words that decide
+    seen/unseen. Rows pair on ``keys`` (a position, see ``joins.by_position``, where
+    the tables share only their order); test words without a prediction count as
+    predicted by nothing, so as wrong. Output as ``eval_by_pos``."""
+    p = pred.select(*keys, F.col("plemma"))
+    rows = test.select(*keys, form, "lemma", pos).join(p, list(keys), "left").withColumn("plemma", F.coalesce("plemma", F.lit("")))
+    pairs = rows.groupBy(pos, form, "lemma", "plemma").agg(F.count(F.lit(1)).alias("n"))
+    tags = train.select(pos).unionAll(test.select(pos)).distinct()
+    return _pos_table(mark_seen(pairs, train, form), tags, pos)
+
+
+def _pos_table(pred: DataFrame, tags: DataFrame, pos: str) -> DataFrame:
+    """Rows (pos, lemma, plemma, seen, n) -> the table by POS x seen/unseen; ``tags``
+    are the POS that get a row besides ``TOTAL``."""
     ok = F.col("lemma") == F.col("plemma")
     dist = F.levenshtein(F.col("plemma"), F.col("lemma"))
     n = F.col("n")
@@ -104,9 +127,7 @@ def eval_by_pos(words: DataFrame, train: str = "train", test: str = "test", pos:
 
     agg = pred.rollup(pos).agg(*cell(True), *cell(False), F.grouping(pos).alias("_g"))
     agg = agg.withColumn(pos, F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col(pos)))
-    # POS tags that occur only in training still get a row (all N/A).
-    universe = (counts.filter((F.col(f"n_{train}") + F.col(f"n_{test}")) > 0).select(pos).distinct()
-                .union(words.sparkSession.range(1).select(F.lit("TOTAL").alias(pos))))
+    universe = tags.union(tags.sparkSession.range(1).select(F.lit("TOTAL").alias(pos)))
     j = universe.join(agg, pos, "left").na.fill(0, subset=[c for c in agg.columns if c not in (pos, "_g")])
     c = F.col
     return j.select(

@@ -65,6 +65,6 @@ def seg_lem(tok: DataFrame, keys: Sequence[str] = (), legacy: bool = False) -> t
     return seg, lem
 
 
-def truncate(col: Column, width: int = 45) -> Column:
+def truncate(col: Column, width: int) -> Column:
     """Cut a (noisy) segmentation to ``width`` characters."""
     return F.substring(col, 1, width)

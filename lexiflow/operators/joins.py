@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .filters import drop_punct, truncate
+
 
 def predict_mfl(model: DataFrame, df: DataFrame, form: str = "lform", out: str = "plemma") -> DataFrame:
     """lemma = most frequent training lemma of the form, else the form itself.
@@ -31,7 +33,7 @@ def merge_gold(gold: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFra
 
     Gold punctuation is dropped; gold lemma/pos/feats/misc overwrite the
     prediction's own columns (the prediction keeps form, plemma, ppos, pfeats)."""
-    g = gold.filter(F.col("xpostag") != "PUNCT").select(
+    g = drop_punct(gold).select(
         *keys, F.col("lemma").alias("_gl"), F.col("xpostag").alias("_gp"),
         F.col("feats").alias("_gf") if "feats" in gold.columns else F.lit(None).cast("string").alias("_gf"),
         F.col("misc").alias("_gm") if "misc" in gold.columns else F.lit(None).cast("string").alias("_gm"))
@@ -42,9 +44,17 @@ def merge_gold(gold: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFra
                     F.col("_gf").alias("feats"), F.col("_gm").alias("misc"))
 
 
+def by_position(df: DataFrame, order: Sequence[str], out: str = "pos", chunk=None) -> DataFrame:
+    """The running position (from 1) of each row in ``order``, the key of tables
+    that only share their order: ``merge_gold`` on ``pos`` then pairs the n-th word
+    with the n-th prediction."""
+    from .windows import running_number
+    return running_number(df, [], list(order), out, chunk=chunk)
+
+
 def merge_audit(gold: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts of paired, gold-only and prediction-only rows (a positional zip drops them silently)."""
-    g = gold.filter(F.col("xpostag") != "PUNCT").select(*keys).withColumn("_g", F.lit(1))
+    g = drop_punct(gold).select(*keys).withColumn("_g", F.lit(1))
     p = pred.select(*keys).withColumn("_p", F.lit(1))
     j = g.join(p, list(keys), "full_outer")
     return j.agg(
@@ -61,11 +71,11 @@ def mark_seen(test: DataFrame, train: DataFrame, col: str = "lform") -> DataFram
 
 
 def noisy_merge(pred: DataFrame, lem: DataFrame, keys: Sequence[str], seg: str = "pseg",
-                width: int = 45) -> DataFrame:
+                width: int | None = None) -> DataFrame:
     """J4 + P7: replace the gold segmentation of each lemma-task row by the predicted
-    one (truncated to ``width`` characters). Both sides must pair one to one;
+    one (cut to ``width`` characters where given). Both sides must pair one to one;
     ``assert_true`` fails the job otherwise."""
-    p = pred.select(*keys, F.substring(F.col(seg), 1, width).alias("_ps"), F.lit(1).alias("_pp"))
+    p = pred.select(*keys, (F.col(seg) if width is None else truncate(F.col(seg), width)).alias("_ps"), F.lit(1).alias("_pp"))
     l = lem.withColumn("_lp", F.lit(1))
     j = l.join(p, list(keys), "full_outer")
     j = j.withColumn("_chk", F.assert_true(F.col("_pp").isNotNull() & F.col("_lp").isNotNull(),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import instantiate
+from ..session import materialise
 from .align import align_med, template
 
 
@@ -30,16 +31,19 @@ def pair_templates(pairs: DataFrame, source: str, target: str) -> DataFrame:
 def fit_templates(train: DataFrame, source: str, target: str, pos: str, suffix_len: int = 2) -> tuple[DataFrame, DataFrame]:
     """M7 fit: per (pos, last ``suffix_len`` characters of the source) the most
     frequent template, and per pos alone the back-off template. Ties go to the
-    smaller template text. Aggregates are hash aggregates with ``max_by``: no
-    group is gathered in one task."""
-    tpl = pair_templates(train, source, target)
-    t = train.select(F.col(source).alias("source"), F.col(target).alias("target"), F.col(pos).alias("pos")) \
-             .join(tpl, ["source", "target"])
-    t = t.withColumn("suffix", F.substring("source", -suffix_len, suffix_len)) \
-         .withColumn("tkey", F.array_join("template", "\u0001"))
+    smaller template text. Pairs are collapsed, then aligned once, and both models
+    come from one aggregate; aggregates have a map-side step, so no group is
+    gathered in one task."""
+    counted = train.groupBy(F.col(pos).alias("pos"), F.col(source).alias("source"), F.col(target).alias("target")).agg(
+        F.count(F.lit(1)).alias("n"))
+    # pairs are collapsed before they meet their templates
+    t = counted.join(pair_templates(counted, "source", "target"), ["source", "target"]) \
+        .withColumn("suffix", F.substring("source", -suffix_len, suffix_len)) \
+        .withColumn("tkey", F.array_join("template", "\u0001"))
+    counts = materialise(t.groupBy("pos", "suffix", "tkey").agg(F.sum("n").alias("n"), F.first("template").alias("template")))
 
     def best(keys):
-        c = t.groupBy(*keys, "tkey").agg(F.count(F.lit(1)).alias("n"), F.first("template").alias("template"))
+        c = counts.groupBy(*keys, "tkey").agg(F.sum("n").alias("n"), F.first("template").alias("template"))
         # most frequent first, then the smaller template text
         return c.groupBy(*keys).agg(F.min_by("template", F.struct((-F.col("n")).alias("negn"), F.col("tkey")))
                                     .alias("template"))
@@ -62,17 +66,38 @@ def apply_templates(test: DataFrame, source: str, pos: str, by_suffix: DataFrame
 
 
 def template_coverage(train: DataFrame, test: DataFrame, source: str, target: str) -> DataFrame:
-    """A test pair counts as covered when its own template (same aligner)
-    is one of the training templates: a semi-join on the template text of
-    distinct test pairs against distinct training templates. Output one row:
-    covered, total, percent (over test rows)."""
-    tr = pair_templates(train, source, target).select(F.array_join("template", "\u0001").alias("tkey")).distinct()
-    te_pairs = test.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(
-        F.count(F.lit(1)).alias("n"))
-    te = pair_templates(te_pairs, "source", "target").join(te_pairs, ["source", "target"]) \
-        .withColumn("tkey", F.array_join("template", "\u0001"))
-    j = te.join(tr.withColumn("_hit", F.lit(1)), "tkey", "left")
-    return j.agg(F.sum(F.when(F.col("_hit").isNotNull(), F.col("n")).otherwise(0)).cast("bigint").alias("covered"),
+    """A test pair counts as covered when some training template makes its
+    target from its source.
+
+    For a source of a given length a template fixes the target's length and the
+    characters at some places (its mask). A distinct test pair is keyed by the
+    masks that occur with its two lengths and by its own characters there, and
+    meets the templates with the same key in an equi-join; ``instantiate`` then
+    decides. No pair meets a template it contradicts. Output one row: covered,
+    total, percent (over test rows)."""
+    te = test.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
+    lengths = te.select(F.length("source").alias("len")).distinct()
+    templates = pair_templates(train, source, target).select("template").distinct()
+    # as many lengths as words have: one array beside each template
+    every = lengths.agg(F.collect_set("len")).scalar()
+    t = templates.select("template", F.explode(every).alias("len"))
+
+    def is_copy(x):
+        return x.rlike("^[0-9]+$")
+
+    parts = F.filter("template", lambda x: ~is_copy(x) | (x.try_cast("int") < F.col("len")))
+    t = t.withColumn("_parts", parts).select(
+        "template", "len", F.array_join(F.transform("_parts", lambda x: F.when(is_copy(x), "0").otherwise("1")), "").alias("mask"),
+        F.array_join(F.filter("_parts", lambda x: ~is_copy(x)), "").alias("letters"))
+    masks = t.select("len", "mask").distinct().withColumn("out", F.length("mask"))
+    keyed = te.withColumn("len", F.length("source")).withColumn("out", F.length("target")).join(masks, ["len", "out"])
+    letters = F.array_join(F.filter(F.transform(F.when(F.length("mask") > 0, F.split("mask", "")).otherwise(F.array().cast("array<string>")),
+                                                lambda m, i: F.when(m == "1", F.substring(F.col("target"), i + 1, F.lit(1)))),
+                                    lambda x: x.isNotNull()), "")
+    hits = keyed.withColumn("letters", letters).join(t, ["len", "mask", "letters"]).filter(
+        instantiate(F.col("template"), F.col("source")) == F.col("target")).select("source", "target").distinct()
+    j = te.join(hits.withColumn("_hit", F.lit(1)), ["source", "target"], "left")
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("covered"),
                  F.sum("n").cast("bigint").alias("total")) \
             .withColumn("percent", F.round(F.col("covered") * 100.0 / F.col("total"), 6))
 

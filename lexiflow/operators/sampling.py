@@ -4,9 +4,8 @@ Order comes from ``md5(seed:key)`` (hex compares like the 128-bit number), a
 hash every engine computes the same way, so a split is reproducible across
 runs, clusters and the SQL oracle. No sampler gathers the table in one task:
 global ranks use the chunked prefix sum of ``windows.running_number`` (chunks
-are hash prefixes, so they are balanced), per-group top-k uses
-``row_number() <= k`` which Spark plans as a partial group limit before the
-shuffle.
+are hash prefixes, so they are balanced), per-group heads are cut in hash
+buckets first (``first_rows``).
 """
 
 from __future__ import annotations
@@ -19,6 +18,10 @@ from pyspark.sql import functions as F
 from .windows import running_number
 
 
+#: Buckets a group is cut in before its rows meet.
+SPREAD = 64
+
+
 def seeded_hash(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
@@ -50,12 +53,28 @@ def split_exact(df: DataFrame, key: Sequence[str], p: float, q: float, seed: int
 
 def nested_samples(df: DataFrame, key: Column, sizes: Sequence[int], seed: int) -> DataFrame:
     """One seeded shuffle; sample ``s`` is its first ``s`` rows, so smaller
-    samples nest in larger ones. One output row per (sample_size, row)."""
-    ranked = seeded_rank(df, key, seed)
+    samples nest in larger ones. One output row per (sample_size, row). Only the
+    rows of the largest sample are ever numbered."""
+    most = max((int(s) for s in sizes), default=0)
+    order = [seeded_hash(key, seed), key.cast("string")]
+    top = df.withColumn("_h", order[0]).withColumn("_k", order[1]).orderBy("_h", "_k").limit(most)
+    ranked = running_number(top, [], ["_h", "_k"], "rank",
+                            chunk=F.conv(F.substring("_h", 1, 5), 16, 10).cast("bigint")).drop("_h", "_k")
     arr = F.array(*[F.lit(int(s)) for s in sizes])
     return ranked.select("*", F.explode(F.filter(arr, lambda s: F.col("rank") <= s)).alias("sample_size"))
 
 
+def first_rows(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int, out: str) -> DataFrame:
+    """The first ``n`` rows of each group with their rank, in two stages: a group
+    is first cut to ``n`` rows in each of ``SPREAD`` hash buckets, so that a group
+    with a third of all rows is sorted by many tasks, and only what is left of it
+    meets in one."""
+    bucket = F.pmod(F.xxhash64(*order), F.lit(SPREAD))
+    part = df.withColumn("_b", bucket).withColumn(
+        "_r", F.row_number().over(Window.partitionBy(*key, "_b").orderBy(*order))).filter(F.col("_r") <= n).drop("_b", "_r")
+    return part.withColumn(out, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).filter(F.col(out) <= n)
+
+
 def split_stratified(df: DataFrame, stratum: str, key: Column, quotas: Mapping[str, Sequence[int]],
                      seed: int, roles: Sequence[str] = ("train", "dev", "test")) -> DataFrame:
     """Per stratum, rows in seeded order fill the quotas contiguously:
@@ -66,8 +85,7 @@ def split_stratified(df: DataFrame, stratum: str, key: Column, quotas: Mapping[s
     qrows = [(s, *[int(x) for x in v]) for s, v in quotas.items()]
     qdf = spark.createDataFrame(qrows, f"{stratum} string, " + ", ".join(f"q_{r} long" for r in roles))
     limit = max(sum(v) for _, *v in qrows)
-    w = Window.partitionBy(stratum).orderBy(seeded_hash(key, seed), key.cast("string"))
-    top = df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+    top = first_rows(df, [stratum], [seeded_hash(key, seed), key.cast("string")], limit, "rank")
     j = top.join(F.broadcast(qdf), stratum)
     c1 = F.col(f"q_{roles[0]}")
     c2 = c1 + F.col(f"q_{roles[1]}")
@@ -79,8 +97,7 @@ def split_stratified(df: DataFrame, stratum: str, key: Column, quotas: Mapping[s
 
 def head_per_group(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of each group in ``order``."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    return first_rows(df, [key], [F.col(c) for c in order], n, "rn")
 
 
 def top_k(df: DataFrame, key: Sequence[str], score: str, k: int, tie: Sequence[str] = ()) -> DataFrame:

@@ -17,9 +17,6 @@ RUNTIME_CONF = {
     # str_to_map on a bundle with a repeated key: the last value wins, as a dict would.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # per-group top-k (quota samples) keep the partial group limit before the
-    # shuffle for quotas in the thousands, so a hot group is cut map-side
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 

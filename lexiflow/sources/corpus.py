@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.filters import drop_punct
+
 # Fixed values of the derived corpus (they must agree with the DuckDB oracle).
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s\x0B]"
 WORDCHAR_PATTERN = r"[\p{L}\p{N}]"
@@ -93,7 +95,7 @@ def corpus_tokens(documents: DataFrame) -> DataFrame:
 
 def words(tok: DataFrame) -> DataFrame:
     """Non-punctuation tokens with the lower-cased form used by the scorers."""
-    return tok.filter(F.col("xpostag") != "PUNCT").withColumn("lform", F.lower("form"))
+    return drop_punct(tok).withColumn("lform", F.lower("form"))
 
 
 # ---------------------------------------------------------------- TEI rendering

@@ -16,11 +16,12 @@ def to_parallel(tok: DataFrame, keys: Sequence[str] = ("doc_id", "sent_id"), ord
     form written ``_``), target line (lower-cased lemmas) and POS line; tokens
     joined by a space, punctuation dropped. One shuffle on the sentence key;
     a sentence is one line of text, so each group is small."""
-    keep = F.col(punct_col) != "PUNCT"
+    # a word without a tag stays, its tag is written ``_``: the lines keep their lengths
+    keep = ~F.col(punct_col).eqNullSafe(F.lit("PUNCT"))
     item = F.when(keep, F.struct(
         F.col(order).alias("o"),
-        F.replace(F.lower("form"), F.lit(" "), F.lit(SPACE_MARK)).alias("src"),
-        F.lower("lemma").alias("tgt"), F.col("xpostag").alias("pos")))
+        F.coalesce(F.replace(F.lower("form"), F.lit(" "), F.lit(SPACE_MARK)), F.lit("_")).alias("src"),
+        F.coalesce(F.lower("lemma"), F.lit("_")).alias("tgt"), F.coalesce("xpostag", F.lit("_")).alias("pos")))
     g = tok.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_t"))
     def field(name):
         return F.array_join(F.transform("_t", lambda s: s[name]), " ").alias(name)

@@ -8,21 +8,15 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+#: Session setting: deal each table's rows to so many partitions after the scan.
+#: For files of one row group on a machine with many cores (the bench); unset, a
+#: scan is left as the files split it.
+DEAL = "lexiflow.scan.partitions"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df) if spread else df
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that came out with fewer splits than the cluster has
-    cores (a one-row-group file is one task). Text tables carry the expensive
-    per-row work (regex tokenising, markup scans), so one task would serialise
-    it. A scan that is already split (the large-data case) is left alone: no
-    extra shuffle there."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    n = spark.conf.get(DEAL, None)
+    return df.repartition(int(n)) if n else df

@@ -10,36 +10,60 @@ never leaves the task that read it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed patterns of the scans.
-PARAGRAPH_RE = r"(?s)<p((?:\s[^>]*)?)>(.*?)</p>"
-ROOT_LANG_RE = r'<(?:text|html|TEI)\s(?:[^>]*\s)?(?:xml:)?lang="([^"]*)"'
-ITEM_RE = r"(?s)<w(?:\s[^>]*)?>.*?</w>|<w(?:\s[^>]*)?/>|<[^>]*>|&(?:amp|lt|gt|quot|apos);|[^\s<]"
+#: Elements whose end also ends an open paragraph.
+BLOCKS = ("html", "body", "head", "div", "div1", "text", "tei", "article", "section", "main", "header", "footer",
+          "nav", "aside", "blockquote", "form", "ul", "ol", "li", "table", "tr", "td", "th", "p")
+
+# Patterns of the scans. A paragraph ends at its end tag, at the next one's start,
+# at the end of an element around it, or with the text.
+PARAGRAPH_RE = (r"(?is)<p((?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?)>(.*?)(?=<p[\s>/]|</(?:" + "|".join(BLOCKS) + r")\s*>|\z)")
+ROOT_RE = r"(?i)<(?:text|html|TEI)(\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# words, other elements with all they hold, other tags, entities, characters
+ITEM_RE = (r"(?is)<w(?:\s[^>]*)?(?<!/)>.*?</w>|<w(?:\s[^>]*)?/>|<([a-z][\w:.-]*)(?:\s[^>]*)?(?<!/)>.*?</\1\s*>|<[^>]*>|"
+           + ENTITY + r"|[^\s<]")
 WORD_ITEM_RE = r"^<w[\s>/]"
-WORD_ATTRS_RE = r"^<w((?:\s[^>]*?)?)/?>"
-WORD_INNER_RE = r"(?s)^<w(?:\s[^>]*)?>(.*)</w>$"
-MORPH_RE = r"(?s)<m((?:\s[^>]*)?)>(.*?)</m>"
+WORD_ATTRS_RE = r"(?i)^<w((?:\s[^>]*?)?)/?>"
+WORD_INNER_RE = r"(?is)^<w(?:\s[^>]*)?>(.*)</w>$"
+MORPH_RE = r"(?is)<m((?:\s[^>]*)?)>(.*?)</m>"
 TAG_RE = r"<[^>]*>"
 
 
 def attr(attrs: Column, name: str, ignore_case: bool = False) -> Column:
     """Value of attribute ``name`` in an attribute string; null when absent or
     empty. The common spelling `` name="`` is cut out with string functions;
-    other whitespace or letter case falls back to a regular expression."""
-    n = f"(?i:{name})" if ignore_case else name
-    slow = F.regexp_extract(attrs, rf'(?:^|\s){n}="([^"]*)"', 1)
+    other white space, single quotes, no quotes or another letter case fall back
+    to a regular expression."""
+    slow = F.regexp_extract(attrs, rf"(?i)(?:^|\s){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
+    slow = F.when(slow.startswith('"') | slow.startswith("'"), F.substring(slow, 2, F.length(slow) - 2)).otherwise(slow)
     key = f' {name}="'
     fast = F.substring_index(F.substring_index(attrs, key, -1), '"', 1)
     return F.nullif(F.when(F.instr(attrs, key) > 0, fast).otherwise(slow), F.lit(""))
 
 
+def _entity_map() -> Column:
+    names = [(k, chr(v)) for k, v in sorted(name2codepoint.items())] + [("apos", "'")]
+    return F.create_map(*[F.lit(x) for pair in names for x in pair])
+
+
 def unescape(c: Column) -> Column:
-    out = c
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+    """Named (those of HTML 4 and ``apos``) and numeric character references as characters."""
+    def piece(p):
+        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        # code point -> text: four bytes, big end first
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        new = F.when(name.startswith("#"), F.when(valid, char)).when(name != "", F.element_at(_entity_map(), name))
+        return F.coalesce(F.concat(new, F.substring(p, F.length(name) + 2, 1 << 30)), F.concat(F.lit("&"), p))
+
+    parts = F.split(c, "&", -1)
+    out = F.concat(F.get(parts, 0), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
     return F.when(F.instr(c, "&") > 0, out).otherwise(c)
 
 
@@ -53,7 +77,8 @@ def tei_paragraphs(docs: DataFrame, lang: str | Sequence[str] | None, key: str =
     root ``lang``) is in ``lang`` (``None`` = all), numbered from 1 among the kept
     ones, with its ``n`` attribute. Output (key, par_id, lang, n, body)."""
     x = F.col(col)
-    root = F.nullif(F.regexp_extract(x, ROOT_LANG_RE, 1), F.lit(""))
+    tags = F.regexp_extract(x, ROOT_RE, 1)
+    root = F.coalesce(attr(tags, "xml:lang"), attr(tags, "lang"))
     attrs = F.regexp_extract_all(x, F.lit(PARAGRAPH_RE), 1)
     bodies = F.regexp_extract_all(x, F.lit(PARAGRAPH_RE), 2)
     pars = F.zip_with(attrs, bodies, lambda a, b: F.struct(
@@ -72,16 +97,16 @@ def raw_lines(pars: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def tei_tokens(pars: DataFrame, key: str = "doc_id") -> DataFrame:
-    """S3: walk each paragraph in order; a ``<w>`` is a word token, every
-    non-space character between words is a PUNCT token whose lemma is itself.
+    """S3: walk the children of each paragraph in order; a ``<w>`` is a word token,
+    every non-space character between words is a PUNCT token whose lemma is
+    itself. Other elements are passed over with all they hold.
     Tokens are numbered from 1 within the paragraph.
 
     Output (key, par_id, n, lang, tok_id, form, lemma, xpostag, word_lang, inner, item)."""
     items = F.regexp_extract_all(F.col("body"), F.lit(ITEM_RE), 0)
 
     def word_tag(x):
-        return x.startswith("<w ") | x.startswith("<w>") | x.startswith("<w/") | x.startswith("<w\t") \
-            | x.startswith("<w\n")
+        return F.substring(x, 1, 3).rlike(r"(?i)^<w[\s>/]")
     kept = F.filter(items, lambda x: ~x.startswith("<") | word_tag(x))
     t = pars.select(key, "par_id", "n", "lang", F.posexplode(kept).alias("pos", "item"))
     item = F.col("item")

@@ -13,12 +13,14 @@ def test_best_alignment_costs_and_ties():
     assert c == 3.0 and a.replace("~", "") == "kitten" and b.replace("~", "") == "sitting"
 
 
-def test_action_sequence_worked_example():
+def test_action_sequence_worked_example(spark):
+    rows = [("~~~yūnāniyyun", "al-yūnāniyyi~"), ("kalb~~", "kalber"), ("", ""), ("~~", "ab"), ("ab~", "abb")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    acts = [r.x for r in df.select(AL.actions(F.col("a"), F.col("b")).alias("x")).collect()]
     # prefix insertion, copies, a substitution and a deletion at the end
-    acts = AL.actions("~~~yūnāniyyun", "al-yūnāniyyi~", "yūnāniyyun")
-    assert acts[:5] == ["a", "l", "-", "^", "1"]
-    assert acts[-4:] == ["i", "^", "^", ">"]
-    assert AL.actions("kalb~~", "kalber", "kalb") == ["^", "1", "^", "2", "^", "3", "^", "4", "e", "r", "^", ">"]
+    assert acts[0][:5] == ["a", "l", "-", "^", "1"] and acts[0][-4:] == ["i", "^", "^", ">"]
+    assert acts[1] == ["^", "1", "^", "2", "^", "3", "^", "4", "e", "r", "^", ">"]
+    assert acts[2:] == [[">"], ["a", "b", "^", ">"], ["^", "1", "^", "2", "2", "^", ">"]]
 
 
 def test_template_reproduces_word(spark):
