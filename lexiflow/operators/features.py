@@ -87,8 +87,10 @@ def change_profile(pairs: DataFrame, inner: str, outer: str, cluster: str) -> Da
 
 def profile(ex: DataFrame, tags: Sequence[str] = ("pos=V", "pos=N"), feats: str = "feats") -> DataFrame:
     """Examples, distinct morph types, and morph types containing each tag."""
+    # morph strings are made of distinct bundles
+    ex = ex.groupBy(feats).agg(F.count(F.lit(1)).alias("_n"))
     m = with_morph(ex, feature_types(ex, feats), feats)
-    aggs = [F.count(F.lit(1)).cast("bigint").alias("examples"),
+    aggs = [F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("examples"),
             F.count_distinct("morph").cast("bigint").alias("morph_types")]
     for t in tags:
         aggs.append(F.count_distinct(F.when(F.col("morph").contains(t), F.col("morph"))).cast("bigint")

@@ -44,9 +44,9 @@ def merge_gold(gold: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFra
                     F.col("_gf").alias("feats"), F.col("_gm").alias("misc"))
 
 
-def by_position(df: DataFrame, order: Sequence[str], out: str = "pos", chunk=None) -> DataFrame:
+def by_position(df: DataFrame, order: Sequence[str], out: str = "position", chunk=None) -> DataFrame:
     """The running position (from 1) of each row in ``order``, the key of tables
-    that only share their order: ``merge_gold`` on ``pos`` then pairs the n-th word
+    that only share their order: ``merge_gold`` on it then pairs the n-th word
     with the n-th prediction."""
     from .windows import running_number
     return running_number(df, [], list(order), out, chunk=chunk)

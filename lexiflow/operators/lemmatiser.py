@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import instantiate
@@ -22,6 +22,18 @@ def vote(preds: DataFrame, key: Sequence[str], pred: str = "prediction") -> Data
     return v.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
 
 
+def vote_row(preds: Sequence[Column]) -> Column:
+    """M6 where a row holds its candidates side by side: a struct (prediction,
+    votes) by the rule of ``vote``, without a shuffle."""
+    arr = F.array(*preds)
+    ranked = F.transform(F.array_distinct(arr), lambda p: F.struct(
+        (-F.size(F.filter(arr, lambda x: x.eqNullSafe(p)))).alias("less"), p.alias("prediction")))
+    ranked = F.transform(ranked, lambda r: F.struct(
+        r["less"].alias("less"), F.when(r["less"] == -1, F.length(r["prediction"])).otherwise(0).alias("long"), r["prediction"].alias("prediction")))
+    best = F.array_min(ranked)
+    return F.struct(best["prediction"].alias("prediction"), (-best["less"]).cast("bigint").alias("votes"))
+
+
 def pair_templates(pairs: DataFrame, source: str, target: str) -> DataFrame:
     """Templates of the distinct (source, target) pairs (M2 alignment + M4)."""
     al = align_med(pairs, source, target)

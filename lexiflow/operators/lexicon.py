@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # Feature names an analysis code can fill, in output order.
 ANALYSIS_KEYS = ["pos", "gen", "num", "per", "tense", "binyan", "def",
                  "poss_gen", "poss_num", "poss_per", "poss_binyan"]
@@ -79,15 +81,14 @@ def feature_string(m: Column) -> Column:
 def lexicon_coverage(lex: DataFrame) -> DataFrame:
     """Entries per analysis type, entries per parsed POS, and the parsed
     share (a parse needs at least two features). Output (kind, key, n, percent)."""
-    p = lex.withColumn("_m", parse_analysis(F.col("analysis"))) \
-           .withColumn("_ok", F.size("_m") > 1) \
-           .withColumn("_type", analysis_type(F.col("analysis")))
-    by_type = p.groupBy(F.lit("type").alias("kind"), F.col("_type").alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    by_pos = p.filter("_ok").groupBy(F.lit("pos").alias("kind"), F.col("_m")["pos"].alias("key")).agg(
-        F.count(F.lit(1)).alias("n"))
-    tot = p.agg(F.lit("total").alias("kind"), F.lit("parsed").alias("key"),
-                F.sum(F.col("_ok").cast("int")).alias("n"),
-                F.round(F.sum(F.col("_ok").cast("int")) * 100.0 / F.count(F.lit(1)), 6).alias("percent"))
-    out = by_type.withColumn("percent", F.lit(None).cast("double")) \
-                 .unionByName(by_pos.withColumn("percent", F.lit(None).cast("double"))).unionByName(tot)
-    return out.withColumn("n", F.col("n").cast("bigint"))
+    p = lex.withColumn("_m", parse_analysis(F.col("analysis"))).select(
+        analysis_type(F.col("analysis")).alias("type"), (F.size("_m") > 1).alias("ok"), F.col("_m")["pos"].alias("pos"))
+    # one pass; the table that the three reports come from has a row per (type, pos, ok)
+    c = materialise(p.groupBy("type", "pos", "ok").agg(F.count(F.lit(1)).alias("n")))
+    parsed = F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0))
+    none = F.lit(None).cast("double").alias("percent")
+    by_type = c.groupBy("type").agg(F.sum("n").alias("n")).select(F.lit("type").alias("kind"), F.col("type").alias("key"), "n", none)
+    by_pos = c.filter("ok").groupBy("pos").agg(F.sum("n").alias("n")).select(F.lit("pos").alias("kind"), F.col("pos").alias("key"), "n", none)
+    tot = c.agg(parsed.alias("n"), F.round(parsed * 100.0 / F.sum("n"), 6).alias("percent")).select(
+        F.lit("total").alias("kind"), F.lit("parsed").alias("key"), "n", "percent")
+    return by_type.unionByName(by_pos).unionByName(tot).withColumn("n", F.col("n").cast("bigint"))

@@ -21,22 +21,24 @@ def word_stats(toks: DataFrame, pos: str | None = None, by: Sequence[str] = ())
     tokens/types, morphemes per word. ``pos`` keeps one tag (then untagged words
     drop out).
 
-    One pass: each word is exploded into its morphemes (``posexplode_outer``
+    Words are collapsed to distinct (lemma, morphemes) with their count first.
+    Each distinct word is then exploded into its morphemes (``posexplode_outer``
     keeps words without any); word-level columns count only on the first
-    morpheme row, so a single aggregate with distinct counts gives everything."""
+    morpheme row, so one aggregate with distinct counts gives everything."""
     w = toks.filter(F.col("inner").isNotNull())
     if pos is not None:
         w = w.filter(F.col("xpostag") == pos)
     # only the morpheme texts are needed: no attribute parsing
     w = w.select(*by, "lemma", F.transform(morph_texts(F.col("inner")), lambda t: F.lower(t)).alias("mtexts"))
-    e = w.select(*by, "lemma", F.lower(F.array_join("mtexts", "")).alias("rebuilt"),
+    w = w.groupBy(*by, "lemma", "mtexts").agg(F.count(F.lit(1)).alias("n"))
+    e = w.select(*by, "lemma", "n", F.lower(F.array_join("mtexts", "")).alias("rebuilt"),
                  F.posexplode_outer("mtexts").alias("mpos", "m"))
     first = F.col("mpos").isNull() | (F.col("mpos") == 0)
     g = e.groupBy(*by).agg(
-        F.sum(first.cast("int")).alias("tokens"),
+        F.sum(F.when(first, F.col("n"))).alias("tokens"),
         F.count_distinct("rebuilt").alias("word_types"),
         (F.count_distinct("lemma") + F.max((first & F.col("lemma").isNull()).cast("int"))).alias("lemmas"),
-        F.count("m").alias("morpheme_tokens"),
+        F.coalesce(F.sum(F.when(F.col("m").isNotNull(), F.col("n"))), F.lit(0)).alias("morpheme_tokens"),
         F.count_distinct("m").alias("morpheme_types"))
     return g.select(*by, F.col("tokens").cast("bigint").alias("tokens"),
                     F.col("tokens").cast("bigint").alias("reconstructed_word_tokens"),

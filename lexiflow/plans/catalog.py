@@ -998,10 +998,10 @@ def m6_vote(spark, sf):
     model = ev.fit_mfl(w.filter(F.col("split") == "train"))
     test = w.filter(F.col("split") == "test").select("doc_id", "sent_id", "tok_id", "lform")
     keys = ["doc_id", "sent_id", "tok_id"]
-    # the three predictors of a token side by side, then one row per vote
-    p = jn.predict_mfl(model, test).select(*keys, F.explode(F.array(
-        F.col("lform"), F.col("plemma"), strip_suffix(F.col("lform")))).alias("prediction"))
-    return LM.vote(p, keys)
+    # the three predictors of a token stand side by side: the vote needs no shuffle
+    p = jn.predict_mfl(model, test).select(*keys, LM.vote_row(
+        [F.col("lform"), F.col("plemma"), strip_suffix(F.col("lform"))]).alias("v"))
+    return p.select(*keys, "v.prediction", "v.votes")
 
 
 @register("m7_template_lemmatiser")
