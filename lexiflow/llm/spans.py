@@ -57,15 +57,16 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def span_table(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per hashed run: 128 bits of hash, document, first and last sentence."""
+    """One row per hashed run: 128 bits of hash, document, and in ``run`` its first
+    (high 32 bits) and last sentence."""
     prepare(docs.sparkSession)
 
     def run(batches):
         import pyarrow as pa
         import xxhash
 
-        names = ["h1", "h2", "_key", "_hash", "first", "last"]
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2
+        names = ["h1", "h2", "_key", "_hash", "run"]
+        kinds = [pa.int64()] * 5
         for batch in batches:
             cols = [[] for _ in names]
             for k, h, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -73,7 +74,7 @@ def span_table(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id",
                 lines = [b" ".join(w) for w in words]
                 for a, b in sentence_spans(words, min_words):
                     d = xxhash.xxh3_128_intdigest(b"\n".join(lines[a:b + 1]))
-                    for c, v in zip(cols, ((d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63), k, h, a, b)):
+                    for c, v in zip(cols, ((d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63), k, h, (a << 32) + b)):
                         c.append(v)
                 if len(cols[0]) > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, kinds)], names)
@@ -81,18 +82,21 @@ def span_table(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id",
             yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, kinds)], names)
 
     return _keyed(docs, key, text).select("_key", "_hash", "_text").mapInArrow(
-        run, "h1 long, h2 long, _key long, _hash long, first int, last int")
+        run, "h1 long, h2 long, _key long, _hash long, run long")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_key``, ``_hash`` and ``runs`` (first and last sentence) of every document
     that holds a non-first occurrence."""
     spans = written(span_table(docs, min_words, key, text), "spans", compression="zstd")
-    place = F.struct("_key", "_hash", "first", "last")
-    repeated = spans.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.max(place).alias("end")).filter(
-        ~F.col("origin").eqNullSafe(F.col("end"))).select("h1", "h2", "origin")
-    later = spans.join(repeated, ["h1", "h2"]).filter(~F.col("origin").eqNullSafe(place))
-    return later.groupBy("_key", "_hash").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    # what moves is one hash and a count; only spans whose hash comes again go on
+    often = spans.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
+    shared = written(spans.join(often, "h1"), "shared-spans", compression="zstd")
+    place = F.struct("_key", "_hash", "run")
+    origins = shared.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    later = shared.join(origins, ["h1", "h2"]).filter(~F.col("origin").eqNullSafe(place))
+    first, last = F.shiftright("run", 32).cast("int").alias("first"), F.col("run").bitwiseAND(0xFFFFFFFF).cast("int").alias("last")
+    return later.groupBy("_key", "_hash").agg(F.collect_set(F.struct(first, last)).alias("runs"))
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
