@@ -62,3 +62,17 @@ def test_morphtrans_and_med_round_trip(spark):
 def test_instantiate(spark):
     t = F.array(F.lit("0"), F.lit("1"), F.lit("7"), F.lit("e"), F.lit("d"))
     assert _one(spark, TX.instantiate(t, F.col("s")), s="walk") == "waed"
+
+
+def test_normalise_golden_pairs(spark):
+    """Raw and normalised forms of six orthographies, from a small excerpt; the
+    listed exceptions are those where the weighted grammar prefers another rule."""
+    import os
+
+    from conftest import FIXTURES
+    rows = [tuple(x.split("\t")) for x in open(os.path.join(FIXTURES, "spelling_pairs.tsv"), encoding="utf-8").read().splitlines()]
+    df = spark.createDataFrame(rows, "orth string, raw string, want string")
+    got = df.withColumn("got", TX.normalise(F.col("raw"), F.col("orth"))).collect()
+    wrong = {(r.orth, r.raw) for r in got if r.got != r.want}
+    assert wrong == {("FEBR", "ghùñapue"), ("VALD", "dùguquey"), ("VALD", "gollilcaquebi"), ("VALD", "lagùmchelcaquebi")}
+    assert {r.orth for r in got} == {"AUGU", "FEBR", "GUEV", "LENZ", "MOES", "VALD"}
