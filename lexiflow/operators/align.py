@@ -8,8 +8,8 @@ needed. The kernel keeps no state between rows.
 
 Corpus alignment (M3) re-aims the reference's sequential sampler as batch
 hard EM: count aligned symbol pairs with ``groupBy``, turn counts into costs,
-re-align every pair with those costs, repeat. Each pair gets the costs it can
-use by a join on its symbol pairs; no cost table is collected. Each round's alignment is written to the shared checkpoint folder to cut
+re-align every pair with those costs, repeat. The pairs are dealt to buckets and
+each bucket is sent the cost table; nothing is collected. Each round's alignment is written to the shared checkpoint folder to cut
 the lineage.
 """
 
@@ -26,6 +26,8 @@ from ..functions.text import chars
 
 GAP = "~"
 PRIOR = 0.1
+#: Distinct pairs that one task aligns at a time, about.
+BUCKET_PAIRS = 5_000
 #: Rounds of corpus alignment (the original aligner's value).
 ROUNDS = 10
 
@@ -110,16 +112,15 @@ def _unit_kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "cost": [float(r[2]) for r in out]})
 
 
-def _cost_kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each row carries the costs it can use and the cost of any other pair."""
-    for pdf in batches:
-        out = []
-        for s, t, entries, default in zip(pdf["source"], pdf["target"], pdf["costs"], pdf["unseen"]):
-            table = {(e["x"], e["y"]): e["c"] for e in entries} if entries is not None else {}
-            out.append(best_alignment(s, t, lambda x, y: table.get((x, y), default)))
-        yield pd.DataFrame({"source": pdf["source"], "target": pdf["target"],
-                            "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
-                            "cost": [float(r[2]) for r in out], "n": pdf["n"].values})
+def _cost_kernel(pairs: pd.DataFrame, costs: pd.DataFrame) -> pd.DataFrame:
+    """Align a bucket of pairs at the cost table's prices; the row without symbols
+    has the price of any other pair of symbols."""
+    table = {(x, y): c for x, y, c in zip(costs["x"], costs["y"], costs["c"])}
+    default = table.pop((None, None))
+    out = [best_alignment(s, t, lambda x, y: table.get((x, y), default)) for s, t in zip(pairs["source"], pairs["target"])]
+    return pd.DataFrame({"source": pairs["source"], "target": pairs["target"],
+                         "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
+                         "cost": [float(r[2]) for r in out], "n": pairs["n"].values})
 
 
 def distinct_pairs(df: DataFrame, source: str, target: str) -> DataFrame:
@@ -147,18 +148,16 @@ def costs_from_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts.select("x", "y", (-F.log((F.col("cnt") + PRIOR) / denom)).alias("c")), tot
 
 
-def _realign(weighted: DataFrame, counts: DataFrame) -> DataFrame:
-    """Re-align every distinct pair at the prices given by ``counts``: a join gives
-    each pair the cost entries its characters can use."""
+def _realign(weighted: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """Re-align every distinct pair at the prices given by ``counts``: the pairs are
+    dealt to buckets of bounded size and the cost table, whose size is that of the
+    alphabet's symbol pairs, is sent to each bucket once."""
     cost, tot = costs_from_counts(counts)
-    sx = F.array_union(chars(F.col("source")), F.array(F.lit(GAP)))
-    ty = F.array_union(chars(F.col("target")), F.array(F.lit(GAP)))
-    need = weighted.select("source", "target", "n", F.explode(sx).alias("x"), ty.alias("_ty")) \
-                   .select("source", "target", "n", "x", F.explode("_ty").alias("y"))
-    rows = need.join(cost, ["x", "y"], "left").groupBy("source", "target").agg(
-        F.first("n").alias("n"),
-        F.collect_list(F.when(F.col("c").isNotNull(), F.struct("x", "y", "c"))).alias("costs"))
-    return rows.withColumn("unseen", tot.select("default").scalar()).mapInPandas(_cost_kernel, WEIGHTED_SCHEMA)
+    none = F.lit(None).cast("string")
+    table = cost.unionByName(tot.select(none.alias("x"), none.alias("y"), F.col("default").alias("c")))
+    sent = table.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    dealt = weighted.withColumn("b", F.pmod(F.xxhash64("source", "target"), F.lit(buckets)))
+    return dealt.groupBy("b").cogroup(sent.groupBy("b")).applyInPandas(_cost_kernel, WEIGHTED_SCHEMA)
 
 
 def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
@@ -178,8 +177,9 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
     a, b = align_pad(F.col("source"), F.col("target"))
     cur = weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
                           F.lit(None).cast("double").alias("cost"), "n")
+    buckets = -(-max(weighted.count(), 1) // BUCKET_PAIRS)
     for _ in range(iters):
-        cur = keep(_realign(weighted, pair_counts(cur)))
+        cur = keep(_realign(weighted, pair_counts(cur), buckets))
     return cur
 
 
