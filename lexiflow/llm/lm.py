@@ -38,8 +38,8 @@ BATCH = 512
 RATE = 0.01
 #: Words after which a chunk of documents is closed.
 CHUNK_WORDS = 4_000_000
-#: Tokens a task scores at a time, about.
-SCORE_WINDOW = 32
+#: Steps, and about how many tokens, whose outputs are scored at a time.
+SCORE_WINDOW, SCORE_TOKENS = 32, 65_536
 FAN_IN = 32
 
 ENCODED = ("kind string, chunk long, doc_id long, held_out boolean, n_tokens long, ids binary, "
@@ -228,21 +228,21 @@ class Network:
         order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
         lengths = np.array([len(docs[i]) for i in order], dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])
-        flat = np.concatenate([docs[i] for i in order]).astype(np.int64) if docs else np.zeros(0, np.int64)
+        flat = np.concatenate([docs[i] for i in order]) if docs else np.zeros(0, np.int64)
         total = np.zeros(len(docs))
         h = np.zeros((len(docs), HIDDEN), dtype=np.float32)
         t, most = 0, int(lengths[0]) if len(docs) else 0
         while t < most:
             states, codes, owner = [], [], []
-            for t in range(t, min(t + SCORE_WINDOW, most)):
+            while t < most and len(owner) < SCORE_WINDOW and sum(owner) < SCORE_TOKENS:
                 n = int(np.searchsorted(-lengths, -t, side="left"))  # documents longer than t
-                c = flat[starts[:n] + t]
+                c = flat[starts[:n] + t].astype(np.int64)
                 h = h[:n]
                 states.append(h)
                 codes.append(c)
                 owner.append(n)
                 h, _ = self.step(h, c)
-            t += 1
+                t += 1
             lp, _ = self.outputs(np.concatenate(states), np.concatenate(codes))
             at = 0
             for n in owner:
