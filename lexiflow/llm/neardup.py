@@ -191,7 +191,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     rows = written(base.mapInArrow(run, "doc_id long, cls binary, keys array<long>"), "sketches", compression="zstd")
     texts = rows.groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
     spots = texts.select("cls", F.posexplode("keys").alias("j", "bucket"))
-    sizes = spots.groupBy("j", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    # sizes, hubs and stray counts are written before they are joined back: the join
+    # then has an exchange of its own, and a hot bucket can be split over tasks
+    sizes = written(spots.groupBy("j", "bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes", compression="zstd")
     members = written(spots.join(sizes, ["j", "bucket"]), "buckets", compression="zstd")
 
     # the shingles of the texts that share a bucket with another
@@ -211,7 +213,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                    .select("cls", "weight", "text").mapInArrow(sequences, "cls binary, weight long, seq binary"), "sequences", compression="zstd")
 
     weights = seqs.select("cls", "weight")
-    hubs = members.join(weights, "cls").groupBy("j", "bucket").agg(F.max_by("cls", F.struct("weight", "cls")).alias("hub"))
+    hubs = written(members.join(weights, "cls").groupBy("j", "bucket").agg(F.max_by("cls", F.struct("weight", "cls")).alias("hub")), "hubs")
     spokes = members.join(hubs, ["j", "bucket"]).filter(F.col("cls") != F.col("hub"))
     pairs = spokes.select("cls", "hub").distinct()
 
@@ -230,12 +232,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # buckets with members that are not linked to their hub
     marked = spokes.join(checked.select(F.col("a").alias("cls"), F.col("b").alias("hub"), "ok"), ["cls", "hub"]).select("j", "bucket", "cls", "ok")
     stray = marked.filter("not ok").select("j", "bucket", "cls")
-    counts = stray.groupBy("j", "bucket").agg(F.count("*").alias("strays"))
-    open_ = members.join(counts, ["j", "bucket"]).withColumn("mn", F.ceil(F.col("n") / TILE)).withColumn("sn", F.ceil(F.col("strays") / TILE)).filter("n > 2")
+    stray = written(stray, "strays")
+    counts = written(stray.groupBy("j", "bucket").agg(F.count("*").alias("strays")), "stray-counts")
+    sides = counts.join(sizes, ["j", "bucket"]).withColumn("mn", F.ceil(F.col("n") / TILE)).withColumn(
+        "sn", F.ceil(F.col("strays") / TILE)).filter("n > 2").drop("n", "strays")
+    sides = written(sides, "tiles")
+    open_ = members.join(sides, ["j", "bucket"])
     part = F.xxhash64("cls", "j")
     right = open_.withColumn("m", F.pmod(part, F.col("mn"))).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sn") - 1))).select(
         "j", "bucket", "m", "s", "cls", F.lit(False).alias("stray"))
-    left = stray.join(open_.select("j", "bucket", "mn", "sn").distinct(), ["j", "bucket"]).withColumn("s", F.pmod(part, F.col("sn"))).withColumn(
+    left = stray.join(sides, ["j", "bucket"]).withColumn("s", F.pmod(part, F.col("sn"))).withColumn(
         "m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mn") - 1))).select("j", "bucket", "m", "s", "cls", F.lit(True).alias("stray"))
 
     def tile(pdf):

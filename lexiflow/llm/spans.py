@@ -90,10 +90,12 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_
     that holds a non-first occurrence."""
     spans = written(span_table(docs, min_words, key, text), "spans", compression="zstd")
     # what moves is one hash and a count; only spans whose hash comes again go on
-    often = spans.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1")
+    # (written, so that the join has an exchange of its own whose hot hash can be split)
+    often = written(spans.groupBy("h1").agg(F.count("*").alias("n")).filter("n > 1").select("h1"), "repeated-hashes", compression="zstd")
     shared = written(spans.join(often, "h1"), "shared-spans", compression="zstd")
     place = F.struct("_key", "_hash", "run")
-    origins = shared.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    origins = written(shared.groupBy("h1", "h2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n"),
+                      "origins", compression="zstd")
     later = shared.join(origins, ["h1", "h2"]).filter(~F.col("origin").eqNullSafe(place))
     first, last = F.shiftright("run", 32).cast("int").alias("first"), F.col("run").bitwiseAND(0xFFFFFFFF).cast("int").alias("last")
     return later.groupBy("_key", "_hash").agg(F.collect_set(F.struct(first, last)).alias("runs"))
