@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_rows, prepare, text_of
+from .common import keep_rows, prepare, text_of, written
 
 #: Labelled rows of each class that the model is fitted on, at most.
 SAMPLE_PER_CLASS = 8_000
@@ -161,20 +161,22 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k
             yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array([x[f] for f in part], pa.int64()) for x in (*forms, known))],
                                              ["form", "clean", "toxic", "docs"])
 
-    counts = rows.mapInArrow(count, "form string, clean long, toxic long, docs long").groupBy("form").agg(
-        *(F.sum(c).alias(c) for c in ("clean", "toxic", "docs"))).filter((F.col("form") == "") | (F.col("docs") >= MIN_DOCS))
-    total = F.broadcast(counts.filter(F.col("form") == "").select(F.col("clean").alias("n0"), F.col("toxic").alias("n1")))
-    prior = PRIOR * (F.col("clean") + F.col("toxic")) / (F.col("n0") + F.col("n1")) + FLOOR
+    counts = written(rows.mapInArrow(count, "form string, clean long, toxic long, docs long").groupBy("form").agg(
+        *(F.sum(c).alias(c) for c in ("clean", "toxic", "docs"))).filter((F.col("form") == "") | (F.col("docs") >= MIN_DOCS)), "toxic-forms")
+    totals = counts.filter(F.col("form") == "").select("clean", "toxic").first()
+    n0, n1 = totals or (0, 0)
+    if not n0 or not n1:
+        return ToxicModel()
+    prior = PRIOR * (F.col("clean") + F.col("toxic")) / (n0 + n1) + FLOOR
     y0, y1 = F.col("clean") + prior, F.col("toxic") + prior
-    odds = F.log(y1 / (F.col("n1") + PRIOR - y1)) - F.log(y0 / (F.col("n0") + PRIOR - y0))
-    best = (counts.filter("form != ''").crossJoin(total).filter("n0 > 0 and n1 > 0")
+    odds = F.log(y1 / (n1 + PRIOR - y1)) - F.log(y0 / (n0 + PRIOR - y0))
+    best = (counts.filter("form != ''")
             .withColumn("odds", odds).withColumn("z", F.abs(odds) / F.sqrt(1 / y0 + 1 / y1))
             .filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "form").limit(MODEL_FORMS).collect())
     model = ToxicModel()
     if not best:
         return model
     model.forms = {r["form"]: (float(r["odds"]), float(r["z"])) for r in best}
-    n0, n1 = best[0]["n0"], best[0]["n1"]
 
     # second pass over the sample: share of scored words, then segments
     def own_share(batches):

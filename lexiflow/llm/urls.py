@@ -65,7 +65,7 @@ def _shrunk(children: DataFrame, mean: str, centre: str) -> DataFrame:
         F.sum(spread).alias("one"), F.sum((F.col("n") - 1) * spread).alias("more")).select(
         F.coalesce(F.least(F.lit(MOST_RHO), F.greatest(F.lit(LEAST_RHO), F.when(
             F.col("more") > 0, (F.col("s") - F.col("one")) / F.col("more")))), F.lit(LEAST_RHO)).alias("rho"))
-    out = children.crossJoin(F.broadcast(level)).withColumn("weight", (1 - F.col("rho")) / F.col("rho")).drop("rho")  # one row
+    out = children.withColumn("weight", level.select((1 - F.col("rho")) / F.col("rho")).scalar())  # one number
     return out.withColumn(mean, (F.col("k") + F.col("weight") * c) / (F.col("n") + F.col("weight")))
 
 
@@ -79,7 +79,7 @@ def reputation(outcomes: DataFrame) -> DataFrame:
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     whole = suffixes.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("m0"))
-    suffixes = _shrunk(suffixes.crossJoin(F.broadcast(whole)), "m1", "m0").select("suffix", "m1")  # one row
+    suffixes = _shrunk(suffixes.withColumn("m0", whole.scalar()), "m1", "m0").select("suffix", "m1")
     domains = _shrunk(domains.join(suffixes, "suffix"), "m2", "m1").select("suffix", "domain", "m2")
     hosts = _shrunk(hosts.join(domains, ["suffix", "domain"]), "mean", "m2")
     size = F.col("n") + F.col("weight")
