@@ -38,34 +38,45 @@ def align_pad(a: Column, b: Column) -> tuple[Column, Column]:
     return F.rpad(a, n, GAP), F.rpad(b, n, GAP)
 
 
-def _unit(x: str, y: str) -> float:
-    return 0.0 if x == y else 1.0
-
-
-def best_alignment(src: str, tgt: str, cost=_unit) -> tuple[str, str, float]:
-    """Cheapest alignment of two strings. ``cost(x, y)`` prices aligning x to y,
-    with the gap symbol for an insertion or deletion.
+def best_alignment(src: str, tgt: str, table: dict | None = None, default: float = 1.0) -> tuple[str, str, float]:
+    """Cheapest alignment of two strings. ``table`` prices pairs of symbols, the
+    gap symbol for an insertion or deletion, and ``default`` any other pair; without
+    a table equal symbols are free and all else costs 1.
 
     ``least[i][j]`` is the price of the first i source and j target characters.
     The alignment is read from the end: of the moves that explain a price,
     deleting a source character comes first, then substituting, then inserting."""
-    drop = [cost(c, GAP) for c in src]
-    add = [cost(GAP, c) for c in tgt]
-    swap = {(c, t): cost(c, t) for c in set(src) for t in set(tgt)}
+    if table is None:
+        def price(x, y):
+            return 0.0 if x == y else 1.0
+    else:
+        def price(x, y):
+            return table.get((x, y), default)
+    drop = [price(c, GAP) for c in src]
+    add = [price(GAP, t) for t in tgt]
+    swap = [[price(c, t) for t in tgt] for c in src]
     least = [list(accumulate(add, initial=0.0))]
-    for c, d in zip(src, drop):
+    for d, swaps in zip(drop, swap):
         above = least[-1]
-        row = [above[0] + d]
-        for j, t in enumerate(tgt):
-            row.append(min(above[j + 1] + d, above[j] + swap[c, t], row[j] + add[j]))
+        best = above[0] + d
+        row = [best]
+        for corner, up, s, a in zip(above, above[1:], swaps, add):
+            up += d
+            corner += s
+            if corner < up:
+                up = corner
+            best += a
+            if up < best:
+                best = up
+            row.append(best)
         least.append(row)
     i, j, columns = len(src), len(tgt), []
     while i or j:
-        price = least[i][j]
-        if i and (not j or least[i - 1][j] + drop[i - 1] == price):
+        here = least[i][j]
+        if i and (not j or least[i - 1][j] + drop[i - 1] == here):
             i -= 1
             columns.append((src[i], GAP))
-        elif i and least[i - 1][j - 1] + swap[src[i - 1], tgt[j - 1]] == price:
+        elif i and least[i - 1][j - 1] + swap[i - 1][j - 1] == here:
             i, j = i - 1, j - 1
             columns.append((src[i], tgt[j]))
         else:
@@ -117,7 +128,7 @@ def _cost_kernel(pairs: pd.DataFrame, costs: pd.DataFrame) -> pd.DataFrame:
     has the price of any other pair of symbols."""
     table = {(x, y): c for x, y, c in zip(costs["x"], costs["y"], costs["c"])}
     default = table.pop((None, None))
-    out = [best_alignment(s, t, lambda x, y: table.get((x, y), default)) for s, t in zip(pairs["source"], pairs["target"])]
+    out = [best_alignment(s, t, table, default) for s, t in zip(pairs["source"], pairs["target"])]
     return pd.DataFrame({"source": pairs["source"], "target": pairs["target"],
                          "aligned_source": [r[0] for r in out], "aligned_target": [r[1] for r in out],
                          "cost": [float(r[2]) for r in out], "n": pairs["n"].values})
@@ -163,7 +174,7 @@ def _realign(weighted: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
 def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
                  checkpoint: bool = True) -> DataFrame:
     """M3: corpus alignment by batch hard EM. Start from the padded alignment
-    (M1), then ``iters`` rounds of: count aligned symbol pairs over the corpus
+    (M1), then at most ``iters`` rounds (fewer once nothing changes) of: count aligned symbol pairs over the corpus
     (each distinct pair weighted by its frequency), price every symbol pair by
     its count (prior 0.1), re-align every distinct pair at those prices.
     The weighted pair table and each round's alignment are checkpointed to the
@@ -178,8 +189,15 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
     cur = weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
                           F.lit(None).cast("double").alias("cost"), "n")
     buckets = -(-max(weighted.count(), 1) // BUCKET_PAIRS)
+    before = None
     for _ in range(iters):
-        cur = keep(_realign(weighted, pair_counts(cur), buckets))
+        counts = pair_counts(cur)
+        # equal counts give equal prices, so every later round would repeat this one
+        now = counts.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y", "cnt").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+        cur = keep(_realign(weighted, counts, buckets))
     return cur
 
 
