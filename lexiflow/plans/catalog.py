@@ -1171,6 +1171,22 @@ def _task_lines(ex):
                       .otherwise(F.concat_ws("\t", "lemma", "feats", "word")).alias("line"))
 
 
+@register("s8_task2", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, feats AS source_feats, word AS source, 'pos=LEMMA' AS target_feats, lemma AS target FROM ex""")
+def s8_task2(spark, sf):
+    lines = V.examples(spark, sf).select("doc_id", "sent_id", "tok_id", F.concat_ws("\t", "feats", "word", F.lit("pos=LEMMA"), "lemma").alias("line"))
+    rows, _ = INF.parse_inflections(lines, task=2)
+    return rows.select("doc_id", "sent_id", "tok_id", "source_feats", "source", "target_feats", "target")
+
+
+@register("s8_task3", O.with_tok() + """
+SELECT doc_id, sent_id, tok_id, word AS source, feats, lemma AS target, false AS repaired FROM ex""")
+def s8_task3(spark, sf):
+    lines = V.examples(spark, sf).select("doc_id", "sent_id", "tok_id", F.concat_ws("\t", "word", "feats", "lemma").alias("line"))
+    rows, _ = INF.parse_inflections(lines, task=3)
+    return rows.select("doc_id", "sent_id", "tok_id", "source", "feats", "target", "repaired")
+
+
 @register("s8_read_inflections", O.with_tok() + """
 SELECT doc_id, sent_id, tok_id, lemma AS source, feats, CASE WHEN split = 'test' THEN 'COVERED' ELSE word END AS target,
        split <> 'test' AND xpostag = 'N' AND tok_id = 2 AS repaired FROM ex""")
@@ -1321,3 +1337,12 @@ SELECT word FROM lw_ WHERE word NOT IN ({", ".join(O.q(x) for x in ST.NOT_WORDS)
 def s13_text_from_lines(spark, sf):
     from ..sources.sinks import lines_dump
     return lines_dump(TEI.raw_lines(_pages_pars(spark, sf), key="page_id"))
+
+
+@register("s13_write_lines", "WITH " + RAW_LINES_SQL.strip() + """
+SELECT page_id, unnest(string_split(line, chr(10))) AS line FROM raw""")
+def s13_write_lines(spark, sf):
+    from ..sources.sinks import write_lines
+    path = shared_dir(spark, "lines")
+    write_lines(TEI.raw_lines(_pages_pars(spark, sf), key="page_id"), path, doc="page_id")
+    return spark.read.text(path).select(F.col("page_id").cast("bigint").alias("page_id"), F.col("value").alias("line"))
