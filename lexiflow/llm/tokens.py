@@ -19,7 +19,7 @@ EDGE = re.compile(f"^[{WHITE}]|[{WHITE}]$")
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 #: Distinct chunks a worker keeps before it falls back to those of its last batch.
-MEMO_ENTRIES = 1_000_000
+MEMO_ENTRIES = 600_000
 
 
 def byte_chunks(text: str) -> list[str]:
