@@ -9,14 +9,16 @@ P(class | state) * P(output | class, state).
 Documents become arrays of small numbers in one pass over the text. Each chunk
 of documents has its own dictionary, whose words meet their corpus counts in one
 shuffle of distinct words per chunk, never of running words. The network is
-trained by truncated backpropagation: in each round every task starts from the
-same weights, learns from a segment of each of its training documents (windows
-with the state carried between them, no gradient), and the weights are averaged
-in a tree. Scoring carries the state across the windows of a whole document."""
+trained by truncated backpropagation over every window of every training
+document (the state is carried from window to window, no gradient). The pass is
+dealt to rounds by documents: in each round every task starts from the same
+weights, learns from its documents of that round, and the weights are averaged in
+a tree by tokens. Scoring carries the state across the windows of a whole document."""
 
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -31,10 +33,13 @@ BUCKETS = 64
 #: The end of a text and the most frequent words.
 VOCABULARY = OUTPUTS - BUCKETS
 HIDDEN = 24
-#: Tokens of a backpropagation window, and windows of a document in one round.
-WINDOW, WINDOWS = 16, 4
+#: Tokens of a backpropagation window.
+WINDOW = 16
+#: Parts of the one pass over all training documents; weights are averaged after each.
 ROUNDS = 3
-BATCH = 512
+#: Documents that step together: at a task's start, one more for every ``GROWTH``
+#: documents begun (a small corpus needs its updates), and at most.
+START, GROWTH, BATCH = 32, 4, 512
 RATE = 0.01
 #: Words after which a chunk of documents is closed.
 CHUNK_WORDS = 4_000_000
@@ -253,43 +258,59 @@ class Network:
         return out
 
 
-def _learn(network: Network, docs: list[np.ndarray], round_: int, rate: float) -> Network:
-    """Adam over the segments of the documents for this round."""
-    segments = []
-    span = WINDOW * WINDOWS
-    for i, d in enumerate(docs):
-        # the segment's start moves with the round and the document; state zero there
-        at = 0 if round_ == 0 or len(d) <= span else (i * 7919 + round_ * 104729) % (len(d) - span + 1)
-        segments.append(d[at:at + span])
-    segments.sort(key=len)
-    w, m, v, k = network.w, {}, {}, 0
+def _learn(network: Network, docs, rate: float) -> tuple[Network, int]:
+    """Adam over every window of every document, and how many tokens that were.
+    Lanes step together; one whose document has ended takes the next one at state
+    zero, otherwise the state goes on to the document's next window. Where few
+    lanes are left, windows are summed until they hold a fourth of a full one."""
+    docs, lanes, begun, h = iter(docs), [], 0, np.zeros((0, HIDDEN), dtype=np.float32)
+    w, m, v, k, learnt = network.w, {}, {}, 0, 0
     for name, s in Network.SHAPES.items():
         m[name], v[name] = np.zeros(s, np.float32), np.zeros(s, np.float32)
-    batches = [segments[a:a + BATCH] for a in range(0, len(segments), BATCH)]
-    for b in np.random.default_rng(round_).permutation(len(batches)):
-        part = batches[b]
-        codes = np.zeros((len(part), span), dtype=np.int64)
-        mask = np.zeros((len(part), span), dtype=bool)
-        for i, s in enumerate(part):
-            codes[i, :len(s)], mask[i, :len(s)] = s, True
-        h = np.zeros((len(part), HIDDEN), dtype=np.float32)
-        for a in range(0, span, WINDOW):
-            if not mask[:, a].any():
-                break
-            grads, _, h = network.window(h, codes[:, a:a + WINDOW], mask[:, a:a + WINDOW])
-            n, k = max(int(mask[:, a:a + WINDOW].sum()), 1), k + 1
-            for name, g in grads.items():
-                g = np.clip(g / n * WINDOW, -1, 1)
-                m[name] += 0.1 * (g - m[name])
-                v[name] += 0.01 * (g * g - v[name])
-                w[name] -= rate * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-6)
-    return network
+    held, n = {}, 0
+
+    def update():
+        nonlocal held, n, k
+        k += 1
+        for name, g in held.items():
+            g = np.clip(g / n * WINDOW, -1, 1)
+            m[name] += 0.1 * (g - m[name])
+            v[name] += 0.01 * (g * g - v[name])
+            w[name] -= rate * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-6)
+        held, n = {}, 0
+
+    while True:
+        on = [i for i, (d, at) in enumerate(lanes) if at < len(d)]
+        width = min(BATCH, START + begun // GROWTH)
+        fresh = [(d, 0) for d in islice(docs, width - len(on))]
+        begun += len(fresh)
+        lanes = [lanes[i] for i in on] + fresh
+        h = np.concatenate([h[on], np.zeros((len(fresh), HIDDEN), dtype=np.float32)])
+        if not lanes:
+            break
+        codes = np.zeros((len(lanes), WINDOW), dtype=np.int64)
+        mask = np.zeros((len(lanes), WINDOW), dtype=bool)
+        for i, (d, at) in enumerate(lanes):
+            part = d[at:at + WINDOW]
+            codes[i, :len(part)], mask[i, :len(part)] = part, True
+            lanes[i] = d, at + WINDOW
+        grads, _, h = network.window(h, codes, mask)
+        held = {name: g + held[name] for name, g in grads.items()} if held else grads
+        n += int(mask.sum())
+        learnt += int(mask.sum())
+        if 4 * n >= width * WINDOW:
+            update()
+    if n:
+        update()
+    return network, learnt
 
 
 def train(coded: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Network:
-    """Rounds of local training and weight averaging over the training documents."""
+    """One pass over every window of the training documents. Each is learnt from
+    in one of the ``rounds`` of local training and weight averaging; rounds
+    without documents change nothing."""
     network = Network.start(share)
-    rows = coded.filter("not held_out").select("codes")
+    rows = coded.filter("not held_out").select("codes", F.pmod(F.xxhash64("doc_id", "codes"), F.lit(rounds)).alias("round"))
 
     def average(pdf):
         import pandas as pd
@@ -305,16 +326,13 @@ def train(coded: DataFrame, share: np.ndarray, rounds: int = ROUNDS) -> Network:
             import pyarrow as pa
             from pyspark import TaskContext
 
-            own, seen = Network.of(flat.copy()), 0
-            for batch in batches:
-                docs = [np.frombuffer(b, "<u2").astype(np.int64) for b in batch.column(0).to_pylist()]
-                own = _learn(own, docs, round_, RATE / (1 + round_))
-                seen += len(docs)
-            if seen:
+            docs = (np.frombuffer(b, "<u2").astype(np.int64) for batch in batches for b in batch.column(0).to_pylist())
+            own, learnt = _learn(Network.of(flat.copy()), docs, RATE / (1 + round_))
+            if learnt:
                 yield pa.RecordBatch.from_pydict({"task": pa.array([TaskContext.get().partitionId()], pa.int64()),
-                                                  "n": pa.array([float(seen)]), "weights": [own.flat().astype("<f4").tobytes()]})
+                                                  "n": pa.array([float(learnt)]), "weights": [own.flat().astype("<f4").tobytes()]})
 
-        level = written(rows.mapInArrow(local, "task long, n double, weights binary"), f"lm-round-{round_}")
+        level = written(rows.filter(F.col("round") == round_).select("codes").mapInArrow(local, "task long, n double, weights binary"), f"lm-round-{round_}")
         left = level.count()
         while left > 1:
             left = -(-left // FAN_IN)

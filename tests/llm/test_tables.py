@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -127,6 +128,25 @@ def test_lm_probabilities_and_windows():
         assert abs(want - total) < 1e-3
 
 
+def test_lm_learns_every_window(monkeypatch):
+    """Every token of every document is learnt from once, with the state carried on."""
+    r = np.random.default_rng(3)
+    docs = [r.integers(0, lm.OUTPUTS, n) for n in (1, 16, 700, 64, 3, 65, 2000, 33)]
+    seen, cold, window = Counter(), 0, lm.Network.window
+
+    def spy(self, h, codes, mask):
+        nonlocal cold
+        seen.update(codes[mask].tolist())
+        cold += int((~h.any(axis=1)).sum())
+        return window(self, h, codes, mask)
+
+    monkeypatch.setattr(lm.Network, "window", spy)
+    monkeypatch.setattr(lm, "START", 3)
+    _, learnt = lm._learn(lm.Network.start(r.random(lm.OUTPUTS)), docs, 0.01)
+    assert seen == Counter(np.concatenate(docs).tolist()) and learnt == sum(map(len, docs))
+    assert cold == len(docs)
+
+
 def test_lm_learns_held_out(spark):
     """On texts with order in them the network beats the unigram on held-out rows."""
     r = random.Random(5)
