@@ -31,8 +31,9 @@ PRIOR = 500.0
 FLOOR = 0.5
 #: Least |z| of a form that has a score of its own.
 MIN_Z = 4.0
-#: A document counts a form, and scores a word, this often at most: words come in
-#: bursts, and one document that repeats itself says no more than one that doesn't.
+#: A document counts a form this often at most when the model's words are counted:
+#: words come in bursts, and one document that repeats itself says no more than one
+#: that doesn't. Segments score every occurrence.
 BURST = 3
 #: Documents of the sample that must hold a form.
 MIN_DOCS = 5
@@ -112,11 +113,6 @@ def _segments(model: ToxicModel, texts: list[str], memo: dict):
     for t in texts:
         words = t.encode().split()
         scores = np.fromiter(map(memo.__getitem__, words), dtype=np.float64, count=len(words))
-        seen: dict[bytes, int] = {}
-        for i in np.flatnonzero(scores > 0).tolist():
-            seen[words[i]] = seen.get(words[i], 0) + 1
-            if seen[words[i]] > BURST:
-                scores[i] = model.other
         yield len(words), (maximal_segments(scores) if len(words) and scores.max() > 0 else [])
 
 

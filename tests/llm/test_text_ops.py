@@ -102,6 +102,18 @@ def test_toxicity_held_out(spark):
     assert all(x.segments for x in got if x.doc_id % 6 == 0)
 
 
+def test_toxicity_scores_every_occurrence():
+    """A dense passage is found wherever it stands, each copy of it too."""
+    model = toxicity.ToxicModel(forms={"=grub": (3.0, 9.0), "=slime": (3.0, 9.0)}, other=-1.0)
+    far = " ".join(["grub slime" + " calm" * 30] * 3)
+    passage = "grub slime grub slime"
+    (n, alone), (_, late), (_, copies) = toxicity._segments(
+        model, [passage, far + " " + passage, (passage + " calm" * 30 + " ") * 5], toxicity._Scores(model))
+    assert n == 4 and alone == [(0, 3, 12.0)]
+    assert (96, 99, 12.0) in late
+    assert [s for _, _, s in copies] == [12.0] * 5
+
+
 def brute_spans(docs, least):
     """Sentences covered by a run of at least ``least`` words, shortest from its
     start or to its end, that stands earlier too."""
