@@ -155,6 +155,20 @@ def test_spans_brute_force(spark):
     assert sum(map(len, want.values())) > 50
 
 
+def test_spans_cut_sentences(spark):
+    """A repeat of 51 words that starts and ends inside sentences loses its whole sentences."""
+    words = [f"w{i}" for i in range(51)]
+    words[11] += "."
+    words[25] += "."
+    words[38] += "."
+    passage = " ".join(words)
+    docs = [(1, f"one {passage} end."), (2, f"other words {passage} stop here.")]
+    got = {r.doc_id: r for r in spans.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[1].text == docs[0][1] and got[1].dedup_info.removed == 0
+    assert got[2].dedup_info.removed == 2
+    assert got[2].text == f"other words {' '.join(words[:12])} {' '.join(words[39:])} stop here."
+
+
 def test_spans_edges(edge, empty):
     out = spans.dedup(edge)
     assert out.columns == [*edge.columns, "_dedup_info"] and out.count() == len(edge_texts())
