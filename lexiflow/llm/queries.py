@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, lm, neardup, packing, quality, shards, spans, topk, toxicity, urls
+from . import bpe, interactions, lm, neardup, packing, quality, shards, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -153,3 +153,39 @@ def op8_near_duplicates(spark, sf_dir):
 def op10_lm_score(spark, sf_dir):
     out = lm.score(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query(sql="""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+least AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+w AS (SELECT doc_id, part, t, first, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words FROM d JOIN least USING (t)),
+m AS (SELECT doc_id, part,
+        (CASE WHEN len(words) < 50 THEN 1 ELSE 0 END)
+        + (CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END)
+        + (CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 4 ELSE 0 END)
+        + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+        + (CASE WHEN doc_id > first THEN 16 ELSE 0 END) AS mask FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+      FROM m LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+p(filter_order) AS (SELECT letter FROM f UNION ALL
+                    SELECT filter_order || letter FROM p, f WHERE NOT contains(filter_order, letter)),
+s AS (SELECT filter_order, i AS step, f.letter, f.bit,
+             (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE strpos(left(filter_order, i::INT - 1), g.letter) > 0) AS done
+      FROM p, range(1, 6) r(i), f WHERE length(filter_order) = 5 AND f.letter = substr(filter_order, i, 1)),
+r AS (SELECT part, filter_order, step, letter,
+        sum(CASE WHEN mask & (done | bit)::INT = 0 THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN mask & bit <> 0 AND mask & done::INT = 0 THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN mask & bit <> 0 AND mask & done::INT <> 0 THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN mask & bit <> 0 AND mask & done::INT = 0 THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN mask & bit <> 0 AND mask & done::INT = 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r""")
+def op12_filter_interactions(spark, sf_dir):
+    return interactions.audit(interactions.failures(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"))
