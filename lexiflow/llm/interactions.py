@@ -74,7 +74,9 @@ def failures(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str
 
     # two consumers: the texts are judged once
     rows = written(base.mapInArrow(run, "doc_id long, part string, mask int, digest binary"), "failures", compression="zstd")
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").drop("last")
+    # written ahead, so that the join has an exchange of its own and a hot text can be split over tasks
+    first = written(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                    .filter("first < last").drop("last"), "repeated-texts")
     return rows.join(first, "digest", "left").select(
         "doc_id", "part", F.when(F.col("doc_id") > F.col("first"), F.col("mask").bitwiseOR(16)).otherwise(F.col("mask")).alias("mask"))
 
