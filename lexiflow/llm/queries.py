@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, interactions, lm, neardup, packing, quality, shards, spans, topk, toxicity, urls
+from . import bpe, interactions, lm, merkle, neardup, packing, quality, shards, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -189,3 +189,56 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM r""")
 def op12_filter_interactions(spark, sf_dir):
     return interactions.audit(interactions.failures(read(spark, sf_dir, "documents")), read(spark, sf_dir, "labels"))
+
+
+@query(sql="""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, n_chars, text,
+    list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda a, b: list_reduce(list_concat([xor(a, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                               lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS crc FROM documents),
+f AS (SELECT doc_id, source, crc,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text FROM d),
+lf AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN
+      sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+    END AS forged FROM f),
+l0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n FROM lf),
+up(source, level, idx, hash, n) AS (
+    SELECT source, 0, idx, leaf, n FROM l0
+    UNION ALL
+    SELECT source, level + 1, idx // 16, sha256(string_agg(hash, '' ORDER BY idx)), (n + 15) // 16 FROM up WHERE n > 1
+    GROUP BY source, level, idx // 16, n),
+tops AS (SELECT source, level AS depth, hash, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+         FROM up WHERE n = 1),
+above(level, idx, hash, n) AS (
+    SELECT 0, idx, hash, n FROM tops
+    UNION ALL
+    SELECT level + 1, idx // 16, sha256(string_agg(hash, '' ORDER BY idx)), (n + 15) // 16 FROM above WHERE n > 1
+    GROUP BY level, idx // 16, n),
+nodes AS (SELECT coalesce('=' || source, '') AS tree, level, idx, hash, n FROM up
+          UNION ALL SELECT 'top', level, idx, hash, n FROM above),
+kids AS (SELECT tree, level, idx // 16 AS up, list(hash ORDER BY idx) AS k FROM nodes WHERE n > 1 GROUP BY tree, level, idx // 16),
+walk(leaf_source, leaf_idx, tree, level, idx, folded, proof) AS (
+    SELECT source, idx, coalesce('=' || source, ''), 0, idx, coalesce(forged, leaf), '' FROM l0
+    UNION ALL
+    SELECT w.leaf_source, w.leaf_idx, CASE WHEN k.up IS NULL THEN 'top' ELSE w.tree END,
+           CASE WHEN k.up IS NULL THEN 0 ELSE w.level + 1 END,
+           CASE WHEN k.up IS NULL THEN t.idx ELSE w.idx // 16 END,
+           CASE WHEN k.up IS NULL THEN w.folded ELSE
+             sha256(array_to_string(k.k[:w.idx % 16], '') || w.folded || array_to_string(k.k[w.idx % 16 + 2:], '')) END,
+           CASE WHEN k.up IS NULL THEN w.proof ELSE
+             w.proof || array_to_string(k.k[:w.idx % 16], '') || array_to_string(k.k[w.idx % 16 + 2:], '') END
+    FROM walk w LEFT JOIN kids k ON k.tree = w.tree AND k.level = w.level AND k.up = w.idx // 16
+    LEFT JOIN tops t ON t.source IS NOT DISTINCT FROM w.leaf_source
+    WHERE NOT (w.tree = 'top' AND k.up IS NULL)),
+ends AS (SELECT leaf_source, leaf_idx, arg_max(folded, (tree = 'top', level)) AS folded, arg_max(proof, (tree = 'top', level)) AS proof
+         FROM walk GROUP BY leaf_source, leaf_idx)
+SELECT l0.doc_id, l0.leaf, t.hash AS subroot, r.hash AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+       e.folded = r.hash AS verified
+FROM l0 JOIN ends e ON e.leaf_source IS NOT DISTINCT FROM l0.source AND e.leaf_idx = l0.idx
+JOIN tops t ON t.source IS NOT DISTINCT FROM l0.source, (SELECT hash FROM above WHERE n = 1) r""")
+def op13_merkle_manifest(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return merkle.prove(merkle.manifest_of(docs, crc_mod("doc_id", 5) == 0)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
