@@ -17,7 +17,9 @@ holds a third of all rows is numbered by many tasks.
 have the same siblings above it, so one row carries their folded digests side by
 side and the siblings met so far once. Each step joins the row to its parent, appends
 the siblings and folds every leaf's digest with them. The climb ends at the node
-without a parent."""
+without a parent. Rows meet at ever fewer nodes on their way, so a node stands in as
+many copies as its runs need to be dealt out ``SHARE`` at a time: no join has a hot key,
+and the copies are fewer than the nodes of the level that has ``SHARE`` runs each."""
 
 from __future__ import annotations
 
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import prepare, written
 
 RUN = 16
+SHARE = 256  # lowest runs that meet one copy of a node
 HEX = 64  # characters of a digest
 TOP = -1  # number of the tree over the parts' roots; a part's tree has the part's number
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,7 +43,8 @@ class Manifest:
     ``lone`` (the only leaf of its part, which has no node above it in its tree) and
     the link of their common node (``up_tree``, ``up_level``, ``up_idx``, ``place``; a null
     link is the root's). ``nodes``: inner nodes with ``tree``, ``level``, ``idx``,
-    ``kids`` (hex digests in order), ``hash`` and the same link. ``parts``: ``tree``,
+    ``kids`` (hex digests in order), ``hash``, ``split`` (its copies in the climb), the
+    same link and ``up_split`` of the parent. ``parts``: ``tree``,
     ``part``, ``n``, ``subroot``. ``root``: hex digest, None of an empty table."""
 
     runs: DataFrame
@@ -87,22 +91,22 @@ def _link(tree: Column, level: int, idx: Column, alone: Column, parts: int) -> l
 
 
 def _grow(nodes: DataFrame, start: int, longest: int, parts: int) -> tuple[list[DataFrame], DataFrame]:
-    """Levels above ``nodes`` (``tree``, ``idx``, ``hash``, ``n``: nodes of the tree at
-    this level), each written, and the one node that is left of each tree."""
+    """Levels above ``nodes`` (``tree``, ``idx``, ``hash``, ``size``: runs below, ``n``: nodes of
+    the tree at this level), each written, and the one node that is left of each tree."""
     built, tops, level, n = [], [nodes.filter("n = 1")], start, longest
     while n > 1:
         level, n = level + 1, -(-n // RUN)
         runs = nodes.filter("n > 1").groupBy("tree", F.floor(F.col("idx") / RUN).cast("long").alias("up")).agg(
-            F.sort_array(F.collect_list(F.struct("idx", "hash"))).alias("kids"), F.first("n").alias("below"))
+            F.sort_array(F.collect_list(F.struct("idx", "hash"))).alias("kids"), F.first("n").alias("below"), F.sum("size").alias("size"))
         runs = runs.select("tree", F.lit(level).alias("level"), F.col("up").alias("idx"),
-                           F.array_join(F.col("kids.hash"), "").alias("kids"), F.ceil(F.col("below") / RUN).cast("long").alias("n"))
+                           F.array_join(F.col("kids.hash"), "").alias("kids"), F.ceil(F.col("below") / RUN).cast("long").alias("n"), "size")
         runs = runs.withColumn("hash", digest(F.col("kids")))
         nodes = written(runs.select("*", *_link(F.col("tree"), level, F.col("idx"), F.col("n") == 1, parts)), "merkle-level")
         built.append(nodes)
         tops.append(nodes.filter("n = 1"))
-    one = tops[0].select("tree", "hash")
+    one = tops[0].select("tree", "hash", "size")
     for t in tops[1:]:
-        one = one.unionAll(t.select("tree", "hash"))
+        one = one.unionAll(t.select("tree", "hash", "size"))
     return built, one
 
 
@@ -130,22 +134,30 @@ def build(leaves: DataFrame) -> Manifest:
     hashed = hashed.withColumn("n", F.ceil(F.col("n") / RUN).cast("long"))
     runs = written(hashed.select("*", *_link(F.col("tree"), 1, F.col("idx"), F.col("n") == 1, parts)), "merkle-runs", compression="zstd")
 
-    inner, subroots = _grow(runs.select("tree", "idx", "hash", "n"), 1, -(-longest // RUN), parts)
+    inner, subroots = _grow(runs.select("tree", "idx", "hash", F.lit(1).cast("long").alias("size"), "n"), 1, -(-longest // RUN), parts)
     subroots = written(subroots, "subroots")
-    top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "hash", F.lit(parts).cast("long").alias("n"))
+    top = subroots.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("idx"), "hash", "size", F.lit(parts).cast("long").alias("n"))
     upper, roots = _grow(top, 0, parts, parts)
-    columns = ["tree", "level", "idx", "kids", "hash", "up_tree", "up_level", "up_idx", "place"]
+    columns = ["tree", "level", "idx", "kids", "hash", F.ceil(F.col("size") / SHARE).cast("int").alias("split"),
+               "up_tree", "up_level", "up_idx", "place"]
     nodes = None
     for level in inner + upper:
         nodes = level.select(columns) if nodes is None else nodes.unionAll(level.select(columns))
     if nodes is None:
-        nodes = spark.createDataFrame([], "tree long, level int, idx long, kids string, hash string, "
+        nodes = spark.createDataFrame([], "tree long, level int, idx long, kids string, hash string, split int, "
                                                         "up_tree long, up_level int, up_idx long, place int")
     root = roots.first() if parts else None
-    return Manifest(runs, written(nodes, "merkle-nodes"), sizes.join(subroots, "tree").select(
+    return Manifest(runs, written(_with_parent(nodes, nodes), "merkle-nodes"), sizes.join(subroots, "tree").select(
         "tree", "part", "n", F.col("hash").alias("subroot")), root and root.hash)
 
 
+def _with_parent(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` with the copies of their parent; a node has 16 children at most."""
+    above = nodes.select(F.col("tree").alias("up_tree"), F.col("level").alias("up_level"), F.col("idx").alias("up_idx"),
+                         F.col("split").alias("up_split"))
+    return rows.join(above, ["up_tree", "up_level", "up_idx"], "left")
+
+
 def _others(kids: Column, place: Column) -> Column:
     return F.concat(kids.substr(F.lit(1), place * HEX), kids.substr(place * HEX + HEX + 1, F.length(kids)))
 
@@ -155,13 +167,13 @@ def _folded(kids: Column, place: Column, value: Column) -> Column:
 
 
 CLIMB = """
-WITH RECURSIVE climb(tree, idx, up_tree, up_level, up_idx, place, folded, proof) AS (
-  SELECT tree, idx, up_tree, up_level, up_idx, place, folded, proof FROM {start}
+WITH RECURSIVE climb(tree, idx, up_tree, up_level, up_idx, up_copy, place, folded, proof) AS (
+  SELECT tree, idx, up_tree, up_level, up_idx, pmod(xxhash64(tree, idx), up_split), place, folded, proof FROM {start}
   UNION ALL
-  SELECT c.tree, c.idx, n.up_tree, n.up_level, n.up_idx, n.place,
+  SELECT c.tree, c.idx, n.up_tree, n.up_level, n.up_idx, pmod(xxhash64(c.tree, c.idx), n.up_split), n.place,
          transform(c.folded, f -> unhex(sha2(cast(concat(left(n.kids, c.place * 64), lower(hex(f)), substr(n.kids, c.place * 64 + 65)) AS binary), 256))),
          concat(c.proof, unhex(concat(left(n.kids, c.place * 64), substr(n.kids, c.place * 64 + 65))))
-  FROM climb c JOIN {nodes} n ON n.tree = c.up_tree AND n.level = c.up_level AND n.idx = c.up_idx
+  FROM climb c JOIN {nodes} n ON n.tree = c.up_tree AND n.level = c.up_level AND n.idx = c.up_idx AND n.copy = c.up_copy
 )
 SELECT tree, idx, folded, proof FROM climb WHERE place IS NULL"""
 
@@ -178,9 +190,11 @@ def prove(manifest: Manifest) -> DataFrame:
     runs = manifest.runs.withColumn("kids", F.array_join("leaves.leaf", "")).withColumn("leaves", places)
     lone = F.col("lone")
     folded = F.transform("leaves", lambda x: F.unhex(F.when(lone, x["forged"]).otherwise(_folded(F.col("kids"), x["i"], x["forged"]))))
-    start = written(runs.select("tree", "idx", "up_tree", "up_level", "up_idx", "place", folded.alias("folded"),
-                                F.lit(b"").alias("proof")), "climb-start", compression="zstd")
-    climbed = spark.sql(CLIMB, start=start, nodes=manifest.nodes)
+    start = written(_with_parent(runs, manifest.nodes).select(
+        "tree", "idx", "up_tree", "up_level", "up_idx", "up_split", "place", folded.alias("folded"), F.lit(b"").alias("proof")),
+        "climb-start", compression="zstd")
+    copies = manifest.nodes.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("split") - 1)))
+    climbed = spark.sql(CLIMB, start=start, nodes=copies)
     done = runs.select("tree", "idx", "leaves", "kids", "lone").join(climbed, ["tree", "idx"]).join(
         manifest.parts.select("tree", "subroot"), "tree")
     rows = done.select("subroot", "kids", "lone", "proof", F.explode(F.arrays_zip("leaves", "folded")).alias("x")).select(
