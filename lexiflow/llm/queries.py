@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import bpe, interactions, lm, merkle, neardup, packing, quality, shards, spans, topk, toxicity, urls
+from . import bpe, interactions, lm, merkle, neardup, packing, quality, shards, simhash, spans, topk, toxicity, urls
 from .common import crc_mod, read
 
 TOKENIZERS = None  # folder of the tokenizer files; None: where public_tokenizers has them
@@ -242,3 +242,9 @@ def op13_merkle_manifest(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return merkle.prove(merkle.manifest_of(docs, crc_mod("doc_id", 5) == 0)).select(
         "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op11_simhash(spark, sf_dir):
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("point")), 16, "0").alias("fingerprint"), "component_id")
