@@ -39,8 +39,8 @@ CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass
 class Manifest:
-    """``runs``: ``tree``, ``idx``, ``leaves`` (array of doc_id, leaf, forged, in order),
-    ``lone`` (the only leaf of its part, which has no node above it in its tree) and
+    """``runs``: ``tree``, ``idx``, ``leaves`` (array of doc_id, leaf, forged, in order;
+    binary digests, ``forged`` null where it is the leaf), ``lone`` (the only leaf of its part, which has no node above it in its tree) and
     the link of their common node (``up_tree``, ``up_level``, ``up_idx``, ``place``; a null
     link is the root's). ``nodes``: inner nodes with ``tree``, ``level``, ``idx``,
     ``kids`` (hex digests in order), ``hash``, ``split`` (its copies in the climb), the
@@ -63,7 +63,15 @@ def field(value: Column) -> Column:
 
 
 def leaf(values: list[Column]) -> Column:
-    return digest(F.concat(*map(field, values)))
+    return F.unhex(digest(F.concat(*map(field, values))))
+
+
+def shown(value: Column) -> Column:
+    return F.lower(F.hex(value))
+
+
+def _kids(leaves: str) -> Column:
+    return F.array_join(F.transform(F.col(leaves), lambda x: shown(x["leaf"])), "")
 
 
 def numbered(df: DataFrame, group: str | None, *order: str) -> DataFrame:
@@ -112,7 +120,7 @@ def _grow(nodes: DataFrame, start: int, longest: int, parts: int) -> tuple[list[
 
 def build(leaves: DataFrame) -> Manifest:
     """Manifest of ``leaves``: ``part`` string (null is a part), ``doc_id`` long, ``leaf``
-    and ``forged`` hex digests. Null ids come first; rows of one id stand in the
+    and ``forged`` binary digests (null: not forged). Null ids come first; rows of one id stand in the
     order of their digests, so repeated rows are leaves of their own. An empty table
     has no nodes and no root."""
     spark = leaves.sparkSession
@@ -130,7 +138,7 @@ def build(leaves: DataFrame) -> Manifest:
     lowest = placed.groupBy("tree", F.floor(F.col("pos") / RUN).cast("long").alias("idx")).agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "doc_id", "leaf", "forged"))).alias("leaves"))
     hashed = lowest.withColumn("lone", F.col("n") == 1).withColumn(
-        "hash", F.when(F.col("lone"), F.col("leaves")[0]["leaf"]).otherwise(digest(F.array_join("leaves.leaf", ""))))
+        "hash", F.when(F.col("lone"), shown(F.col("leaves")[0]["leaf"])).otherwise(digest(_kids("leaves"))))
     hashed = hashed.withColumn("n", F.ceil(F.col("n") / RUN).cast("long"))
     runs = written(hashed.select("*", *_link(F.col("tree"), 1, F.col("idx"), F.col("n") == 1, parts)), "merkle-runs", compression="zstd")
 
@@ -185,36 +193,34 @@ def prove(manifest: Manifest) -> DataFrame:
     spark = manifest.runs.sparkSession
     # the climb's rows grow with the table; its depth is the tree's
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    places = F.transform(F.col("leaves"), lambda x, i: F.struct(x["doc_id"].alias("doc_id"), x["leaf"].alias("leaf"),
-                                                                x["forged"].alias("forged"), i.alias("i")))
-    runs = manifest.runs.withColumn("kids", F.array_join("leaves.leaf", "")).withColumn("leaves", places)
     lone = F.col("lone")
-    folded = F.transform("leaves", lambda x: F.unhex(F.when(lone, x["forged"]).otherwise(_folded(F.col("kids"), x["i"], x["forged"]))))
-    start = written(_with_parent(runs, manifest.nodes).select(
-        "tree", "idx", "up_tree", "up_level", "up_idx", "up_split", "place", folded.alias("folded"), F.lit(b"").alias("proof")),
-        "climb-start", compression="zstd")
+    folded = F.transform("leaves", lambda x, i: F.unhex(F.when(lone, shown(F.coalesce(x["forged"], x["leaf"]))).otherwise(
+        _folded(F.col("kids"), i, shown(F.coalesce(x["forged"], x["leaf"]))))))
+    first = manifest.runs.withColumn("kids", _kids("leaves")).select(
+        "tree", "idx", "up_tree", "up_level", "up_idx", "place", folded.alias("folded"), F.lit(b"").alias("proof"))
+    start = written(_with_parent(first, manifest.nodes), "climb-start", compression="zstd")
     copies = manifest.nodes.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("split") - 1)))
     climbed = spark.sql(CLIMB, start=start, nodes=copies)
-    done = runs.select("tree", "idx", "leaves", "kids", "lone").join(climbed, ["tree", "idx"]).join(
+    done = manifest.runs.select("tree", "idx", "leaves", "lone").join(climbed, ["tree", "idx"]).join(
         manifest.parts.select("tree", "subroot"), "tree")
-    rows = done.select("subroot", "kids", "lone", "proof", F.explode(F.arrays_zip("leaves", "folded")).alias("x")).select(
-        "subroot", "kids", "lone", "proof", "x.leaves.*", F.lower(F.hex("x.folded")).alias("folded_root"))
-    first = F.when(F.col("lone"), "").otherwise(_others(F.col("kids"), F.col("i")))
+    rows = done.select("subroot", "lone", "proof", _kids("leaves").alias("kids"), F.posexplode(F.arrays_zip("leaves", "folded")).alias("i", "x")).select(
+        "subroot", "kids", "lone", "proof", "i", "x.leaves.doc_id", shown(F.col("x.leaves.leaf")).alias("leaf"),
+        shown(F.col("x.folded")).alias("folded_root"))
+    first = F.when(lone, "").otherwise(_others(F.col("kids"), F.col("i")))
     return rows.select("doc_id", "leaf", "subroot", F.lit(manifest.root).cast("string").alias("root"),
-                       digest(F.concat(first, F.lower(F.hex("proof")))).alias("proof_sha256"), "folded_root",
+                       digest(F.concat(first, shown(F.col("proof")))).alias("proof_sha256"), "folded_root",
                        (F.col("folded_root") == F.lit(manifest.root).cast("string")).alias("verified"))
 
 
 def manifest_of(docs: DataFrame, tampered: Column, key: str = "doc_id", text: str = "text", part: str = "source",
                 columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text")) -> Manifest:
     """Manifest of ``docs`` over ``columns``, one leaf a row. Where ``tampered`` holds, the
-    forged leaf has the text's A-Z lower-cased (a null text stays); elsewhere it
-    is the leaf. Nulls in any column are told from empty values; other columns are
-    not read."""
+    forged leaf has the text's A-Z lower-cased (a null text stays). Nulls in any
+    column are told from empty values; other columns are not read."""
     prepare(docs.sparkSession)
     values = [F.col(c) for c in columns]
     low = [F.translate(F.col(c), CAPITALS, SMALL) if c == text else F.col(c) for c in columns]
     whole = leaf(values)
     rows = docs.select(F.col(part).cast("string").alias("part"), F.col(key).cast("long").alias("doc_id"), whole.alias("leaf"),
-                       F.when(tampered, leaf(low)).otherwise(whole).alias("forged"))
+                       F.when(tampered, leaf(low)).alias("forged"))
     return build(rows)
