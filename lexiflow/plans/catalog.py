@@ -381,7 +381,8 @@ SELECT ws_.lang, tokens, tokens AS reconstructed_word_tokens, wt AS reconstructe
        mtok AS morpheme_tokens, mtypes AS morpheme_types, round(mtok / tokens, 6) AS morpheme_word_ratio
 FROM ws_ JOIN mt_ USING (lang)""")
 def a1_word_stats(spark, sf):
-    return ST.word_stats(_tei_tokens(spark, sf), by=("lang",))
+    docs = V.documents(spark, sf).select("doc_id", "lang", "text")
+    return ST.word_stats(TEI.tei_words(TEI.tei_paragraphs(tei_documents(docs), None)), by=("lang",))
 
 
 @register("p5_parse_misc", O.with_tok(_MISC_SQL.strip()) + """
@@ -489,7 +490,11 @@ def _map_sql(m: dict) -> str:
     return "MAP {" + ", ".join(f"{O.q(k)}: {O.q(m[k])}" for k in sorted(m)) + "}"
 
 
+_FORMS_CTE = f"d_ AS (SELECT DISTINCT {_ORTH_SQL} AS orthography, form FROM w)"
+
+
 def _normalise_sql() -> str:
+    """Rows of ``_FORMS_CTE`` with the normalised form."""
     parts = []
     for o in R.ORTHOGRAPHIES:
         first, full = R.rewrite_maps(o)
@@ -502,16 +507,28 @@ SELECT orthography, form, CASE WHEN len(list_filter(pc1, lambda x: NOT map_conta
 FROM (SELECT *, regexp_extract_all(o1, {p2}) AS pc2 FROM
        (SELECT *, array_to_string(list_transform(pc1, lambda x: coalesce({m1}[x], '')), '') AS o1 FROM
          (SELECT orthography, form, regexp_extract_all(form, {p1}) AS pc1 FROM d_ WHERE orthography = {O.q(o)})))""")
-    return O.with_tok(f"d_ AS (SELECT DISTINCT {_ORTH_SQL} AS orthography, form FROM w)") + "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts)
 
 
-@register("t1_normalise", _normalise_sql())
+@register("t1_normalise", O.with_tok(_FORMS_CTE) + _normalise_sql())
 def t1_normalise(spark, sf):
     w = V.wtok(spark, sf)
     d = w.select(orthography_of_source(F.col("source")).alias("orthography"), "form").distinct()
     return d.select("orthography", "form", TX.normalise(F.col("form"), F.col("orthography")).alias("normalised"))
 
 
+@register("s4_conllu_normalised", O.with_tok(_FORMS_CTE, f"norm_ AS ({_normalise_sql()})", _MISC_SQL.strip()) + f"""
+SELECT cf_.doc_id, cf_.par_id, cf_.tok_id, CASE WHEN cf_.xpostag = 'PUNCT' THEN cf_.form ELSE norm_.normalised END AS form, cf_.misc
+FROM cf_ JOIN documents USING (doc_id) LEFT JOIN norm_ ON norm_.orthography = {_ORTH_SQL} AND norm_.form = cf_.form""")
+def s4_conllu_normalised(spark, sf):
+    """FORM by the orthography of the document, ``origText`` as written."""
+    docs = V.documents(spark, sf).select(
+        F.struct("doc_id", orthography_of_source(F.col("source")).alias("orthography")).alias("doc_id"), "lang", "text")
+    toks = TEI.tei_tokens(TEI.tei_paragraphs(tei_documents(docs), None))
+    return TEI.conllu_fields(toks, orthography=F.col("doc_id.orthography")).select(
+        "doc_id.doc_id", "par_id", "tok_id", "form", "misc")
+
+
 @register("t2_preclean", O.with_tok() + f"""
 SELECT form, translate(lower(translate({"".join("replace(" for _ in TX.PRECLEAN_MULTI)}form{"".join(f", {O.q(a)}, {O.q(b)})" for a, b in TX.PRECLEAN_MULTI)},
        {O.q(TX.PRECLEAN_FROM)}, {O.q(TX.PRECLEAN_TO)})), {O.q(TX.PRECLEAN_FROM)}, {O.q(TX.PRECLEAN_TO)}) AS cleaned

@@ -1,9 +1,16 @@
-"""TEI scans (S2-S6) with regular expressions over the markup string.
+"""TEI scans (S2-S6) over the markup string.
 
 An XML parser would reject the malformed files of a real corpus and Spark's
-``xml`` source separates text from words (losing where punctuation sits), so
-the scans are ``regexp_extract_all`` passes that keep document order. Every
-step is a row-local expression or ``posexplode``: no shuffle, and one document
+``xml`` source separates text from words (losing where punctuation sits), so the
+scans work on the string, in document order. Comments go first. Paragraphs are
+cut by one pattern that stops at whatever ends a paragraph in HTML. Inside a
+paragraph, markup that is only words and morphemes is cut by one pattern too;
+anything else (other elements, nested ones of one name, self-closed or unclosed
+tags) is split into tag events, and a fold over the events with the name and depth
+of the open child finds the paragraph's own children. All patterns are possessive:
+they never go back, so a text's length bounds the work.
+
+Every step is a row-local expression or ``posexplode``: no shuffle, and one document
 never leaves the task that read it.
 """
 
@@ -15,24 +22,161 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose end also ends an open paragraph.
-BLOCKS = ("html", "body", "head", "div", "div1", "text", "tei", "article", "section", "main", "header", "footer",
-          "nav", "aside", "blockquote", "form", "ul", "ol", "li", "table", "tr", "td", "th", "p")
-
-# Patterns of the scans. A paragraph ends at its end tag, at the next one's start,
-# at the end of an element around it, or with the text.
-PARAGRAPH_RE = (r"(?is)<p((?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?)>(.*?)(?=<p[\s>/]|</(?:" + "|".join(BLOCKS) + r")\s*>|\z)")
-ROOT_RE = r"(?i)<(?:text|html|TEI)(\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+from ..functions.text import normalise
+
+# Fixed values of HTML: elements whose start ends an open paragraph, further ones
+# (among them those of a TEI file) whose end does, and elements without content.
+BLOCK_STARTS = ("address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
+                "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr",
+                "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th",
+                "thead", "title", "tr", "ul")
+BLOCK_ENDS = BLOCK_STARTS + ("html", "div1", "text", "tei")
+VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
+
+# Attributes up to the closing ">", which may stand inside quotes.
+_ATTRS = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+COMMENT_RE = r"(?s)<!--.*?(?:-->|\z)"
+# words and morphemes go by without trying the block names
+PARAGRAPH_RE = (rf"(?i)<p(?:\s{_ATTRS})?+>[^<]*+(?:<(?:/?+[wm][\s>]|(?!(?:" + "|".join(BLOCK_STARTS) + r")[\s/>]|/(?:"
+                + "|".join(BLOCK_ENDS) + r")[\s>]))[^<]*+)*+")
+PARAGRAPH_TAG_RE = rf"^<.(?:\s{_ATTRS})?+>"
+ROOT_RE = rf"(?i)<(?:text|html|TEI)(\s{_ATTRS})>"
 ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-# words, other elements with all they hold, other tags, entities, characters
-ITEM_RE = (r"(?is)<w(?:\s[^>]*)?(?<!/)>.*?</w>|<w(?:\s[^>]*)?/>|<([a-z][\w:.-]*)(?:\s[^>]*)?(?<!/)>.*?</\1\s*>|<[^>]*>|"
-           + ENTITY + r"|[^\s<]")
-WORD_ITEM_RE = r"^<w[\s>/]"
+CHAR_RE = ENTITY + r"|\S"
+# A word and its morphemes without other or nested markup, and text made of these only.
+_SIMPLE = r"""(?:\s(?:[^<>"']++|"[^"<>]*+"|'[^'<>]*+')*+)?+(?<!/)>"""
+_MORPH = rf"<m{_SIMPLE}[^<]*+</m>"
+_WORD = rf"<w{_SIMPLE}[^<]*+(?:{_MORPH}[^<]*+)*+</w>"
+PLAIN_RE = rf"^[^<]*+(?:{_WORD}[^<]*+)*+\z"
+PLAIN_ITEM_RE = rf"{_WORD}|{ENTITY}|\S"
+PLAIN_INNER_RE = rf"^[^<]*+(?:{_MORPH}[^<]*+)*+\z"
+EVENT_RE = rf"</?[A-Za-z]{_ATTRS}>|<[!?][^>]*+>|[^<]++|<"
 WORD_ATTRS_RE = r"(?i)^<w((?:\s[^>]*?)?)/?>"
-WORD_INNER_RE = r"(?is)^<w(?:\s[^>]*)?>(.*)</w>$"
-MORPH_RE = r"(?is)<m((?:\s[^>]*)?)>(.*?)</m>"
+WORD_INNER_RE = r"(?is)^<w(?:\s[^>]*)?>(.*)</w\s*>$"
+PLAIN_MORPH_RE = rf"<m((?:\s{_ATTRS})?+)>([^<]*+)</m>"
+PLAIN_WORD_RE = _WORD
 TAG_RE = r"<[^>]*>"
 
+#: Events folded at a time: states are copied within a block, results between blocks.
+BLOCK = 256
+
+
+def without_comments(c: Column) -> Column:
+    return F.when(F.instr(c, "<!--") > 0, F.regexp_replace(c, COMMENT_RE, "")).otherwise(c)
+
+
+def _events(markup: Column) -> Column:
+    """Tags and the texts between them, in order; a quoted ``>`` in a tag is escaped."""
+    def escaped(e):
+        inside = F.substring(e, 1, F.length(e) - 1)
+        return F.when(e.startswith("<") & (F.instr(inside, ">") > 0), F.concat(F.replace(inside, F.lit(">"), F.lit("&gt;")), F.lit(">"))).otherwise(e)
+    return F.transform(F.regexp_extract_all(markup, F.lit(EVENT_RE), 0), escaped)
+
+
+def _tag_names(events: Column) -> Column:
+    """Of each event: ``""`` for text, ``name`` and ``/name`` for tags, ``name/`` for an element
+    without content, ``!`` for declarations; lower-cased."""
+    def name(e):
+        opening = F.lower(F.regexp_extract(e, r"^</?([A-Za-z][^\s/>]*)", 1))
+        return (F.when(~e.startswith("<") | (F.length(e) == 1), F.lit(""))
+                .when(e.startswith("</"), F.concat(F.lit("/"), opening))
+                .when(opening == "", F.lit("!"))
+                .when(e.endswith("/>") | opening.isin(*VOID), F.concat(opening, F.lit("/"))).otherwise(opening))
+    return F.transform(events, name)
+
+
+_SPAN = "struct<first:int,last:int>"
+_OPEN = f"struct<name:string,depth:int,first:int,at:int,out:array<{_SPAN}>>"
+_STATE = f"struct<name:string,depth:int,first:int,out:array<array<{_SPAN}>>>"
+
+
+def _children(tags: Column, word: str = "w") -> Column:
+    """Spans of events (from 0, both ends) that are texts or ``word`` elements and children
+    of the fragment: a fold whose state is the open child's name, its depth and start.
+    What is open at the end ends after the last event."""
+    def span(first, last):
+        return F.array(F.struct(first.alias("first"), last.alias("last")).cast(_SPAN))
+
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def step(s, tag):
+        top = s["name"] == ""
+        opens = top & (tag != "") & ~tag.startswith("/") & ~tag.endswith("/") & (tag != "!")
+        deeper = F.when(top, F.lit(0)).otherwise(
+            s["depth"] + F.when(tag == s["name"], 1).when(tag == F.concat(F.lit("/"), s["name"]), -1).otherwise(0))
+        found = (F.when(top & ((tag == "") | (tag == word + "/")), span(s["at"], s["at"]))
+                 .when(~top & (deeper == 0) & (s["name"] == word), span(s["first"], s["at"])).otherwise(none))
+        return F.struct(
+            F.when(opens, tag).when(~top & (deeper == 0), F.lit("")).otherwise(s["name"]).alias("name"),
+            F.when(opens, F.lit(1)).otherwise(deeper).alias("depth"),
+            F.when(opens, s["at"]).otherwise(s["first"]).alias("first"), (s["at"] + 1).alias("at"),
+            F.when(F.size(found) > 0, F.concat(s["out"], found)).otherwise(s["out"]).alias("out")).cast(_OPEN)
+
+    def block(s, b):
+        start = F.struct(s["name"].alias("name"), s["depth"].alias("depth"), s["first"].alias("first"), (b * BLOCK).alias("at"),
+                         none.alias("out")).cast(_OPEN)
+        return F.aggregate(F.slice(tags, b * BLOCK + 1, BLOCK), start, step, lambda e: F.struct(
+            e["name"].alias("name"), e["depth"].alias("depth"), e["first"].alias("first"),
+            F.concat(s["out"], F.array(e["out"])).alias("out")).cast(_STATE))
+
+    begin = F.struct(F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("first"),
+                     F.array().cast(f"array<array<{_SPAN}>>").alias("out")).cast(_STATE)
+    count = F.ceil(F.size(tags) / BLOCK).cast("int")
+    blocks = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(blocks, begin, block, lambda e: F.concat(
+        F.flatten(e["out"]), F.when(e["name"] == word, span(e["first"], F.size(tags))).otherwise(none)))
+
+
+def _element(events: Column, span: Column) -> Column:
+    """The markup of an element: its start tag, what it holds, an end tag (also where
+    the text has none)."""
+    start = events[span["first"]]
+    inner = F.array_join(F.slice(events, span["first"] + 2, F.greatest(span["last"] - span["first"] - 1, F.lit(0))), "")
+    return F.when(start.endswith("/>"), start).otherwise(F.concat(start, inner, F.lit("</w>")))
+
+
+def _fold_items(body: Column) -> Column:
+    """The paragraph's own characters and words, in order, by the fold over tag events."""
+    def items(events):
+        def of_tags(tags):
+            return F.flatten(F.transform(_children(tags), lambda x: F.when(
+                tags[x["first"]] == "", F.regexp_extract_all(events[x["first"]], F.lit(CHAR_RE), 0)).otherwise(
+                F.array(_element(events, x)))))
+        return _let(_tag_names(events), of_tags)
+    return _let(_events(body), items)
+
+
+def _nested(markup: Column, name: str) -> Column:
+    """All ``name`` elements at any depth, in the order of their start tags: start tag and
+    the markup up to its own end tag or the end."""
+    def of_tags(events, tags):
+        def element(i):
+            rest = F.slice(tags, i + 2, F.size(tags))
+            begin = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n")).cast("struct<depth:int,n:int>")
+
+            def step(s, tag):
+                depth = s["depth"] + F.when(tag == name, 1).when(tag == "/" + name, -1).otherwise(0)
+                return F.when(s["depth"] == 0, s).otherwise(F.struct(
+                    depth.alias("depth"), (s["n"] + F.when(depth == 0, 0).otherwise(1)).alias("n")).cast("struct<depth:int,n:int>"))
+            inside = F.when(tags[i] == name, F.aggregate(rest, begin, step, lambda s: s["n"])).otherwise(0)
+            return F.struct(events[i].alias("tag"), F.array_join(F.slice(events, i + 2, inside), "").alias("body"))
+        starts = F.filter(F.transform(tags, lambda t, i: F.when(t.isin(name, name + "/"), i)), lambda i: i.isNotNull())
+        return F.transform(starts, element)
+    return _let(_events(markup), lambda events: _let(_tag_names(events), lambda tags: of_tags(events, tags)))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _plain_items(body: Column) -> Column:
+    return F.regexp_extract_all(body, F.lit(PLAIN_ITEM_RE), 0)
+
+
+def paragraph_items(body: Column) -> Column:
+    return F.when(body.rlike(PLAIN_RE), _plain_items(body)).otherwise(_fold_items(body))
+
 
 def attr(attrs: Column, name: str, ignore_case: bool = False) -> Column:
     """Value of attribute ``name`` in an attribute string; null when absent or
@@ -46,6 +190,14 @@ def attr(attrs: Column, name: str, ignore_case: bool = False) -> Column:
     return F.nullif(F.when(F.instr(attrs, key) > 0, fast).otherwise(slow), F.lit(""))
 
 
+def _split_attr(parts: Column, attrs: Column, name: str) -> Column:
+    """``attr`` of an attribute string already split at its double quotes: the value
+    stands after the part `` name=``. Any other spelling goes through ``attr``."""
+    at = F.array_position(parts, f" {name}=").cast("int")
+    return (F.when((at > 0) & (at % 2 == 1), F.nullif(F.get(parts, at), F.lit("")))
+            .when(F.instr(F.lower(attrs), name) > 0, attr(attrs, name)))
+
+
 def _entity_map() -> Column:
     names = [(k, chr(v)) for k, v in sorted(name2codepoint.items())] + [("apos", "'")]
     return F.create_map(*[F.lit(x) for pair in names for x in pair])
@@ -75,20 +227,30 @@ def tei_paragraphs(docs: DataFrame, lang: str | Sequence[str] | None, key: str =
                    col: str = "xml") -> DataFrame:
     """Every ``<p>`` whose language (its ``xml:lang``, else the document's
     root ``lang``) is in ``lang`` (``None`` = all), numbered from 1 among the kept
-    ones, with its ``n`` attribute. Output (key, par_id, lang, n, body)."""
-    x = F.col(col)
+    ones, with its ``n`` attribute. Comments are dropped; a paragraph ends at its end
+    tag, at the start of a block element, at the end of one around it, or with the
+    text. Output (key, par_id, lang, n, body)."""
+    docs = docs.select(key, without_comments(F.col(col)).alias("_x"))
+    x = F.col("_x")
     tags = F.regexp_extract(x, ROOT_RE, 1)
-    root = F.coalesce(attr(tags, "xml:lang"), attr(tags, "lang"))
-    attrs = F.regexp_extract_all(x, F.lit(PARAGRAPH_RE), 1)
-    bodies = F.regexp_extract_all(x, F.lit(PARAGRAPH_RE), 2)
-    pars = F.zip_with(attrs, bodies, lambda a, b: F.struct(
-        F.coalesce(attr(a, "xml:lang"), root).alias("lang"), attr(a, "n").alias("n"), b.alias("body")))
+    # below the generator, so that the text itself is not carried to every paragraph
+    docs = docs.select(key, "_x", F.coalesce(attr(tags, "xml:lang"), attr(tags, "lang")).alias("_root"))
+    pars = F.regexp_extract_all(x, F.lit(PARAGRAPH_RE), 0)
+
+    def start(p):
+        return F.regexp_extract(p, PARAGRAPH_TAG_RE, 0)
+
+    def language(p):
+        return F.coalesce(attr(F.substring(start(p), 3, 1 << 30), "xml:lang"), F.col("_root"))
     if lang is not None:
         langs = [lang] if isinstance(lang, str) else list(lang)
-        pars = F.filter(pars, lambda p: p["lang"].isin(*langs))
-    out = docs.select(key, F.posexplode(pars).alias("pos", "p"))
+        pars = F.filter(pars, lambda p: language(p).isin(*langs))
+    out = docs.select(key, "_root", F.posexplode(pars).alias("pos", "p"))
+    out = out.select(key, "_root", "pos", "p", start(F.col("p")).alias("_tag"))
+    attrs = F.substring("_tag", 3, F.length("_tag") - 3)
     return out.select(key, (F.col("pos") + 1).cast("bigint").alias("par_id"),
-                      F.col("p.lang").alias("lang"), F.col("p.n").alias("n"), F.col("p.body").alias("body"))
+                      F.coalesce(attr(attrs, "xml:lang"), F.col("_root")).alias("lang"), attr(attrs, "n").alias("n"),
+                      F.substring("p", F.length("_tag") + 1, 1 << 30).alias("body"))
 
 
 def raw_lines(pars: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -103,51 +265,72 @@ def tei_tokens(pars: DataFrame, key: str = "doc_id") -> DataFrame:
     Tokens are numbered from 1 within the paragraph.
 
     Output (key, par_id, n, lang, tok_id, form, lemma, xpostag, word_lang, inner, item)."""
-    items = F.regexp_extract_all(F.col("body"), F.lit(ITEM_RE), 0)
-
-    def word_tag(x):
-        return F.substring(x, 1, 3).rlike(r"(?i)^<w[\s>/]")
-    kept = F.filter(items, lambda x: ~x.startswith("<") | word_tag(x))
-    t = pars.select(key, "par_id", "n", "lang", F.posexplode(kept).alias("pos", "item"))
+    t = pars.select(key, "par_id", "n", "lang", F.posexplode(paragraph_items(F.col("body"))).alias("pos", "item"))
     item = F.col("item")
     # Staged projections: each intermediate is computed once and referenced by
     # name (an expensive expression used twice is not collapsed into one select).
-    # Any other tag was dropped above, so an item starting with '<' is a word element.
-    open_tag = F.substring_index(item, ">", 1)
-    t = t.select(key, "par_id", "n", "lang", "pos", "item", item.startswith("<").alias("is_word"),
-                 open_tag.alias("open_tag"))
+    # Any other tag was dropped above, so a longer item starting with '<' is a word element.
+    is_word = item.startswith("<") & (F.length(item) > 1)
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", is_word.alias("is_word"),
+                 F.substring_index(item, ">", 1).alias("open_tag"))
     inner = F.when(F.col("open_tag").endswith("/"), F.lit("")).otherwise(
         F.substring(item, F.length("open_tag") + 2, F.length(item) - F.length("open_tag") - 5))
     t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word",
                  F.substring("open_tag", 3, 1 << 30).alias("attrs"),
                  F.when(F.col("is_word"), inner).alias("inner"))
-    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "attrs", "inner",
-                 F.when(F.col("is_word"), strip_tags(F.col("inner"))).otherwise(item).alias("_text"),
-                 F.when(F.col("is_word"), attr(F.col("attrs"), "lemma")).alias("_lemma"))
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "attrs", "inner", F.split("attrs", '"', -1).alias("_parts"),
+                 F.when(F.col("is_word"), strip_tags(F.col("inner"))).otherwise(item).alias("_text"))
+
+    def value(name):
+        return F.when(F.col("is_word"), _split_attr(F.col("_parts"), F.col("attrs"), name))
+    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "inner", value("lemma").alias("_lemma"), value("pos").alias("_pos"),
+                 value("xml:lang").alias("_lang"), unescape(F.col("_text")).alias("form"))
     is_word = F.col("is_word")
-    t = t.select(key, "par_id", "n", "lang", "pos", "item", "is_word", "attrs", "inner", "_lemma",
-                 unescape(F.col("_text")).alias("form"))
     return t.select(
         key, "par_id", "n", "lang", (F.col("pos") + 1).cast("bigint").alias("tok_id"), "form",
         F.when(is_word, unescape(F.col("_lemma"))).otherwise(F.col("form")).alias("lemma"),
-        F.when(is_word, attr(F.col("attrs"), "pos")).otherwise(F.lit("PUNCT")).alias("xpostag"),
-        F.when(is_word, F.coalesce(attr(F.col("attrs"), "xml:lang"), F.col("lang"))).alias("word_lang"),
+        F.when(is_word, F.col("_pos")).otherwise(F.lit("PUNCT")).alias("xpostag"),
+        F.when(is_word, F.coalesce("_lang", "lang")).alias("word_lang"),
         "inner", F.when(is_word, item).alias("item"))
 
 
+def _morphs(inner: Column) -> Column:
+    """Attributes and markup of each ``<m>`` of a word, nested ones too."""
+    plain = F.zip_with(F.regexp_extract_all(inner, F.lit(PLAIN_MORPH_RE), 1), F.regexp_extract_all(inner, F.lit(PLAIN_MORPH_RE), 2),
+                       lambda a, t: F.struct(a.alias("attrs"), t.alias("body")))
+    nested = F.transform(_nested(inner, "m"), lambda e: F.struct(
+        F.regexp_replace(F.substring(e["tag"], 3, 1 << 30), "/?>$", "").alias("attrs"), e["body"].alias("body")))
+    return F.when(inner.rlike(PLAIN_INNER_RE), plain).otherwise(nested)
+
+
 def _morph_structs(inner: Column) -> Column:
-    attrs = F.regexp_extract_all(inner, F.lit(MORPH_RE), 1)
-    texts = F.regexp_extract_all(inner, F.lit(MORPH_RE), 2)
-    return F.zip_with(attrs, texts, lambda a, t: F.struct(
-        unescape(strip_tags(t)).alias("text"),
-        unescape(attr(a, "baseForm", ignore_case=True)).alias("base_form"),
-        attr(a, "type").alias("type")))
+    return F.transform(_morphs(inner), lambda m: F.struct(
+        unescape(strip_tags(m["body"])).alias("text"),
+        unescape(attr(m["attrs"], "baseForm", ignore_case=True)).alias("base_form"),
+        attr(m["attrs"], "type").alias("type")))
 
 
 def morph_texts(inner: Column) -> Column:
     """Just the text of each ``<m>`` of a word (tags removed, entities decoded),
     without parsing the attributes."""
-    return F.transform(F.regexp_extract_all(inner, F.lit(MORPH_RE), 2), lambda t: unescape(strip_tags(t)))
+    plain = F.transform(F.regexp_extract_all(inner, F.lit(PLAIN_MORPH_RE), 2), unescape)
+    return F.when(inner.rlike(PLAIN_INNER_RE), plain).otherwise(
+        F.transform(_nested(inner, "m"), lambda e: unescape(strip_tags(e["body"]))))
+
+
+def tei_words(pars: DataFrame, key: str = "doc_id") -> DataFrame:
+    """All ``<w>`` elements of the paragraphs, at any depth, for counting words: no
+    numbers, no text between them. Output (key, par_id, lang, lemma, xpostag, inner)."""
+    body = F.col("body")
+    found = F.when(body.rlike(PLAIN_RE), F.transform(F.regexp_extract_all(body, F.lit(PLAIN_WORD_RE), 0), lambda w: F.struct(
+        F.concat(F.substring_index(w, ">", 1), F.lit(">")).alias("tag"),
+        F.substring(w, F.length(F.substring_index(w, ">", 1)) + 2, F.length(w) - F.length(F.substring_index(w, ">", 1)) - 5).alias("body")))
+    ).otherwise(_nested(body, "w"))
+    w = pars.select(key, "par_id", "lang", F.explode(found).alias("w")).select(
+        key, "par_id", "lang", F.regexp_replace(F.substring("w.tag", 3, 1 << 30), "/?>$", "").alias("attrs"), F.col("w.body").alias("inner"))
+    w = w.select("*", F.split("attrs", '"', -1).alias("_parts"))
+    return w.select(key, "par_id", "lang", unescape(_split_attr(F.col("_parts"), F.col("attrs"), "lemma")).alias("lemma"),
+                    _split_attr(F.col("_parts"), F.col("attrs"), "pos").alias("xpostag"), "inner")
 
 
 def tei_morphemes(toks: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -162,8 +345,11 @@ def tei_morphemes(toks: DataFrame, key: str = "doc_id") -> DataFrame:
                     F.col("m.type").alias("type"))
 
 
-def conllu_fields(toks: DataFrame, target_lang: str | Column | None = None, key: str = "doc_id") -> DataFrame:
-    """S4 (token level) + P3: FEATS = morpheme types minus null and ``root``
+def conllu_fields(toks: DataFrame, target_lang: str | Column | None = None, key: str = "doc_id",
+                  orthography: Column | None = None) -> DataFrame:
+    """S4 (token level) + P3: FORM of a word is its spelling normalised by the rule set
+    that ``orthography`` names (T1; the raw form where the rewrite fails, for an unknown
+    set and without ``orthography``); punctuation is never rewritten. FEATS = morpheme types minus null and ``root``
     (``_`` when none); MISC = ``origText=..,baseForms=a|b`` with ``None`` for a
     missing base form, plus ``,wordLang=..`` for a word of another language.
     Punctuation gets ``_`` for both."""
@@ -174,11 +360,13 @@ def conllu_fields(toks: DataFrame, target_lang: str | Column | None = None, key:
     bases = F.array_join(F.transform(ms, lambda m: F.coalesce(m["base_form"], F.lit("None"))), "|")
     tl = F.col("lang") if target_lang is None else (F.lit(target_lang) if isinstance(target_lang, str) else target_lang)
     foreign = F.col("word_lang").isNotNull() & (F.col("word_lang") != tl)
+    # origText stays as written
     misc = F.concat(F.lit("origText="), F.col("form"), F.lit(",baseForms="), bases,
                     F.when(foreign, F.concat(F.lit(",wordLang="), F.col("word_lang"))).otherwise(F.lit("")))
     is_word = F.col("inner").isNotNull()
+    form = F.col("form") if orthography is None else F.when(is_word, normalise(F.col("form"), orthography)).otherwise(F.col("form"))
     return toks.select(
-        key, "par_id", "n", "tok_id", "form", "lemma", "xpostag",
+        key, "par_id", "n", "tok_id", form.alias("form"), "lemma", "xpostag",
         F.when(is_word, feats).otherwise(F.lit("_")).alias("feats"),
         F.when(is_word, misc).otherwise(F.lit("_")).alias("misc"))
 
