@@ -6,8 +6,13 @@ prior that is centred on the pooled frequency. Words without a significant form
 share the log-odds of the rest, which is below zero. A linear-time scan finds
 all maximal scoring segments of a document; the chance that a clean document of
 that length holds a segment as good follows an extreme-value law, whose two
-parameters come from the clean labelled documents. The surplus of the segments
-over that law, in nats, gives the document's score through a logistic curve."""
+parameters, lambda and K, are fitted together to the clean labelled documents. The
+evidence of a document is the largest -log chance of its r best segments together,
+by the sum statistic of that law. It gives the score through a logistic curve that
+never falls, and a text without a segment has the least evidence at any length.
+
+Near copies in the labelled rows say no more than one of them: of rows that share
+their least shingle hash one is fitted on."""
 
 from __future__ import annotations
 
@@ -37,6 +42,10 @@ MIN_Z = 4.0
 BURST = 3
 #: Documents of the sample that must hold a form.
 MIN_DOCS = 5
+#: Words of the shingles whose least hash tells near copies in the fitting sample.
+SHINGLE = 5
+#: Evidence of a text without a segment, and the least of one that has any.
+NO_EVIDENCE, LEAST_EVIDENCE = -8.0, -7.5
 #: Lengths of the leading parts of a word that are forms beside the whole word.
 PREFIXES = (4, 5, 6, 7, 8)
 OUTER = re.compile(r"^\W+|\W+$")
@@ -56,21 +65,37 @@ class ToxicModel:
     other: float = -1e-3
     decay: float = 1.0      # lambda of the extreme-value law
     size: float = 1.0       # K
-    curve: tuple[float, float, float] = (-20.0, 0.0, 0.0)
+    curve: tuple[float, float] = (-20.0, 0.0)
 
     def word_score(self, raw: bytes) -> float:
         best = max((self.forms[f] for f in word_forms(raw) if f in self.forms), key=lambda x: x[1], default=None)
         return best[0] if best else self.other
 
-    def features(self, n: int, segments: list[tuple[int, int, float]]) -> tuple[float, float]:
-        """Surplus of the best segment over the law, and the sum of the others'."""
-        law = math.log(max(self.size * max(n, 1), 1e-9))
-        surplus = sorted((self.decay * s - law for _, _, s in segments), reverse=True)
-        return (surplus[0] if surplus else -max(law, 0.0)), sum(x for x in surplus[1:] if x > 0)
-
-    def probability(self, features: tuple[float, float]) -> float:
-        a, b, c = self.curve
-        x = min(max(a + b * features[0] + c * features[1], -40.0), 40.0)
+    def evidence(self, n: int, segments: list[tuple[int, int, float]]) -> float:
+        """-log chance of the r best segments in a clean text, for the r that makes it
+        largest. The law counts the words outside segments, so one more toxic
+        passage never lowers it."""
+        if not segments:
+            return NO_EVIDENCE
+        outside = max(n - sum(b - a + 1 for a, b, _ in segments), 1)
+        law = math.log(max(self.size * outside, 1e-9))
+        best, total, factorials = LEAST_EVIDENCE, 0.0, 0.0
+        for r, s in enumerate(sorted((x for _, _, x in segments), reverse=True), 1):
+            surplus = self.decay * s - law
+            if r > 1 and surplus <= 0:
+                break
+            total += surplus
+            if r == 1:
+                best = max(best, total)
+            else:  # e^-T T^(r-1) / (r! (r-1)!), for T beyond r (r - 1)
+                factorials += math.log(r) + math.log(r - 1)
+                if total > r * (r - 1):
+                    best = max(best, total - (r - 1) * math.log(total) + factorials)
+        return min(best, 50.0)
+
+    def probability(self, evidence: float) -> float:
+        a, b = self.curve
+        x = min(max(a + b * evidence, -40.0), 40.0)
         return 1.0 / (1.0 + math.exp(-x))
 
     def p_value(self, n: int, score: float) -> float:
@@ -97,6 +122,29 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, r - left) for a, b, left, r, _ in found]
 
 
+def extreme_value_law(lengths: np.ndarray, best: np.ndarray) -> tuple[float, float]:
+    """lambda and K of P(best <= s) = exp(-K n exp(-lambda s)) by maximum likelihood. A
+    text without a segment says that its best is at most 0. For a lambda the best K
+    is known; lambda is the best of a grid."""
+    found = best > 0
+    if not found.any():
+        return 1.0, 1.0 / max(float(lengths.sum()), 1.0)
+    count, total = int(found.sum()), float(best[found].sum())
+    top = (-math.inf, 1.0, 1.0)
+    for decay in np.linspace(0.02, 3.0, 150).tolist():
+        size = count / max(float((lengths * np.exp(-decay * best)).sum()), 1e-9)
+        top = max(top, (count * (math.log(decay) + math.log(size)) - decay * total, decay, size))
+    return top[1], top[2]
+
+
+def _least_shingle(text: str) -> int:
+    """The least hash of the runs of ``SHINGLE`` words (a shorter text: of all)."""
+    from xxhash import xxh3_64_intdigest
+
+    words = text.lower().encode().split()
+    return min(xxh3_64_intdigest(b" ".join(words[i:i + SHINGLE])) for i in range(max(len(words) - SHINGLE + 1, 1))) >> 1
+
+
 class _Scores(dict):
     def __init__(self, model: ToxicModel):
         self.model = model
@@ -132,9 +180,21 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k
     every document near 0."""
     prepare(docs.sparkSession)
     sample = _sample(labels, per_class)
-    # at most 2 * per_class ids: a bounded broadcast
+    # at most 2 * per_class ids: a bounded broadcast. Of an id's rows the least text
+    # counts, of near copies of one class the least id: at most as many rows as ids
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(docs, text).alias("text")).join(
-        F.broadcast(sample), "doc_id").select("text", "toxic")
+        F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+    def shingle(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(map(_least_shingle, batch.column(2).to_pylist()), pa.int64())],
+                                             ["doc_id", "toxic", "text", "shingle"])
+
+    rows = written(rows.mapInArrow(shingle, "doc_id long, toxic int, text string, shingle long"), "toxic-sample", compression="zstd")
+    one = rows.groupBy("shingle", "toxic").agg(F.min("doc_id").alias("doc_id"))
+    rows = written(rows.join(one, ["shingle", "toxic", "doc_id"]).select("text", "toxic"), "toxic-sample", compression="zstd")
 
     def count(batches):
         import pyarrow as pa
@@ -199,18 +259,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k
             got = list(_segments(model, batch.column(0).to_pylist(), memo))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32()), pa.array([n for n, _ in got], pa.int64()),
-                 pa.array([[s for _, _, s in seg] for _, seg in got], pa.list_(pa.float64()))], ["toxic", "n", "s"])
-
-    measured = rows.mapInArrow(measure, "toxic int, n long, s array<double>").collect()
-    clean = [(r["n"], max(r["s"], default=0.0)) for r in measured if r["toxic"] == 0 and r["n"]]
-    # lambda is 1 for log-odds scores; K is its maximum-likelihood value
-    model.size = len(clean) / max(sum(n * math.exp(-model.decay * s) for n, s in clean), 1e-9)
-    x = np.array([(1.0, *model.features(r["n"], [(0, 0, v) for v in r["s"]])) for r in measured])
+                 pa.array([n - sum(b - a + 1 for a, b, _ in seg) for n, seg in got], pa.int64()),
+                 pa.array([[v for _, _, v in seg] for _, seg in got], pa.list_(pa.float64()))], ["toxic", "n", "outside", "s"])
+
+    # one row for each sampled id at most, of segment scores only
+    measured = rows.mapInArrow(measure, "toxic int, n long, outside long, s array<double>").collect()
+    clean = [(max(r["outside"], 1), max(r["s"], default=0.0)) for r in measured if r["toxic"] == 0 and r["n"]]
+    model.decay, model.size = extreme_value_law(np.array([n for n, _ in clean], dtype=float), np.array([v for _, v in clean]))
+    x = np.array([(1.0, model.evidence(max(r["outside"], 1), [(0, -1, v) for v in r["s"]])) for r in measured])
     y = np.array([float(r["toxic"]) for r in measured])
     both = {c: max(int((y == c).sum()), 1) for c in (0, 1)}
     kept = {r["toxic"]: r["count"] for r in labels.groupBy(F.col("toxic").cast("int").alias("toxic")).count().collect()}
     weight = np.where(y == 1, kept.get(1, 1) / both[1], kept.get(0, 1) / both[0])
-    model.curve = tuple(logistic(x, y, weight))
+    a, b = logistic(x, y, weight)
+    model.curve = (a, b) if b > 0 else (math.log(max((weight * y).sum(), 1) / max((weight * (1 - y)).sum(), 1)), 0.0)
     return model
 
 
@@ -244,7 +306,7 @@ def score(docs: DataFrame, model: ToxicModel, key: str = "doc_id", text: str = "
         for batch in batches:
             got = list(_segments(model, batch.column(1).to_pylist(), memo))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([model.probability(model.features(min(n, 10**9), s)) for n, s in got], pa.float64()),
+                [batch.column(0), pa.array([model.probability(model.evidence(n, s)) for n, s in got], pa.float64()),
                  pa.array([n for n, _ in got], pa.int64()),
                  pa.array([[{"first": a, "last": b, "score": v, "p": p} for a, b, v in s if (p := model.p_value(n, v)) <= max_p]
                            for n, s in got], kind)], ["doc_id", "score", "n_words", "segments"])
@@ -263,7 +325,7 @@ def clean(docs: DataFrame, model: ToxicModel, text: str = "text", least: float =
 
         def test(t: str) -> bool:
             (n, segments), = _segments(model, [t], memo)
-            return model.probability(model.features(n, segments)) < least
+            return model.probability(model.evidence(n, segments)) < least
 
         return test
 
