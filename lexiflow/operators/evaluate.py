@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from ..session import materialise
 from .joins import mark_seen, predict_mfl
@@ -157,30 +155,76 @@ def ngrams(s: Column, k: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _lcs(a: str, b: str) -> int:
-    """Longest common subsequence of two strings (one DP row kept)."""
-    if not a or not b:
-        return 0
-    row = [0] * (len(b) + 1)
-    for ca in a:
-        diag = 0
-        for j, cb in enumerate(b, 1):
-            up = row[j]
-            row[j] = diag + 1 if ca == cb else max(up, row[j - 1])
-            diag = up
-    return row[-1]
+#: Bits of a word of the row state: a sum of two words and a carry fits a long.
+WORD = 62
+_FULL = (1 << WORD) - 1
 
 
-@F.pandas_udf(IntegerType())
-def _lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_lcs(x or "", y or "") for x, y in zip(a, b)], dtype="int32")
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _match_bits(letters: Column, c: Column) -> Column:
+    """Bits of the places where ``letters`` (at most a word of them) are ``c``."""
+    places = F.lit([1 << i for i in range(WORD)])
+    return F.aggregate(F.transform(letters, lambda x, i: F.when(x == c, places[i]).otherwise(0)), F.lit(0).cast("long"), lambda s, x: s + x)
+
+
+def _unmatched(v: Column, letters: Column) -> Column:
+    """How many of the first ``size(letters)`` bits are set: places outside the LCS."""
+    return F.bit_count(v.bitwiseAND(F.lit([(1 << i) - 1 for i in range(WORD + 1)])[F.size(letters)]))
+
+
+def _lcs_short(x: Column, common: Column, y: Column) -> Column:
+    """``x`` of at most a word: the row is one long. A letter c turns it into
+    (V + (V & M)) | (V - (V & M)), M the places of c; its unset bits count the LCS."""
+    def fold(masks):
+        def step(v, c):
+            return _let(v.bitwiseAND(masks[F.array_position(common, c).cast("int") - 1]), lambda u:
+                        (v + u).bitwiseOR(v - u).bitwiseAND(F.lit(_FULL)))
+        return F.aggregate(y, F.lit(_FULL), step, lambda v: F.size(x) - _unmatched(v, x))
+    return _let(F.transform(common, lambda c: _match_bits(x, c)), fold)
+
+
+def _lcs_long(x: Column, common: Column, y: Column) -> Column:
+    """The same with an array of words, the carry going from word to word."""
+    state = "struct<carry:long,out:array<long>>"
+
+    def folded(words):
+        def fold(masks):
+            def step(v, c):
+                def word(s, k):
+                    m = masks[F.array_position(common, c).cast("int") - 1][k]
+                    return _let(v[k].bitwiseAND(m), lambda u: _let(v[k] + u + s["carry"], lambda t: F.struct(
+                        F.shiftright(t, WORD).alias("carry"),
+                        F.concat(s["out"], F.array(t.bitwiseAND(F.lit(_FULL)).bitwiseOR(v[k] - u))).alias("out")).cast(state)))
+                begin = F.struct(F.lit(0).alias("carry"), F.array().cast("array<long>").alias("out")).cast(state)
+                return F.aggregate(F.sequence(F.lit(0), F.size(v) - 1), begin, word, lambda s: s["out"])
+
+            def total(v):
+                left = F.zip_with(v, words, _unmatched)
+                return F.size(x) - F.aggregate(left, F.lit(0), lambda s, n: s + n)
+            return F.aggregate(y, F.transform(words, lambda w: F.lit(_FULL)), step, total)
+        return _let(F.transform(common, lambda c: F.transform(words, lambda w: _match_bits(w, c))), fold)
+    cuts = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / WORD).cast("int"))
+    return _let(F.transform(cuts, lambda k: F.slice(x, k * WORD + 1, WORD)), folded)
 
 
 def lcs_length(a: Column, b: Column) -> Column:
-    """Character LCS length: a DP per row, run as an Arrow-batched pandas UDF
-    (the same fold in higher-order functions is interpreted and copies arrays).
-    Callers apply it to distinct pairs only."""
-    return _lcs_udf(a, b)
+    """Character LCS length (null counts as empty). Where one string begins with the
+    other, as most wrong lemmas do, it is the shorter one; else a bit-parallel fold, one step for
+    each letter of ``b`` that ``a`` has, whose row state holds a bit for each letter of
+    ``a``. All of it stays in the JVM."""
+    def of_chars(x, y):
+        def of_common(common):
+            kept = F.filter(y, lambda c: F.array_contains(common, c))
+            return (F.when(F.size(common) == 0, F.lit(0)).when(F.size(x) <= WORD, _lcs_short(x, common, kept))
+                    .otherwise(_lcs_long(x, common, kept)))
+        return _let(F.array_intersect(x, y), of_common)
+    a, b = (F.coalesce(s, F.lit("")) for s in (a, b))
+    fold = _let(chars(a), lambda x: _let(chars(b), lambda y: of_chars(x, y)))
+    return F.when(a.startswith(b) | b.startswith(a), F.least(F.length(a), F.length(b))).otherwise(fold).cast("int")
 
 
 def _rpf(overlap: Column, n_ref: Column, n_hyp: Column, tag: str) -> list[Column]:
@@ -197,12 +241,17 @@ def rouge(pairs: DataFrame, gold: str = "lemma", pred: str = "plemma", by: Seque
     (gold, pred) pair and weighted by its count."""
     c = collapse(pairs, by, gold, pred, weight)
     g, h = F.col(gold), F.col(pred)
+    # staged: grams, then their overlaps, then the ratios, each computed once and used by name
+    grams = c.select(*by, "n", g.alias("_g"), h.alias("_h"), *[
+        ngrams(x, k).alias(f"_{tag}{k}") for k in (1, 2) for tag, x in (("g", g), ("h", h))])
+    sizes = grams.select(*by, "n", F.length("_g").alias("_gl"), F.length("_h").alias("_hl"), lcs_length(F.col("_h"), F.col("_g")).alias("_l"), *[
+        x for k in (1, 2) for x in (F.size(F.array_intersect(f"_g{k}", f"_h{k}")).alias(f"_o{k}"),
+                                    F.size(f"_g{k}").alias(f"_gs{k}"), F.size(f"_h{k}").alias(f"_hs{k}"))])
     cols = []
     for k in (1, 2):
-        rg, hg = ngrams(g, k), ngrams(h, k)
-        cols += _rpf(F.size(F.array_intersect(rg, hg)).cast("double"), F.size(rg), F.size(hg), f"rouge{k}")
-    cols += _rpf(lcs_length(h, g).cast("double"), F.length(g), F.length(h), "rougel")
-    per = c.select(*by, "n", *cols)
+        cols += _rpf(F.col(f"_o{k}").cast("double"), F.col(f"_gs{k}"), F.col(f"_hs{k}"), f"rouge{k}")
+    cols += _rpf(F.col("_l").cast("double"), F.col("_gl"), F.col("_hl"), "rougel")
+    per = sizes.select(*by, "n", *cols)
     metrics = [x for x in per.columns if x.startswith("rouge")]
     return per.groupBy(*by).agg(
         F.sum("n").cast("bigint").alias("n_rows"),
