@@ -10,8 +10,8 @@ from ..session import configure, shared_dir
 # Arrow batches are cut by bytes as well as by rows, so a batch of very long
 # texts stays small in the Python worker.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

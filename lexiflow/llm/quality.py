@@ -63,7 +63,7 @@ def base_failed(n_words, n_repeat_words):
 
 class _Hashes(dict):
     def __missing__(self, token: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[token] = zlib.crc32(token.encode())
         return h

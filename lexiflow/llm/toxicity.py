@@ -150,7 +150,7 @@ class _Scores(dict):
         self.model = model
 
     def __missing__(self, raw: bytes) -> float:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         score = self[raw] = self.model.word_score(raw)
         return score
