@@ -32,30 +32,14 @@ def word_chunks(text: str) -> list[bytes]:
     return text.encode().split()
 
 
-class _Parts(dict):
-    """Part of a text between single spaces -> its ids, encoded on first use.
-
-    Line feeds are marked by a space before them, so a part is one of: text that
-    followed a space, or a line feed and the text after it. A part that is empty
-    or borders on other white space has no ids of its own: None."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, part: str):
-        core = part[1:] if part[:1] == "\n" else part
-        if not core or EDGE.search(core):
-            ids = None
-        else:
-            ids = self.encode(part if core is not part else " " + part)
-        self[part] = ids
-        return ids
-
-
 #: A word between white space that the word files encode to a single id of its own.
 MARK = "\x02"
 
 
+#: A space and a line feed as the byte-level files spell them.
+PART_START = ("\u0120", "\u010a")
+
+
 class TextEncoder:
     """Encodes whole texts to little-endian uint32 id bytes.
 
@@ -69,10 +53,14 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict = {} if kind == "word" else _Parts(self._one)
+        self.memo: dict = {}
         self.encode_plain = self._words if kind == "word" else self._bytes
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids if kind == "word" else []
         self.mark = mark[0] if len(mark) == 1 else None
+        self.opens = np.zeros(1 + max(self.tokenizer.get_vocab().values(), default=0), dtype=bool)
+        if kind == "byte":
+            for token, i in self.tokenizer.get_vocab().items():
+                self.opens[i] = token[:1] in PART_START
 
     def _one(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -104,17 +92,43 @@ class TextEncoder:
             self.memo = {c: memo[c] for c in seen}
         return out
 
+    def _parts(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of parts of texts between single spaces. Line feeds are marked by a
+        space before them, so a part is one of: text that followed a space, or a line
+        feed and the text after it. One that is empty or borders on other white space
+        has no ids of its own: None. All others are encoded together: their bytes hold
+        a space or a line feed only in front, so an id that starts with one opens a part."""
+        plain = [p for p in parts if p and p != "\n" and not EDGE.search(p[1:] if p[0] == "\n" else p)]
+        groups = [plain[at:at + 500] for at in range(0, len(plain), 500)]
+        lines = ["".join([p if p[0] == "\n" else " " + p for p in g]) for g in groups]
+        out: dict[str, bytes] = {}
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(g) and at[0] == 0:
+                raw, ends = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
+                out.update(zip(g, [raw[i:j] for i, j in zip(ends, ends[1:])]))
+            else:
+                out.update((p, self._one(p if p[0] == "\n" else " " + p)) for p in g)
+        return [out.get(p) for p in parts]
+
     def _bytes(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace("\n", " \n").split(" ") for t in texts]
+        # the head has no space before it, but the same rule for its end
+        heads = [c.pop(0) for c in cut]
+        seen: set[str] = set()
+        for c in cut:
+            seen.update(c)
         memo, out = self.memo, []
-        for t in texts:
-            head, *parts = t.replace("\n", " \n").split(" ")
+        fresh = [p for p in seen if p not in memo]
+        memo.update(zip(fresh, self._parts(fresh)))
+        for t, head, parts in zip(texts, heads, cut):
             try:
-                # the head has no space before it, but the same rule for its end
                 out.append(b"".join([self._one(head) if not EDGE.search(head) else None, *map(memo.__getitem__, parts)]))
             except TypeError:  # white space in a row
                 out.append(b"".join(map(self._one, byte_chunks(t))))
         if len(memo) > MEMO_ENTRIES:
-            self.memo = _Parts(self._one)
+            self.memo = {p: memo[p] for p in seen}
         return out
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
