@@ -19,7 +19,7 @@ EDGE = re.compile(f"^[{WHITE}]|[{WHITE}]$")
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 #: Distinct chunks a worker keeps before it falls back to those of its last batch.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 
 
 def byte_chunks(text: str) -> list[str]:
@@ -34,8 +34,6 @@ def word_chunks(text: str) -> list[bytes]:
 
 #: A word between white space that the word files encode to a single id of its own.
 MARK = "\x02"
-
-
 #: A space and a line feed as the byte-level files spell them.
 PART_START = ("\u0120", "\u010a")
 
@@ -57,26 +55,39 @@ class TextEncoder:
         self.encode_plain = self._words if kind == "word" else self._bytes
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids if kind == "word" else []
         self.mark = mark[0] if len(mark) == 1 else None
-        self.opens = np.zeros(1 + max(self.tokenizer.get_vocab().values(), default=0), dtype=bool)
-        if kind == "byte":
-            for token, i in self.tokenizer.get_vocab().items():
-                self.opens[i] = token[:1] in PART_START
+        # by id: opens a part of a text (byte files), closes a word (word files)
+        vocab = self.tokenizer.get_vocab()
+        self.opens, self.closes = (np.zeros(1 + max(vocab.values(), default=0), dtype=bool) for _ in range(2))
+        close = getattr(self.tokenizer.model, "end_of_word_suffix", None) if kind == "word" else None
+        for token, i in vocab.items():
+            self.opens[i] = token[:1] in PART_START
+            self.closes[i] = bool(close) and token.endswith(close)
 
     def _one(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _many(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word; ordinary ones are encoded together, with marks between."""
+        """Ids of each word, encoded in lines of many words. A word of letters is cut off
+        after its closing id: each word has at least one, so as many as words means one
+        each. All others have marks between them."""
         out: dict[bytes, bytes] = {}
-        together = [w for w in words if MARK.encode() not in w] if self.mark is not None else []
-        groups = [together[at:at + 500] for at in range(0, len(together), 500)]
-        lines = [f" {MARK} ".join([w.decode() for w in g]) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(e.ids, dtype="<u4")
+
+        def encoded(some, between):
+            groups = [some[at:at + 500] for at in range(0, len(some), 500)]
+            lines = [between.join([w.decode() for w in g]) for g in groups]
+            for g, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+                yield g, np.array(e.ids, dtype="<u4")
+
+        for g, ids in encoded([w for w in words if w.isalpha()] if self.closes.any() else [], " "):
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(g) and ends[-1] == len(ids):
+                raw, at = ids.tobytes(), [0, *(ends * 4).tolist()]
+                out.update(zip(g, [raw[i:j] for i, j in zip(at, at[1:])]))
+        for g, ids in encoded([w for w in words if w not in out and MARK.encode() not in w] if self.mark is not None else [], f" {MARK} "):
             at = np.flatnonzero(ids == self.mark)
             if len(at) == len(g) - 1:
                 raw, ends = ids.tobytes(), (at * 4).tolist()
-                out.update(zip(g, [raw[a:b] for a, b in zip([0, *[x + 4 for x in ends]], [*ends, len(raw)])]))
+                out.update(zip(g, [raw[i:j] for i, j in zip([0, *[x + 4 for x in ends]], [*ends, len(raw)])]))
         return [out[w] if w in out else self._one(w.decode()) for w in words]
 
     def _words(self, texts: list[str]) -> list[bytes]:
