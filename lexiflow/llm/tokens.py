@@ -19,7 +19,7 @@ EDGE = re.compile(f"^[{WHITE}]|[{WHITE}]$")
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 #: Distinct chunks a worker keeps before it falls back to those of its last batch.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = {"byte": 300_000, "word": 600_000}
 
 
 def byte_chunks(text: str) -> list[str]:
@@ -52,6 +52,7 @@ class TextEncoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict = {}
+        self.most = MEMO_ENTRIES[kind]
         self.encode_plain = self._words if kind == "word" else self._bytes
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids if kind == "word" else []
         self.mark = mark[0] if len(mark) == 1 else None
@@ -96,10 +97,10 @@ class TextEncoder:
         for c in cut:
             seen.update(c)
         memo = self.memo
-        fresh = [c for c in seen if c not in memo]
+        fresh = list(seen.difference(memo))
         memo.update(zip(fresh, self._many(fresh)))
         out = [b"".join(map(memo.__getitem__, c)) for c in cut]
-        if len(memo) > MEMO_ENTRIES:
+        if len(memo) > self.most:
             self.memo = {c: memo[c] for c in seen}
         return out
 
@@ -131,14 +132,14 @@ class TextEncoder:
         for c in cut:
             seen.update(c)
         memo, out = self.memo, []
-        fresh = [p for p in seen if p not in memo]
+        fresh = list(seen.difference(memo))
         memo.update(zip(fresh, self._parts(fresh)))
         for t, head, parts in zip(texts, heads, cut):
             try:
                 out.append(b"".join([self._one(head) if not EDGE.search(head) else None, *map(memo.__getitem__, parts)]))
             except TypeError:  # white space in a row
                 out.append(b"".join(map(self._one, byte_chunks(t))))
-        if len(memo) > MEMO_ENTRIES:
+        if len(memo) > self.most:
             self.memo = {p: memo[p] for p in seen}
         return out
 
