@@ -171,16 +171,11 @@ def _realign(weighted: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
     return dealt.groupBy("b").cogroup(sent.groupBy("b")).applyInPandas(_cost_kernel, WEIGHTED_SCHEMA)
 
 
-def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
-                 checkpoint: bool = True) -> DataFrame:
-    """M3: corpus alignment by batch hard EM. Start from the padded alignment
-    (M1), then at most ``iters`` rounds (fewer once nothing changes) of: count aligned symbol pairs over the corpus
-    (each distinct pair weighted by its frequency), price every symbol pair by
-    its count (prior 0.1), re-align every distinct pair at those prices.
-    The weighted pair table and each round's alignment are checkpointed to the
-    shared folder, so a round never re-reads the corpus and a lost executor
-    resumes from the last round. Output: source, target, aligned_source,
-    aligned_target, cost, n."""
+def corpus_rounds(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
+                  checkpoint: bool = True) -> Iterator[tuple[DataFrame | None, DataFrame | None, DataFrame]]:
+    """The rounds of ``align_corpus``: the symbol-pair counts that set the prices, the
+    alignment they were counted in, and the alignment at those prices. The padded
+    start comes first, without counts."""
     from ..session import materialise
     keep = materialise if checkpoint else (lambda d: d)
     weighted = keep(pairs.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(
@@ -188,6 +183,7 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
     a, b = align_pad(F.col("source"), F.col("target"))
     cur = weighted.select("source", "target", a.alias("aligned_source"), b.alias("aligned_target"),
                           F.lit(None).cast("double").alias("cost"), "n")
+    yield None, None, cur
     buckets = -(-max(weighted.count(), 1) // BUCKET_PAIRS)
     before = None
     for _ in range(iters):
@@ -195,10 +191,37 @@ def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target
         # equal counts give equal prices, so every later round would repeat this one
         now = counts.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y", "cnt").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return
         before = now
-        cur = keep(_realign(weighted, counts, buckets))
-    return cur
+        last, cur = cur, keep(_realign(weighted, counts, buckets))
+        yield counts, last, cur
+
+
+def align_corpus(pairs: DataFrame, source: str = "source", target: str = "target", iters: int = ROUNDS,
+                 checkpoint: bool = True) -> DataFrame:
+    """M3: corpus alignment by batch hard EM. Start from the padded alignment
+    (M1), then at most ``iters`` rounds (fewer once nothing changes) of: count aligned symbol pairs over the corpus
+    (each distinct pair weighted by its frequency), price every symbol pair by
+    its count (prior 0.1), re-align every distinct pair at those prices.
+    The weighted pair table and each round's alignment are checkpointed to the
+    shared folder, so a round never re-reads the corpus and a lost executor
+    resumes from the last round. Output: source, target, aligned_source,
+    aligned_target, cost, n."""
+    for _, _, aligned in corpus_rounds(pairs, source, target, iters, checkpoint):
+        pass
+    return aligned
+
+
+def column_prices(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """source, target and ``price``: the sum of what the columns of their alignment
+    cost at the prices given by ``counts`` (no columns: 0). The columns meet the
+    prices in a join on their symbols, whose table has the alphabet's size."""
+    cost, tot = costs_from_counts(counts)
+    z = F.arrays_zip(chars(F.col("aligned_source")).alias("x"), chars(F.col("aligned_target")).alias("y"))
+    seen = aligned.select("source", "target", F.explode_outer(z).alias("p")).groupBy(
+        "source", "target", F.col("p.x").alias("x"), F.col("p.y").alias("y")).agg(F.count(F.lit(1)).alias("k"))
+    price = F.when(F.col("x").isNull(), 0.0).otherwise(F.coalesce("c", tot.select("default").scalar()))
+    return seen.join(cost, ["x", "y"], "left").groupBy("source", "target").agg(F.sum(price * F.col("k")).alias("price"))
 
 
 def template(aligned_source: Column, aligned_target: Column) -> Column:
@@ -224,8 +247,6 @@ def actions_frame(aligned: DataFrame) -> DataFrame:
 def alignment_report(aligned: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Index, aligned source, aligned target (ordered by the given keys)."""
     order = order or ["source", "target"]
-    from .windows import running_number
-    # chunk = a 4-character prefix of the first order key: monotone in the order,
-    # and fine enough that no prefix gathers a large share of the pairs
-    r = running_number(aligned, [], order, "index", chunk=F.substring(F.col(order[0]), 1, 4))
+    from .windows import range_chunks, running_number
+    r = running_number(range_chunks(aligned, order), [], order, "index", chunk=F.col("_range"))
     return r.select("index", "aligned_source", "aligned_target")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MISSING, chars, morph_string, parse_feats
 from .scoring import DIGITS
-from .windows import running_number
+from .windows import range_chunks, running_number
 
 NULL_VALUE = "NULL"
 
@@ -101,15 +101,15 @@ def profile(ex: DataFrame, tags: Sequence[str] = ("pos=V", "pos=N"), feats: str
 def build_vocab(ex: DataFrame, word_cols: Sequence[str] = ("lemma", "word"), feats: str = "feats") -> DataFrame:
     """symbols = distinct letters of the words, ``k=v`` features and
     ``k=NULL`` for each feature name; 1-based index in symbol order. The index
-    is a chunked running number (chunk = 4-character prefix, monotone in symbol
-    order), so no single task sorts the whole symbol set."""
+    is a running number over range partitions of the symbols, so no single task
+    sorts the whole symbol set, whatever prefixes its feature values share."""
     # one explode of one combined array per row: the example table is read once
     fm = parse_feats(F.col(feats))
     kv = F.transform(F.map_entries(fm), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     kn = F.transform(F.map_keys(fm), lambda k: F.concat(k, F.lit("=" + NULL_VALUE)))
     arr = F.concat(*[chars(F.col(c)) for c in word_cols], kv, kn)
     syms = ex.select(F.explode(arr).alias("symbol")).distinct()
-    return running_number(syms, [], ["symbol"], "idx", chunk=F.substring("symbol", 1, 4))
+    return running_number(range_chunks(syms, ["symbol"]), [], ["symbol"], "idx", chunk=F.col("_range")).drop("_range")
 
 
 def encode(ex: DataFrame, vocab: DataFrame, word: str, feats: str = "feats",

@@ -928,11 +928,25 @@ def m3_align_corpus(spark, sf):
 
 
 @register("m3_align_invariants", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
-SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_source_ok, CAST(count(*) AS BIGINT) AS n_target_ok
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, CAST(count(*) AS BIGINT) AS n_source_ok, CAST(count(*) AS BIGINT) AS n_target_ok,
+       CAST(count(*) AS BIGINT) AS n_cost_is_columns, CAST(0 AS BIGINT) AS n_dearer_than_before
 FROM d_""")
 def m3_align_invariants(spark, sf):
-    al = AL.align_corpus(_pairs(spark, sf))
-    return _align_invariants(al.withColumn("cost", F.lit(0.0))).drop("total_cost", "n_cost_is_mismatches")
+    """Of the last round: unpadded sides equal the inputs, a pair's cost is the sum of
+    its columns' prices, and no pair is dearer than it was aligned before, at the same
+    prices (to 1e-9 of the cost: the sums run in another order)."""
+    for counts, before, al in AL.corpus_rounds(_pairs(spark, sf)):
+        pass
+    own = AL.column_prices(al, counts).withColumnRenamed("price", "_own")
+    old = AL.column_prices(before, counts).withColumnRenamed("price", "_old")
+    slack = (F.abs("cost") + 1) * 1e-9
+    j = al.join(own, ["source", "target"]).join(old, ["source", "target"])
+    return j.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_pairs"),
+        F.sum((F.replace(F.col("aligned_source"), F.lit("~"), F.lit("")) == F.col("source")).cast("int")).cast("bigint").alias("n_source_ok"),
+        F.sum((F.replace(F.col("aligned_target"), F.lit("~"), F.lit("")) == F.col("target")).cast("int")).cast("bigint").alias("n_target_ok"),
+        F.sum((F.abs(F.col("cost") - F.col("_own")) <= slack).cast("int")).cast("bigint").alias("n_cost_is_columns"),
+        F.sum((F.col("cost") > F.col("_old") + slack).cast("int")).cast("bigint").alias("n_dearer_than_before"))
 
 
 @register("m4_template_invariant", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
@@ -1042,6 +1056,30 @@ def m8_svd2(spark, sf):
     return svd2(table(spark, sf, "embeddings").select("vec_id", "label", "embedding"))
 
 
+@register("m8_svd2_invariants", """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, true AS norms_are_singular_values, true AS columns_are_orthogonal, true AS descending
+FROM embeddings""")
+def m8_svd2_invariants(spark, sf):
+    """Projected columns are orthogonal, their norms are the singular values (to 1e-6
+    of the first), and those descend."""
+    first, second = F.col("s")[0], F.col("s")[1]
+    return m8_svd2(spark, sf).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.sum(F.col("x1") * F.col("x1")).alias("a"), F.sum(F.col("x2") * F.col("x2")).alias("b"),
+        F.sum(F.col("x1") * F.col("x2")).alias("ab"), F.first("singular_values").alias("s")).select(
+        "n_rows", ((F.abs(F.sqrt("a") - first) <= first * 1e-6) & (F.abs(F.sqrt("b") - second) <= first * 1e-6)).alias("norms_are_singular_values"),
+        (F.abs("ab") <= first * first * 1e-6).alias("columns_are_orthogonal"), (first >= second).alias("descending"))
+
+
+@register("m10_report_invariants", O.with_tok("d_ AS (SELECT DISTINCT word AS source, lemma AS target FROM ex)") + """
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_index, CAST(1 AS BIGINT) AS first_index,
+       CAST(count(*) AS BIGINT) AS last_index FROM d_""")
+def m10_report_invariants(spark, sf):
+    """The index of the report is dense: as many numbers as pairs, from 1 to their count."""
+    return m10_alignment_report(spark, sf).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.countDistinct("index").cast("bigint").alias("n_index"),
+        F.min("index").alias("first_index"), F.max("index").alias("last_index"))
+
+
 @register("m10_alignment_report")
 def m10_alignment_report(spark, sf):
     return AL.alignment_report(AL.align_corpus(_pairs(spark, sf)))
