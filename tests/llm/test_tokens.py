@@ -149,3 +149,17 @@ def test_queries_on_documents(spark):
     assert pieces_hold(rows, docs) == 0
     q = QUERIES["op7_packing"](spark, sf)
     assert q.agg(F.sum("length")).first()[0] == sum(r.length for r in rows)
+
+
+def test_encoder_equals_library_on_random_white_space_and_symbols():
+    pieces = [" ", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", " ", "​", "a", "the", "Word", "don't", "'s", ",", "!!",
+              "1", "23", "é", "é", "ß", "中文", "\U0001f642", "İ", "ﬁ", "\x02", "<|endoftext|>", "_"]
+    rng = random.Random(5)
+    for kind, path in (("byte", BYTE), ("word", WORD)):
+        library, own = Tokenizer.from_file(path), TextEncoder(path, kind)
+        library.no_truncation()
+        library.no_padding()
+        for _ in range(10):
+            texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(200)]
+            for t, ids in zip(texts, own.encode(texts)):
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
