@@ -21,7 +21,7 @@ import math
 from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, text_of, written
@@ -42,7 +42,7 @@ ROUNDS = 3
 START, GROWTH, BATCH = 32, 4, 512
 RATE = 0.01
 #: Words after which a chunk of documents is closed.
-CHUNK_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
 #: Steps, and about how many tokens, whose outputs are scored at a time.
 SCORE_WINDOW, SCORE_TOKENS = 32, 65_536
 FAN_IN = 32
@@ -116,10 +116,11 @@ def _bucket(word):
 
 
 class Network:
-    """Gated recurrent unit with a class-factored softmax; float32 weights."""
+    """Gated recurrent unit with a class-factored softmax; float32 weights. Gates
+    (update, reset, new) stand side by side in front, so that each is one block of
+    memory; the last row of ``wc`` and ``wo`` is the bias."""
 
-    SHAPES = {"x": (OUTPUTS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
-              "wo": (CLASSES, HIDDEN, PER_CLASS), "bo": (CLASSES, PER_CLASS)}
+    SHAPES = {"x": (3, OUTPUTS, HIDDEN), "u": (3, HIDDEN, HIDDEN), "wc": (HIDDEN + 1, CLASSES), "wo": (CLASSES, HIDDEN + 1, PER_CLASS)}
 
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
@@ -130,10 +131,10 @@ class Network:
         rng = np.random.default_rng(seed)
         w = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in cls.SHAPES.items()}
         share = (share.reshape(CLASSES, PER_CLASS) + 1e-7)
-        w["bc"] = np.log(share.sum(axis=1)).astype(np.float32)
-        w["bo"] = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
         w["wc"] *= 0.1
         w["wo"] *= 0.1
+        w["wc"][-1] = np.log(share.sum(axis=1))
+        w["wo"][:, -1] = np.log(share / share.sum(axis=1, keepdims=True))
         return cls(w)
 
     def flat(self) -> np.ndarray:
@@ -150,82 +151,105 @@ class Network:
 
     def step(self, h: np.ndarray, codes: np.ndarray):
         """Next state, and what the backward pass needs."""
-        k = HIDDEN
-        x, hu = self.w["x"][codes], h @ self.w["u"]
-        zr = 1 / (1 + np.exp(-(x[:, :2 * k] + hu[:, :2 * k])))
-        z, r = zr[:, :k], zr[:, k:]
-        n = np.tanh(x[:, 2 * k:] + r * hu[:, 2 * k:])
-        return n + z * (h - n), (h, z, r, n, hu[:, 2 * k:])
-
-    def outputs(self, states: np.ndarray, codes: np.ndarray, grads: dict | None = None, mask: np.ndarray | None = None):
+        a, hu = self.w["x"].take(codes, axis=1), np.matmul(h, self.w["u"])
+        zr = a[:2]
+        zr += hu[:2]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r, n = a
+        n += r * hu[2]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (h, z, r, n, hu[2])
+
+    def outputs(self, states: np.ndarray, codes: np.ndarray, grads: dict | None = None):
         """ln P of each code given its state; with ``grads``, adds to them and
-        returns the gradient of the (masked) negative log likelihood by state too."""
+        returns the gradient of the negative log likelihood by state too. Rows are
+        put in the order of their codes once, so that a class is a slice; logits
+        have a column for each row."""
         w, n = self.w, len(codes)
-        cls, member = codes // PER_CLASS, codes % PER_CLASS
-        rows = np.arange(n)
-
-        def log_softmax(logits):
-            logits = logits - logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            s = e.sum(axis=1, keepdims=True)
-            return logits, e, s
-
-        logits, e, s = log_softmax(states @ w["wc"] + w["bc"])
-        out = logits[rows, cls] - np.log(s[:, 0])
-        back = None
-        if grads is not None:
-            d = e / s
-            d[rows, cls] -= 1
-            d *= mask[:, None]
-            grads["wc"] += states.T @ d
-            grads["bc"] += d.sum(axis=0)
-            back = d @ w["wc"].T
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[bounds[c]:bounds[c + 1]]
-            if not len(at):
-                continue
-            h, m = states[at], member[at]
-            logits, e, s = log_softmax(h @ w["wo"][c] + w["bo"][c])
-            i = np.arange(len(at))
-            out[at] += logits[i, m] - np.log(s[:, 0])
-            if grads is not None:
-                d = e / s
-                d[i, m] -= 1
-                d *= mask[at][:, None]
-                grads["wo"][c] += h.T @ d
-                grads["bo"][c] += d.sum(axis=0)
-                back[at] += d @ w["wo"][c].T
+        order = np.argsort(codes.astype(np.uint16), kind="stable")
+        c, at = codes[order], np.arange(n)
+        h = np.ones((n, HIDDEN + 1), dtype=states.dtype)
+        np.take(states, order, axis=0, out=h[:, :-1])
+        cls, member = c // PER_CLASS, c % PER_CLASS
+        bounds = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+        slices = [(k, slice(x, y)) for k, (x, y) in enumerate(zip(bounds, bounds[1:])) if x < y]
+
+        def log_softmax(logits, rows):
+            """Of ``rows``; logits become exponentials, whose sums are returned too."""
+            logits -= logits.max(axis=0)
+            picked = logits[rows, at]
+            np.exp(logits, out=logits)
+            total = logits.sum(axis=0)
+            return picked - np.log(total), total
+
+        outer = w["wc"].T @ h.T
+        inner = np.empty((PER_CLASS, n), dtype=outer.dtype)
+        for k, part in slices:
+            np.matmul(w["wo"][k].T, h[part].T, out=inner[:, part])
+        lp, total = log_softmax(outer, cls)
+        lp_member, total_member = log_softmax(inner, member)
+        out = np.empty(n, dtype=lp.dtype)
+        out[order] = lp + lp_member
+        if grads is None:
+            return out, None
+        outer /= total
+        outer[cls, at] -= 1
+        inner /= total_member
+        inner[member, at] -= 1
+        grads["wc"] += h.T @ outer.T
+        d = outer.T @ w["wc"][:-1].T
+        for k, part in slices:
+            grads["wo"][k] += h[part].T @ inner[:, part].T
+            d[part] += inner[:, part].T @ w["wo"][k, :-1].T
+        back = np.empty_like(d)
+        back[order] = d
         return out, back
 
     def window(self, h: np.ndarray, codes: np.ndarray, mask: np.ndarray):
         """One truncated window (batch x time): its gradients, loss and last state."""
         b, steps = codes.shape
-        states, caches = np.empty((steps, b, HIDDEN), dtype=np.float32), []
+        states, caches = np.empty((steps, b, HIDDEN), dtype=h.dtype), []
         for t in range(steps):
             states[t] = h
             h, cache = self.step(h, codes[:, t])
             caches.append(cache)
-        grads = {k: np.zeros(s, dtype=np.float32) for k, s in self.SHAPES.items()}
-        flat, m = codes.T.ravel(), mask.T.ravel().astype(np.float32)
-        lp, back = self.outputs(states.reshape(-1, HIDDEN), flat, grads, m)
+        grads = {k: np.zeros(s, dtype=self.w[k].dtype) for k, s in self.SHAPES.items()}
+        flat, real = codes.T.ravel(), np.flatnonzero(mask.T)
+        back = np.zeros((steps * b, HIDDEN), dtype=self.w["x"].dtype)
+        lp, back[real] = self.outputs(states.reshape(-1, HIDDEN)[real], flat[real], grads)
         back = back.reshape(steps, b, HIDDEN)
-        d = np.zeros((b, HIDDEN), dtype=np.float32)
-        dx = np.empty((steps, b, 3 * HIDDEN), dtype=np.float32)
+        d = np.zeros((b, HIDDEN), dtype=back.dtype)
+        dx, du = np.empty((3, steps, b, HIDDEN), dtype=back.dtype), np.empty((3, b, HIDDEN), dtype=back.dtype)
+        turned = self.w["u"].transpose(0, 2, 1)
         for t in range(steps - 1, -1, -1):
             prev, z, r, n, hn = caches[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (prev - n) * z * (1 - z)
-            dr = dn * hn * r * (1 - r)
-            dx[t] = np.concatenate([dz, dr, dn], axis=1)
-            du = np.concatenate([dz, dr, dn * r], axis=1)
-            grads["u"] += prev.T @ du
-            d = d * z + du @ self.w["u"].T + back[t]
-        order = np.argsort(flat, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-        grads["x"][flat[order][starts]] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], starts)
-        return grads, float(-(lp * m).sum()), h
+            dz, dr, dn = (gate[t] for gate in dx)
+            rest = 1 - z
+            np.multiply(d, rest, out=dn)
+            np.multiply(d, prev - n, out=dz)
+            dz *= z
+            dz *= rest
+            dn *= 1 - n * n
+            np.multiply(dn, hn, out=dr)
+            dr *= r
+            dr *= 1 - r
+            du[0], du[1] = dz, dr
+            np.multiply(dn, r, out=du[2])
+            grads["u"] += np.matmul(prev.T, du)
+            d *= z
+            d += np.matmul(du, turned).sum(axis=0)
+            d += back[t]
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        ranked = flat[order]
+        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        grads["x"][:, ranked[starts]] = np.add.reduceat(dx.reshape(3, -1, HIDDEN).take(order, axis=1), starts, axis=1)
+        return grads, float(-lp.sum()), h
 
     def log_probability(self, docs: list[np.ndarray]) -> np.ndarray:
         """ln P of each whole document; all step together, longest first, and the
@@ -273,10 +297,20 @@ def _learn(network: Network, docs, rate: float) -> tuple[Network, int]:
         nonlocal held, n, k
         k += 1
         for name, g in held.items():
-            g = np.clip(g / n * WINDOW, -1, 1)
-            m[name] += 0.1 * (g - m[name])
-            v[name] += 0.01 * (g * g - v[name])
-            w[name] -= rate * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.99**k)) + 1e-6)
+            g *= WINDOW / n
+            np.clip(g, -1, 1, out=g)
+            m[name] *= 0.9
+            m[name] += 0.1 * g
+            g *= g
+            g *= 0.01
+            v[name] *= 0.99
+            v[name] += g
+            np.divide(v[name], 1 - 0.99**k, out=g)
+            np.sqrt(g, out=g)
+            g += 1e-6
+            np.divide(m[name], g, out=g)
+            g *= rate / (1 - 0.9**k)
+            w[name] -= g
         held, n = {}, 0
 
     while True:
@@ -295,9 +329,11 @@ def _learn(network: Network, docs, rate: float) -> tuple[Network, int]:
             codes[i, :len(part)], mask[i, :len(part)] = part, True
             lanes[i] = d, at + WINDOW
         grads, _, h = network.window(h, codes, mask)
-        held = {name: g + held[name] for name, g in grads.items()} if held else grads
-        n += int(mask.sum())
-        learnt += int(mask.sum())
+        for name, g in held.items():
+            grads[name] += g
+        held, size = grads, int(mask.sum())
+        n += size
+        learnt += size
         if 4 * n >= width * WINDOW:
             update()
     if n:
@@ -357,11 +393,8 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", ro
     encoded = written(_encoded(docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                                            text_of(docs, text).alias("text"))), "lm-encoded", ("kind",), compression="zstd")
     words = encoded.filter("kind = 'word'").select("chunk", "lid", "word", "cnt")
-    same = Window.partitionBy("word")
-    counted = written(words.withColumn("c", F.sum("cnt").over(same)).withColumn(
-        "head", F.row_number().over(same.orderBy("chunk")) == 1).select("chunk", "lid", "word", "c", "head"),
-        "lm-counts", compression="zstd")
-    distinct = counted.filter("head and c > 0").select("word", "c")
+    counted = written(words.groupBy("word").agg(F.sum("cnt").alias("c")), "lm-counts", compression="zstd")
+    distinct = counted.filter("c > 0")
     n, v = distinct.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = distinct.filter(F.length("word") > 0).orderBy(F.desc("c"), "word").limit(VOCABULARY - 1).collect()
     vocabulary = [b""] + [bytes(r["word"]) for r in top]
@@ -372,8 +405,11 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", ro
     for r in distinct.join(known, "word", "left_anti").groupBy(_bucket(F.col("word")).alias("b")).agg(F.sum(F.col("c") + 1).alias("m")).collect():
         masses[r["b"]] += r["m"]
     share = np.concatenate([[ends["c"] if ends else 0], [r["c"] for r in top], np.zeros(VOCABULARY - len(vocabulary)), masses])
-    coding = counted.join(known, "word", "left").select(
-        "chunk", "lid", "c", F.coalesce("place", F.lit(VOCABULARY) + _bucket(F.col("word"))).cast("int").alias("code"))
+    coded_words = counted.join(known, "word", "left").select(
+        "word", "c", F.coalesce("place", F.lit(VOCABULARY) + _bucket(F.col("word"))).cast("int").alias("code"))
+    coding = words.select(F.col("chunk").alias("of"), "lid", "word").join(coded_words, "word").select("of", "lid", "c", "code")
+    # as many partitions as chunks (each has the empty word): a task's share doesn't grow with the corpus
+    chunks = max(words.filter("lid = 0").count(), 1)
 
     def code(docs, words):
         import pyarrow as pa
@@ -391,8 +427,9 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", ro
                          "rest_score": pa.array([float(rest[i].sum()) for i in ids], pa.float64()),
                          "codes": pa.array([small[i].tobytes() for i in ids], pa.binary())})
 
-    coded = written(encoded.filter("kind = 'doc'").select("chunk", "doc_id", "held_out", "n_tokens", "ids").groupBy("chunk").cogroup(
-        coding.groupBy("chunk")).applyInArrow(code, CODED), "lm-coded", compression="zstd")
+    ids = encoded.filter("kind = 'doc'").select("chunk", "doc_id", "held_out", "n_tokens", "ids")
+    coded = written(ids.repartition(chunks, "chunk").groupBy("chunk").cogroup(
+        coding.repartition(chunks, "of").groupBy("of")).applyInArrow(code, CODED), "lm-coded", compression="zstd")
     flat = train(coded, share / share.sum(), rounds).flat()
 
     def run(batches):
