@@ -159,7 +159,8 @@ def test_lm_learns_held_out(spark):
 
 
 def test_oracles_exist():
-    assert set(ORACLE) == {"op5_topk", "op6_url_reputation"} and len(QUERIES) == 10
+    assert set(ORACLE) == {"op5_topk", "op6_url_reputation", "op12_filter_interactions", "op13_merkle_manifest"}
+    assert len(QUERIES) == 13
 
 
 def test_pipeline(spark):
