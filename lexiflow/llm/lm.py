@@ -44,7 +44,9 @@ RATE = 0.01
 #: Words after which a chunk of documents is closed.
 CHUNK_WORDS = 2_000_000
 #: Steps, and about how many tokens, whose outputs are scored at a time.
-SCORE_WINDOW, SCORE_TOKENS = 32, 65_536
+SCORE_WINDOW, SCORE_TOKENS = 256, 16_384
+#: Documents, and tokens, that a task scores side by side.
+SCORE_DOCUMENTS, SCORE_HELD = 20_000, 4_000_000
 FAN_IN = 32
 
 ENCODED = ("kind string, chunk long, doc_id long, held_out boolean, n_tokens long, ids binary, "
@@ -212,8 +214,12 @@ class Network:
         return out, back
 
     def window(self, h: np.ndarray, codes: np.ndarray, mask: np.ndarray):
-        """One truncated window (batch x time): its gradients, loss and last state."""
+        """One truncated window (batch x time), or several in a row (whole ones of
+        ``WINDOW`` steps): gradients, loss and last state. The state is carried
+        through them; the backward pass takes the windows of all lanes side by side."""
         b, steps = codes.shape
+        length = min(steps, WINDOW)
+        runs = steps // length
         states, caches = np.empty((steps, b, HIDDEN), dtype=h.dtype), []
         for t in range(steps):
             states[t] = h
@@ -223,12 +229,12 @@ class Network:
         flat, real = codes.T.ravel(), np.flatnonzero(mask.T)
         back = np.zeros((steps * b, HIDDEN), dtype=self.w["x"].dtype)
         lp, back[real] = self.outputs(states.reshape(-1, HIDDEN)[real], flat[real], grads)
-        back = back.reshape(steps, b, HIDDEN)
-        d = np.zeros((b, HIDDEN), dtype=back.dtype)
-        dx, du = np.empty((3, steps, b, HIDDEN), dtype=back.dtype), np.empty((3, b, HIDDEN), dtype=back.dtype)
+        back = back.reshape(runs, length, b, HIDDEN)
+        d = np.zeros((runs * b, HIDDEN), dtype=back.dtype)
+        dx, du = np.empty((3, length, runs * b, HIDDEN), dtype=back.dtype), np.empty((3, runs * b, HIDDEN), dtype=back.dtype)
         turned = self.w["u"].transpose(0, 2, 1)
-        for t in range(steps - 1, -1, -1):
-            prev, z, r, n, hn = caches[t]
+        for t in range(length - 1, -1, -1):
+            prev, z, r, n, hn = caches[t] if runs == 1 else map(np.concatenate, zip(*caches[t::length]))
             dz, dr, dn = (gate[t] for gate in dx)
             rest = 1 - z
             np.multiply(d, rest, out=dn)
@@ -244,7 +250,8 @@ class Network:
             grads["u"] += np.matmul(prev.T, du)
             d *= z
             d += np.matmul(du, turned).sum(axis=0)
-            d += back[t]
+            d += back[:, t].reshape(-1, HIDDEN)
+        flat = flat.reshape(runs, length, b).swapaxes(0, 1).ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")
         ranked = flat[order]
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -262,14 +269,15 @@ class Network:
         h = np.zeros((len(docs), HIDDEN), dtype=np.float32)
         t, most = 0, int(lengths[0]) if len(docs) else 0
         while t < most:
-            states, codes, owner = [], [], []
-            while t < most and len(owner) < SCORE_WINDOW and sum(owner) < SCORE_TOKENS:
+            states, codes, owner, held = [], [], [], 0
+            while t < most and len(owner) < SCORE_WINDOW and held < SCORE_TOKENS:
                 n = int(np.searchsorted(-lengths, -t, side="left"))  # documents longer than t
                 c = flat[starts[:n] + t].astype(np.int64)
                 h = h[:n]
                 states.append(h)
                 codes.append(c)
                 owner.append(n)
+                held += n
                 h, _ = self.step(h, c)
                 t += 1
             lp, _ = self.outputs(np.concatenate(states), np.concatenate(codes))
@@ -322,12 +330,15 @@ def _learn(network: Network, docs, rate: float) -> tuple[Network, int]:
         h = np.concatenate([h[on], np.zeros((len(fresh), HIDDEN), dtype=np.float32)])
         if not lanes:
             break
-        codes = np.zeros((len(lanes), WINDOW), dtype=np.int64)
-        mask = np.zeros((len(lanes), WINDOW), dtype=bool)
+        # few lanes are left: the windows that one update sums are taken together
+        runs = min(-(-width // (4 * len(lanes))), max(-(-(len(d) - at) // WINDOW) for d, at in lanes))
+        steps = max(runs, 1) * WINDOW
+        codes = np.zeros((len(lanes), steps), dtype=np.int64)
         for i, (d, at) in enumerate(lanes):
-            part = d[at:at + WINDOW]
-            codes[i, :len(part)], mask[i, :len(part)] = part, True
-            lanes[i] = d, at + WINDOW
+            part = d[at:at + steps]
+            codes[i, :len(part)] = part
+            lanes[i] = d, at + steps
+        mask = np.arange(steps) < np.array([len(d) - at for d, at in lanes])[:, None] + steps
         grads, _, h = network.window(h, codes, mask)
         for name, g in held.items():
             grads[name] += g
@@ -436,11 +447,24 @@ def score(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", ro
         import pyarrow as pa
 
         network = Network.of(flat)
+
+        def scored(held):
+            lp = network.log_probability([np.frombuffer(b, "<u2") for batch in held for b in batch.column(6).to_pylist()])
+            at = 0
+            for batch in held:
+                total = lp[at:at + batch.num_rows] / math.log(10) + batch.column(5).to_numpy()
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(total)],
+                                                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+        held, rows, tokens = [], 0, 0
         for batch in batches:
-            lp = network.log_probability([np.frombuffer(b, "<u2") for b in batch.column(6).to_pylist()])
-            total = lp / math.log(10) + batch.column(5).to_numpy()
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(total)],
-                                             ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+            held.append(batch)
+            rows, tokens = rows + batch.num_rows, tokens + sum(batch.column(2).to_pylist())
+            if rows >= SCORE_DOCUMENTS or tokens >= SCORE_HELD:
+                yield from scored(held)
+                held, rows, tokens = [], 0, 0
+        yield from scored(held)
 
     return coded.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double").withColumn(
         "train_tokens", F.lit(n).cast("long"))
