@@ -147,6 +147,23 @@ def test_lm_learns_every_window(monkeypatch):
     assert cold == len(docs)
 
 
+def test_lm_windows_side_by_side():
+    """Several windows taken together give the sum of their gradients, losses and the last state."""
+    r = np.random.default_rng(4)
+    net = lm.Network.start(r.random(lm.OUTPUTS))
+    net.w = {k: w.astype(np.float64) for k, w in net.w.items()}
+    codes = r.integers(0, lm.OUTPUTS, (3, 3 * lm.WINDOW))
+    mask = np.arange(3 * lm.WINDOW) < np.array([[3 * lm.WINDOW], [lm.WINDOW + 5], [2]])
+    state = r.standard_normal((3, lm.HIDDEN)) * 0.3
+    grads, loss, last = net.window(state, codes, mask)
+    want, total, h = {k: 0 for k in grads}, 0.0, state
+    for at in range(0, 3 * lm.WINDOW, lm.WINDOW):
+        g, one, h = net.window(h, codes[:, at:at + lm.WINDOW], mask[:, at:at + lm.WINDOW])
+        want, total = {k: want[k] + g[k] for k in g}, total + one
+    assert abs(loss - total) < 1e-9 and np.allclose(last, h)
+    assert all(np.allclose(grads[k], want[k], atol=1e-9) for k in grads)
+
+
 def test_lm_learns_held_out(spark):
     """On texts with order in them the network beats the unigram on held-out rows."""
     r = random.Random(5)
