@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MISSING, chars, morph_string, parse_feats
+from ..session import materialise
 from .scoring import DIGITS
 from .windows import range_chunks, running_number
 
@@ -118,18 +119,32 @@ def encode(ex: DataFrame, vocab: DataFrame, word: str, feats: str = "feats",
     known feature names in sorted order, ``k=NULL`` where a name is missing.
     An unknown symbol fails the job (``raise_error``).
 
-    The vocabulary is folded into one map value (its size is the alphabet plus
-    the feature values, not the data) and attached as a scalar subquery."""
+    Distinct words and feature bundles are taken apart, their symbols meet the
+    vocabulary in a join, and their index arrays come back to the rows: the
+    vocabulary may hold as many feature values as there are, and no symbol that
+    every row has is moved more than once a distinct word."""
     keys = keys if keys is not None else feature_types(ex, feats)
-    ex = ex.withColumn("_vm", vocab.agg(F.map_from_entries(F.collect_list(F.struct("symbol", "idx")))).scalar()) \
-           .withColumn("_keys", keys.select("keys").scalar())
-    vm, kc = F.col("_vm"), F.col("_keys")
-
-    def look(s: Column) -> Column:
-        v = F.try_element_at(vm, s)
-        return F.coalesce(v, F.raise_error(F.concat(F.lit("unknown symbol: "), s)).cast("bigint"))
-    fmap = parse_feats(F.col(feats))
-    fsyms = F.transform(kc, lambda k: F.concat(
-        k, F.lit("="), F.coalesce(F.try_element_at(fmap, k), F.lit(NULL_VALUE))))
-    return ex.withColumn("word_idx", F.transform(chars(F.col(word)), look)) \
-             .withColumn("feat_idx", F.transform(fsyms, look)).drop("_vm", "_keys")
+
+    def indexed(values: DataFrame, out: str) -> DataFrame:
+        """``value`` and its array ``symbols`` -> ``value`` and the array of indices."""
+        spots = values.select("value", F.posexplode("symbols").alias("_at", "symbol"))
+        found = spots.join(vocab.select("symbol", "idx"), "symbol", "left")
+        # the check stays beside the value it guards, so that no plan drops it
+        idx = F.coalesce("idx", F.raise_error(F.concat(F.lit("unknown symbol: "), "symbol")).cast("bigint"))
+        arrays = found.select("value", F.struct("_at", idx.alias("idx")).alias("_s")).groupBy("value").agg(
+            F.transform(F.array_sort(F.collect_list("_s")), lambda x: x["idx"]).alias(out))
+        return arrays
+
+    # written once: the words, the bundles and their plans start from it
+    known = materialise(ex.select(F.col(word).alias("_w"), F.coalesce(F.col(feats), F.lit("")).alias("_f")).distinct())
+    words = known.select(F.col("_w").alias("value")).distinct().withColumn("symbols", chars(F.col("value")))
+    bundles = known.select(F.col("_f").alias("value")).distinct().withColumn("_keys", materialise(keys).select("keys").scalar())
+    fmap = parse_feats(F.col("value"))
+    bundles = bundles.withColumn("symbols", F.transform(F.col("_keys"), lambda k: F.concat(
+        k, F.lit("="), F.coalesce(F.try_element_at(fmap, k), F.lit(NULL_VALUE)))))
+    pairs = known.join(indexed(words, "word_idx"), F.col("_w") == F.col("value"), "left").drop("value").join(
+        indexed(bundles, "feat_idx"), F.col("_f") == F.col("value"), "left").drop("value")
+    none = F.array().cast("array<bigint>")
+    pairs = pairs.select("_w", "_f", F.when(F.col("_w").isNotNull(), F.coalesce("word_idx", none)).alias("word_idx"),
+                         F.coalesce("feat_idx", none).alias("feat_idx"))
+    return ex.join(pairs, F.col(word).eqNullSafe(F.col("_w")) & F.coalesce(F.col(feats), F.lit("")).eqNullSafe(F.col("_f")), "left").drop("_w", "_f")

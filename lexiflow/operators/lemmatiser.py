@@ -77,36 +77,56 @@ def apply_templates(test: DataFrame, source: str, pos: str, by_suffix: DataFrame
     return j.withColumn(out, pred).drop("_suffix", "_p1", "_s1", "_t1", "_p2", "_t2")
 
 
-def template_coverage(train: DataFrame, test: DataFrame, source: str, target: str) -> DataFrame:
-    """A test pair counts as covered when some training template makes its
-    target from its source.
+def literal_index(templates: DataFrame, test: DataFrame) -> DataFrame:
+    """J7's candidates: ``template`` (array) rows against distinct ``source``,
+    ``target`` pairs.
 
     For a source of a given length a template fixes the target's length and the
-    characters at some places (its mask). A distinct test pair is keyed by the
-    masks that occur with its two lengths and by its own characters there, and
-    meets the templates with the same key in an equi-join; ``instantiate`` then
-    decides. No pair meets a template it contradicts. Output one row: covered,
-    total, percent (over test rows)."""
-    te = test.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
-    lengths = te.select(F.length("source").alias("len")).distinct()
-    templates = pair_templates(train, source, target).select("template").distinct()
+    letters at some places. It is filed under the one that fewest pairs of these two
+    lengths have (ties: the first place), counted beforehand; a template that copies
+    everything is filed under the lengths alone. A pair looks up its own letters at
+    all places. So every candidate agrees with the pair in its rarest fixed letter, and
+    a template whose letter no pair has is dropped. Returns ``template``, ``source``,
+    ``target``."""
+    spots = F.transform(F.split("target", ""), lambda c, i: F.struct((i + 1).alias("at"), c.alias("letter")))
+    no_spot = F.array(F.struct(F.lit(0).alias("at"), F.lit("").alias("letter")))
+    probes = test.select("source", "target", F.length("source").alias("len"), F.length("target").alias("out"),
+                         F.explode(F.concat(no_spot, F.when(F.length("target") > 0, spots).otherwise(F.array()))).alias("s")).select(
+        "source", "target", "len", "out", "s.at", "s.letter")
+    common = materialise(probes.groupBy("len", "out", "at", "letter").agg(F.count(F.lit(1)).alias("pairs")))
     # as many lengths as words have: one array beside each template
-    every = lengths.agg(F.collect_set("len")).scalar()
-    t = templates.select("template", F.explode(every).alias("len"))
+    every = test.agg(F.collect_set(F.length("source"))).scalar()
 
     def is_copy(x):
         return x.rlike("^[0-9]+$")
 
-    parts = F.filter("template", lambda x: ~is_copy(x) | (x.try_cast("int") < F.col("len")))
-    t = t.withColumn("_parts", parts).select(
-        "template", "len", F.array_join(F.transform("_parts", lambda x: F.when(is_copy(x), "0").otherwise("1")), "").alias("mask"),
-        F.array_join(F.filter("_parts", lambda x: ~is_copy(x)), "").alias("letters"))
-    masks = t.select("len", "mask").distinct().withColumn("out", F.length("mask"))
-    keyed = te.withColumn("len", F.length("source")).withColumn("out", F.length("target")).join(masks, ["len", "out"])
-    letters = F.array_join(F.filter(F.transform(F.when(F.length("mask") > 0, F.split("mask", "")).otherwise(F.array().cast("array<string>")),
-                                                lambda m, i: F.when(m == "1", F.substring(F.col("target"), i + 1, F.lit(1)))),
-                                    lambda x: x.isNotNull()), "")
-    hits = keyed.withColumn("letters", letters).join(t, ["len", "mask", "letters"]).filter(
+    t = templates.select("template", F.explode(every).alias("len"))
+    t = t.withColumn("parts", F.filter("template", lambda x: ~is_copy(x) | (x.try_cast("int") < F.col("len")))).withColumn(
+        "out", F.size("parts"))
+    fixed = F.filter(F.transform("parts", lambda x, i: F.struct((i + 1).alias("at"), x.alias("letter"))), lambda x: ~is_copy(x["letter"]))
+    t = t.withColumn("fixed", fixed).select("template", "len", "out", F.size("fixed").alias("n"), F.explode(
+        F.when(F.size("fixed") > 0, F.col("fixed")).otherwise(no_spot)).alias("s")).select("template", "len", "out", "n", "s.at", "s.letter")
+    filed = t.join(common, ["len", "out", "at", "letter"]).groupBy("template", "len", "out", "n").agg(
+        F.min(F.struct("pairs", "at", "letter")).alias("s"), F.count(F.lit(1)).alias("met")).filter(
+        F.col("met") == F.greatest(F.col("n"), F.lit(1)))  # no pair has one of the letters: no pair is made
+    filed = filed.select("template", "len", "out", "s.at", "s.letter")
+    return probes.join(filed, ["len", "out", "at", "letter"]).select("template", "source", "target")
+
+
+def template_coverage(train: DataFrame, test: DataFrame, source: str, target: str) -> DataFrame:
+    """A test pair counts as covered when some training template makes its
+    target from its source. Distinct pairs meet the templates of their rarest fixed
+    letter (``literal_index``); ``instantiate`` then decides. Output one row: covered,
+    total, percent (over test rows)."""
+    te = test.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
+    te = materialise(te)
+    templates = pair_templates(train, source, target).select("template").distinct()
+    return covered_share(te, templates)
+
+
+def covered_share(te: DataFrame, templates: DataFrame) -> DataFrame:
+    """J7 for given templates: distinct pairs with their count ``n``."""
+    hits = literal_index(templates, te).filter(
         instantiate(F.col("template"), F.col("source")) == F.col("target")).select("source", "target").distinct()
     j = te.join(hits.withColumn("_hit", F.lit(1)), ["source", "target"], "left")
     return j.agg(F.coalesce(F.sum(F.when(F.col("_hit").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("covered"),

@@ -775,6 +775,19 @@ def w3_split_exact(spark, sf):
     return SM.split_exact(V.tok(spark, sf), ["doc_id", "sent_id"], 0.1, 0.1, SPLIT_SEED)
 
 
+@register("w3_split_select", O.with_tok("""
+k_ AS (SELECT DISTINCT doc_id, sent_id FROM tok),
+r_ AS (SELECT doc_id, sent_id, row_number() OVER (ORDER BY md5('""" + str(SPLIT_SEED) + """:' || doc_id || '_' || sent_id),
+                                       CAST(doc_id AS VARCHAR) || '_' || CAST(sent_id AS VARCHAR)) AS rank,
+              count(*) OVER () AS n FROM k_)""") + """
+SELECT doc_id, sent_id,
+       CASE WHEN rank <= round_even(n * 0.15, 0) THEN 'test'
+            WHEN rank <= round_even(n * 0.15, 0) + round_even(n * 0.05, 0) THEN 'valid' ELSE 'train' END AS split
+FROM r_""")
+def w3_split_select(spark, sf):
+    return SM.split_exact(V.tok(spark, sf), ["doc_id", "sent_id"], 0.15, 0.05, SPLIT_SEED, rank=False)
+
+
 SAMPLE_SIZES = (500, 1000, 2000, 5000, 12000)
 
 
