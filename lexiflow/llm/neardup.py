@@ -31,6 +31,8 @@ WORDS = 5
 SKETCHES = 16
 PICKS = 3
 SIMILARITY = 0.8
+#: Punctuation that is not part of a word.
+EDGES = ".,;:!?\"'()[]{}<>«»“”‘’„…¿¡-–—"
 #: Members of a bucket in one side of a tile.
 TILE = 256
 
@@ -42,12 +44,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
+    """Hash of a word without case and edge punctuation, which an edit beside a
+    sentence's end changes too; a word of punctuation alone is taken as it is."""
+
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) > 200_000:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        bare = word.decode().lower().strip(EDGES).encode()
+        h = self[word] = xxhash.xxh3_64_intdigest(bare or word)
         return h
 
 
