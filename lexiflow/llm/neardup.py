@@ -214,8 +214,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
                 [batch.column(0), batch.column(1), pa.array([shingles(t, memo).tobytes() for t in batch.column(2).to_pylist()], pa.binary())],
                 ["cls", "weight", "seq"])
 
-    # one row for each text: its least document (any, where ids repeat or are null)
-    seqs = written(base.join(wanted, "cls").groupBy("cls").agg(F.first("weight").alias("weight"), F.first("text").alias("text"))
+    # one row for each text, taken in the map tasks: copies don't meet in one
+    seqs = written(base.groupBy("cls").agg(F.first("text").alias("text")).join(wanted, "cls")
                    .select("cls", "weight", "text").mapInArrow(sequences, "cls binary, weight long, seq binary"), "sequences", compression="zstd")
 
     weights = seqs.select("cls", "weight")
