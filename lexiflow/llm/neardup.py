@@ -1,7 +1,8 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
-A text is the sequence of its five-word shingles, each labelled with its running
-number among equal ones, so that no two are the same. A sketch takes the
+A text is the sequence of its five-word shingles (words without case and edge
+punctuation), each labelled with its running number among equal ones, so that no
+two are the same. A sketch takes the
 ``PICKS`` shingles with the smallest hashes under one permutation and keeps them
 in text order; texts that are alike in an edit sense agree in it. Texts with an
 equal sketch share a bucket.
