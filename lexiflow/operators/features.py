@@ -20,7 +20,9 @@ def feature_types(ex: DataFrame, feats: str = "feats") -> DataFrame:
     """Known feature names as one row ``keys: array<string>`` (sorted). The
     result has one row whatever the data size; consumers attach it as a
     scalar subquery (``DataFrame.scalar``), not with a join."""
-    k = ex.select(F.explode(F.map_keys(parse_feats(F.col(feats)))).alias("k")).distinct()
+    # bundles are far fewer than rows: each is taken apart once a task
+    d = ex.select(F.col(feats).alias("_f")).distinct()
+    k = d.select(F.explode(F.map_keys(parse_feats(F.col("_f")))).alias("k")).distinct()
     return k.agg(F.array_sort(F.collect_list("k")).alias("keys"))
 
 
@@ -46,9 +48,11 @@ def cluster_sizes(ex: DataFrame, key: str = "pos", feats: str = "feats", single:
 def morph_type_stats(ex: DataFrame, feats: str = "feats") -> DataFrame:
     """Number of morph types (canonical morph strings), mean examples per
     type (Q5: not the mean key length), number of feature types."""
-    keys = feature_types(ex, feats)
-    m = with_morph(ex, keys, feats)
-    per = m.groupBy("morph").agg(F.count(F.lit(1)).alias("n"))
+    # bundles with their counts are written once; names, morph strings and totals come from them
+    d = materialise(ex.groupBy(feats).agg(F.count(F.lit(1)).alias("n")))
+    keys = feature_types(d, feats)
+    m = with_morph(d, keys, feats)
+    per = m.groupBy("morph").agg(F.sum("n").alias("n"))
     stats = per.agg(F.count(F.lit(1)).cast("bigint").alias("morph_types"),
                     F.sum("n").cast("bigint").alias("examples"),
                     F.round(F.avg("n"), DIGITS).alias("examples_per_type"))
@@ -104,7 +108,8 @@ def build_vocab(ex: DataFrame, word_cols: Sequence[str] = ("lemma", "word"), fea
     ``k=NULL`` for each feature name; 1-based index in symbol order. The index
     is a running number over range partitions of the symbols, so no single task
     sorts the whole symbol set, whatever prefixes its feature values share."""
-    # one explode of one combined array per row: the example table is read once
+    # one explode of one combined array per distinct row: the example table is read once
+    ex = ex.select(*dict.fromkeys([*word_cols, feats])).distinct()
     fm = parse_feats(F.col(feats))
     kv = F.transform(F.map_entries(fm), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     kn = F.transform(F.map_keys(fm), lambda k: F.concat(k, F.lit("=" + NULL_VALUE)))

@@ -613,8 +613,8 @@ def t6_parse_feats(spark, sf):
 @register("t7_morph_string", O.with_tok(KEYS_CTE.strip()) + f"""
 SELECT feats, {_morph_sql('feats')} AS morph FROM (SELECT DISTINCT feats FROM ex), keys_""")
 def t7_morph_string(spark, sf):
-    ex = V.examples(spark, sf)
-    return FT.with_morph(ex.select("feats").distinct(), FT.feature_types(ex))
+    d = materialise(V.examples(spark, sf).select("feats").distinct())
+    return FT.with_morph(d, FT.feature_types(d))
 
 
 @register("t8_sort_feats", O.with_tok() + """
@@ -678,7 +678,8 @@ SELECT word, feats,
   array_to_string(list_transform(keys, lambda k: vm[k || '=' || coalesce({_fval_sql('feats', 'k')}, 'NULL')]), ' ') AS feat_idx
 FROM d_, keys_, vm_""")
 def t11_encode(spark, sf):
-    ex = V.examples(spark, sf)
+    # the distinct examples are all that the vocabulary, the feature names and the encoding need
+    ex = materialise(V.examples(spark, sf).select("lemma", "feats", "word").distinct())
     vocab = FT.build_vocab(ex)
     e = FT.encode(ex.select("word", "feats").distinct(), vocab, "word", keys=FT.feature_types(ex))
     return e.select("word", "feats", F.array_join("word_idx", " ").alias("word_idx"),
@@ -1197,7 +1198,7 @@ def a17_lexicon_coverage(spark, sf):
 
 # ------------------------------------------------------ files and sinks
 
-from ..session import shared_dir  # noqa: E402
+from ..session import materialise, shared_dir  # noqa: E402
 from ..sources import conllu as CU  # noqa: E402
 from ..sources import inflection as INF  # noqa: E402
 
