@@ -304,12 +304,13 @@ def compare_errors(a: DataFrame, b: DataFrame, cols: Sequence[str], buckets: Seq
     duplicates (anti join against the other side's distinct rows). Each row is
     counted under ``ALL`` and under every bucket whose text occurs in its morph
     string (a row may fall in several). Output (kind, bucket, n)."""
-    a, b = a.select(*cols), b.select(*cols)
-    both = a.distinct().intersect(b.distinct()).withColumn("kind", F.lit("both"))
-    only_a = a.join(b.distinct(), list(cols), "left_anti").withColumn("kind", F.lit("only_first"))
-    only_b = b.join(a.distinct(), list(cols), "left_anti").withColumn("kind", F.lit("only_second"))
+    # distinct errors with their counts, written once: each list is made once, not for every set
+    a, b = (materialise(x.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))) for x in (a, b))
+    both = a.select(*cols).intersect(b.select(*cols)).select(*cols, F.lit(1).cast("bigint").alias("_n"), F.lit("both").alias("kind"))
+    only_a = a.join(b.select(*cols), list(cols), "left_anti").withColumn("kind", F.lit("only_first"))
+    only_b = b.join(a.select(*cols), list(cols), "left_anti").withColumn("kind", F.lit("only_second"))
     allrows = both.unionByName(only_a).unionByName(only_b)
     bk = F.array(*[F.lit(x) for x in buckets])
-    tagged = allrows.select("kind", F.explode(F.concat(
+    tagged = allrows.select("kind", "_n", F.explode(F.concat(
         F.array(F.lit("ALL")), F.filter(bk, lambda x: F.instr(F.col(morph), x) > 0))).alias("bucket"))
-    return tagged.groupBy("kind", "bucket").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    return tagged.groupBy("kind", "bucket").agg(F.sum("_n").cast("bigint").alias("n"))
