@@ -37,11 +37,16 @@ NUMBER_LANG = "zxx"
 
 
 def xpostag(form: Column, tok_id: Column) -> Column:
-    return (F.when(~form.rlike(WORDCHAR_PATTERN), F.lit("PUNCT"))
+    # a form that opens with an ASCII letter is a word and no number whatever follows:
+    # its tag needs no pattern
+    first = F.ascii(form)
+    capital = first.between(65, 90)
+    short = F.when(F.length(form) <= 3, F.lit("P")).otherwise(F.lit("N"))
+    return (F.when(capital | first.between(97, 122), F.when((tok_id > 1) & capital, F.lit("NP")).otherwise(short))
+             .when(~form.rlike(WORDCHAR_PATTERN), F.lit("PUNCT"))
              .when(form.rlike(NUMBER_PATTERN), F.lit("NUM"))
              .when((tok_id > 1) & form.rlike(CAPITAL_PATTERN), F.lit("NP"))
-             .when(F.length(form) <= 3, F.lit("P"))
-             .otherwise(F.lit("N")))
+             .otherwise(short))
 
 
 SUFFIXES_LONGEST_FIRST = sorted(SUFFIX_TYPES, key=lambda x: (-len(x), x))
