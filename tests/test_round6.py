@@ -29,3 +29,20 @@ def test_tags_of_forms(spark):
         assert got[:-1] == want[:-1]
     # a word that opens with an ASCII letter meets no pattern
     assert "ascii(" in plan(df.select(C.xpostag(F.col("form"), F.lit(1)).alias("t")))
+
+
+def test_lines_of_scattered_words(spark):
+    """Words in any order, repeated and null numbers, spaces and nulls in a text, a line of
+    punctuation alone, null keys: as grouping word by word gives them."""
+    rows = [(1, 1, t, f"W{t}", f"l{t}", "N") for t in (5, 6, 1, 2, 9, 3)] + [
+        (1, 1, 4, ".", ".", "PUNCT"), (1, 2, 1, "!", "!", "PUNCT"), (1, 2, 2, "?", "?", "PUNCT"),
+        (2, 1, 1, "New York", "new york", "NP"), (2, 1, 2, None, None, None), (2, 1, 2, "a", "b", "P"),
+        (2, 1, None, "z", "z\x00", "P"), (None, 1, 2, "y", "y", "P"), (None, 1, 1, "x", "x", "P")]
+    want = {(1, 1): ("w1 w2 w3 w5 w6 w9", "l1 l2 l3 l5 l6 l9", "N N N N N N"), (1, 2): ("", "", ""),
+            (2, 1): ("z new_york _ a", "z\x00 new york _ b", "P NP _ P"), (None, 1): ("x y", "x y", "P P")}
+    for parts in (1, 3):
+        df = FO.to_parallel(spark.createDataFrame(rows, TOK).repartition(parts))
+        got = {(r.doc_id, r.sent_id): (r.src, r.tgt, r.pos) for r in df.collect()}
+        assert got == want
+    # neighbouring words are one row before the shuffle
+    assert "MapInArrow" in plan(FO.to_parallel(spark.createDataFrame(rows, TOK)))
