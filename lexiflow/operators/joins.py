@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .filters import drop_punct, truncate
+from .runs import join_runs
 
 
 def predict_mfl(model: DataFrame, df: DataFrame, form: str = "lform", out: str = "plemma") -> DataFrame:
@@ -33,15 +34,14 @@ def merge_gold(gold: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFra
 
     Gold punctuation is dropped; gold lemma/pos/feats/misc overwrite the
     prediction's own columns (the prediction keeps form, plemma, ppos, pfeats)."""
-    g = drop_punct(gold).select(
-        *keys, F.col("lemma").alias("_gl"), F.col("xpostag").alias("_gp"),
-        F.col("feats").alias("_gf") if "feats" in gold.columns else F.lit(None).cast("string").alias("_gf"),
-        F.col("misc").alias("_gm") if "misc" in gold.columns else F.lit(None).cast("string").alias("_gm"))
+    own = {"lemma": "_gl", "xpostag": "_gp"} | {c: f"_g{c[0]}" for c in ("feats", "misc") if c in gold.columns}
+    g = drop_punct(gold).select(*keys, *[F.col(c).alias(a) for c, a in own.items()])
     p = pred.drop(*[c for c in ("lemma", "pos", "feats", "misc") if c in pred.columns])
-    j = p.join(g, list(keys), "inner")
-    return j.select(*[F.col(c) for c in p.columns],
-                    F.col("_gl").alias("lemma"), F.col("_gp").alias("pos"),
-                    F.col("_gf").alias("feats"), F.col("_gm").alias("misc"))
+    j = join_runs(p, g, keys)
+    def from_gold(c):
+        return F.col(own[c]) if c in own else F.lit(None).cast("string")
+    return j.select(*[F.col(c) for c in p.columns], from_gold("lemma").alias("lemma"), from_gold("xpostag").alias("pos"),
+                    from_gold("feats").alias("feats"), from_gold("misc").alias("misc"))
 
 
 def by_position(df: DataFrame, order: Sequence[str], out: str = "position", chunk=None) -> DataFrame:

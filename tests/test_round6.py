@@ -46,3 +46,12 @@ def test_lines_of_scattered_words(spark):
         assert got == want
     # neighbouring words are one row before the shuffle
     assert "MapInArrow" in plan(FO.to_parallel(spark.createDataFrame(rows, TOK)))
+
+
+def test_merge_gold_moves_runs(spark):
+    tok = spark.createDataFrame([(1, s, t, f"f{t}", f"l{t}", "PUNCT" if t == 3 else "N") for s in (1, 2) for t in range(1, 40)], TOK)
+    pred = tok.select(*KEYS, "form", F.col("lemma").alias("plemma"), F.lit(None).cast("string").alias("pfeats"))
+    df = jn.merge_gold(tok, pred, KEYS)
+    assert df.columns == [*KEYS, "form", "plemma", "pfeats", "lemma", "pos", "feats", "misc"]
+    assert df.count() == 76 and df.filter("plemma = lemma AND pos = 'N' AND pfeats IS NULL AND misc IS NULL").count() == 76
+    assert "MapInArrow" in plan(df)
