@@ -130,7 +130,9 @@ m_ AS (SELECT t.split, t.lemma, p.plemma FROM pred p JOIN tok t USING (doc_id, s
           + O.score_select(["split"]))
 def a6_eval_pred(spark, sf):
     # the prediction rows carry their split, so the merged rows are scored directly
-    merged = jn.merge_gold(V.tok(spark, sf), V.predictions(spark, sf), ["doc_id", "sent_id", "tok_id"])
+    keys = ["doc_id", "sent_id", "tok_id"]
+    merged = jn.merge_gold(V.tok(spark, sf).select(*keys, "lemma", "xpostag"),
+                           V.predictions(spark, sf).select(*keys, "split", "plemma"), keys)
     return ev.eval_pred(merged, by=("split",))
 
 
@@ -191,7 +193,7 @@ FROM w t JOIN pred p USING (doc_id, sent_id, tok_id) GROUP BY t.split""")
 def a14_score(spark, sf):
     w = V.wtok(spark, sf).select("doc_id", "sent_id", "tok_id", "split", "lemma")
     p = V.predictions(spark, sf).select("doc_id", "sent_id", "tok_id", "plemma")
-    m = w.join(p, ["doc_id", "sent_id", "tok_id"]).withColumn("mark", ev.mark(F.col("plemma"), F.col("lemma")))
+    m = jn.join_runs(w, p, ["doc_id", "sent_id", "tok_id"]).withColumn("mark", ev.mark(F.col("plemma"), F.col("lemma")))
     return m.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(F.when(F.col("mark") == "V", 1).otherwise(0)).cast("bigint").alias("n_v"),

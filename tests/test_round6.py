@@ -55,3 +55,18 @@ def test_merge_gold_moves_runs(spark):
     assert df.columns == [*KEYS, "form", "plemma", "pfeats", "lemma", "pos", "feats", "misc"]
     assert df.count() == 76 and df.filter("plemma = lemma AND pos = 'N' AND pfeats IS NULL AND misc IS NULL").count() == 76
     assert "MapInArrow" in plan(df)
+
+
+def test_join_of_runs_is_the_join_of_rows(spark):
+    left = [(d, 1, t, None if (t or 7) % 7 == 0 else f"a{t}", "x y" if t == 5 else "" if t == 6 else "\x00" if t == 8 else "b")
+            for d in (1, 1, 2, None) for t in [*range(40), -3, None, 2, 2]]
+    right = [(d, 1, t, f"c {t}" if t == 9 else f"c{t}") for d in (1, 2, 2, 3, None) for t in [*range(30, -1, -2), *range(31), -3, None]]
+    a = spark.createDataFrame(left, "doc_id long, sent_id long, tok_id int, u string, v string")
+    b = spark.createDataFrame(right, "doc_id long, sent_id long, tok_id int, w string")
+    df, want = RN.join_runs(a, b, KEYS), a.join(b, KEYS)
+    assert df.columns == want.columns and df.dtypes == want.dtypes
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, want.collect()))
+    assert RN.join_runs(a, b, KEYS).count() > 0 and "MapInArrow" in plan(df)
+    # columns that are no strings are joined row by row
+    n = b.withColumn("w", F.length("w"))
+    assert sorted(map(repr, RN.join_runs(a, n, KEYS).collect())) == sorted(map(repr, a.join(n, KEYS).collect()))
