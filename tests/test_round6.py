@@ -70,3 +70,18 @@ def test_join_of_runs_is_the_join_of_rows(spark):
     # columns that are no strings are joined row by row
     n = b.withColumn("w", F.length("w"))
     assert sorted(map(repr, RN.join_runs(a, n, KEYS).collect())) == sorted(map(repr, a.join(n, KEYS).collect()))
+
+
+def test_fold_paths_are_searched_once(spark, tmp_path):
+    for folder, name in (("noun/0500/3", "x_train.txt"), ("type=verb/size=0500/fold=1", "role=dev.txt"),
+                         ("a/0500/b/0500/c", "test.txt"), ("other", "train.txt"), ("sp ace/0500/1", "dev.txt")):
+        os.makedirs(tmp_path / folder)
+        (tmp_path / folder / name).write_text("go went\n\n  be\tis  x\nalone\n\tq\nend\t \n")
+    df = INF.read_folds(spark, str(tmp_path))
+    got = {}
+    for r in df.collect():
+        got.setdefault((r.feats, r.fold, r.role), []).append((r.lemma, r.word))
+    lines = [("go", "went"), ("be", "is"), ("alone", None), ("", "q"), ("end", "")]
+    assert {k: sorted(map(repr, v)) for k, v in got.items()} == {k: sorted(map(repr, lines)) for k in [
+        ("pos=noun", "3", "train"), ("pos=verb", "1", "dev"), ("pos=a", "b", "test"), ("pos=", "", ""), ("pos=sp%20ace", "1", "dev")]}
+    assert "LeftOuter" in plan(df)
