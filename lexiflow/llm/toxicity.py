@@ -36,10 +36,14 @@ PRIOR = 500.0
 FLOOR = 0.5
 #: Least |z| of a form that has a score of its own.
 MIN_Z = 4.0
-#: A document counts a form this often at most when the model's words are counted:
-#: words come in bursts, and one document that repeats itself says no more than one
-#: that doesn't. Segments score every occurrence.
-BURST = 3
+#: Least |log-odds| of a form that has a score of its own. Where many rows are fitted
+#: on, small differences (a language's commonest words, where it has a few more toxic
+#: texts than others) are significant too; scores of such words add up over any text of
+#: that language, so that clean texts have segments as long as themselves.
+MIN_ODDS = math.log(2)
+#: A clean text's best segment says no more than this score when the law is fitted:
+#: single texts that repeat a word hundreds of times would set lambda for all others.
+LARGEST_BEST = 10.0
 #: Documents of the sample that must hold a form.
 MIN_DOCS = 5
 #: Words of the shingles whose least hash tells near copies in the fitting sample.
@@ -124,16 +128,18 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def extreme_value_law(lengths: np.ndarray, best: np.ndarray) -> tuple[float, float]:
     """lambda and K of P(best <= s) = exp(-K n exp(-lambda s)) by maximum likelihood. A
-    text without a segment says that its best is at most 0. For a lambda the best K
-    is known; lambda is the best of a grid."""
+    text without a segment says that its best is at most 0, one with a best above
+    ``LARGEST_BEST`` that it is at least that. For a lambda the best K is known; lambda
+    is the best of a grid."""
     found = best > 0
     if not found.any():
         return 1.0, 1.0 / max(float(lengths.sum()), 1.0)
+    exact, best = int((found & (best <= LARGEST_BEST)).sum()), np.minimum(best, LARGEST_BEST)
     count, total = int(found.sum()), float(best[found].sum())
     top = (-math.inf, 1.0, 1.0)
     for decay in np.linspace(0.02, 3.0, 150).tolist():
         size = count / max(float((lengths * np.exp(-decay * best)).sum()), 1e-9)
-        top = max(top, (count * (math.log(decay) + math.log(size)) - decay * total, decay, size))
+        top = max(top, (exact * math.log(decay) + count * math.log(size) - decay * total, decay, size))
     return top[1], top[2]
 
 
@@ -198,27 +204,31 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k
 
     def count(batches):
         import pyarrow as pa
-        from collections import Counter
+        from collections import Counter, defaultdict
 
-        forms, known = (Counter(), Counter()), Counter()
+        forms = defaultdict(lambda: [0] * 5)
         for batch in batches:
             for t, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 own: Counter = Counter()
                 for w, n in Counter(t.encode().split()).items():
-                    forms[c][""] += n
+                    own[""] += n
                     for f in word_forms(w):
                         own[f] += n
                 for f, n in own.items():
-                    forms[c][f] += min(n, BURST)
-                known.update(own.keys())
-        names = list(forms[0].keys() | forms[1].keys())
+                    x = forms[f]
+                    x[c] += n
+                    x[2 + c] += n * n
+                    x[4] += 1
+        names = list(forms)
         for at in range(0, len(names), 50_000):
             part = names[at:at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array([x[f] for f in part], pa.int64()) for x in (*forms, known))],
-                                             ["form", "clean", "toxic", "docs"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(x, pa.int64()) for x in zip(*(forms[f] for f in part)))],
+                                             ["form", *numbers])
 
-    counts = written(rows.mapInArrow(count, "form string, clean long, toxic long, docs long").groupBy("form").agg(
-        *(F.sum(c).alias(c) for c in ("clean", "toxic", "docs"))).filter((F.col("form") == "") | (F.col("docs") >= MIN_DOCS)), "toxic-forms")
+    # times in clean and toxic texts, both as sums of a text's squares, and texts
+    numbers = ("clean", "toxic", "clean_squares", "toxic_squares", "docs")
+    counts = written(rows.mapInArrow(count, "form string, " + ", ".join(f"{c} long" for c in numbers)).groupBy("form").agg(
+        *(F.sum(c).alias(c) for c in numbers)).filter((F.col("form") == "") | (F.col("docs") >= MIN_DOCS)), "toxic-forms")
     totals = counts.filter(F.col("form") == "").select("clean", "toxic").first()
     n0, n1 = totals or (0, 0)
     if not n0 or not n1:
@@ -226,9 +236,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, k
     prior = PRIOR * (F.col("clean") + F.col("toxic")) / (n0 + n1) + FLOOR
     y0, y1 = F.col("clean") + prior, F.col("toxic") + prior
     odds = F.log(y1 / (n1 + PRIOR - y1)) - F.log(y0 / (n0 + PRIOR - y0))
+    # words come in bursts: a count varies by its texts' squares, not by itself, so one
+    # document that repeats itself says little more than one that doesn't
+    spread = (F.col("clean_squares") + prior) / (y0 * y0) + (F.col("toxic_squares") + prior) / (y1 * y1)
     best = (counts.filter("form != ''")
-            .withColumn("odds", odds).withColumn("z", F.abs(odds) / F.sqrt(1 / y0 + 1 / y1))
-            .filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "form").limit(MODEL_FORMS).collect())
+            .withColumn("odds", odds).withColumn("z", F.abs(odds) / F.sqrt(spread))
+            .filter((F.col("z") >= MIN_Z) & (F.abs("odds") >= MIN_ODDS)).orderBy(F.desc("z"), "form").limit(MODEL_FORMS).collect())
     model = ToxicModel()
     if not best:
         return model

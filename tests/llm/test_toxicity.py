@@ -73,3 +73,25 @@ def test_law_is_recovered():
     decay, size = toxicity.extreme_value_law(n, s)
     assert decay == pytest.approx(0.7, abs=0.03) and size == pytest.approx(0.02, rel=0.2)
     assert toxicity.extreme_value_law(n[:3], np.zeros(3))[0] == 1.0
+
+
+def test_ordinary_words_of_short_toxic_texts_are_no_forms(spark):
+    """Toxic texts are short, clean ones long: a text's commonest words fill the same
+    share of both, whatever their number in one text."""
+    r, common, rows = random.Random(5), "calm harbour lantern meadow pebble willow copper river".split(), []
+    for i in range(400):
+        words = r.choices(common, k=60 if i % 4 == 0 else 900) + r.choices([f"w{i}" for i in range(3000)], k=20)
+        rows.append((i, " ".join(words + (["vermin", "slime"] if i % 4 == 0 else []))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    assert not {"=" + w for w in common} & model.forms.keys() and model.forms["=slime"][0] > 2
+    assert value(model, " ".join(common * 200)) == value(model, "") < value(model, " ".join(common * 200 + ["slime"]))
+
+
+def test_law_is_not_set_by_one_text():
+    """A clean text that repeats a scored word hundreds of times."""
+    r = np.random.default_rng(3)
+    n = r.integers(50, 5000, 2_000).astype(float)
+    s = np.maximum((np.log(0.02 * n) - np.log(-np.log(r.random(len(n))))) / 0.7, 0.0)
+    s[:4] = 4000.0
+    assert toxicity.extreme_value_law(n, s)[0] == pytest.approx(0.7, abs=0.1)
