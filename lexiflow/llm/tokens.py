@@ -15,7 +15,7 @@ import numpy as np
 
 # White space as the byte-level splitting rule sees it (fixed values).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-EDGE = re.compile(f"^[{WHITE}]|[{WHITE}]$")
+WHITE_CHARS = frozenset(re.findall(f"[{WHITE}]", "".join(map(chr, range(0x3001)))))
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 #: Distinct chunks a worker keeps before it falls back to those of its last batch.
@@ -51,6 +51,7 @@ class TextEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.firsts = {s[:1] for s in self.special}
         self.memo: dict = {}
         self.most = MEMO_ENTRIES[kind]
         self.encode_plain = self._words if kind == "word" else self._bytes
@@ -104,25 +105,27 @@ class TextEncoder:
             self.memo = {c: memo[c] for c in seen}
         return out
 
-    def _parts(self, parts: list[str]) -> list[bytes | None]:
+    def _parts(self, parts: list[str]) -> dict[str, bytes | None]:
         """Ids of parts of texts between single spaces. Line feeds are marked by a
         space before them, so a part is one of: text that followed a space, or a line
         feed and the text after it. One that is empty or borders on other white space
         has no ids of its own: None. All others are encoded together: their bytes hold
         a space or a line feed only in front, so an id that starts with one opens a part."""
-        plain = [p for p in parts if p and p != "\n" and not EDGE.search(p[1:] if p[0] == "\n" else p)]
-        groups = [plain[at:at + 500] for at in range(0, len(plain), 500)]
-        lines = ["".join([p if p[0] == "\n" else " " + p for p in g]) for g in groups]
-        out: dict[str, bytes] = {}
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-            ids = np.array(e.ids, dtype="<u4")
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) == len(g) and at[0] == 0:
-                raw, ends = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
-                out.update(zip(g, [raw[i:j] for i, j in zip(ends, ends[1:])]))
-            else:
-                out.update((p, self._one(p if p[0] == "\n" else " " + p)) for p in g)
-        return [out.get(p) for p in parts]
+        white, out = WHITE_CHARS, dict.fromkeys(parts)
+        words = [p for p in parts if p and p[0] not in white and p[-1] not in white]
+        after = [p for p in parts if len(p) > 1 and p[0] == "\n" and p[1] not in white and p[-1] not in white]
+        for some, space in ((words, " "), (after, "")):
+            groups = [some[at:at + 500] for at in range(0, len(some), 500)]
+            lines = [space + space.join(g) for g in groups]
+            for g, e in zip(groups, self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+                ids = np.array(e.ids, dtype="<u4")
+                at = np.flatnonzero(self.opens[ids])
+                if len(at) == len(g) and at[0] == 0:
+                    raw, ends = ids.tobytes(), [*(at * 4).tolist(), 4 * len(ids)]
+                    out.update(zip(g, [raw[i:j] for i, j in zip(ends, ends[1:])]))
+                else:
+                    out.update((p, self._one(space + p)) for p in g)
+        return out
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " \n").split(" ") for t in texts]
@@ -132,11 +135,10 @@ class TextEncoder:
         for c in cut:
             seen.update(c)
         memo, out = self.memo, []
-        fresh = list(seen.difference(memo))
-        memo.update(zip(fresh, self._parts(fresh)))
+        memo.update(self._parts(list(seen.difference(memo))))
         for t, head, parts in zip(texts, heads, cut):
             try:
-                out.append(b"".join([self._one(head) if not EDGE.search(head) else None, *map(memo.__getitem__, parts)]))
+                out.append(b"".join([self._one(head) if not (head and (head[0] in WHITE_CHARS or head[-1] in WHITE_CHARS)) else None, *map(memo.__getitem__, parts)]))
             except TypeError:  # white space in a row
                 out.append(b"".join(map(self._one, byte_chunks(t))))
         if len(memo) > self.most:
@@ -145,7 +147,8 @@ class TextEncoder:
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        # a first character is looked for much faster than a string
+        whole = [i for i, t in enumerate(texts) if any(c in t for c in self.firsts) and any(s in t for s in self.special)]
         if not whole:
             return self.encode_plain(texts)
         out = self.encode_plain(["" if i in set(whole) else t for i, t in enumerate(texts)])

@@ -163,3 +163,16 @@ def test_encoder_equals_library_on_random_white_space_and_symbols():
             texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(200)]
             for t, ids in zip(texts, own.encode(texts)):
                 assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_parts_of_a_batch_are_encoded_by_kind():
+    """Words and lines after a line feed go to the tokenizer apart; a part that borders on
+    white space has no ids of its own. A special string's first character alone is text."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    enc, plain = TextEncoder(path, "byte"), Tokenizer.from_file(path)
+    parts = ["calm", "\nharbour", "", "\n", "\tx", "x ", "\n\ty", "\nz\r", "ö", "\n<"]
+    got = enc._parts(parts)
+    assert [p for p in parts if got[p] is None] == ["", "\n", "\tx", "x ", "\n\ty", "\nz\r"]
+    texts = ["a < b\n<c d", "　x y\n z", "<", "\n", " ", "x\n\ny  z\t"] + [f"x{s}y {s[:-1]} z" for s in enc.special]
+    for t, b in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(b, dtype="<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
