@@ -95,6 +95,19 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return ids, scores
 
 
+def meetings(shards: DataFrame, blocks: DataFrame, groups: int) -> DataFrame:
+    """Every block beside every shard of its length. Shards are dealt to ``groups`` (as many
+    as there are shards); each block is sent once to each group, and meets the shards dealt
+    to it. A group is a few tiles, whatever the data. The copies of the blocks grow with the
+    square of the table, but Spark takes them for as large as the written blocks and would
+    broadcast them through the driver, so both sides are shuffled."""
+    dealt = shards.withColumn("group", F.pmod(F.xxhash64("slot"), F.lit(groups)))
+    sent = blocks.withColumnsRenamed({"slot": "block", "dim": "bdim", "ids": "bids", "vectors": "bvectors"}).withColumn(
+        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    met = sent.hint("merge").join(dealt.hint("merge"), (sent["group"] == dealt["group"]) & (sent["bdim"] == dealt["dim"]))
+    return met.select("block", "slot", "dim", "bids", "bvectors", "ids", "vectors")
+
+
 def top_k(vectors: DataFrame, k: int = 5, is_query: Column | None = None, id_col: str = "vec_id",
           vector_col: str = "embedding", shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS,
           fan_in: int = FAN_IN) -> DataFrame:
@@ -114,14 +127,7 @@ def top_k(vectors: DataFrame, k: int = 5, is_query: Column | None = None, id_col
     blocks = written(_packed(rows.filter(is_query).select(*pair).repartition(
         F.pmod(F.xxhash64("vec_id"), F.lit(max(1, rows.filter(is_query).count() // block_rows)))), block_rows), "topk-blocks")
     n_shards = shards.count()
-    # As many groups as shards; each block is sent once to each group, and meets the
-    # shards dealt to it. A group is a few tiles, whatever the data.
-    groups = max(1, n_shards)
-    dealt = shards.withColumn("group", F.pmod(F.xxhash64("slot"), F.lit(groups)))
-    sent = blocks.withColumnsRenamed({"slot": "block", "dim": "bdim", "ids": "bids", "vectors": "bvectors"}).withColumn(
-        "group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    tiles = sent.join(dealt, (sent["group"] == dealt["group"]) & (sent["bdim"] == dealt["dim"])).select(
-        "block", "slot", "dim", "bids", "bvectors", "ids", "vectors")
+    tiles = meetings(shards, blocks, max(1, n_shards))
 
     def lists(rows):
         import pyarrow as pa

@@ -28,6 +28,18 @@ def brute_top(rows, k=5):
     return sorted(out)
 
 
+def test_topk_sends_no_copies_through_the_driver(spark, tmp_path):
+    """The blocks' copies, one a group, are shuffled however small the written blocks are."""
+    shards, blocks = str(tmp_path / "shards"), str(tmp_path / "blocks")
+    rows = [(i, 2, bytes(16), bytes(32)) for i in range(3)]
+    for path in (shards, blocks):
+        spark.createDataFrame(rows, topk.PACKED).write.parquet(path)
+    met = topk.meetings(spark.read.parquet(shards), spark.read.parquet(blocks), 3)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((r.block, r.slot) for r in met.collect()) == [(b, s) for b in range(3) for s in range(3)]
+
+
 @pytest.mark.parametrize("shard_rows,block_rows,fan_in", [(4096, 1024, 32), (16, 3, 2)])
 def test_topk_brute_force(spark, shard_rows, block_rows, fan_in):
     r = random.Random(1)
