@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -91,12 +92,34 @@ def normalise_with(c: Column, orth: str) -> Column:
     return F.coalesce(joined(_rewrite_pieces(c, first), lambda o1: joined(_rewrite_pieces(o1, full), lambda o2: o2)), c)
 
 
+def rewriter(orth: str):
+    """``normalise_with`` as a Python function of one form."""
+    steps = [(re.compile(alternation(m)).findall, m.get) for m in rewrite_maps(orth)]
+
+    def rewrite(form: str) -> str:
+        out = form
+        for cut, known in steps:
+            pieces = list(map(known, cut(out)))
+            if None in pieces:
+                return form
+            out = "".join(pieces)
+        return out
+    return rewrite
+
+
 def normalise(c: Column, orthography: Column) -> Column:
-    """Rewrite with the rule set chosen per row by ``orthography``."""
-    out = c
-    for o in reversed(ORTHOGRAPHIES):
-        out = F.when(orthography == o, normalise_with(c, o)).otherwise(out)
-    return out
+    """Rewrite with the rule set chosen per row by ``orthography``; a form of an unknown
+    set stays. Equal forms are rewritten once, and not again in filters above."""
+    def forms(batches):
+        import pyarrow as pa
+
+        from ..sources.markup import Memo, strings
+
+        memos = {o: Memo(rewriter(o)) for o in ORTHOGRAPHIES}
+        for form, orth in batches:
+            pairs = zip(strings(form), strings(orth))
+            yield pa.array([memos[o][f] if f is not None and o in memos else f for f, o in pairs], pa.string())
+    return F.arrow_udf(forms, "string", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()(c, orthography)
 
 
 def orthography_of_text(text_id: Column) -> Column:
